@@ -157,9 +157,9 @@ def file_stream(spark, folder, name, schema):
 
 
 def as_messages(rows: DataFrame) -> DataFrame:
-    """Rows as queue messages: a JSON array each, as bytes."""
+    """Rows as queue messages: a JSON array each, as bytes, in the partitions of a topic."""
     value = F.to_json(F.array(F.struct(*rows.columns))).cast("binary")
-    return rows.select(value.alias("value"))
+    return rows.repartition("Id").select(value.alias("value"))
 
 
 def event_messages(spark, folder):

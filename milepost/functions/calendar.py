@@ -82,13 +82,19 @@ def business_day(epoch_ms: Column, zone: str = BUSINESS_ZONE) -> Column:
     return wall_clock(epoch_ms, zone).cast("date")
 
 
+def epoch_ms(utc: Column) -> Column:
+    """Epoch milliseconds of a timestamp without zone that holds UTC.
+
+    Taken apart by calendar fields: timestamp differences would go through the
+    session time zone.
+    """
+    clock = F.hour(utc) * 3_600_000 + F.minute(utc) * 60_000
+    fraction = F.floor(F.extract(F.lit("SECOND"), utc) * 1000)
+    return (F.unix_date(utc.cast("date")).cast("bigint") * 86_400_000 + clock + fraction).cast("bigint")
+
+
 def period_start(year: Column, month: Column, zone: str = BUSINESS_ZONE) -> Column:
     """Local midnight of the first day of a period, in epoch milliseconds."""
     zero = F.lit(0)
     local = F.make_timestamp_ntz(year, month, F.lit(1), zero, zero, zero)
-    return F.timestamp_diff("MILLISECOND", F.expr(EPOCH), F.convert_timezone(F.lit(zone), F.lit("UTC"), local))
-
-
-def epoch_ms(local: Column) -> Column:
-    """Epoch milliseconds of a timestamp without zone that is kept in UTC."""
-    return F.floor(F.timestamp_diff("MICROSECOND", F.expr(EPOCH), local) / 1000).cast("bigint")
+    return epoch_ms(F.convert_timezone(F.lit(zone), F.lit("UTC"), local))

@@ -23,12 +23,15 @@ def positions(
     index: str = "_index",
     running: dict[str, Column] | None = None,
     totals: dict[str, Column] | None = None,
+    attach: DataFrame | None = None,
 ) -> DataFrame:
     """Add the 1-based position of each row within its group.
 
     order:   must be total within a group; it decides the result
     running: name -> value, adds the running sum up to and including the row
     totals:  name -> value, adds the group's total
+    attach:  (group columns, others), unique by group: adds the others, and leaves
+             out groups it lacks. Joined to the slices, so a large group is not skewed.
 
     The ranged rows are written to the shared folder first: range bounds come
     from a sample and must not be drawn again when an executor is lost.
@@ -52,7 +55,11 @@ def positions(
     # At most one row per task within a group.
     whole = Window.partitionBy(*group)
     earlier = whole.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    attached = [c for c in attach.columns if c not in group] if attach is not None else []
+    if attach is not None:
+        slices = slices.join(attach, list(group))
     slices = slices.select(
+        *attached,
         *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
         F.col("_task").alias("_slice"),
         (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_from")).alias("_shift"),
@@ -80,4 +87,5 @@ def positions(
             for n, value in running.items()
         ],
         *[F.col(f"_total_{n}").alias(n) for n in totals],
+        *attached,
     )

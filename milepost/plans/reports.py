@@ -2,7 +2,7 @@
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from milepost.functions import messages
 from milepost.functions.calendar import business_day, local_midnight_ms, rows_of_day
@@ -43,11 +43,6 @@ def event_summary(
     )
 
 
-def _actions() -> list[Column]:
-    scored = F.col("Name") == SCORING_NAME
-    return [F.count_if(scored).alias("scored"), F.sum(F.when(scored, F.col("Value"))).alias("points")]
-
-
 def rule_flow_metrics(
     transactions: DataFrame,
     day: date | None = None,
@@ -57,41 +52,44 @@ def rule_flow_metrics(
 ) -> DataFrame:
     """How members pass through the rules of each campaign, per day (of one day, or of all).
 
-    Transactions are folded to one row per member first, so counting distinct
-    members needs no set per rule or campaign, however large one of them is.
+    Distinct members are counted from rows folded to one per member first, so no
+    task holds the member set of a large rule or campaign.
     """
     if day is not None:
         transactions = rows_of_day(transactions, day, zone, prune)
     local_day = business_day(F.col("TimeStamp"), zone) if day is None else F.lit(day)
-    per_member = (
-        transactions.withColumn("date", local_day)
-        .groupBy("date", "CampaignId", "RuleId", "RuleName", "Phone")
-        .agg(F.min("CampaignName").alias("campaign"), F.count("Name").alias("actions"), *_actions())
+    # Rows without a campaign belong to no funnel.
+    rows = transactions.filter(F.col("CampaignId").isNotNull()).withColumn("date", local_day)
+    scored = F.col("Name") == SCORING_NAME
+    rule = ["date", "CampaignId", "RuleId", "RuleName"]
+    per_member = rows.groupBy(*rule, "Phone").agg(
+        F.min("CampaignName").alias("campaignname"),
+        F.count("Name").alias("actions"),
+        F.count_if(scored).alias("scored"),
+        F.sum(F.when(scored, F.col("Value"))).alias("points"),
     )
-    rules = per_member.groupBy("date", "CampaignId", "RuleId", "RuleName").agg(
-        F.min("campaign").alias("campaignname"),
+    rules = per_member.groupBy(*rule).agg(
+        F.min("campaignname").alias("campaignname"),
         F.count("Phone").alias("profiles_evaluated"),
         F.sum("actions").alias("total_actions"),
         F.sum("scored").alias("addpoint_actions"),
         F.sum("points").alias("points_awarded"),
     )
-    campaigns = (
-        per_member.filter(F.col("CampaignId").isNotNull())
-        .groupBy("date", "CampaignId", "Phone")
-        .agg(F.sum("scored").alias("scored"), F.sum("points").alias("points"))
-        .groupBy("date", "CampaignId")
-        .agg(
-            F.count("Phone").alias("total_profiles_evaluated"),
-            F.sum("scored").alias("total_successful_actions"),
-            F.sum("points").alias("total_points_awarded"),
-        )
+    members = rows.select("date", "CampaignId", "Phone").distinct()
+    evaluated = members.groupBy("date", "CampaignId").agg(F.count("Phone").alias("total_profiles_evaluated"))
+    sequenced = positions(
+        rules,
+        [F.asc_nulls_first("RuleId"), F.asc_nulls_first("RuleName")],
+        ["date", "CampaignId"],
+        index="rule_sequence",
+        totals={
+            "total_successful_actions": F.col("addpoint_actions"),
+            "total_points_awarded": F.col("points_awarded"),
+        },
+        attach=evaluated,
     )
-    order = [F.asc_nulls_first("RuleId"), F.asc_nulls_first("RuleName")]
-    known = rules.filter(F.col("CampaignId").isNotNull())
-    sequenced = positions(known, order, ["date", "CampaignId"], index="rule_sequence")
-    joined = spread_join(sequenced, campaigns, ["date", "CampaignId"], spread_by=["RuleId", "RuleName"])
     written = F.lit(int(as_of.timestamp() * 1000) if as_of else None).cast("bigint")
-    return joined.select(
+    return sequenced.select(
         F.col("CampaignId").alias("campaignid"),
         "campaignname",
         F.col("RuleId").alias("ruleid"),
