@@ -85,12 +85,13 @@ def business_day(epoch_ms: Column, zone: str = BUSINESS_ZONE) -> Column:
 def epoch_ms(utc: Column) -> Column:
     """Epoch milliseconds of a timestamp without zone that holds UTC.
 
-    Taken apart by calendar fields: timestamp differences would go through the
-    session time zone.
+    Taken apart by calendar fields: a difference to 1970 would go through the
+    session time zone, one within a second does not depend on it.
     """
-    clock = F.hour(utc) * 3_600_000 + F.minute(utc) * 60_000
-    fraction = F.floor(F.extract(F.lit("SECOND"), utc) * 1000)
-    return (F.unix_date(utc.cast("date")).cast("bigint") * 86_400_000 + clock + fraction).cast("bigint")
+    days = F.unix_date(utc.cast("date")).cast("bigint")
+    seconds = days * 86_400 + F.hour(utc) * 3_600 + F.minute(utc) * 60 + F.second(utc)
+    fraction = F.timestamp_diff("MICROSECOND", F.date_trunc("SECOND", utc), utc)
+    return (seconds * 1000 + F.floor(fraction / 1000)).cast("bigint")
 
 
 def period_start(year: Column, month: Column, zone: str = BUSINESS_ZONE) -> Column:

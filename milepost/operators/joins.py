@@ -1,11 +1,22 @@
-"""Joins of a large side with a side that is unique by key."""
+"""Joins whose left side may hold very many rows of one key."""
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_KEYS = 512
 WAYS = 32
 
 
+def most_frequent(counts: DataFrame, on: list[str], n: int) -> DataFrame:
+    """The n keys with the highest `n` counts. Any key with 1/n of the rows or more is among them."""
+    return counts.orderBy(F.desc("n"), *on).limit(n).select(*on)
+
+
+def count_keys(df: DataFrame, on: list[str]) -> DataFrame:
+    return df.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -18,17 +29,16 @@ def spread_join(
 ) -> DataFrame:
     """Equi join that splits the most frequent keys of `left` over several tasks.
 
-    The `hot_keys` most frequent keys are found by counting, so any key with at
-    least 1/hot_keys of the rows is among them, and their list is never longer:
-    it is safe to broadcast. Left rows of a hot key get one of `ways` salts from
+    The most frequent keys are found by counting; their list has at most
+    `hot_keys` rows, so it can be broadcast. Left rows of a hot key get one of `ways` salts from
     their `spread_by` columns (not at random: a repeated task must repeat it);
     the matching right rows are copied once per salt. All other rows join as usual,
     and Spark still broadcasts `right` by itself if it turns out small.
 
     hot: (keys..., n) counts, when they are known already. how: inner or left.
     """
-    counts = hot if hot is not None else left.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.desc("n"), *on).limit(hot_keys).select(*on, F.lit(True).alias("_hot"))
+    counts = hot if hot is not None else count_keys(left, on)
+    top = most_frequent(counts, on, hot_keys).withColumn("_hot", F.lit(True))
 
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(ways)).cast("int")
     salted = left.join(F.broadcast(top), on, "left").withColumn(
@@ -37,3 +47,19 @@ def spread_join(
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
     copied = right.join(F.broadcast(top), on, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
     return salted.drop("_hot").join(copied, [*on, "_salt"], how).drop("_salt")
+
+
+def rows_without_match(left: DataFrame, right: DataFrame, on: list[str], hot_keys: int = HOT_KEYS) -> DataFrame:
+    """Left rows whose key the right side lacks, copies included.
+
+    Copies of one row cannot be told apart by a salt, so the most frequent keys
+    are not shuffled at all: whether the right side has them is looked up first
+    (at most `hot_keys` answers) and broadcast. The others meet the right side's
+    distinct keys in an ordinary anti join.
+    """
+    top = F.broadcast(most_frequent(count_keys(left, on), on, hot_keys))
+    known = right.join(top, on, "left_semi").select(*on).distinct()
+    frequent = left.join(top, on, "left_semi").join(F.broadcast(known), on, "left_anti")
+    keyed = reduce(Column.__and__, [F.col(c).isNotNull() for c in on])
+    others = left.filter(keyed).join(top, on, "left_anti").join(right.select(*on).distinct(), on, "left_anti")
+    return frequent.unionByName(others).unionByName(left.filter(~keyed))  # null matches nothing

@@ -9,6 +9,9 @@ from milepost.operators.keyed import absent_rows
 from milepost.session import stage
 from milepost.sources.tables import read_or_empty
 
+# Keys of one batch that may be broadcast.
+BROADCAST_KEYS = 1_000_000
+
 
 def laid_out(df: DataFrame, by: list[str], sort: list[str] = ()) -> DataFrame:
     """Rows gathered by partition directory, so tasks do not each open every directory.
@@ -24,13 +27,18 @@ def append(df: DataFrame, path: str, by: list[str], sort: list[str] = ()) -> Non
     laid_out(df, by, sort).write.mode("append").partitionBy(*by).parquet(path)
 
 
-def append_absent(df: DataFrame, path: str, schema: StructType, keys: list[str], by: list[str], scope: list[str] = ()) -> None:
+def append_absent(
+    df: DataFrame, path: str, schema: StructType, keys: list[str], by: list[str], scope: list[str]
+) -> None:
     """Insert the rows whose key the table lacks. `df` must be unique by key.
 
-    Doing it again adds nothing, which makes it safe under batch replay. Only the
-    key columns of the table are read. `scope` names partition columns that are a
-    function of the key (the period of an activity): with it, only the directories
-    that occur in `df` are searched.
+    Doing it again adds nothing, which makes it safe under batch replay. The keys
+    of `df` go to the table's files (broadcast up to BROADCAST_KEYS, which is
+    checked), so the table is not shuffled, and only its key columns are read.
+
+    scope: partition columns that are a function of the key, such as the period of
+    an activity. Then only the directories that occur in `df` are read. With an
+    empty scope the whole table is.
     """
     spark = df.sparkSession
     table = read_or_empty(spark, path, schema)
@@ -40,7 +48,11 @@ def append_absent(df: DataFrame, path: str, schema: StructType, keys: list[str],
         for column in scope:
             table = table.filter(F.col(column).isin(sorted({row[column] for row in touched})))
         keys = [*keys, *[c for c in scope if c not in keys]]
-    append(absent_rows(table, df.select(*schema.names), keys), path, by)
+    wanted = df.select(*keys)
+    if df.count() <= BROADCAST_KEYS:
+        wanted = F.broadcast(wanted)
+    stored = table.select(*keys).join(wanted, keys, "left_semi")
+    append(absent_rows(stored, df.select(*schema.names), keys), path, by)
 
 
 def write_version(df: DataFrame, path: str, by: list[str], sort: list[str] = ()) -> None:

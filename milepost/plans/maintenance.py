@@ -3,7 +3,8 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from milepost.functions.values import lower_names
-from milepost.operators.keyed import absent_rows, keep_latest
+from milepost.operators.joins import rows_without_match
+from milepost.operators.keyed import keep_latest
 from milepost.sources.tables import pick
 
 
@@ -62,7 +63,7 @@ def sync_missing(
         raise ValueError("a month needs its year")
     wanted = lower_names(pick(source, Year=year, Month=month))
     known = pick(lower_names(target), year=year, month=month)
-    missing = absent_rows(known, wanted, ["id"]).select(*wanted.columns)
+    missing = rows_without_match(wanted, known, ["id"]).select(*wanted.columns)
     return missing if as_of is None else missing.withColumn("processed_timestamp", as_of)
 
 

@@ -2,13 +2,14 @@
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from milepost.functions import messages
 from milepost.functions.calendar import business_day, local_midnight_ms, rows_of_day
 from milepost.functions.values import device_id, hashed_uuid, whole_km
 from milepost.operators.joins import spread_join
 from milepost.operators.ordering import positions
+from milepost.operators.sinks import audited
 from milepost.schemas import (
     APPROVED,
     BUSINESS_ZONE,
@@ -43,6 +44,12 @@ def event_summary(
     )
 
 
+def summary_rows(summary: DataFrame, as_of: Column, by: str = "ActivitySummaryProcessor") -> DataFrame:
+    """An event summary as rows of the stored report, with audit columns."""
+    names = ["Phone", "Date", "TotalSubmittedReport", "TotalApprovedReport", "TotalDrivingReport"]
+    return audited(summary.toDF(*names), as_of, by)
+
+
 def rule_flow_metrics(
     transactions: DataFrame,
     day: date | None = None,
