@@ -17,10 +17,11 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
     return df.withColumn("_place", place).filter("_place = 1").drop("_place")
 
 
-def keep_latest(df: DataFrame, key: str = "Id", moment: str = "TimeStamp") -> DataFrame:
+def keep_latest(df: DataFrame, keys: list[str] = ("Id",), moment: str = "TimeStamp") -> DataFrame:
     """Newest row per key; ties are settled by all other columns, so only equal rows are interchangeable."""
-    rest = [c for c in df.columns if c.lower() not in (key.lower(), moment.lower())]
-    return keep_first(df, [key], [F.col(moment).desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in rest]])
+    used = {c.lower() for c in [*keys, moment]}
+    rest = [F.col(c).desc_nulls_last() for c in df.columns if c.lower() not in used]
+    return keep_first(df, list(keys), [F.col(moment).desc_nulls_last(), *rest])
 
 
 def absent_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

@@ -16,12 +16,12 @@ def deduplicate(
     Rows outside the given month or member are kept as they are.
     """
     if year is None and month is None and phone is None:
-        return keep_latest(table, key, moment)
+        return keep_latest(table, [key], moment)
     if year is None or month is None:
         raise ValueError("a restricted run needs both year and month")
     inside = slice_condition(year, month, phone)
     others = table.filter(~F.coalesce(inside, F.lit(False)))
-    return others.unionByName(keep_latest(table.filter(inside), key, moment))
+    return others.unionByName(keep_latest(table.filter(inside), [key], moment))
 
 
 def slice_condition(year: int, month: int, phone: str | None = None) -> Column:
