@@ -409,7 +409,7 @@ ORACLE = {
     ),
     "matching_transactions": _sql(
         """SELECT "Id", "Phone", "Date", "Month", "Year", "EventCode", "ReportCode", "Name", "Value", "TimeStamp",
-                  "MembershipCode", "Type" FROM tx WHERE "Phone" = '7' AND "Year" = 1998""",
+                  "MembershipCode", "Type" FROM tx WHERE "Year" = 1998 AND "Month" = 6""",
         "tx",
     ),
     "insert_absent_by_id": _sql(

@@ -286,7 +286,7 @@ def query_transactions(spark, folder):
 
 
 def matching_transactions(spark, folder):
-    return maintenance.matching_transactions(sample.transactions(spark, folder), "7", MONTH[0])
+    return maintenance.matching_transactions(sample.transactions(spark, folder), None, *MONTH)
 
 
 def insert_absent_by_id(spark, folder):

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from milepost.operators.keyed import absent_rows
-from milepost.session import stage
+from milepost.session import remove_folder, stage
 from milepost.sources.tables import read_or_empty
 
 # Keys of one batch that may be broadcast.
@@ -60,17 +60,17 @@ def write_version(df: DataFrame, path: str, by: list[str], sort: list[str] = ())
     laid_out(df, by, sort).write.mode("errorifexists").partitionBy(*by).parquet(path)
 
 
+def overwrite(df: DataFrame, path: str) -> None:
+    """Replace an unpartitioned table; `df` may be computed from it, as it is staged first."""
+    stage(df, "table").write.mode("overwrite").parquet(path)
+
+
 def point_table(spark: SparkSession, name: str, path: str) -> None:
     """Make a table read another folder: the switch after `write_version`."""
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
     spark.catalog.refreshTable(name)
 
 
-def _remove_folder(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def partition_folder(path: str, values: Iterable[tuple[str, object]]) -> str:
     return "/".join([path, *[f"{name}={value}" for name, value in values]])
 
@@ -85,11 +85,11 @@ def replace_slice(df: DataFrame, path: str, by: list[str], slice_filter: Column)
     spark = df.sparkSession
     new = stage(df, "slice")
     kept = new.select(*by).distinct()
-    before = spark.read.parquet(path).filter(slice_filter).select(*by).distinct()
+    before = read_or_empty(spark, path, new.schema).filter(slice_filter).select(*by).distinct()
     emptied = before.join(kept, by, "left_anti").collect()  # directories, not rows
     laid_out(new, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
     for row in emptied:
-        _remove_folder(spark, partition_folder(path, [(c, row[c]) for c in by]))
+        remove_folder(spark, partition_folder(path, [(c, row[c]) for c in by]))
 
 
 def delete_slice(spark: SparkSession, path: str, schema: StructType, slice_values: dict[str, object], dry_run: bool = False) -> DataFrame:
@@ -103,7 +103,7 @@ def delete_slice(spark: SparkSession, path: str, schema: StructType, slice_value
 
     matched = count()
     if matched and not dry_run:
-        _remove_folder(spark, partition_folder(path, slice_values.items()))
+        remove_folder(spark, partition_folder(path, slice_values.items()))
     remaining = count()
     return spark.createDataFrame(
         [(matched, matched - remaining, remaining)], "matched bigint, deleted bigint, remaining bigint"

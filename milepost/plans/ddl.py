@@ -11,6 +11,7 @@ from milepost.schemas import (
     MEMBERSHIP_MONTHLY,
     MEMBERSHIP_YEARLY,
     MONTH_PARTITIONS,
+    PROFILE_TABLE,
     RULE_FLOW_METRICS,
     YEAR_PARTITIONS,
 )
@@ -22,6 +23,7 @@ TABLES = {
     "membershiptransactionmonthly": (MEMBERSHIP_MONTHLY, MONTH_PARTITIONS, "Points and tiers by month"),
     "membershiptransactionyearly": (MEMBERSHIP_YEARLY, YEAR_PARTITIONS, "Points and tiers by year"),
     "daily_rule_flow_metrics": (RULE_FLOW_METRICS, ("date",), "Rule funnel per campaign and day"),
+    "profile": (PROFILE_TABLE, (), "Members with all-time points, level and rank"),
     "activity_summary_report": (ACTIVITY_SUMMARY_REPORT, (), "Reports per member and day"),
 }
 

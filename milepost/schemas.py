@@ -66,6 +66,14 @@ PROFILE = layout(
     "LastModified timestamp, MembershipCode string"
 )
 
+# With the columns that only matter to the stored table.
+PROFILE_TABLE = StructType(
+    PROFILE.fields
+    + layout(
+        "Package string, StartDate timestamp, CreatedAt timestamp, CreatedBy string, LastModifiedBy string"
+    ).fields
+)
+
 DAILY_SUMMARY_REPORT = layout(
     "deviceimei string, date bigint, distance int, drivingtime int, month int, year int"
 )

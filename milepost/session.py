@@ -60,3 +60,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder through the file system it belongs to."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete what this application staged. Only once its results are written or collected."""
+    remove_folder(spark, f"{shared_folder(spark)}/milepost/{spark.sparkContext.applicationId}")

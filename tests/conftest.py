@@ -1,6 +1,6 @@
 import pytest
 
-from milepost.session import build_session
+from milepost.session import build_session, clear_staged
 
 
 @pytest.fixture(scope="session")
@@ -12,4 +12,5 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_staged(session)
     session.stop()

@@ -1,0 +1,137 @@
+"""Jobs over stored tables: the monthly chain and the others, end to end."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from catalog import sample
+from milepost import jobs
+from milepost.operators import sinks
+from milepost.plans import membership, points, ranking
+from milepost.schemas import ACTIVITY_TRANSACTION
+from tests.test_plans import rows
+
+FOLDER = "/root/testdata/sf0.001"
+PERIOD = ["--year", "1998", "--month", "12"]
+
+
+@pytest.fixture(scope="module")
+def root(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("warehouse"))
+    one_year = sample.transactions(spark, FOLDER).filter("Year = 1998")
+    by_month = one_year.withColumn("Date", F.col("Month").cast("bigint"))  # few directories
+    sinks.append(by_month, f"{root}/activity_transaction", ["Year", "Month", "Date"], ["Phone"])
+    return root
+
+
+def do(spark, root, *arguments):
+    jobs.run(spark, ["--root", root, "--as-of", "1999-01-05T00:00:00", *arguments])
+
+
+def test_monthly_chain(spark, root):
+    tables = jobs.Tables(spark, root)
+    for month in ("11", "12"):
+        do(spark, root, "recalc-monthly", "--year", "1998", "--month", month)
+    for job in ("rank-monthly", "assign-membership"):
+        do(spark, root, job, *PERIOD)
+        do(spark, root, job, *PERIOD)  # again: same state
+    transactions = tables.read("activity_transaction")
+    expected = membership.assign_membership(ranking.rank_monthly(points.recalc_monthly(transactions, 1998, 12)))
+    december = tables.read(jobs.MONTHLY).filter("month = 12")
+    assert rows(december) == rows(expected.select(*december.columns))
+
+    do(spark, root, "recalc-yearly", "--year", "1998")
+    do(spark, root, "rank-yearly", "--year", "1998")
+    do(spark, root, "sync-yearly", *PERIOD)
+    yearly = tables.read(jobs.YEARLY)
+    assert yearly.agg(F.sum("totalpoints")).first() == tables.read(jobs.MONTHLY).agg(F.sum("totalpoints")).first()
+    assert rows(yearly, "rank") == [(i,) for i in sorted(range(1, yearly.count() + 1), key=lambda i: repr((i,)))]
+
+    do(spark, root, "recalc-all-time")
+    do(spark, root, "rank-all-time")
+    do(spark, root, "sync-profiles", *PERIOD)
+    do(spark, root, "update-levels")
+    profiles = tables.read("profile")
+    assert profiles.count() == yearly.count() and profiles.filter("Level is null or Rank is null").count() == 0
+    changed = [json.loads(r.value) for r in spark.read.text(f"{root}/outbox/activity_transaction").collect()]
+    assert len(changed) == profiles.count() and {m["Name"] for m in changed} == {"UpgradeLevel"}
+    assert ranking.rank_all_time(profiles).count() == 0
+
+    do(spark, root, "roll-forward", *PERIOD)
+    january = tables.read(jobs.MONTHLY).filter("year = 1999 and month = 1")
+    assert january.count() == december.count() and january.agg(F.sum("totalpoints")).first()[0] == 0
+    assert tables.read(jobs.MONTHLY).filter("year = 1998").count() > december.count()
+
+    for kind in ("monthly", "yearly", "profiles"):
+        do(spark, root, "publish", "--kind", kind)
+    assert spark.read.parquet(f"{root}/documents/monthly").count() == tables.read(jobs.MONTHLY).count()
+
+
+def test_maintenance_jobs(spark, root, tmp_path):
+    tables = jobs.Tables(spark, root)
+    before = tables.read("activity_transaction").count()
+    do(spark, root, "analyze")
+    do(spark, root, "deduplicate", "--to", str(tmp_path / "whole"))
+    assert spark.read.schema(ACTIVITY_TRANSACTION).parquet(str(tmp_path / "whole")).count() == (
+        tables.read("activity_transaction").select("Id").distinct().count()
+    )
+    do(spark, root, "deduplicate", "--year", "1998", "--month", "6")
+    june = tables.read("activity_transaction").filter("Month = 6")
+    assert june.count() == june.select("Id").distinct().count()
+    assert tables.read("activity_transaction").filter("Month != 6").count() <= before
+    for _ in range(2):
+        do(spark, root, "sync-missing", "--year", "1998", "--month", "6")
+    assert spark.read.parquet(f"{root}/activity_transaction_copy").count() == june.count()
+    do(spark, root, "query", "--year", "1998")
+    do(spark, root, "delete-period", "--year", "1998", "--month", "6", "--dry-run")
+    do(spark, root, "delete-period", "--year", "1998", "--month", "6")
+    assert tables.read("activity_transaction").filter("Month = 6").count() == 0
+
+
+def test_report_jobs(spark, root):
+    tables = jobs.Tables(spark, root)
+    events = sample.activity_events(spark, FOLDER)
+    sinks.append(events, f"{root}/activity_event", ["Year", "Month", "Date"])
+    sample.driving_reports(spark, FOLDER).write.parquet(f"{root}/daily_summary_report")
+    sample.device_users(spark, FOLDER).write.parquet(f"{root}/device_user")
+    sample.live_reports(spark, FOLDER).write.parquet(f"{root}/live_report")
+    do(spark, root, "event-summary", "--day", "2024-01-15")
+    assert tables.read("activity_summary_report").count() > 0
+    for _ in range(2):
+        do(spark, root, "rule-flow", "--day", "1998-08-09")
+    flow = tables.read("daily_rule_flow_metrics")
+    assert flow.count() == flow.select("campaignid", "ruleid", "rulename").distinct().count() > 0
+    do(spark, root, "driving-events", "--day", "2024-01-15")
+    assert spark.read.text(f"{root}/outbox/activity_event").count() > 0
+    jobs.run(spark, ["--root", root, "--as-of", "2024-01-15", "verify-reports"])
+    jobs.run(spark, ["--root", root, "--as-of", "2024-01-15", "release-reports"])
+    sent = [json.loads(r.value) for r in spark.read.text(f"{root}/outbox/live_report").collect()]
+    assert sum(len(m["data"]["features"]) for m in sent) == sent[0]["total_records"]
+
+
+def test_stream_jobs(spark, root, tmp_path):
+    inbox = str(tmp_path / "inbox")
+    rows_in = sample.as_messages(sample.transactions(spark, FOLDER).filter("Year = 1998"))
+    rows_in.select(F.lit(None).cast("binary").alias("key"), "value").write.parquet(inbox)
+    source = ["--files", inbox, "--checkpoint"]
+    do(spark, root, "store-transactions", *source, str(tmp_path / "c1"), "--id-scope", "Year", "Month", "Date", "--policy", "fill")
+    do(spark, root, "stream-points", *source, str(tmp_path / "c2"), "--period", "year")
+    do(spark, root, "store-events", *source, str(tmp_path / "c3"))  # no events in there
+    do(spark, root, "register-users", *source, str(tmp_path / "c4"))
+    assert spark.read.parquet(f"{root}/points_year/batches").count() > 0
+
+
+def test_create_tables_job(spark, tmp_path):
+    try:
+        do(spark, str(tmp_path), "create-tables", "--database", "milepost_jobs", "--drop")
+        assert spark.catalog.tableExists("milepost_jobs.profile")
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS milepost_jobs CASCADE")
+
+
+def test_periods_are_required(spark, root):
+    with pytest.raises(SystemExit):
+        do(spark, root, "rank-monthly", "--year", "1998")
+    with pytest.raises(ValueError):
+        do(spark, root, "deduplicate", "--year", "1998")

@@ -437,7 +437,7 @@ def test_tables_are_created(spark, tmp_path):
         listing = ddl.create_tables(spark, "milepost_test", str(tmp_path), drop=True)
         parts = listing.filter("partition and table = 'activity_transaction'")
         assert {r.column for r in parts.collect()} == {"Year", "Month", "Date"}
-        assert listing.select("table").distinct().count() == 6
+        assert listing.select("table").distinct().count() == 7
         assert ddl.create_tables(spark, "milepost_test", str(tmp_path)).count() == listing.count()
     finally:
         spark.sql("DROP DATABASE IF EXISTS milepost_test CASCADE")
