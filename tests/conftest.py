@@ -8,7 +8,7 @@ def spark():
     session = build_session(
         "tests",
         "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "6g", "spark.log.level": "ERROR"},
+        **{"spark.sql.shuffle.partitions": "4", "spark.sql.codegen.wholeStage": "false", "spark.driver.memory": "6g", "spark.log.level": "ERROR"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

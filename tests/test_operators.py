@@ -158,12 +158,14 @@ def test_spread_join_equals_plain_join(spark, how):
 def test_spread_join_spreads_the_hot_key(spark):
     left, right = skewed(spark), df(spark, "k string, v int", ("hot", 1))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         got = joins.spread_join(left, right, ["k"], ["n"]).withColumn("task", F.spark_partition_id())
         sizes = [r["count"] for r in got.filter("k = 'hot'").groupBy("task").count().collect()]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(sizes) > 4 and max(sizes) < sum(sizes) / 2
 

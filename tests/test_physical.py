@@ -76,8 +76,10 @@ def test_tied_members_spread_over_tasks(spark):
     )
     keys = [F.asc("year"), *ranking.member_order()]
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
     try:
         sizes = [r["count"] for r in tied.repartitionByRange(*keys).groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert len(sizes) == 8 and max(sizes) < 50_000
