@@ -17,11 +17,13 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame
     return df.withColumn("_place", place).filter("_place = 1").drop("_place")
 
 
-def keep_latest(df: DataFrame, keys: list[str] = ("Id",), moment: str = "TimeStamp") -> DataFrame:
-    """Newest row per key; ties are settled by all other columns, so only equal rows are interchangeable."""
-    used = {c.lower() for c in [*keys, moment]}
-    rest = [F.col(c).desc_nulls_last() for c in df.columns if c.lower() not in used]
-    return keep_first(df, list(keys), [F.col(moment).desc_nulls_last(), *rest])
+def keep_latest(df: DataFrame, keys: list[str] = ("Id",), *moments: str) -> DataFrame:
+    """Newest row per key by the given columns (TimeStamp if none); ties are settled by
+    all other columns, so only equal rows are interchangeable."""
+    moments = moments or ("TimeStamp",)
+    used = {c.lower() for c in [*keys, *moments]}
+    rest = [c for c in df.columns if c.lower() not in used]
+    return keep_first(df, list(keys), [F.col(c).desc_nulls_last() for c in [*moments, *rest]])
 
 
 def absent_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

@@ -62,10 +62,21 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
 def remove_folder(spark: SparkSession, path: str) -> bool:
     """Delete a folder through the file system it belongs to."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    system, target = _file_system(spark, path)
+    return system.delete(target, True)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is missing."""
+    system, target = _file_system(spark, path)
+    return [status.getPath().getName() for status in system.listStatus(target)] if system.exists(target) else []
 
 
 def clear_staged(spark: SparkSession) -> None:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from milepost.operators import ledger
 from milepost.plans import points
 from milepost.schemas import ACTIVITY_EVENT, ACTIVITY_TRANSACTION, MEMBERSHIP_MONTHLY, MEMBERSHIP_YEARLY, PROFILE, layout
+from milepost.session import list_folder
 from milepost.sources.streams import read_files
 from milepost.streaming import ingest, users
 from milepost.streaming import points as stream_points
@@ -90,6 +91,8 @@ def test_events_with_defaults(spark, topic, root, checkpoint):
         ("b", 1, "Other", "unknown", "Unknown", "Unknown", "{}"),
     ]
     assert ingest.logged_rows(spark, root, ACTIVITY_EVENT).count() == 4
+    february = documents.filter("Year = 2024 and Month = 2")._jdf.queryExecution().executedPlan().toString()
+    assert "Month" in february.split("PartitionFilters: [")[1].split("]")[0]
 
 
 def test_transactions_have_one_activity_id_in_all_sinks(spark, topic, root, checkpoint):
@@ -100,6 +103,8 @@ def test_transactions_have_one_activity_id_in_all_sinks(spark, topic, root, chec
     copy = rows(ingest.stored_copy(spark, root, ACTIVITY_TRANSACTION), "id", "activityid", "value")
     assert [r[0] for r in stored] == ["a", "b"] and stored[1][1] == "given" and len(stored[0][1]) == 36
     assert copy == [("a", stored[0][1], 7), stored[1]]  # the copy takes the newest version
+    assert ingest.compact_copy(spark, root, ACTIVITY_TRANSACTION) == 1
+    assert rows(ingest.stored_copy(spark, root, ACTIVITY_TRANSACTION), "id", "activityid", "value") == copy
 
 
 def test_transactions_with_defaults(spark, topic, root, checkpoint):
@@ -161,6 +166,8 @@ def test_compaction_keeps_the_totals(spark, root):
     assert rows(stream_points.streamed_points(spark, root))[0] == ("1", 1, 2024, 10, 70, "Level2")
     assert stream_points.compact_points(spark, root) == 2
     assert stream_points.compact_points(spark, root) == 2
+    assert list_folder(spark, f"{root}/batches") == ["batch=2"]
+    assert sorted(list_folder(spark, f"{root}/snapshots")) == ["upto=1", "upto=2"]
     assert rows(stream_points.streamed_points(spark, root))[0] == ("1", 1, 2024, 10, 70, "Level2")
 
 
