@@ -342,9 +342,13 @@ ORACLE = {
     "event_summary_day": _sql(
         _SUMMARY.format(f'WHERE "TimeStamp" >= {EVENT_DAY} AND "TimeStamp" < {EVENT_DAY + DAY_MS}'), "ev"
     ),
-    "rule_flow_metrics": _sql("SELECT *, CAST(NULL AS BIGINT) AS timestamp FROM flow", "flow", dated=_ALL_DAYS),
+    "rule_flow_metrics": _sql(
+        "SELECT * REPLACE (CAST(date AS VARCHAR) AS date), CAST(NULL AS BIGINT) AS timestamp FROM flow",
+        "flow", dated=_ALL_DAYS,
+    ),
     "rule_flow_metrics_day": _sql(
-        f"SELECT *, CAST({AS_OF * 1000} AS BIGINT) AS timestamp FROM flow", "flow", dated=_ONE_DAY
+        f"SELECT * REPLACE (CAST(date AS VARCHAR) AS date), CAST({AS_OF * 1000} AS BIGINT) AS timestamp FROM flow",
+        "flow", dated=_ONE_DAY,
     ),
     "campaign_overview": _sql(
         """SELECT DISTINCT campaignname, total_profiles_evaluated, total_successful_actions, total_points_awarded
@@ -352,7 +356,7 @@ ORACLE = {
         "flow", dated=_ALL_DAYS,
     ),
     "rule_flow_path": _sql(
-        """SELECT date, campaignid, campaignname, rule_sequence, rulename, profiles_evaluated, total_actions,
+        """SELECT CAST(date AS VARCHAR) AS date, campaignid, campaignname, rule_sequence, rulename, profiles_evaluated, total_actions,
                   addpoint_actions, points_awarded, profiles_not_matched,
                   CAST(total_profiles_evaluated - sum(total_actions) OVER (PARTITION BY date, campaignid
                        ORDER BY rule_sequence) AS BIGINT) AS remaining_profiles FROM flow""",

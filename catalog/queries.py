@@ -185,20 +185,28 @@ def event_summary_day(spark, folder):
     return reports.event_summary(sample.activity_events(spark, folder), DAY, kinds=EVENT_KINDS)
 
 
-def rule_flow_metrics(spark, folder):
+def flow(spark, folder):
     return reports.rule_flow_metrics(sample.transactions(spark, folder), zone="UTC")
 
 
+def date_as_text(df):
+    return df.withColumn("date", F.col("date").cast("string"))
+
+
+def rule_flow_metrics(spark, folder):
+    return date_as_text(flow(spark, folder))
+
+
 def rule_flow_metrics_day(spark, folder):
-    return reports.rule_flow_metrics(sample.transactions(spark, folder), SHIP_DAY, AS_OF)
+    return date_as_text(reports.rule_flow_metrics(sample.transactions(spark, folder), SHIP_DAY, AS_OF))
 
 
 def campaign_overview(spark, folder):
-    return reports.campaign_overview(rule_flow_metrics(spark, folder))
+    return reports.campaign_overview(flow(spark, folder))
 
 
 def rule_flow_path(spark, folder):
-    return reports.rule_flow_path(rule_flow_metrics(spark, folder))
+    return date_as_text(reports.rule_flow_path(flow(spark, folder)))
 
 
 def daily_driving_events(spark, folder):

@@ -5,12 +5,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 HOT_KEYS = 512
+HOT_ROWS = 100_000
 WAYS = 32
 
 
-def most_frequent(counts: DataFrame, on: list[str], n: int) -> DataFrame:
-    """The n keys with the highest `n` counts. Any key with 1/n of the rows or more is among them."""
-    return counts.orderBy(F.desc("n"), *on).limit(n).select(*on)
+def most_frequent(counts: DataFrame, on: list[str], keys: int, rows: int) -> DataFrame:
+    """At most `keys` keys, those with the highest counts `n` of at least `rows`.
+
+    Any other key has less than 1/keys of all rows, or less than `rows`. Mostly the
+    list is empty, and runtime planning then drops the branches that depend on it.
+    """
+    return counts.filter(F.col("n") >= rows).orderBy(F.desc("n"), *on).limit(keys).select(*on)
 
 
 def count_keys(df: DataFrame, on: list[str]) -> DataFrame:
@@ -25,6 +30,7 @@ def spread_join(
     how: str = "inner",
     hot: DataFrame | None = None,
     hot_keys: int = HOT_KEYS,
+    hot_rows: int = HOT_ROWS,
     ways: int = WAYS,
 ) -> DataFrame:
     """Equi join that splits the most frequent keys of `left` over several tasks.
@@ -38,7 +44,7 @@ def spread_join(
     hot: (keys..., n) counts, when they are known already. how: inner or left.
     """
     counts = hot if hot is not None else count_keys(left, on)
-    top = most_frequent(counts, on, hot_keys).withColumn("_hot", F.lit(True))
+    top = most_frequent(counts, on, hot_keys, hot_rows).withColumn("_hot", F.lit(True))
 
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(ways)).cast("int")
     salted = left.join(F.broadcast(top), on, "left").withColumn(
@@ -49,7 +55,9 @@ def spread_join(
     return salted.drop("_hot").join(copied, [*on, "_salt"], how).drop("_salt")
 
 
-def rows_without_match(left: DataFrame, right: DataFrame, on: list[str], hot_keys: int = HOT_KEYS) -> DataFrame:
+def rows_without_match(
+    left: DataFrame, right: DataFrame, on: list[str], hot_keys: int = HOT_KEYS, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Left rows whose key the right side lacks, copies included.
 
     Copies of one row cannot be told apart by a salt, so the most frequent keys
@@ -57,7 +65,7 @@ def rows_without_match(left: DataFrame, right: DataFrame, on: list[str], hot_key
     (at most `hot_keys` answers) and broadcast. The others meet the right side's
     distinct keys in an ordinary anti join.
     """
-    top = F.broadcast(most_frequent(count_keys(left, on), on, hot_keys))
+    top = F.broadcast(most_frequent(count_keys(left, on), on, hot_keys, hot_rows))
     known = right.join(top, on, "left_semi").select(*on).distinct()
     frequent = left.join(top, on, "left_semi").join(F.broadcast(known), on, "left_anti")
     keyed = reduce(Column.__and__, [F.col(c).isNotNull() for c in on])
