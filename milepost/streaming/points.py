@@ -13,17 +13,18 @@ from milepost.functions.values import lower_names
 from milepost.operators import ledger
 from milepost.plans.points import increment_members, increment_profiles, points_per, scoring
 from milepost.schemas import ACTIVITY_TRANSACTION, DEFAULT_TIER, MEMBERSHIP_MONTHLY, MEMBERSHIP_YEARLY, layout
-from milepost.streaming.runner import start
+from milepost.streaming.runner import kept, start
 
+SCORE_FIELDS = ["Phone", "MembershipCode", "Month", "Year", "Name", "Value", "TimeStamp"]
 PERIODS = {"month": ["month", "year"], "year": ["year"], "all": []}
 TABLES = {"month": MEMBERSHIP_MONTHLY, "year": MEMBERSHIP_YEARLY}
 
 
 def scored_rows(messages: DataFrame) -> DataFrame:
-    """Scoring transactions of a message stream, lower-case columns."""
-    rows = decode_rows(messages, ACTIVITY_TRANSACTION)
+    """Scoring transactions of a message stream, lower-case columns. Only these fields are parsed."""
+    rows = decode_rows(messages, StructType([ACTIVITY_TRANSACTION[name] for name in SCORE_FIELDS]))
     rows = rows.fillna({"Value": 0, "Name": "Unknown", "MembershipCode": DEFAULT_TIER})
-    return lower_names(scoring(rows)).select("phone", "membershipcode", "month", "year", "value", "timestamp")
+    return lower_names(scoring(rows).drop("Name"))
 
 
 def _delta_schema(period: str) -> StructType:
@@ -36,7 +37,9 @@ def stream_points(messages: DataFrame, root: str, checkpoint: str, period: str =
     columns = _delta_schema(period).names
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        ledger.record(points_per(batch, PERIODS[period]).select(*columns), root, batch_id)
+        with kept(points_per(batch, PERIODS[period]).select(*columns)) as delta:
+            if not delta.isEmpty():
+                ledger.record(delta, root, batch_id)
 
     return start(scored_rows(messages), handle, checkpoint, every)
 

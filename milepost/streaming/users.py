@@ -20,7 +20,7 @@ from milepost.schemas import (
     USER_EVENT,
     YEAR_PARTITIONS,
 )
-from milepost.streaming.runner import start
+from milepost.streaming.runner import kept, start
 
 
 def new_phones(messages: DataFrame) -> DataFrame:
@@ -59,10 +59,11 @@ def register_users(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = first_rows(batch, as_of or datetime.now(ZoneInfo(zone)), zone).persist()
-        # The period is part of the key, so only its directory is searched.
-        append_absent(rows, monthly, MEMBERSHIP_MONTHLY, ["phone"], MONTH_PARTITIONS, scope=MONTH_PARTITIONS)
-        append_absent(rows, yearly, MEMBERSHIP_YEARLY, ["phone"], YEAR_PARTITIONS, scope=YEAR_PARTITIONS)
-        rows.unpersist()
+        with kept(first_rows(batch, as_of or datetime.now(ZoneInfo(zone)), zone)) as rows:
+            if rows.isEmpty():
+                return
+            # The period is part of the key, so only its directory is searched.
+            append_absent(rows, monthly, MEMBERSHIP_MONTHLY, ["phone"], MONTH_PARTITIONS, scope=MONTH_PARTITIONS)
+            append_absent(rows, yearly, MEMBERSHIP_YEARLY, ["phone"], YEAR_PARTITIONS, scope=YEAR_PARTITIONS)
 
     return start(new_phones(messages), handle, checkpoint, every)
