@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from milepost.functions.calendar import period_start
-from milepost.functions.values import hashed_uuid, tier_name
+from milepost.functions.values import hashed_uuid
 from milepost.operators.keyed import update_only, upsert
 from milepost.schemas import DEFAULT_TIER, SCORING_NAME, TIER_NAMES, UNRANKED_MEMBER, UNRANKED_YEARLY
 from milepost.sources.tables import pick
@@ -134,7 +134,3 @@ def increment_profiles(profiles: DataFrame, points: DataFrame, as_of: Column, by
     return update_only(
         profiles, source, ["Phone"], add=["TotalPoints"], touch={"LastModified": as_of, "LastModifiedBy": F.lit(by)}
     )
-
-
-def with_tier_names(members: DataFrame) -> DataFrame:
-    return members.withColumn("membershipname", tier_name(F.col("membershipcode")))

@@ -299,3 +299,18 @@ def test_send_and_publish(spark, tmp_path):
 
     sinks.publish(docs, put, batch=10)
     assert seen.value == 25
+
+
+def test_readers_by_name_format_and_literal_rows(spark, folder, stored):
+    assert tables.read_store(spark, "parquet", path=folder).count() == 5
+    stored.write.saveAsTable("by_name")
+    try:
+        assert rows(tables.read_table(spark, "by_name")) == rows(stored)
+    finally:
+        spark.sql("DROP TABLE by_name")
+    assert tables.rows_to_df(spark, [("a", 1)], layout("k string, n int")).schema == layout("k string, n int")
+
+
+def test_relational_tables_need_a_driver(spark):
+    with pytest.raises(Exception, match="(?i)driver"):
+        tables.read_jdbc(spark, "jdbc:none://host/db", "profiles", "id", 0, 100, 4)
