@@ -1,11 +1,11 @@
 """Writing tables, slices of tables, messages and serving documents."""
 
 from collections.abc import Callable, Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from milepost.operators.keyed import absent_rows
 from milepost.session import remove_folder, stage
 from milepost.sources.tables import read_or_empty
 
@@ -40,19 +40,32 @@ def append_absent(
     an activity. Then only the directories that occur in `df` are read. With an
     empty scope the whole table is.
     """
-    spark = df.sparkSession
-    table = read_or_empty(spark, path, schema)
+    table = read_or_empty(df.sparkSession, path, schema)
     if scope:
         # One row per directory that the batch touches.
         touched = df.select(*scope).distinct().collect()
         for column in scope:
-            table = table.filter(F.col(column).isin(sorted({row[column] for row in touched})))
-        keys = [*keys, *[c for c in scope if c not in keys]]
-    wanted = df.select(*keys)
+            table = table.filter(_one_of(F.col(column), {row[column] for row in touched}))
+    columns = [*keys, *[c for c in scope if c not in keys]]
+
+    def same(side):
+        # A missing key matches nothing, a missing period is one of its own.
+        return reduce(
+            Column.__and__,
+            [F.col(c) == side[f"_{c}"] if c in keys else F.col(c).eqNullSafe(side[f"_{c}"]) for c in columns],
+        )
+
+    wanted = df.select(*[F.col(c).alias(f"_{c}") for c in columns])
     if df.count() <= BROADCAST_KEYS:
         wanted = F.broadcast(wanted)
-    stored = table.select(*keys).join(wanted, keys, "left_semi")
-    append(absent_rows(stored, df.select(*schema.names), keys), path, by)
+    stored = table.select(*columns).join(wanted, same(wanted), "left_semi").distinct()
+    stored = stored.toDF(*[f"_{c}" for c in columns])
+    append(df.select(*schema.names).join(stored, same(stored), "left_anti"), path, by)
+
+
+def _one_of(column: Column, values: set) -> Column:
+    present = column.isin(sorted(v for v in values if v is not None))
+    return present | column.isNull() if None in values else present
 
 
 def write_version(df: DataFrame, path: str, by: list[str], sort: list[str] = ()) -> None:
@@ -72,7 +85,8 @@ def point_table(spark: SparkSession, name: str, path: str) -> None:
 
 
 def partition_folder(path: str, values: Iterable[tuple[str, object]]) -> str:
-    return "/".join([path, *[f"{name}={value}" for name, value in values]])
+    names = [f"{name}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}" for name, value in values]
+    return "/".join([path, *names])
 
 
 def replace_slice(df: DataFrame, path: str, by: list[str], slice_filter: Column) -> None:
@@ -86,7 +100,7 @@ def replace_slice(df: DataFrame, path: str, by: list[str], slice_filter: Column)
     new = stage(df, "slice")
     kept = new.select(*by).distinct()
     before = read_or_empty(spark, path, new.schema).filter(slice_filter).select(*by).distinct()
-    emptied = before.join(kept, by, "left_anti").collect()  # directories, not rows
+    emptied = before.subtract(kept).collect()  # directories, not rows
     laid_out(new, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
     for row in emptied:
         remove_folder(spark, partition_folder(path, [(c, row[c]) for c in by]))

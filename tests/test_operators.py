@@ -225,6 +225,13 @@ def test_append_absent_within_its_days(spark, folder, stored):
     assert len(read(spark, folder)) == 6
 
 
+def test_append_absent_with_missing_dates(spark, folder, stored):
+    batch = df(spark, PERIODIC, ("x", "1", 9, None, 1, None), ("a", "1", 9, 2024, 1, 100))
+    for _ in range(2):
+        sinks.append_absent(batch, folder, layout(PERIODIC), ["Id"], BY, scope=BY)
+    assert [r[0] for r in read(spark, folder)].count("x") == 1 and len(read(spark, folder)) == 6
+
+
 def test_append_absent_beyond_the_broadcast_limit(spark, folder, stored, monkeypatch):
     monkeypatch.setattr(sinks, "BROADCAST_KEYS", 0)
     batch = df(spark, PERIODIC, ("a", "1", 9, 2024, 1, 100), ("e", "1", 9, 2024, 1, 100))
@@ -250,6 +257,17 @@ def test_replace_slice_empties_directories(spark, folder, stored):
     assert len(read(spark, folder)) == 3
 
 
+def test_replace_slice_with_missing_days(spark, folder):
+    given = [("a", "1", 1, 2024, 1, None), ("a", "1", 2, 2024, 1, None), ("b", "1", 1, 2024, 1, 100)]
+    sinks.append(df(spark, PERIODIC, *given), folder, BY)
+    table = tables.read_path(spark, folder, layout(PERIODIC))
+    inside = (F.col("Year") == 2024) & (F.col("Month") == 1)
+    sinks.replace_slice(keyed.keep_latest(table.filter(inside)), folder, BY, inside)
+    assert read(spark, folder) == [("a", "1", 2, 2024, 1, None), ("b", "1", 1, 2024, 1, 100)]
+    sinks.replace_slice(table.filter("Id = 'b'"), folder, BY, inside)
+    assert read(spark, folder) == [("b", "1", 1, 2024, 1, 100)]
+
+
 def test_delete_slice_counts_and_dry_run(spark, folder, stored):
     period = {"Year": 2024, "Month": 1}
     schema = layout(PERIODIC)
