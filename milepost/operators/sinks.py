@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from milepost.session import remove_folder, stage
+from milepost.session import folder_exists, remove_folder, stage
 from milepost.sources.tables import read_or_empty
 
 # Keys of one batch that may be broadcast.
@@ -36,16 +36,14 @@ def append_absent(
     of `df` go to the table's files (broadcast up to BROADCAST_KEYS, which is
     checked), so the table is not shuffled, and only its key columns are read.
 
-    scope: partition columns that are a function of the key, such as the period of
-    an activity. Then only the directories that occur in `df` are read. With an
-    empty scope the whole table is.
+    scope: leading partition columns that are a function of the key, such as the
+    period of an activity. Then only the directories that occur in `df` are listed
+    and read. With an empty scope the whole table is.
     """
-    table = read_or_empty(df.sparkSession, path, schema)
     if scope:
-        # One row per directory that the batch touches.
-        touched = df.select(*scope).distinct().collect()
-        for column in scope:
-            table = table.filter(_one_of(F.col(column), {row[column] for row in touched}))
+        table = _directories_of(df, path, schema, scope, by)
+    else:
+        table = read_or_empty(df.sparkSession, path, schema)
     columns = [*keys, *[c for c in scope if c not in keys]]
 
     def same(side):
@@ -63,9 +61,17 @@ def append_absent(
     append(df.select(*schema.names).join(stored, same(stored), "left_anti"), path, by)
 
 
-def _one_of(column: Column, values: set) -> Column:
-    present = column.isin(sorted(v for v in values if v is not None))
-    return present | column.isNull() if None in values else present
+def _directories_of(df: DataFrame, path: str, schema: StructType, scope: list[str], by: list[str]) -> DataFrame:
+    """The part of a table in the directories that occur in `df`; only those are listed."""
+    if list(scope) != list(by[: len(scope)]):
+        raise ValueError(f"{scope} are not the leading partition columns of {by}")
+    spark = df.sparkSession
+    touched = df.select(*scope).distinct().collect()  # one row per directory
+    folders = [partition_folder(path, [(c, row[c]) for c in scope]) for row in touched]
+    present = [folder for folder in folders if folder_exists(spark, folder)]
+    if not present:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*present)
 
 
 def write_version(df: DataFrame, path: str, by: list[str], sort: list[str] = ()) -> None:

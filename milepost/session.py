@@ -73,6 +73,11 @@ def remove_folder(spark: SparkSession, path: str) -> bool:
     return system.delete(target, True)
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    system, target = _file_system(spark, path)
+    return system.exists(target)
+
+
 def list_folder(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder; none if it is missing."""
     system, target = _file_system(spark, path)

@@ -225,6 +225,15 @@ def test_append_absent_within_its_days(spark, folder, stored):
     assert len(read(spark, folder)) == 6
 
 
+def test_append_absent_reads_only_its_directories(spark, folder, stored):
+    batch = df(spark, PERIODIC, ("a", "1", 9, 2024, 1, 100), ("e", "1", 9, 2025, 7, 7))
+    found = sinks._directories_of(batch, folder, layout(PERIODIC), BY, BY)
+    assert {"/".join(f.split("/")[-4:-1]) for f in found.inputFiles()} == {"Year=2024/Month=1/Date=100"}
+    assert rows(found) == [r for r in rows(stored) if r[3:] == (2024, 1, 100)]
+    with pytest.raises(ValueError):
+        sinks.append_absent(batch, folder, layout(PERIODIC), ["Id"], BY, scope=["Date"])
+
+
 def test_append_absent_with_missing_dates(spark, folder, stored):
     batch = df(spark, PERIODIC, ("x", "1", 9, None, 1, None), ("a", "1", 9, 2024, 1, 100))
     for _ in range(2):
