@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from milepost.llm import decontaminate, packing, token_counts
+from milepost.llm import decontaminate, gam, packing, quality_rules, token_counts
 
 
 def tokenizer(name):
@@ -19,6 +19,13 @@ def op1_harmonic_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"), end_id=1)
 
 
+def op3_quality_rules(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    judged = quality_rules.quality_rules(docs)
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *base, "base_failed", "kept")
+
+
 def op5_token_counts(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, tokenizer("word_bpe_49k.json"))
@@ -29,6 +36,17 @@ def op7_decontamination(spark, folder):
     return decontaminate.contamination(docs, table(spark, folder, "benchmark"))
 
 
-REGISTERED = {f.__name__: f for f in (op1_harmonic_packing, op5_token_counts, op7_decontamination)}
+def op10_quality_classifier(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = gam.score(docs, gam.train(docs, table(spark, folder, "labels")))
+    return scored.select("doc_id", gam.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+REGISTERED = {
+    f.__name__: f
+    for f in (
+        op1_harmonic_packing, op3_quality_rules, op5_token_counts, op7_decontamination, op10_quality_classifier,
+    )
+}
 
 ORACLE = {}
