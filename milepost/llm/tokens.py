@@ -9,16 +9,23 @@ import json
 import os
 import re
 from array import array
+from itertools import chain
 
-BATCH_BYTES = 1 << 20  # text per batch; longer texts are cut, so no batch is larger
-MEMO_PARTS = 600_000  # parts whose ids a worker remembers before it starts anew
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+BATCH_BYTES = 4 << 20  # text per batch; longer texts are cut, so no batch is much larger
+MEMO_PARTS = 700_000  # parts whose ids a worker remembers before it starts anew
+JOINED = 4096  # new parts that are encoded as one text, where that is possible
 MEMO_BYTES = 48  # longer parts are encoded each time
 
 _FIRST = b"\xff"  # never in UTF-8: marks a part without the space before it
-# White space other than ASCII; texts with it are cut by the regular expression.
-_WIDE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
-_BESIDE = tuple(pair for c in b"\t\n\x0b\x0c\r " for pair in (b" " + bytes([c]), bytes([c]) + b" "))
+# A part between two spaces that is empty or has white space at an end.
+_UNEVEN = r"^$|^[\s\v{0}]|[\s\v{0}]$".format(r"\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
+_SAFE_SPACE = re.compile(rb"(?<=[!-~]) (?=[!-~])")  # between visible ASCII characters
+_BLANK = re.compile(rb"[\t-\r ]")
 
 
 def boundary_of(path: str) -> str:
@@ -61,81 +68,140 @@ class Encoder:
             model.no_truncation()
             model.no_padding()
             self._batch = lambda texts: [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+            if self.boundary == "space":  # \u0120 is how byte-level vocabularies write a space
+                size = max(model.get_vocab().values()) + 1
+                self.begins = np.array([(model.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
 
-    def _parts(self, data: bytes) -> list[bytes]:
-        if self.boundary == "blank":
-            return data.split()
+    def _cuts(self, data: bytes) -> list[tuple[bytes, bool]]:
+        """A text in pieces of about BATCH_BYTES at most, cut at safe boundaries; and
+        whether a piece follows a space that belongs to it."""
         if self.boundary == "none":
-            return [_FIRST + data] if data else []
-        if any(pair in data for pair in _BESIDE) or any(wide in data for wide in _WIDE):
-            cut = [p.encode() for p in _SAFE.split(data.decode())]
-            parts = [p[1:] if i else p for i, p in enumerate(cut)]
-        else:
-            parts = data.split(b" ")
-            if len(parts) > 1 and not parts[0] or len(parts) > 1 and not parts[-1]:  # a space at an end
-                parts = [p.encode() for p in _SAFE.split(data.decode())]
-                parts[1:] = [p[1:] for p in parts[1:]]
-        parts[0] = _FIRST + parts[0]
-        return parts
+            return [(data, False)]
+        find = (_BLANK if self.boundary == "blank" else _SAFE_SPACE).search
+        out, begin, after = [], 0, False
+        while len(data) - begin > BATCH_BYTES and (found := find(data, begin + BATCH_BYTES)):
+            out.append((data[begin : found.start()], after))
+            begin, after = found.end(), True
+        return [*out, (data[begin:], after)]
 
     def _text(self, part: bytes) -> str:
         if part[:1] == _FIRST:
             return part[1:].decode()
         return part.decode() if self.boundary == "blank" else " " + part.decode()
 
-    def _of_parts(self, split: list[list[bytes]]) -> list:
-        """What a batch of texts, already cut, comes to: id bytes or counts."""
+    def _together(self, parts: list[bytes]) -> list:
+        """Plain parts as one text: each begins with its only space, so each of
+        its tokens that begins with a space begins a part."""
+        out = []
+        for at in range(0, len(parts), JOINED):
+            some = parts[at : at + JOINED]
+            ids = np.array(self._batch([" " + b" ".join(some).decode()])[0], "<u4")
+            begins = np.flatnonzero(self.begins[ids])
+            if len(begins) != len(some):
+                out += self._alone(some)
+                continue
+            ends = [*begins[1:].tolist(), len(ids)]
+            if self.lengths_only:
+                out += [b - a for a, b in zip(begins.tolist(), ends)]
+            else:
+                raw = ids.tobytes()
+                out += [raw[4 * a : 4 * b] for a, b in zip(begins.tolist(), ends)]
+        return out
+
+    def _alone(self, parts: list[bytes]) -> list:
+        ids = self._batch([self._text(p) for p in parts])
+        return list(map(len, ids)) if self.lengths_only else [array("I", x).tobytes() for x in ids]
+
+    def _look_up(self, words: list[bytes]) -> list:
+        """Ids or counts of words without white space at their ends."""
         if len(self.memo) > MEMO_PARTS:
             self.memo = {}
-        memo = self.memo
-        new = list({p for parts in split for p in parts if p not in memo})
-        value = len if self.lengths_only else lambda ids: array("I", ids).tobytes()
-        once = dict(zip(new, map(value, self._batch([self._text(p) for p in new])))) if new else {}
-        large = {p: v for p, v in once.items() if len(p) > MEMO_BYTES}
-        memo.update(once)
-        join = sum if self.lengths_only else b"".join
-        out = [join(map(memo.__getitem__, parts)) for parts in split]
-        for p in large:
-            del memo[p]
+        values = list(map(self.memo.get, words))
+        missing = [i for i, v in enumerate(values) if v is None]
+        if missing:
+            parts = [words[i] for i in missing]
+            new = self._together(parts) if self.boundary == "space" else self._alone(parts)
+            for i, v in zip(missing, new):
+                values[i] = v
+            if max(map(len, parts)) > MEMO_BYTES:
+                self.memo.update((p, v) for p, v in zip(parts, new) if len(p) <= MEMO_BYTES)
+            else:
+                self.memo.update(zip(parts, new))
+        return values
+
+    def _of_batch(self, pieces: list[tuple[bytes, bool]]) -> list:
+        """What each piece comes to: id bytes or counts."""
+        if self.boundary == "none":
+            return self._alone([_FIRST + data for data, _ in pieces])
+        blank = self.boundary == "blank"
+        text = pa.array([data for data, _ in pieces], pa.large_string())
+        split = pc.ascii_split_whitespace(text) if blank else pc.split_pattern(text, " ")
+        sizes = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(sizes)
+        coded = split.flatten().dictionary_encode()
+        index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        if blank:
+            return self._gather(self._look_up(coded.dictionary.cast(pa.large_binary()).to_pylist()), index, ends)
+
+        # A space beside other white space is no safe boundary: such texts go by expression.
+        uneven = pc.match_substring_regex(coded.dictionary, _UNEVEN).to_numpy(zero_copy_only=False)
+        texts = np.repeat(np.arange(len(pieces)), sizes)
+        odd = np.unique(texts[uneven[index]]) if uneven.any() else np.zeros(0, int)
+        values = self._look_up(coded.dictionary.cast(pa.large_binary()).to_pylist())
+        heads = np.array([k for k, (_, after) in enumerate(pieces) if not after], int)
+        heads = heads[~np.isin(heads, odd)]  # their first word has no space before it
+        at = ends[heads] - sizes[heads]
+        first = coded.dictionary.take(pa.array(index[at])).cast(pa.large_binary()).to_pylist()
+        index[at] = len(values) + np.arange(len(at))
+        values += self._alone([_FIRST + w for w in first])
+        out = self._gather(values, index, ends, set(odd.tolist()))
+        for k in odd.tolist():
+            data, after = pieces[k]
+            parts = [p.encode() for p in _SAFE.split((b" " * after + data).decode())]
+            parts = [p[1:] if p[:1] == b" " and (j or after) else _FIRST + p for j, p in enumerate(parts)]
+            value = self._alone(parts)
+            out[k] = sum(value) if self.lengths_only else b"".join(value)
         return out
 
-    def _blocks(self, data: bytes) -> list[list[bytes]]:
-        """The parts of one text in lists of about BATCH_BYTES at most."""
-        parts = self._parts(data)
-        if len(data) <= BATCH_BYTES:
-            return [parts]
-        blocks, size = [[]], 0
-        for p in parts:
-            if size > BATCH_BYTES:
-                blocks.append([])
-                size = 0
-            blocks[-1].append(p)
-            size += len(p)
-        return blocks
+    def _gather(self, values: list, index: np.ndarray, ends: np.ndarray, skip=()) -> list:
+        """values[index] joined per text; a text's words end at its number in `ends`."""
+        n = np.array(values if self.lengths_only else list(map(len, values)), np.int64)
+        if not self.lengths_only:
+            n //= 4
+        upto = np.concatenate([[0], np.cumsum(n[index])])
+        bounds = upto[np.concatenate([[0], ends])].tolist()
+        if self.lengths_only:
+            return [b - a for a, b in zip(bounds, bounds[1:])]
+        pool = np.frombuffer(b"".join(values), "<u4")
+        begins = np.concatenate([[0], np.cumsum(n)])[:-1]
+        place = np.arange(upto[-1])
+        place += np.repeat(begins[index] - upto[:-1], n[index])
+        ids = pool[place].tobytes()
+        return [b"" if k in skip else ids[4 * a : 4 * b] for k, (a, b) in enumerate(zip(bounds, bounds[1:]))]
 
     def encode(self, texts: list) -> list:
         """Per text (UTF-8 bytes; None counts as empty) its ids as little-endian
         unsigned 32-bit bytes, or their number."""
-        empty = 0 if self.lengths_only else b""
-        out, split, owners, size = [empty] * len(texts), [], [], 0
+        out, batch, owners, size = [0 if self.lengths_only else b""] * len(texts), [], [], 0
 
         def flush():
-            for i, value in zip(owners, self._of_parts(split)):
+            for i, value in zip(owners, self._of_batch(batch)):
                 out[i] += value
-            split.clear()
+            batch.clear()
             owners.clear()
 
         for i, data in enumerate(texts):
             if not data:
                 continue
-            for block in self._blocks(data) if len(data) > BATCH_BYTES else [self._parts(data)]:
-                split.append(block)
+            for piece in self._cuts(data) if len(data) > BATCH_BYTES else [(data, False)]:
+                batch.append(piece)
                 owners.append(i)
-                size += min(len(data), BATCH_BYTES)
+                size += len(piece[0])
                 if size >= BATCH_BYTES:
                     flush()
                     size = 0
-        flush()
+        if batch:
+            flush()
         return out
 
 
