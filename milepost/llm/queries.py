@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from milepost.llm import decontaminate, gam, packing, quality_rules, token_counts
+from milepost.llm import decontaminate, gam, packing, quality_rules, shards, token_counts, token_files
 
 
 def tokenizer(name):
@@ -26,6 +26,12 @@ def op3_quality_rules(spark, folder):
     return judged.select("doc_id", *base, "base_failed", "kept")
 
 
+def op4_pfor_files(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    manifest = token_files.write_tokens(docs, tokenizer("byte_bpe_50k.json"), end_id=2)
+    return token_files.read_tokens(manifest, "bigint")
+
+
 def op5_token_counts(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, tokenizer("word_bpe_49k.json"))
@@ -36,6 +42,18 @@ def op7_decontamination(spark, folder):
     return decontaminate.contamination(docs, table(spark, folder, "benchmark"))
 
 
+def op9_best_fit_shards(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)) + 16
+    # A null text is equal to none.
+    group = F.when(F.col("text").isNull(), F.xxhash64("doc_id", F.lit(1))).otherwise(F.xxhash64("text"))
+    crc = F.crc32(F.coalesce("text", F.lit("")))
+    placed = shards.shard_by_best_fit(docs, size, group, shards=40, more={"text_crc32": crc})
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op10_quality_classifier(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     scored = gam.score(docs, gam.train(docs, table(spark, folder, "labels")))
@@ -45,7 +63,8 @@ def op10_quality_classifier(spark, folder):
 REGISTERED = {
     f.__name__: f
     for f in (
-        op1_harmonic_packing, op3_quality_rules, op5_token_counts, op7_decontamination, op10_quality_classifier,
+        op1_harmonic_packing, op3_quality_rules, op4_pfor_files, op5_token_counts, op7_decontamination,
+            op9_best_fit_shards, op10_quality_classifier,
     )
 }
 
