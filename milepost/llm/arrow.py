@@ -17,6 +17,13 @@ def utf8(column) -> list:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
+def slices(batches, rows: int = 1000):
+    """The batches in smaller ones, for work that needs several times their size."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def add_columns(df: DataFrame, text: str, ddl: str, make, keep_text: bool = False) -> DataFrame:
     """`df` with the columns of `ddl`, made from the text column batch by batch.
 
@@ -37,7 +44,7 @@ def add_columns(df: DataFrame, text: str, ddl: str, make, keep_text: bool = Fals
     def run(batches):
         types = to_arrow_schema(new).types
         work = make()
-        for batch in batches:
+        for batch in slices(batches):
             values = work(utf8(batch.column(at)))
             arrays = batch.columns[: len(kept)] + [pa.array(v, t) for v, t in zip(values, types)]
             yield pa.RecordBatch.from_arrays(arrays, names=out.names)

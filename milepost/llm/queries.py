@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from milepost.llm import decontaminate, gam, packing, quality_rules, shards, token_counts, token_files
+from milepost.llm import decontaminate, gam, lm, packing, quality_rules, shards, token_counts, token_files, warc
 
 
 def tokenizer(name):
@@ -37,11 +37,21 @@ def op5_token_counts(spark, folder):
     return token_counts.count_tokens(docs, tokenizer("word_bpe_49k.json"))
 
 
+def op6_warc_index(spark, folder):
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    archive, index = warc.write_archive(pages)
+    return warc.look_up(archive, index, pages)
+
+
 def op7_decontamination(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return decontaminate.contamination(docs, table(spark, folder, "benchmark"))
 
 
+def op8_deleted_interpolation(spark, folder):
+    return lm.score(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op9_best_fit_shards(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     size = F.coalesce(F.octet_length("text"), F.lit(0)) + 16
@@ -63,8 +73,8 @@ def op10_quality_classifier(spark, folder):
 REGISTERED = {
     f.__name__: f
     for f in (
-        op1_harmonic_packing, op3_quality_rules, op4_pfor_files, op5_token_counts, op7_decontamination,
-            op9_best_fit_shards, op10_quality_classifier,
+        op1_harmonic_packing, op3_quality_rules, op4_pfor_files, op5_token_counts, op6_warc_index,
+            op7_decontamination, op8_deleted_interpolation, op9_best_fit_shards, op10_quality_classifier,
     )
 }
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from milepost.llm.arrow import utf8
+from milepost.llm.arrow import slices, utf8
 from milepost.llm.files import open_folder, write_whole
 from milepost.llm.tokens import encoder
 from milepost.session import new_folder, stage
@@ -204,6 +204,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, folder: str | None = N
 
     def write(batches):
         shard = TaskContext.get().partitionId()
+        batches = slices(batches)
         first = next(batches, None)
         if first is None:
             return

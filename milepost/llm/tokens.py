@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BATCH_BYTES = 4 << 20  # text per batch; longer texts are cut, so no batch is much larger
-MEMO_PARTS = 700_000  # parts whose ids a worker remembers before it starts anew
+MEMO_PARTS = 250_000  # parts a worker remembers before it drops those not met since the last time
 JOINED = 4096  # new parts that are encoded as one text, where that is possible
 MEMO_BYTES = 48  # longer parts are encoded each time
 
@@ -55,7 +55,8 @@ class Encoder:
 
     def __init__(self, path: str, lengths_only: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task per core
-        self.boundary, self.lengths_only, self.memo = boundary_of(path), lengths_only, {}
+        self.boundary, self.lengths_only = boundary_of(path), lengths_only
+        self.memo, self.older = {}, {}
         if path.endswith(".model"):
             import sentencepiece
 
@@ -115,9 +116,14 @@ class Encoder:
     def _look_up(self, words: list[bytes]) -> list:
         """Ids or counts of words without white space at their ends."""
         if len(self.memo) > MEMO_PARTS:
-            self.memo = {}
+            self.older, self.memo = self.memo, {}
         values = list(map(self.memo.get, words))
         missing = [i for i, v in enumerate(values) if v is None]
+        if missing and self.older:
+            for i in missing:
+                if (v := self.older.get(words[i])) is not None:
+                    values[i] = self.memo[words[i]] = v
+            missing = [i for i in missing if values[i] is None]
         if missing:
             parts = [words[i] for i in missing]
             new = self._together(parts) if self.boundary == "space" else self._alone(parts)
@@ -147,12 +153,16 @@ class Encoder:
         uneven = pc.match_substring_regex(coded.dictionary, _UNEVEN).to_numpy(zero_copy_only=False)
         texts = np.repeat(np.arange(len(pieces)), sizes)
         odd = np.unique(texts[uneven[index]]) if uneven.any() else np.zeros(0, int)
-        values = self._look_up(coded.dictionary.cast(pa.large_binary()).to_pylist())
+        even = coded.dictionary.filter(pa.array(~uneven)) if len(odd) else coded.dictionary
+        place = np.cumsum(~uneven) - 1  # a word's number among the even ones
+        values = self._look_up(even.cast(pa.large_binary()).to_pylist())
         heads = np.array([k for k, (_, after) in enumerate(pieces) if not after], int)
         heads = heads[~np.isin(heads, odd)]  # their first word has no space before it
         at = ends[heads] - sizes[heads]
         first = coded.dictionary.take(pa.array(index[at])).cast(pa.large_binary()).to_pylist()
+        index = place[index] if len(odd) else index
         index[at] = len(values) + np.arange(len(at))
+        values = (values or [b"" if not self.lengths_only else 0]) if len(odd) else values
         values += self._alone([_FIRST + w for w in first])
         out = self._gather(values, index, ends, set(odd.tolist()))
         for k in odd.tolist():
