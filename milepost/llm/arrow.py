@@ -1,6 +1,8 @@
 """Arrow batches in, Arrow batches out: the frame that the text operators share."""
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
@@ -17,6 +19,15 @@ def utf8(column) -> list:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
+def lower_words(texts: list) -> tuple[np.ndarray, pa.Array]:
+    """The number of words of each text (UTF-8 bytes or None), and all words in a row:
+    runs of anything but ASCII white space, with A-Z lower-cased."""
+    # A fresh array: kernels for large strings misread arrays that begin at an offset.
+    clean = pa.array([t.lower().strip() or None if t else None for t in texts], pa.large_string())
+    split = pc.ascii_split_whitespace(clean)
+    return pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False).astype(np.int64), split.flatten()
+
+
 def slices(batches, rows: int = 1000):
     """The batches in smaller ones, for work that needs several times their size."""
     for batch in batches:

@@ -15,9 +15,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from milepost.llm.arrow import lower_words, utf8
 from milepost.session import stage
 
-PART_BYTES = 16 << 20  # text in a part
+PART_BYTES = 8 << 20  # text in a part
 ROW_TOKENS = 1 << 18  # tokens in a stored row
 BUCKET_WORDS = 2_000_000  # vocabulary entries that a bucket sums up, about
 FREQUENT = 2048  # a word with 1/FREQUENT of all tokens is a context of its own: at most so many
@@ -26,16 +27,9 @@ LEAST_UNSEEN = 1e-6  # weight that the uniform distribution always has
 _END = b"\xff"  # the token after the last word; never a word
 
 
-def _words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
-    """Word numbers per text and the words, A-Z lower-cased."""
-    clean = pc.ascii_trim_whitespace(pc.ascii_lower(texts))
-    split = pc.ascii_split_whitespace(pc.if_else(pc.equal(pc.binary_length(clean), 0), None, clean))
-    return pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False).astype(np.int64), split.flatten()
-
-
-def _part(part: int, keys: pa.Array, folds: np.ndarray, texts: pa.Array) -> list[dict]:
+def _part(part: int, keys: pa.Array, folds: np.ndarray, texts: list) -> list[dict]:
     """One part's rows: tokens as numbers into its vocabulary, which is sorted by hash."""
-    sizes, words = _words(texts)
+    sizes, words = lower_words(texts)
     coded = words.dictionary_encode()
     known = [_END, *coded.dictionary.cast(pa.large_binary()).to_pylist()]
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
@@ -82,7 +76,7 @@ def _tokenise(docs: DataFrame, key: str, text: str, folds: int, fold: int) -> Da
         def close():
             table = pa.Table.from_batches(held).combine_chunks()
             columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in (table["key"], table["fold"], table["text"])]
-            out = _part(task << 24 | made, columns[0], columns[1].to_numpy(), columns[2].cast(pa.large_string()))
+            out = _part(task << 24 | made, columns[0], columns[1].to_numpy(), utf8(columns[2]))
             for row in out:
                 row["keys"] = row["keys"].to_pylist()
                 yield pa.RecordBatch.from_pylist([row], schema)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from milepost.llm import decontaminate, gam, lm, packing, quality_rules, shards, token_counts, token_files, warc
+from milepost.llm import decontaminate, gam, jaccard, lm, packing, quality_rules, shards, token_counts, token_files, warc
 
 
 def tokenizer(name):
@@ -19,6 +19,10 @@ def op1_harmonic_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"), end_id=1)
 
 
+def op2_jaccard_join(spark, folder):
+    return jaccard.jaccard_components(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op3_quality_rules(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
     judged = quality_rules.quality_rules(docs)
@@ -73,7 +77,7 @@ def op10_quality_classifier(spark, folder):
 REGISTERED = {
     f.__name__: f
     for f in (
-        op1_harmonic_packing, op3_quality_rules, op4_pfor_files, op5_token_counts, op6_warc_index,
+        op1_harmonic_packing, op2_jaccard_join, op3_quality_rules, op4_pfor_files, op5_token_counts, op6_warc_index,
             op7_decontamination, op8_deleted_interpolation, op9_best_fit_shards, op10_quality_classifier,
     )
 }
