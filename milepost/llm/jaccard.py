@@ -18,12 +18,13 @@ from milepost.llm.components import components
 from milepost.session import stage
 
 WORDS, PERCENT = 5, 75  # words in a shingle; links have 100 * shared >= PERCENT * union
-COMMON = 1 << 18  # shingles known as frequent at most: they only move to the end of the order
-SEEN = 4  # occurrences in one task's batch from which a shingle is counted
+COMMON = 1 << 19  # shingles known as frequent at most: they only move to the end of the order
+LEAST_COMMON = 6  # sets from which a shingle counts as frequent
 BATCH_SHINGLES = 2_000_000
+BUCKET_DOCS = 8_000  # documents whose shingles one task counts, about
 BUCKET_POSTINGS = 500_000  # postings that one task scans, about
 LONG = 8  # inverted lists up to here are compared pair by pair; longer ones around pivots first
-SEGMENT = 4096  # members of a long list in one row
+BLOCK = 1024  # members of an unsettled group that are compared at once
 HOT_POSTINGS = 200_000  # a list expected to be longer is scanned in several parts
 SEND = 4  # cost of sending a posting, against one comparison
 BROADCAST_ROWS = 1_000_000  # ids that are broadcast at most, checked by counting
@@ -77,11 +78,11 @@ def prefix(n: int, share: int) -> int:
 class Order:
     """Elements in rising frequency: unknown ones by hash, then the common ones by count."""
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, total: int):
-        order = np.argsort(hashes)
-        self.hashes, self.counts = hashes[order], counts[order].astype(np.int64)
+    def __init__(self, fronts: np.ndarray, counts: np.ndarray, total: int):
+        order = np.argsort(fronts)
+        self.fronts, self.counts = fronts[order], counts[order].astype(np.int64)
         self.rank = np.empty(len(order), np.int64)
-        self.rank[np.lexsort((self.hashes, self.counts))] = 1 + np.arange(len(order))
+        self.rank[np.lexsort((self.fronts, self.counts))] = 1 + np.arange(len(order))
         # Cost of a list per posting: the mean length of the list that a posting meets.
         scan = min(float((self.counts.astype(float) ** 2).sum()) / max(total, 1), LONG)
         self.light = 0
@@ -95,10 +96,20 @@ class Order:
 
     def places(self, elements: np.ndarray) -> np.ndarray:
         """Rank of common elements, 0 for the others."""
-        if not len(self.hashes):
-            return np.zeros(len(elements), np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, elements), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == elements, self.rank[at], 0)
+        at = self._find(elements)
+        return np.zeros(len(elements), np.int64) if at is None else np.where(at >= 0, self.rank[at], 0)
+
+    def expected(self, keys: np.ndarray) -> np.ndarray:
+        """How many sets post a single element, about; 0 if it is not common."""
+        at = self._find(keys)
+        return np.zeros(len(keys), np.int64) if at is None else np.where((at >= 0) & (keys & np.uint64(1) == 0), self.counts[at], 0)
+
+    def _find(self, elements: np.ndarray):
+        if not len(self.fronts):
+            return None
+        front = (elements >> np.uint64(32)).astype(np.uint32)
+        at = np.minimum(np.searchsorted(self.fronts, front), len(self.fronts) - 1)
+        return np.where(self.fronts[at] == front, at, -1)
 
     def keys(self, elements: np.ndarray) -> tuple[np.ndarray, int]:
         """Keys under which the set meets others (subsets are odd, single elements even),
@@ -118,38 +129,60 @@ class Order:
 
 
 def _common(docs: DataFrame) -> Order:
-    """The frequent shingles of all texts. Each task counts its own batches and gives on
-    what it saw SEEN times there; the counts are added up and the COMMON largest collected.
-    They only order the prefixes, so a shingle missed here costs time, not a link."""
+    """The frequent shingles of all texts, by the first 32 bits of their hashes.
 
-    def count(batches):
-        held, size, total = [], 0, 0
+    Every batch sends its distinct sets' shingles by bucket, two bytes each; buckets count them
+    and give on what occurs LEAST_COMMON times, of which the COMMON most frequent are collected.
+    They only order the prefixes, so two shingles that share 32 bits cost time, not a link.
+    """
+    bits = min(16, max(6, (docs.count() // BUCKET_DOCS).bit_length()))
+    groups = 1 << (16 - bits)
+
+    def send(batches):
+        held, seen, size = [], set(), 0
 
         def close():
-            flat = np.sort(np.concatenate(held)) if held else np.zeros(0, np.uint64)
-            begins = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]])) if len(flat) else np.zeros(0, int)
-            n = np.diff(np.append(begins, len(flat)))
-            often = n >= SEEN
-            found = flat[begins[often]].view(np.int64)
-            # One row for the total, under no shingle.
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.append(found, 0), mask=np.append(np.zeros(len(found), bool), True)), pa.array(np.append(n[often], len(flat)))], ["shingle", "n"]
-            )
+            flat = np.sort(np.concatenate(held) >> np.uint64(32)) if held else np.zeros(0, np.uint64)
+            middle, low = (flat >> np.uint64(16)).astype(np.int64), flat.astype(np.uint16)
+            counts = np.bincount(middle, minlength=1 << 16).reshape(-1, groups)
+            ends = np.cumsum(counts.sum(1))
+            used = np.flatnonzero(counts.any(1)).tolist()
+            return pa.RecordBatch.from_arrays([
+                pa.array(used, pa.int32()), pa.array([counts[i].astype(np.uint32).tobytes() for i in used], pa.binary()),
+                pa.array([low[ends[i] - counts[i].sum() : ends[i]].tobytes() for i in used], pa.binary()),
+            ], ["bucket", "counts", "low"])
 
         for batch in slices(batches):
-            sets = shingle_sets(utf8(batch.column(0)))
-            held += sets
-            size += sum(map(len, sets))
+            for elements in shingle_sets(utf8(batch.column(0))):
+                print_ = xxhash.xxh3_64_intdigest(elements.tobytes())
+                if len(elements) > 1 and print_ not in seen:
+                    seen.add(print_)
+                    held.append(elements)
+                    size += len(elements)
             if size >= BATCH_SHINGLES:
                 yield close()
-                held, size = [], 0
-        yield close()
+                held, seen, size = [], set(), 0
+        if held:
+            yield close()
 
-    counts = stage(docs.select("text").mapInArrow(count, "shingle bigint, n bigint"), "common")
-    total = counts.where("shingle is null").agg(F.sum("n")).first()[0] or 0
-    sums = counts.where("shingle is not null").groupBy("shingle").agg(F.sum("n").alias("n"))
-    top = sums.orderBy(F.desc("n"), "shingle").limit(COMMON).toArrow()
-    return Order(top["shingle"].to_numpy().view(np.uint64), top["n"].to_numpy(), total)
+    def count(table: pa.Table) -> pa.Table:
+        parts = []
+        for counts, low in zip(table["counts"].to_pylist(), table["low"].to_pylist()):
+            middle = np.repeat(np.arange(groups, dtype=np.uint32), np.frombuffer(counts, np.uint32))
+            parts.append(middle << np.uint32(16) | np.frombuffer(low, np.uint16))
+        flat = np.sort(np.concatenate(parts))
+        begins = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+        n = np.diff(np.append(begins, len(flat)))
+        often = n >= LEAST_COMMON
+        front = (flat[begins[often]].astype(np.int64)) + (table["bucket"][0].as_py() << (32 - bits))
+        # One row for all occurrences, under no shingle.
+        return pa.table({"front": pa.array([*front.tolist(), None], pa.int64()), "n": pa.array([*n[often].tolist(), len(flat)], pa.int64())})
+
+    sent = docs.select("text").mapInArrow(send, "bucket int, counts binary, low binary")
+    counts = stage(sent.groupBy("bucket").applyInArrow(count, "front bigint, n bigint"), "common")
+    total = counts.where("front is null").agg(F.sum("n")).first()[0] or 0
+    top = counts.where("front is not null").orderBy(F.desc("n"), "front").limit(COMMON).toArrow()
+    return Order(top["front"].to_numpy().astype(np.uint32), top["n"].to_numpy(), total)
 
 
 def _sets(docs: DataFrame, order) -> DataFrame:
@@ -185,10 +218,8 @@ def _post(sets: DataFrame, order, bits: int) -> DataFrame:
             columns = [np.repeat(np.array([h[j] for h in held], np.int64), lengths) for j in (1, 2, 3)]
             common = order.value
             bucket = (_mix(key) >> np.uint64(64 - bits)).astype(np.int64)
-            if len(common.hashes) and common.counts.max() > HOT_POSTINGS:  # a long list goes to several buckets
-                even = common.hashes & ~np.uint64(1)
-                at = np.minimum(np.searchsorted(even, key), len(even) - 1)
-                ways = np.where(even[at] == key, 1 + common.counts[at] // HOT_POSTINGS, 1)
+            if len(common.counts) and common.counts.max() > HOT_POSTINGS:  # a long list goes to several buckets
+                ways = 1 + common.expected(key) // HOT_POSTINGS
                 apart = (_mix(key + (columns[0] % ways).astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
                 bucket = np.where(ways > 1, apart + (1 << bits), bucket)
             by = np.argsort(bucket, kind="stable")
@@ -218,12 +249,12 @@ def _close_sizes(a, b):
 
 
 def _scan(table: pa.Table, bits: int) -> pa.Table:
-    """One bucket: pairs (a < b) to compare, the members of long lists, and the pivots
-    of split ones.
+    """One bucket: PAIRs (a < b) to compare, MEMBERs of groups, and LINKs of split lists.
 
     Lists of up to LONG members give all their pairs. In a longer list each band of
     sizes is compared with its pivot, the set closest to being common (copies of one
-    text differ in rare shingles); what this leaves open is settled later.
+    text differ in rare shingles), and the band is noted as a group under the pivot, with the sets just
+    above its sizes; the many lists that copies share come to few groups.
     """
     read = lambda name, kind: np.frombuffer(b"".join(table[name].to_pylist()), kind)
     key, rid, n, rare = read("key", np.uint64), read("rid", np.int64), read("n", np.int32).astype(np.int64), read("rare", np.uint8).astype(np.int64)
@@ -232,41 +263,49 @@ def _scan(table: pa.Table, bits: int) -> pa.Table:
     key, rid, n, rare = key[by], rid[by], n[by], rare[by]
     begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     m = np.diff(np.append(begins, len(key)))
-    a, b, lists, pivots = [], [], {}, []
+    found: dict[int, list] = {PAIR: [], MEMBER: [], LINK: []}
     for size in range(2, LONG + 1) if not split else ():
         at = begins[m == size]
         if len(at):
             i, j = np.triu_indices(size, 1)
             left, right = (at[:, None] + i).ravel(), (at[:, None] + j).ravel()
             ok = _close_sizes(n[left], n[right])
-            a.append(rid[left[ok]])
-            b.append(rid[right[ok]])
+            found[PAIR].append(np.stack([rid[left[ok]], rid[right[ok]]]))
     for at in np.flatnonzero(m > (0 if split else LONG)):
         span = slice(begins[at], begins[at] + m[at])
-        ids, sizes, far, name = rid[span], n[span], rare[span], int(key[begins[at]].view(np.int64))
+        ids, sizes, far, name = rid[span], n[span], rare[span], key[begins[at]].view(np.int64)
         low = 0
         while low < len(ids):
             high = int(np.searchsorted(sizes, sizes[low] * 100 // PERCENT, side="right"))
+            above = int(np.searchsorted(sizes, sizes[high - 1] * 100 // PERCENT, side="right"))
             pivot = ids[low + int(np.lexsort((ids[low:high], far[low:high]))[0])]
-            a.append(np.full(high - low, pivot))
-            b.append(ids[low:high])
+            found[PAIR].append(np.stack([np.full(high - low, pivot), ids[low:high]]))
             if split:
-                pivots.append((name, int(pivot)))
+                found[LINK].append(np.array([[name], [pivot]]))
+            else:
+                found[MEMBER].append(np.stack([np.full(above - low, pivot), ids[low:above]]))
             low = high
-        # Whole lists of the same members say the same.
-        lists.setdefault((ids.tobytes(), name if split else None), (name, ids, sizes.astype(np.int32)))
-    pairs = np.stack([np.concatenate(a), np.concatenate(b)]) if a else np.zeros((2, 0), np.int64)
-    pairs = np.sort(pairs[:, pairs[0] != pairs[1]], axis=0)
-    pairs = np.unique(pairs, axis=1) if pairs.size else pairs
-    rows = [(name, ids[i : i + SEGMENT].tobytes(), sizes[i : i + SEGMENT].tobytes(), None) for name, ids, sizes in lists.values() for i in range(0, len(ids), SEGMENT)]
-    rows += [(name, None, None, pivot) for name, pivot in pivots]
-    met = {"a": pairs[0].tolist() + [None] * len(rows), "b": pairs[1].tolist() + [None] * len(rows)}
-    for i, column in enumerate(("list", "members", "sizes", "pivot")):
-        met[column] = [None] * pairs.shape[1] + [r[i] for r in rows]
-    return pa.table([pa.array(met[c], t) for c, t in _MET.items()], names=list(_MET))
+        if split:
+            found[MEMBER].append(np.stack([np.full(len(ids), name), ids]))
+    out = []
+    for kind, parts in found.items():
+        rows = np.concatenate(parts, axis=1) if parts else np.zeros((2, 0), np.int64)
+        if kind == PAIR:
+            rows = np.sort(rows[:, rows[0] != rows[1]], axis=0)
+        rows = np.unique(rows, axis=1) if rows.size else rows
+        out.append(pa.table({"kind": pa.array(np.full(rows.shape[1], kind), pa.int32()), "x": pa.array(rows[0], pa.int64()), "y": pa.array(rows[1], pa.int64())}))
+    return pa.concat_tables(out)
 
 
-_MET = {"a": pa.int64(), "b": pa.int64(), "list": pa.int64(), "members": pa.binary(), "sizes": pa.binary(), "pivot": pa.int64()}
+PAIR, MEMBER, LINK = 0, 1, 2
+
+
+def _with_texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """`wanted` (with id and print) and the texts of these documents."""
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
+    own = docs.select(F.col("id").alias("id_"), "text")
+    return own.join(wanted, F.col("id_").eqNullSafe(F.col("id"))).drop("id_")
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, names: DataFrame) -> DataFrame:
@@ -283,11 +322,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, names: DataFrame) -> DataFrame:
     )
     pivots = ways.select(F.col("p").alias("rid"), F.col("p").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("ways") - 1)).alias("way"), F.lit(0).alias("member"))
     wanted = stage(members.unionByName(pivots).join(names, "rid"), "wanted")
-    own = docs.select("id", "text")
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    rows = own.join(wanted.withColumnRenamed("id", "id_"), F.col("id").eqNullSafe(F.col("id_")))
-    rows = rows.select("pivot", "way", "member", "rid", "print", "text")
+    rows = _with_texts(wanted, docs).select("pivot", "way", "member", "rid", "print", "text")
     rows = rows.repartition("pivot", "way").sortWithinPartitions("pivot", "way", "member", "rid")
 
     def compare(batches):
@@ -310,38 +345,48 @@ def _verify(pairs: DataFrame, docs: DataFrame, names: DataFrame) -> DataFrame:
     return rows.mapInArrow(compare, "a bigint, b bigint")
 
 
-def _open_pairs(lists: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of long lists that are not in one component yet, by blocks of segments."""
-    segments = lists.select("list", F.xxhash64("members").alias("segment"), "members", "sizes")
+def _settle(groups: DataFrame, roots: DataFrame, docs: DataFrame, names: DataFrame) -> DataFrame:
+    """Links between the different components that are left in a group.
 
-    def spread(batches):
-        for batch in batches:
-            for key, segment, members, sizes in zip(*(c.to_pylist() for c in batch.columns)):
-                ids = np.frombuffer(members, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ids), key)), pa.array(np.full(len(ids), segment)), pa.array(ids), pa.array(np.frombuffer(sizes, np.int32).astype(np.int64))],
-                    ["list", "segment", "node_", "n"],
-                )
-
-    flat = segments.mapInArrow(spread, "list bigint, segment bigint, node_ bigint, n bigint")
-    rooted = flat.join(roots, F.col("node_") == F.col("node"), "left").select("list", "segment", F.col("node_").alias("rid"), "n", F.coalesce("root", "node_").alias("root"))
+    The sets of a group meet in blocks of BLOCK members. In a pair of blocks an inverted index of the
+    sets is scanned for every set outside the largest component: that counts its shared
+    shingles with all others at once. Only links come out, one per set and component.
+    """
+    rooted = groups.join(roots, F.col("rid") == F.col("node"), "left").select("group", "rid", F.coalesce("root", "rid").alias("root"))
     rooted = stage(rooted, "rooted")
-    unsettled = rooted.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    blocks = rooted.join(stage(unsettled.select("list"), "unsettled"), "list").groupBy("list", "segment").agg(F.collect_list(F.struct("rid", "n", "root")).alias("rows"))
-    blocks = stage(blocks, "blocks")  # at most SEGMENT members each
-    other = blocks.select(F.col("list").alias("list2"), F.col("segment").alias("segment2"), F.col("rows").alias("rows2"))
-    facing = blocks.join(other, (F.col("list") == F.col("list2")) & (F.col("segment") <= F.col("segment2"))).select("rows", "rows2")
-
-    def cross(batches):
-        for batch in slices(batches, 1):
-            sides = [batch.column(i)[0].values.flatten() for i in (0, 1)]
-            (ids, n, root), (ids2, n2, root2) = ([f.to_numpy(zero_copy_only=False) for f in side] for side in sides)
-            for at in range(0, len(ids), 256):
-                part = slice(at, at + 256)
-                i, j = np.nonzero((root[part, None] != root2[None]) & _close_sizes(n[part, None], n2[None]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[part][i], ids2[j])), pa.array(np.maximum(ids[part][i], ids2[j]))], ["a", "b"])
-
-    return facing.mapInArrow(cross, "a bigint, b bigint").distinct()
+    sizes = rooted.groupBy(F.col("group").alias("g")).agg(F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("ways"))
+    unsettled = stage(sizes.where("low <> high").select("g", "ways"), "unsettled")
+    members = rooted.join(unsettled, F.col("group") == F.col("g")).withColumn("block", F.pmod(F.xxhash64("rid"), "ways").cast("int"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("ways") - 1)))
+    members = members.select("group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rid", "root").join(names, "rid")
+    rows = _with_texts(stage(members, "members"), docs).select("group", "i", "j", "block", "rid", "root", "print", "text")
+
+    def scan(table: pa.Table) -> pa.Table:
+        sets = shingle_sets(utf8(table["text"]))
+        right = [i for i, (s, p) in enumerate(zip(sets, table["print"].to_pylist())) if xxhash.xxh3_128_digest(s.tobytes()) == p]
+        rids, first = np.unique(table["rid"].to_numpy()[right], return_index=True)
+        use = np.array(right, np.int64)[first]
+        root, block = table["root"].to_numpy()[use], table["block"].to_numpy()[use]
+        sets = [sets[i] for i in use.tolist()]
+        n = np.array([len(s) for s in sets], np.int64)
+        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), n)
+        by = np.argsort(flat, kind="stable")
+        flat, owner = flat[by], owner[by]
+        kinds, counts = np.unique(root, return_counts=True)
+        inner = table["i"][0].as_py() == table["j"][0].as_py()
+        out = []
+        for at in np.flatnonzero(root != kinds[counts.argmax()]).tolist():
+            low, high = np.searchsorted(flat, sets[at], side="left"), np.searchsorted(flat, sets[at], side="right")
+            width = high - low
+            place = np.repeat(low - np.cumsum(width) + width, width) + np.arange(width.sum())
+            shared = np.bincount(owner[place], minlength=len(sets))
+            hit = (shared > 0) & (100 * shared >= PERCENT * (n + n[at] - shared)) & (root != root[at]) & (inner | (block != block[at]))
+            hit = np.flatnonzero(hit)
+            _, once = np.unique(root[hit], return_index=True)
+            out += [(min(rids[at], rids[k]), max(rids[at], rids[k])) for k in hit[once].tolist()]
+        return pa.table({"a": pa.array([x[0] for x in out], pa.int64()), "b": pa.array([x[1] for x in out], pa.int64())})
+
+    return rows.groupBy("group", "i", "j").applyInArrow(scan, "a bigint, b bigint")
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -352,8 +397,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     elements; postings meet in buckets of their key, several for a very frequent one.
     Short lists give all their pairs. Long lists are compared with pivots first, which puts
     copies of one text into one component with a number of comparisons proportional to
-    them; pairs of a long list that are then still in different components are compared
-    one by one. So no link between different texts is lost, and no group of copies is squared.
+    them; what a long list then still holds in different components is settled by scanning
+    an inverted index of its sets, block by block. So no link between different texts is lost, and no group of copies is squared.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased; a text of fewer than five
     words is one shingle. A null or blank text has no shingles and is alone. Null
@@ -374,19 +419,18 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
     postings = sets.agg(F.sum(F.octet_length("keys") / 8)).first()[0] or 0
     bits = max(5, int(postings // BUCKET_POSTINGS).bit_length())
-    met = stage(_post(nodes, order, bits).groupBy("bucket").applyInArrow(lambda t: _scan(t, bits), "a bigint, b bigint, list bigint, members binary, sizes binary, pivot bigint"), "met")
+    met = stage(_post(nodes, order, bits).groupBy("bucket").applyInArrow(lambda t: _scan(t, bits), "kind int, x bigint, y bigint"), "met")
     names = stage(nodes.where("n > 1").select("rid", "id", "print"), "names")
-    pivots = met.where("pivot is not null").select("list", "pivot").distinct()
-    hubs = pivots.groupBy(F.col("list").alias("l")).agg(F.min("pivot").alias("a"))
-    apart = pivots.join(stage(hubs, "hubs"), F.col("list") == F.col("l")).where("a < pivot").select("a", F.col("pivot").alias("b"))
-    pairs = stage(met.where("a is not null").select("a", "b").unionByName(apart).distinct(), "candidates")
-    links = stage(_verify(pairs, docs, names), "links")
+    parts = met.where(F.col("kind") == LINK).select("x", "y").distinct()  # pivots of the parts of split lists
+    hubs = stage(parts.groupBy(F.col("x").alias("list")).agg(F.min("y").alias("a")), "hubs")
+    apart = parts.join(hubs, F.col("x") == F.col("list")).where("a < y").select("a", F.col("y").alias("b"))
+    pairs = met.where(F.col("kind") == PAIR).select(F.col("x").alias("a"), F.col("y").alias("b"))
+    links = stage(_verify(pairs.unionByName(apart).distinct(), docs, names), "links")
     roots = stage(components(links), "roots")
-    lists = met.where("members is not null").select("list", "members", "sizes").distinct()
-    open_pairs = stage(_open_pairs(lists, roots).join(pairs, ["a", "b"], "left_anti"), "open")
-    if not open_pairs.isEmpty():
-        links = links.unionByName(stage(_verify(open_pairs, docs, names), "links"))
-        roots = stage(components(links), "roots")
+    groups = met.where(F.col("kind") == MEMBER).select(F.col("x").alias("group"), F.col("y").alias("rid")).distinct()
+    more = stage(_settle(groups, roots, docs, names), "links")
+    if not more.isEmpty():
+        roots = stage(components(links.unionByName(more)), "roots")
 
     found = joined.select("id", "n", "rid", F.col("first").isNotNull().alias("copied"), node.alias("node_"))
     found = found.join(roots, F.col("node_") == F.col("node"), "left")

@@ -73,8 +73,8 @@ def run(spark, rows):
 
 @pytest.mark.parametrize("seed, limits", [
     (1, {}),
-    (2, {"LONG": 2, "SEGMENT": 4, "SEEN": 1, "HOT_POSTINGS": 5, "MEMBERS": 3, "BROADCAST_ROWS": 0, "BATCH_SHINGLES": 700}),
-    (3, {"LONG": 3, "SEGMENT": 7, "COMMON": 10, "SEND": 1}),
+    (2, {"LONG": 2, "BLOCK": 6, "LEAST_COMMON": 2, "BUCKET_DOCS": 1, "HOT_POSTINGS": 5, "MEMBERS": 3, "BROADCAST_ROWS": 0, "BATCH_SHINGLES": 700}),
+    (3, {"LONG": 3, "BLOCK": 9, "COMMON": 10, "SEND": 1}),
 ])
 def test_links_and_components(spark, monkeypatch, seed, limits):
     for name, value in limits.items():
@@ -100,11 +100,12 @@ def test_light_and_heavy_keys_meet():
     rng = random.Random(4)
     import numpy as np
 
-    order = jaccard.Order(np.array([3, 9, 11], np.uint64), np.array([5000, 40, 7]), 100)
+    order = jaccard.Order(np.array([3, 9, 11], np.uint32), np.array([5000, 40, 7]), 100)
     assert order.light >= 8
     for _ in range(300):
-        a = np.unique(np.array([rng.randrange(40) for _ in range(rng.randint(1, 30))], np.uint64))
-        b = np.unique(np.array([x for x in a.tolist() if rng.random() < 0.9] + [rng.randrange(40) for _ in range(rng.randint(0, 3))], np.uint64))
+        element = lambda: rng.randrange(40) << 32
+        a = np.unique(np.array([element() for _ in range(rng.randint(1, 30))], np.uint64))
+        b = np.unique(np.array([x for x in a.tolist() if rng.random() < 0.9] + [element() for _ in range(rng.randint(0, 3))], np.uint64))
         shared = len(np.intersect1d(a, b))
         if jaccard.linked(shared, len(a), len(b)) and a.tolist() != b.tolist():
             assert set(order.keys(a)[0].tolist()) & set(order.keys(b)[0].tolist())
