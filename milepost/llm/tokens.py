@@ -16,13 +16,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BATCH_BYTES = 4 << 20  # text per batch; longer texts are cut, so no batch is much larger
-MEMO_PARTS = 250_000  # parts a worker remembers before it drops those not met since the last time
+MEMO_PARTS = 450_000  # parts a worker remembers before it drops those not met since the last time
 JOINED = 4096  # new parts that are encoded as one text, where that is possible
 MEMO_BYTES = 48  # longer parts are encoded each time
 
 _FIRST = b"\xff"  # never in UTF-8: marks a part without the space before it
 # A part between two spaces that is empty or has white space at an end.
 _UNEVEN = r"^$|^[\s\v{0}]|[\s\v{0}]$".format(r"\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
+_EDGE, _WIDE_FIRST, _WIDE_LAST = (np.isin(np.arange(256), list(x)) for x in (b"\t\n\x0b\x0c\r ", b"\xc2\xe1\xe2\xe3", b"\x85\x9f\xa0\xa8\xa9\xaf" + bytes(range(0x80, 0x8B))))
+_TAIL = b".,;:!?"
 _SAFE = re.compile(r"(?<=\S)(?= \S)")
 _SAFE_SPACE = re.compile(rb"(?<=[!-~]) (?=[!-~])")  # between visible ASCII characters
 _BLANK = re.compile(rb"[\t-\r ]")
@@ -49,6 +51,20 @@ def boundary_of(path: str) -> str:
     return "none"
 
 
+def _bytes(words: pa.Array) -> tuple[list[bytes], np.ndarray]:
+    """Words as bytes, and which of them are empty or have white space at an end."""
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = words.buffers()[2].to_pybytes() if words.buffers()[2] else b""
+    bounds = ends.tolist()
+    raw = np.frombuffer(data or b" ", np.uint8)
+    first, last = raw[np.minimum(ends[:-1], len(raw) - 1)], raw[np.maximum(ends[1:] - 1, 0)]
+    uneven = (ends[1:] == ends[:-1]) | _EDGE[first] | _EDGE[last]
+    doubtful = np.flatnonzero(~uneven & (_WIDE_FIRST[first] | _WIDE_LAST[last]))
+    if len(doubtful):
+        uneven[doubtful] = pc.match_substring_regex(words.take(pa.array(doubtful)), _UNEVEN).to_numpy(zero_copy_only=False)
+    return [data[a:b] for a, b in zip(bounds, bounds[1:])], uneven
+
+
 class Encoder:
     """Ids (or only their number) of UTF-8 texts, as the library gives them without
     added special tokens. Special strings inside a text are handled as its default."""
@@ -56,7 +72,7 @@ class Encoder:
     def __init__(self, path: str, lengths_only: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task per core
         self.boundary, self.lengths_only = boundary_of(path), lengths_only
-        self.memo, self.older = {}, {}
+        self.memo, self.older, self.tails = {}, {}, {}
         if path.endswith(".model"):
             import sentencepiece
 
@@ -113,6 +129,14 @@ class Encoder:
         ids = self._batch([self._text(p) for p in parts])
         return list(map(len, ids)) if self.lengths_only else [array("I", x).tobytes() for x in ids]
 
+    def _tail(self, tail: bytes):
+        """Ids or count of punctuation after a word."""
+        if tail not in self.tails:
+            if len(self.tails) > 10_000:
+                self.tails = {}
+            self.tails[tail] = self._alone([_FIRST + tail])[0]
+        return self.tails[tail]
+
     def _look_up(self, words: list[bytes]) -> list:
         """Ids or counts of words without white space at their ends."""
         if len(self.memo) > MEMO_PARTS:
@@ -126,13 +150,17 @@ class Encoder:
             missing = [i for i in missing if values[i] is None]
         if missing:
             parts = [words[i] for i in missing]
-            new = self._together(parts) if self.boundary == "space" else self._alone(parts)
-            for i, v in zip(missing, new):
-                values[i] = v
-            if max(map(len, parts)) > MEMO_BYTES:
-                self.memo.update((p, v) for p, v in zip(parts, new) if len(p) <= MEMO_BYTES)
-            else:
-                self.memo.update(zip(parts, new))
+            # A letter or digit and the punctuation after it are never joined.
+            stems = [s if (s := p.rstrip(_TAIL)) and s[-1:].isalnum() else p for p in parts]
+            fresh = [s for s in dict.fromkeys(stems) if s not in self.memo and s not in self.older]
+            new = dict(zip(fresh, self._together(fresh) if self.boundary == "space" else self._alone(fresh)))
+            find = lambda s: v if (v := new.get(s)) is not None else v if (v := self.memo.get(s)) is not None else self.older[s]
+            tails = {t: self._tail(t) for t in {p[len(s) :] for p, s in zip(parts, stems) if s is not p}}
+            for i, p, s in zip(missing, parts, stems):
+                values[i] = v = find(s) if s is p else find(s) + tails[p[len(s) :]]
+                if len(p) <= MEMO_BYTES:
+                    self.memo[p] = v
+            self.memo.update((s, v) for s, v in new.items() if len(s) <= MEMO_BYTES)
         return values
 
     def _of_batch(self, pieces: list[tuple[bytes, bool]]) -> list:
@@ -147,19 +175,18 @@ class Encoder:
         coded = split.flatten().dictionary_encode()
         index = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         if blank:
-            return self._gather(self._look_up(coded.dictionary.cast(pa.large_binary()).to_pylist()), index, ends)
+            return self._gather(self._look_up(_bytes(coded.dictionary)[0]), index, ends)
 
         # A space beside other white space is no safe boundary: such texts go by expression.
-        uneven = pc.match_substring_regex(coded.dictionary, _UNEVEN).to_numpy(zero_copy_only=False)
+        words, uneven = _bytes(coded.dictionary)
         texts = np.repeat(np.arange(len(pieces)), sizes)
         odd = np.unique(texts[uneven[index]]) if uneven.any() else np.zeros(0, int)
-        even = coded.dictionary.filter(pa.array(~uneven)) if len(odd) else coded.dictionary
         place = np.cumsum(~uneven) - 1  # a word's number among the even ones
-        values = self._look_up(even.cast(pa.large_binary()).to_pylist())
+        values = self._look_up([w for w, u in zip(words, uneven.tolist()) if not u] if len(odd) else words)
         heads = np.array([k for k, (_, after) in enumerate(pieces) if not after], int)
         heads = heads[~np.isin(heads, odd)]  # their first word has no space before it
         at = ends[heads] - sizes[heads]
-        first = coded.dictionary.take(pa.array(index[at])).cast(pa.large_binary()).to_pylist()
+        first = [words[i] for i in index[at].tolist()]
         index = place[index] if len(odd) else index
         index[at] = len(values) + np.arange(len(at))
         values = (values or [b"" if not self.lengths_only else 0]) if len(odd) else values
