@@ -103,7 +103,7 @@ def top_members(spark, folder):
 
 def leaders(spark, folder):
     """Who leads each month: the ten best members of every month."""
-    return rank_monthly(spark, folder).filter("rank <= 10")
+    return ranking.leaders(monthly(spark, folder), 10)
 
 
 def assign_membership(spark, folder):

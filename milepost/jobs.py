@@ -16,7 +16,7 @@ from milepost.functions import messages
 from milepost.operators import sinks
 from milepost.operators.keyed import update_only
 from milepost.plans import ddl, levels, maintenance, membership, points, publish, ranking, reports
-from milepost.session import build_session
+from milepost.session import build_session, clear_staged, folder_exists, stage
 from milepost.sources.streams import MESSAGE, read_files, read_topic
 from milepost.sources.tables import pick, read_or_empty
 from milepost.schemas import DAILY_SUMMARY_REPORT, DEVICE_USER, LIVE_REPORT, layout
@@ -41,7 +41,10 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def read(self, name: str) -> DataFrame:
+    def read(self, name: str, may_be_new: bool = True) -> DataFrame:
+        """A table; one that a job only reads must exist (may_be_new=False)."""
+        if not may_be_new and not folder_exists(self.spark, self.path(name)):
+            raise FileNotFoundError(f"no table at {self.path(name)}")
         schema = EXTRA_TABLES[name] if name in EXTRA_TABLES else ddl.TABLES[name][0]
         return read_or_empty(self.spark, self.path(name), schema)
 
@@ -54,11 +57,19 @@ class Tables:
         inside = F.lit(True)
         for column, value in period.items():
             inside = inside & (F.col(column) == value)
-        sinks.replace_slice(rows, self.path(name), list(by), inside)
+        sort = [c for c in ("phone", "Phone") if c in schema.names]
+        sinks.replace_slice(rows, self.path(name), list(by), inside, sort)
 
-    def send(self, rows: DataFrame, name: str) -> None:
-        """Append messages to an outbox folder, one JSON text per line."""
-        sinks.send(rows.select("value"), "text", path=self.path(f"outbox/{name}"))
+    def send(self, rows: DataFrame, name: str, run: str, args) -> None:
+        """Messages of one run: to a topic, if --send-to names its servers, else to the run's own
+        outbox folder, one JSON text per line. A repeated run replaces that folder."""
+        if args.send_to:
+            return sinks.send(rows.select("value"), **{"kafka.bootstrap.servers": args.send_to, "topic": name})
+        rows.select("value").write.mode("overwrite").text(self.path(f"outbox/{name}/run={run}"))
+
+
+def _run(name, args) -> str:
+    return f"{name}-{args.as_of.astimezone(timezone.utc):%Y%m%dT%H%M%S}"
 
 
 def month_of(tables, args):
@@ -70,19 +81,19 @@ def month_of(tables, args):
 
 def recalc_monthly(tables, args):
     state = points.recalc_monthly(
-        tables.read(TRANSACTIONS), args.year, args.month, args.positive_only, month_of(tables, args)
+        tables.read(TRANSACTIONS, may_be_new=False), args.year, args.month, args.positive_only, month_of(tables, args)
     )
     tables.replace(MONTHLY, state, year=args.year, month=args.month)
 
 
 def recalc_yearly(tables, args):
     target = pick(tables.read(YEARLY), year=args.year)
-    state = points.recalc_yearly(tables.read(MONTHLY), args.year, target)
+    state = points.recalc_yearly(tables.read(MONTHLY, may_be_new=False), args.year, target)
     tables.replace(YEARLY, state, year=args.year)
 
 
 def recalc_all_time(tables, args):
-    totals = points.recalc_all_time(tables.read(YEARLY))
+    totals = points.recalc_all_time(tables.read(YEARLY, may_be_new=False))
     tables.replace("profile", points.upsert_profiles(tables.read("profile"), totals, F.lit(args.as_of)))
 
 
@@ -124,7 +135,7 @@ def update_levels(tables, args):
     profiles = tables.read("profile")
     since = levels.recent_window(args.as_of, args.minutes) if args.minutes else None
     changes = levels.update_levels(profiles, since).persist()
-    tables.send(messages.row_message(levels.level_transactions(changes, args.as_of)), "activity_transaction")
+    tables.send(messages.row_message(levels.level_transactions(changes, args.as_of)), "activity_transaction", _run("levels", args), args)
     tables.replace("profile", levels.apply_levels(profiles, changes, F.lit(args.as_of)))
     changes.unpersist()
 
@@ -144,36 +155,41 @@ def publish_documents(tables, args):
         "yearly": lambda: publish.publish_yearly(tables.read(YEARLY), args.year),
         "profiles": lambda: publish.publish_profiles(tables.read("profile"), F.lit(args.as_of)),
     }[args.kind]()
-    documents.write.mode("overwrite").parquet(tables.path(f"documents/{args.kind}"))
+    # One folder per period, so that publishing a month leaves the others.
+    period = {"monthly": ("year", "month"), "yearly": ("year",), "profiles": ()}[args.kind]
+    if any(getattr(args, p) is None for p in period):
+        raise ValueError(f"{args.kind} documents need " + " and ".join(f"--{p}" for p in period))
+    folder = sinks.partition_folder(tables.path(f"documents/{args.kind}"), [(p, getattr(args, p)) for p in period])
+    documents.write.mode("overwrite").parquet(folder)
 
 
 # --- reports --------------------------------------------------------------------
 
 
 def event_summary(tables, args):
-    summary = reports.event_summary(tables.read(EVENTS), args.day)
+    summary = reports.event_summary(tables.read(EVENTS, may_be_new=False), args.day)
     rows = reports.summary_rows(summary, F.lit(args.as_of))
-    rows.write.mode("append").parquet(tables.path("activity_summary_report"))
+    rows.write.mode("overwrite").parquet(sinks.partition_folder(tables.path("activity_summary_report"), [("day", args.day)]))
 
 
 def rule_flow(tables, args):
-    metrics = reports.rule_flow_metrics(tables.read(TRANSACTIONS), args.day, args.as_of)
+    metrics = reports.rule_flow_metrics(tables.read(TRANSACTIONS, may_be_new=False), args.day, args.as_of)
     tables.replace("daily_rule_flow_metrics", metrics, date=args.day)
 
 
 def driving_events(tables, args):
-    events = reports.daily_driving_events(tables.read("daily_summary_report"), tables.read("device_user"), args.day)
-    tables.send(reports.driving_messages(events), "activity_event")
+    events = reports.daily_driving_events(tables.read("daily_summary_report", may_be_new=False), tables.read("device_user", may_be_new=False), args.day)
+    tables.send(reports.driving_messages(events), "activity_event", f"driving-{args.day}", args)
 
 
 def verify_reports(tables, args):
-    state = reports.verify_live_reports(tables.read("live_report"), int(args.as_of.timestamp()))
+    state = reports.verify_live_reports(tables.read("live_report", may_be_new=False), int(args.as_of.timestamp()))
     sinks.overwrite(state, tables.path("live_report"))
 
 
 def release_reports(tables, args):
-    released = reports.release_live_reports(tables.read("live_report"), int(args.as_of.timestamp()))
-    tables.send(released, "live_report")
+    released = reports.release_live_reports(tables.read("live_report", may_be_new=False), int(args.as_of.timestamp()))
+    tables.send(released, "live_report", _run("release", args), args)
 
 
 # --- maintenance ------------------------------------------------------------------
@@ -198,20 +214,26 @@ def deduplicate(tables, args):
 
 def analyze(tables, args):
     rows = pick(tables.read(_activity_table(args)), Year=args.year, Month=args.month)
-    maintenance.duplicate_summary(rows).show()
-    maintenance.duplicate_distribution(rows).show()
-    maintenance.most_duplicated(rows).show(truncate=False)
+    for name, report in (
+        ("summary", maintenance.duplicate_summary(rows)),
+        ("distribution", maintenance.duplicate_distribution(rows)),
+        ("most_duplicated", maintenance.most_duplicated(rows)),
+    ):
+        report.write.mode("overwrite").parquet(tables.path(f"duplicates/{args.table}/{name}"))
+        report.show(truncate=False)
 
 
 def sync_missing(tables, args):
-    """Append rows that the copy lacks to it (lower-case columns, by year and month)."""
+    """Append rows that the copy lacks to it (lower-case columns, by year and month). What the
+    stream has put into its keyed copy is not missing."""
     copy = tables.path("activity_transaction_copy")
     schema = layout(
         ", ".join(f"{f.name.lower()} {f.dataType.simpleString()}" for f in ddl.TABLES[TRANSACTIONS][0])
         + ", processed_timestamp timestamp"
     )
-    target = read_or_empty(tables.spark, copy, schema)
-    missing = maintenance.sync_missing(tables.read(TRANSACTIONS), target, args.year, args.month, F.lit(args.as_of))
+    streamed = ingest.stored_copy(tables.spark, tables.path("transactions"), ddl.TABLES[TRANSACTIONS][0])
+    target = read_or_empty(tables.spark, copy, schema).unionByName(streamed, allowMissingColumns=True)
+    missing = maintenance.sync_missing(tables.read(TRANSACTIONS, may_be_new=False), target, args.year, args.month, F.lit(args.as_of))
     sinks.append(missing, copy, ["year", "month"], ["phone"])
 
 
@@ -222,12 +244,13 @@ def delete_period(tables, args):
 
 
 def query(tables, args):
-    found = maintenance.query_transactions(tables.read(TRANSACTIONS), args.phone, args.year, args.month)
+    found = maintenance.query_transactions(tables.read(TRANSACTIONS, may_be_new=False), args.phone, args.year, args.month)
     found.show(truncate=False)
 
 
 def create_tables(tables, args):
-    ddl.create_tables(tables.spark, args.database, tables.root, args.drop).show(500, truncate=False)
+    created = ddl.create_tables(tables.spark, args.database, tables.root, args.drop)
+    created.show(created.count(), truncate=False)
 
 
 # --- streams ------------------------------------------------------------------------
@@ -235,7 +258,9 @@ def create_tables(tables, args):
 
 def _messages(tables, args):
     if args.servers:
-        return read_topic(tables.spark, args.servers, args.topic, args.start)
+        return read_topic(
+            tables.spark, args.servers, args.topic, args.start, args.per_trigger, failOnDataLoss=str(not args.may_lose).lower()
+        )
     return read_files(tables.spark, args.files, MESSAGE, args.format)
 
 
@@ -247,12 +272,14 @@ def _stream(start):
 
 
 def _events(tables, args, stream):
-    return ingest.ingest_events(stream, tables.path("events"), args.checkpoint, args.policy, args.every, id_scope=args.id_scope)
+    return ingest.ingest_events(
+        stream, tables.path("events"), args.checkpoint, args.policy, args.every, id_scope=args.id_scope, table=tables.path(EVENTS)
+    )
 
 
 def _transactions(tables, args, stream):
     return ingest.ingest_transactions(
-        stream, tables.path("transactions"), args.checkpoint, args.policy, args.every, id_scope=args.id_scope
+        stream, tables.path("transactions"), args.checkpoint, args.policy, args.every, id_scope=args.id_scope, table=tables.path(TRANSACTIONS)
     )
 
 
@@ -261,6 +288,70 @@ def _points(tables, args, stream):
     return stream_points.stream_points(stream, root, args.checkpoint, args.period, args.every)
 
 
+APPLIED = layout("version bigint, state string, done bigint")
+
+
+def _applied(tables, period):
+    """The last ledger version that fold-points began to apply, and whether that is done."""
+    found = read_or_empty(tables.spark, tables.path(f"points_{period}/applied"), APPLIED)
+    return found.groupBy("version", "state").agg(F.max("done").alias("done")).orderBy(F.desc("version")).first()
+
+
+def fold_points(tables, args):
+    """Add to the member tables what stream-points recorded since the last time.
+
+    The ledger is compacted to a new version; what it holds more than the version applied
+    last goes to the tables. The new state is written beside them together with a note of the
+    version first, so a run that broke off is finished by the next one, and nothing is added twice.
+    """
+    if args.period == "every":
+        raise ValueError("fold-points takes one period")
+    spark, root = tables.spark, tables.path(f"points_{args.period}")
+    name = {"month": MONTHLY, "year": YEARLY, "all": "profile"}[args.period]
+
+    def put(version, state, done):
+        spark.createDataFrame([(version, state, done)], APPLIED).coalesce(1).write.mode("append").parquet(f"{root}/applied")
+
+    def swap(version, state):
+        schema, by, _ = ddl.TABLES[name]
+        rows = spark.read.schema(schema).parquet(state)
+        if by:
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(tables.path(name))
+        else:
+            rows.write.mode("overwrite").parquet(tables.path(name))
+        put(version, state, 1)
+
+    last = _applied(tables, args.period)
+    if last and not last["done"]:
+        swap(last["version"], last["state"])
+    before = last["version"] if last else -1
+    version = stream_points.compact_points(spark, root, args.period, max(before, 0))
+    if version <= before:
+        return
+    added = stream_points.points_between(spark, root, args.period, before, version)
+    schema, by, _ = ddl.TABLES[name]
+    table = tables.read(name)
+    if args.period == "all":
+        state = points.increment_profiles(table, added, F.lit(args.as_of))
+    else:
+        periods = stream_points.PERIODS[args.period]
+        touched = stage(added.select(*periods).distinct(), "touched")
+        state = points.increment_members(table.join(touched, periods, "left_semi"), added, ["phone", *periods])
+    path = f"{root}/states/version={version}"
+    state.select(*schema.names).write.mode("overwrite").parquet(path)
+    put(version, path, 0)
+    swap(version, path)
+
+
+def compact(tables, args):
+    """Fold the ledgers of the streams into snapshots; run it now and then."""
+    for period in stream_points.PERIODS:
+        if args.period in (period, "every"):
+            last = _applied(tables, period)
+            stream_points.compact_points(tables.spark, tables.path(f"points_{period}"), period, last["version"] if last else None)
+    ingest.compact_copy(tables.spark, tables.path("transactions"), ddl.TABLES[TRANSACTIONS][0])
+
+
 def _users(tables, args, stream):
     return users.register_users(stream, tables.path(MONTHLY), tables.path(YEARLY), args.checkpoint, every=args.every)
 
@@ -295,11 +386,14 @@ OPTIONS = {
     "checkpoint": {},
     "every": {"default": None},
     "policy": {"choices": ["drop", "fill"], "default": "drop"},
-    "period": {"choices": list(stream_points.PERIODS), "default": "month"},
-    "id-scope": {"nargs": "*", "default": []},
+    "period": {"choices": [*stream_points.PERIODS, "every"], "default": "month"},
+    "id-scope": {"nargs": "*", "default": None},
+    "per-trigger": {"type": int, "default": 1_000_000, "help": "messages in a batch at most"},
+    "may-lose": {"action": "store_true", "help": "go on when the topic has dropped unread messages"},
+    "send-to": {"default": "", "help": "servers of the topics that messages go to"},
 }
 _PERIOD = ["year!", "month!"]
-_SOURCE = ["servers", "topic", "start", "files", "format", "checkpoint!", "every"]
+_SOURCE = ["servers", "topic", "start", "files", "format", "checkpoint!", "every", "per-trigger", "may-lose"]
 
 # job: function and its options; "!" marks required ones.
 JOBS = {
@@ -313,14 +407,14 @@ JOBS = {
     "assign-membership": (assign_membership, [*_PERIOD, "percentiles"]),
     "sync-profiles": (sync_profiles, _PERIOD),
     "sync-yearly": (sync_yearly, _PERIOD),
-    "update-levels": (update_levels, ["minutes"]),
+    "update-levels": (update_levels, ["minutes", "send-to"]),
     "roll-forward": (roll_forward, _PERIOD),
     "publish": (publish_documents, ["kind!", "year", "month"]),
     "event-summary": (event_summary, ["day!"]),
     "rule-flow": (rule_flow, ["day!"]),
-    "driving-events": (driving_events, ["day!"]),
+    "driving-events": (driving_events, ["day!", "send-to"]),
     "verify-reports": (verify_reports, []),
-    "release-reports": (release_reports, []),
+    "release-reports": (release_reports, ["send-to"]),
     "deduplicate": (deduplicate, ["table", "year", "month", "phone", "to"]),
     "analyze": (analyze, ["table", "year", "month"]),
     "sync-missing": (sync_missing, ["year", "month"]),
@@ -329,6 +423,8 @@ JOBS = {
     "store-events": (_stream(_events), [*_SOURCE, "policy", "id-scope"]),
     "store-transactions": (_stream(_transactions), [*_SOURCE, "policy", "id-scope"]),
     "stream-points": (_stream(_points), [*_SOURCE, "period"]),
+    "fold-points": (fold_points, ["period"]),
+    "compact": (compact, ["period"]),
     "register-users": (_stream(_users), _SOURCE),
 }
 
@@ -348,8 +444,12 @@ def parser() -> argparse.ArgumentParser:
 
 
 def run(spark: SparkSession, arguments: list[str]) -> None:
+    """One job. What it staged in the shared folder is deleted at its end, also after an error."""
     args = parser().parse_args(arguments)
-    JOBS[args.job][0](Tables(spark, args.root), args)
+    try:
+        JOBS[args.job][0](Tables(spark, args.root), args)
+    finally:
+        clear_staged(spark)
 
 
 if __name__ == "__main__":

@@ -1,12 +1,9 @@
 """Joins whose left side may hold very many rows of one key."""
 
-from functools import reduce
+from pyspark.sql import DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-HOT_KEYS = 512
-HOT_ROWS = 100_000
-WAYS = 32
+HOT_KEYS = 10_000  # keys that are split at most; the list of them is broadcast
+HOT_ROWS = 100_000  # rows of a key from which it is split, and rows per part
 
 
 def most_frequent(counts: DataFrame, on: list[str], keys: int, rows: int) -> DataFrame:
@@ -15,7 +12,7 @@ def most_frequent(counts: DataFrame, on: list[str], keys: int, rows: int) -> Dat
     Any other key has less than 1/keys of all rows, or less than `rows`. Mostly the
     list is empty, and runtime planning then drops the branches that depend on it.
     """
-    return counts.filter(F.col("n") >= rows).orderBy(F.desc("n"), *on).limit(keys).select(*on)
+    return counts.filter(F.col("n") >= rows).orderBy(F.desc("n"), *on).limit(keys).select(*on, "n")
 
 
 def count_keys(df: DataFrame, on: list[str]) -> DataFrame:
@@ -31,43 +28,32 @@ def spread_join(
     hot: DataFrame | None = None,
     hot_keys: int = HOT_KEYS,
     hot_rows: int = HOT_ROWS,
-    ways: int = WAYS,
 ) -> DataFrame:
     """Equi join that splits the most frequent keys of `left` over several tasks.
 
     The most frequent keys are found by counting; their list has at most
-    `hot_keys` rows, so it can be broadcast. Left rows of a hot key get one of `ways` salts from
-    their `spread_by` columns (not at random: a repeated task must repeat it);
+    `hot_keys` rows, so it can be broadcast. A key of n rows gets n / `hot_rows` salts, taken from
+    the `spread_by` columns (not at random: a repeated task must repeat them);
     the matching right rows are copied once per salt. All other rows join as usual,
     and Spark still broadcasts `right` by itself if it turns out small.
 
     hot: (keys..., n) counts, when they are known already. how: inner or left.
     """
     counts = hot if hot is not None else count_keys(left, on)
-    top = most_frequent(counts, on, hot_keys, hot_rows).withColumn("_hot", F.lit(True))
+    top = most_frequent(counts, on, hot_keys, hot_rows).select(*on, F.ceil(F.col("n") / hot_rows).cast("int").alias("_ways"))
 
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(ways)).cast("int")
-    salted = left.join(F.broadcast(top), on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), salt).otherwise(0)
-    )
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(ways - 1))).otherwise(F.array(F.lit(0)))
-    copied = right.join(F.broadcast(top), on, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
-    return salted.drop("_hot").join(copied, [*on, "_salt"], how).drop("_salt")
+    salt = F.pmod(F.xxhash64(*spread_by), F.coalesce("_ways", F.lit(1))).cast("int")
+    salted = left.join(F.broadcast(top), on, "left").withColumn("_salt", salt).drop("_ways")
+    salts = F.sequence(F.lit(0), F.coalesce("_ways", F.lit(1)) - 1)
+    copied = right.join(F.broadcast(top), on, "left").withColumn("_salt", F.explode(salts)).drop("_ways")
+    return salted.join(copied, [*on, "_salt"], how).drop("_salt")
 
 
-def rows_without_match(
-    left: DataFrame, right: DataFrame, on: list[str], hot_keys: int = HOT_KEYS, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Left rows whose key the right side lacks, copies included.
+def rows_without_match(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Left rows whose key the right side lacks, copies included; a missing key matches nothing.
 
-    Copies of one row cannot be told apart by a salt, so the most frequent keys
-    are not shuffled at all: whether the right side has them is looked up first
-    (at most `hot_keys` answers) and broadcast. The others meet the right side's
-    distinct keys in an ordinary anti join.
+    One plain anti join: both sides come to it straight from their shuffles, so
+    runtime planning splits a key with very many left rows. Distinct right keys would
+    rule that out, and an anti join does not need them.
     """
-    top = F.broadcast(most_frequent(count_keys(left, on), on, hot_keys, hot_rows))
-    known = right.join(top, on, "left_semi").select(*on).distinct()
-    frequent = left.join(top, on, "left_semi").join(F.broadcast(known), on, "left_anti")
-    keyed = reduce(Column.__and__, [F.col(c).isNotNull() for c in on])
-    others = left.filter(keyed).join(top, on, "left_anti").join(right.select(*on).distinct(), on, "left_anti")
-    return frequent.unionByName(others).unionByName(left.filter(~keyed))  # null matches nothing
+    return left.join(right.select(*on), on, "left_anti")

@@ -28,7 +28,7 @@ def append(df: DataFrame, path: str, by: list[str], sort: list[str] = ()) -> Non
 
 
 def append_absent(
-    df: DataFrame, path: str, schema: StructType, keys: list[str], by: list[str], scope: list[str]
+    df: DataFrame, path: str, schema: StructType, keys: list[str], by: list[str], scope: list[str], sort: list[str] = ()
 ) -> None:
     """Insert the rows whose key the table lacks. `df` must be unique by key.
 
@@ -58,7 +58,7 @@ def append_absent(
         wanted = F.broadcast(wanted)
     stored = table.select(*columns).join(wanted, same(wanted), "left_semi").distinct()
     stored = stored.toDF(*[f"_{c}" for c in columns])
-    append(df.select(*schema.names).join(stored, same(stored), "left_anti"), path, by)
+    append(df.select(*schema.names).join(stored, same(stored), "left_anti"), path, by, sort)
 
 
 def _directories_of(df: DataFrame, path: str, schema: StructType, scope: list[str], by: list[str]) -> DataFrame:
@@ -95,7 +95,7 @@ def partition_folder(path: str, values: Iterable[tuple[str, object]]) -> str:
     return "/".join([path, *names])
 
 
-def replace_slice(df: DataFrame, path: str, by: list[str], slice_filter: Column) -> None:
+def replace_slice(df: DataFrame, path: str, by: list[str], slice_filter: Column, sort: list[str] = ()) -> None:
     """Put `df` in place of the directories that `slice_filter` (on partition columns) selects.
 
     The new rows are staged first, so they may be computed from the table itself,
@@ -107,7 +107,7 @@ def replace_slice(df: DataFrame, path: str, by: list[str], slice_filter: Column)
     kept = new.select(*by).distinct()
     before = read_or_empty(spark, path, new.schema).filter(slice_filter).select(*by).distinct()
     emptied = before.subtract(kept).collect()  # directories, not rows
-    laid_out(new, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    laid_out(new, by, sort).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
     for row in emptied:
         remove_folder(spark, partition_folder(path, [(c, row[c]) for c in by]))
 

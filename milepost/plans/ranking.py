@@ -1,6 +1,6 @@
 """Unique ranks, and the checks that go with them."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from milepost.operators.joins import spread_join
 from milepost.operators.keyed import changed
@@ -27,6 +27,12 @@ def rank_yearly(yearly: DataFrame) -> DataFrame:
     return rank_members(yearly, ["year"])
 
 
+def leaders(members: DataFrame, n: int, periods: list[str] = ("year", "month")) -> DataFrame:
+    """The n best members of each period with their ranks. Each task passes on n rows per period at most."""
+    place = F.row_number().over(Window.partitionBy(*periods).orderBy(*member_order()))
+    return members.withColumn("rank", place).filter(F.col("rank") <= n)
+
+
 def rank_all_time(profiles: DataFrame) -> DataFrame:
     """Profiles whose all-time rank changes: (id, phone, totalpoints, old_rank, new_rank)."""
     prepared = profiles.select(

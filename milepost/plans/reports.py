@@ -26,6 +26,7 @@ from milepost.schemas import (
     VERIFY_AFTER_SECONDS,
     WAITING,
 )
+from milepost.session import stage
 
 
 def event_summary(
@@ -69,12 +70,14 @@ def rule_flow_metrics(
     rows = transactions.filter(F.col("CampaignId").isNotNull()).withColumn("date", local_day)
     scored = F.col("Name") == SCORING_NAME
     rule = ["date", "CampaignId", "RuleId", "RuleName"]
+    # Staged: the rules and the campaigns' members both come from it, so the transactions are read once.
     per_member = rows.groupBy(*rule, "Phone").agg(
         F.min("CampaignName").alias("campaignname"),
         F.count("Name").alias("actions"),
         F.count_if(scored).alias("scored"),
         F.sum(F.when(scored, F.col("Value"))).alias("points"),
     )
+    per_member = stage(per_member, "per-member")
     rules = per_member.groupBy(*rule).agg(
         F.min("campaignname").alias("campaignname"),
         F.count("Phone").alias("profiles_evaluated"),
@@ -82,7 +85,7 @@ def rule_flow_metrics(
         F.sum("scored").alias("addpoint_actions"),
         F.sum("points").alias("points_awarded"),
     )
-    members = rows.select("date", "CampaignId", "Phone").distinct()
+    members = per_member.select("date", "CampaignId", "Phone").distinct()
     evaluated = members.groupBy("date", "CampaignId").agg(F.count("Phone").alias("total_profiles_evaluated"))
     sequenced = positions(
         rules,

@@ -36,10 +36,10 @@ def stream_points(messages: DataFrame, root: str, checkpoint: str, period: str =
     """Add up points per member by "month", "year" or over "all" time."""
     columns = _delta_schema(period).names
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, batch_id: int, stream: str) -> None:
         with kept(points_per(batch, PERIODS[period]).select(*columns)) as delta:
             if not delta.isEmpty():
-                ledger.record(delta, root, batch_id)
+                ledger.record(delta, root, batch_id, PERIODS[period], stream)
 
     return start(scored_rows(messages), handle, checkpoint, every)
 
@@ -53,8 +53,19 @@ def streamed_points(spark: SparkSession, root: str, period: str = "month") -> Da
     return _fold(period)(rows).select(*_delta_schema(period).names)
 
 
-def compact_points(spark: SparkSession, root: str, period: str = "month") -> int:
-    return ledger.compact(spark, root, _delta_schema(period), _fold(period))
+def compact_points(spark: SparkSession, root: str, period: str = "month", keep: int | None = None) -> int:
+    return ledger.compact(spark, root, _delta_schema(period), _fold(period), PERIODS[period], keep)
+
+
+def points_between(spark: SparkSession, root: str, period: str, before: int, version: int) -> DataFrame:
+    """What snapshot `version` holds more than snapshot `before` (-1: nothing), per member."""
+    keys, columns = ["phone", *PERIODS[period]], _delta_schema(period).names
+    new = ledger.snapshot(spark, root, version, _delta_schema(period))
+    if before < 0:
+        return new.select(*columns)
+    old = ledger.snapshot(spark, root, before, _delta_schema(period)).select(*keys, F.col("points").alias("_old"), F.col("last_batch").alias("_upto"))
+    grown = new.join(old, keys, "left").where("_upto is null or _upto < last_batch")
+    return grown.withColumn("points", F.col("points") - F.coalesce("_old", F.lit(0))).select(*columns)
 
 
 def current_members(spark: SparkSession, root: str, period: str = "month", base: DataFrame | None = None) -> DataFrame:

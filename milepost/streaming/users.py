@@ -58,7 +58,7 @@ def register_users(
     monthly, yearly: table folders. as_of: fixed point in time, else each batch's own.
     """
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
+    def handle(batch: DataFrame, batch_id: int, stream: str) -> None:
         with kept(first_rows(batch, as_of or datetime.now(ZoneInfo(zone)), zone)) as rows:
             if rows.isEmpty():
                 return

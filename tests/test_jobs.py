@@ -10,6 +10,7 @@ from milepost import jobs
 from milepost.operators import sinks
 from milepost.plans import membership, points, ranking
 from milepost.schemas import ACTIVITY_TRANSACTION
+from milepost.session import list_folder, shared_folder
 from tests.test_plans import rows
 
 FOLDER = "/root/testdata/sf0.001"
@@ -63,15 +64,21 @@ def test_monthly_chain(spark, root):
     assert january.count() == december.count() and january.agg(F.sum("totalpoints")).first()[0] == 0
     assert tables.read(jobs.MONTHLY).filter("year = 1998").count() > december.count()
 
-    for kind in ("monthly", "yearly", "profiles"):
-        do(spark, root, "publish", "--kind", kind)
-    assert spark.read.parquet(f"{root}/documents/monthly").count() == tables.read(jobs.MONTHLY).count()
+    for month in ("11", "12", "12"):  # one period at a time, again without change
+        do(spark, root, "publish", "--kind", "monthly", "--year", "1998", "--month", month)
+    do(spark, root, "publish", "--kind", "yearly", "--year", "1998")
+    do(spark, root, "publish", "--kind", "profiles")
+    assert spark.read.parquet(f"{root}/documents/monthly").count() == tables.read(jobs.MONTHLY).filter("year = 1998").count()
+    with pytest.raises(ValueError):
+        do(spark, root, "publish", "--kind", "monthly")
+    assert list_folder(spark, f"{shared_folder(spark)}/milepost/{spark.sparkContext.applicationId}") == []
 
 
 def test_maintenance_jobs(spark, root, tmp_path):
     tables = jobs.Tables(spark, root)
     before = tables.read("activity_transaction").count()
     do(spark, root, "analyze")
+    assert spark.read.parquet(f"{root}/duplicates/transaction/summary").count() > 0
     do(spark, root, "deduplicate", "--to", str(tmp_path / "whole"))
     assert spark.read.schema(ACTIVITY_TRANSACTION).parquet(str(tmp_path / "whole")).count() == (
         tables.read("activity_transaction").select("Id").distinct().count()
@@ -97,7 +104,9 @@ def test_report_jobs(spark, root):
     sample.device_users(spark, FOLDER).write.parquet(f"{root}/device_user")
     sample.live_reports(spark, FOLDER).write.parquet(f"{root}/live_report")
     do(spark, root, "event-summary", "--day", "2024-01-15")
-    assert tables.read("activity_summary_report").count() > 0
+    summary = tables.read("activity_summary_report").count()
+    do(spark, root, "event-summary", "--day", "2024-01-15")
+    assert tables.read("activity_summary_report").count() == summary > 0
     for _ in range(2):
         do(spark, root, "rule-flow", "--day", "1998-08-09")
     flow = tables.read("daily_rule_flow_metrics")
@@ -122,6 +131,35 @@ def test_stream_jobs(spark, root, tmp_path):
     assert spark.read.parquet(f"{root}/points_year/batches").count() > 0
 
 
+def test_streams_end_in_the_tables_of_the_batch_jobs(spark, tmp_path):
+    """Stored transactions are recalculated, and streamed points folded in, to the same totals."""
+    root, given = str(tmp_path / "w"), sample.transactions(spark, FOLDER).filter("Year = 1998 and Month in (5, 6)")
+    half = F.pmod(F.xxhash64("Id"), F.lit(2))
+    folds = []
+    for part in (0, 1):
+        inbox = str(tmp_path / f"inbox{part}")
+        messages = sample.as_messages(given.filter(half == part))
+        messages.select(F.lit(None).cast("binary").alias("key"), "value").write.parquet(inbox)
+        # A new checkpoint each time: it adds, and does not take the place of the first.
+        source = ["--files", inbox, "--checkpoint"]
+        do(spark, root, "store-transactions", *source, str(tmp_path / f"t{part}"))
+        do(spark, root, "stream-points", *source, str(tmp_path / f"p{part}"))
+        do(spark, root, "fold-points")
+        do(spark, root, "fold-points")  # again: nothing left to add
+        do(spark, root, "compact", "--period", "every")
+        folds.append(rows(jobs.Tables(spark, root).read(jobs.MONTHLY), "phone", "month", "totalpoints"))
+    assert folds[0] != folds[1]
+    for month in ("5", "6"):
+        do(spark, root, "recalc-monthly", "--year", "1998", "--month", month)
+    assert rows(jobs.Tables(spark, root).read(jobs.MONTHLY), "phone", "month", "totalpoints") == folds[1] != []
+    do(spark, root, "sync-missing")
+    assert list((tmp_path / "w" / "activity_transaction_copy").rglob("*.parquet")) == []  # the stream's copy has all
+    do(spark, root, "rank-monthly", "--year", "1998", "--month", "5")
+    do(spark, root, "publish", "--kind", "monthly", "--year", "1998", "--month", "5")
+    with pytest.raises(FileNotFoundError):
+        do(spark, str(tmp_path / "nothing"), "recalc-monthly", "--year", "1998", "--month", "5")
+
+
 def test_create_tables_job(spark, tmp_path):
     try:
         do(spark, str(tmp_path), "create-tables", "--database", "milepost_jobs", "--drop")

@@ -103,7 +103,7 @@ def test_transactions_have_one_activity_id_in_all_sinks(spark, topic, root, chec
     copy = rows(ingest.stored_copy(spark, root, ACTIVITY_TRANSACTION), "id", "activityid", "value")
     assert [r[0] for r in stored] == ["a", "b"] and stored[1][1] == "given" and len(stored[0][1]) == 36
     assert copy == [("a", stored[0][1], 7), stored[1]]  # the copy takes the newest version
-    assert ingest.compact_copy(spark, root, ACTIVITY_TRANSACTION) == 1
+    assert ingest.compact_copy(spark, root, ACTIVITY_TRANSACTION) == 0
     assert rows(ingest.stored_copy(spark, root, ACTIVITY_TRANSACTION), "id", "activityid", "value") == copy
 
 
@@ -158,17 +158,34 @@ def test_compaction_keeps_the_totals(spark, root):
     record(0, ("1", 1, 2024, 5, 50, "Level2"))
     record(1, ("1", 1, 2024, 1, 10, "Level1"), ("2", 1, 2024, 9, 9, "Level1"))
     before = rows(stream_points.streamed_points(spark, root))
-    assert stream_points.compact_points(spark, root) == 1
+    assert stream_points.compact_points(spark, root) == 0
     assert rows(stream_points.streamed_points(spark, root)) == before
     # Tier from the first batch, timestamp from the last.
     assert before[0] == ("1", 1, 2024, 6, 10, "Level2")
     record(2, ("1", 1, 2024, 4, 70, "Level5"))
     assert rows(stream_points.streamed_points(spark, root))[0] == ("1", 1, 2024, 10, 70, "Level2")
-    assert stream_points.compact_points(spark, root) == 2
-    assert stream_points.compact_points(spark, root) == 2
-    assert list_folder(spark, f"{root}/batches") == ["batch=2"]
-    assert sorted(list_folder(spark, f"{root}/snapshots")) == ["upto=1", "upto=2"]
+    assert stream_points.compact_points(spark, root) == 1
+    assert stream_points.compact_points(spark, root) == 1
+    assert list_folder(spark, f"{root}/batches/stream=one") == ["batch=2"]
+    assert sorted(list_folder(spark, f"{root}/snapshots")) == ["version=0", "version=1"]
     assert rows(stream_points.streamed_points(spark, root))[0] == ("1", 1, 2024, 10, 70, "Level2")
+    assert rows(stream_points.points_between(spark, root, "month", 0, 1)) == [("1", 1, 2024, 4, 70, "Level2")]
+
+
+def test_a_new_checkpoint_adds(spark, root):
+    """5 points, 7 by another checkpoint, a compaction, 100 by a third; then a replay."""
+    text = "phone string, month int, year int, points bigint, timestamp bigint, membershipcode string"
+
+    def total(stream, batch, points):
+        ledger.record(spark.createDataFrame([("1", 1, 2024, points, 1, "Level1")], layout(text)), root, batch, stream=stream)
+        return stream_points.streamed_points(spark, root).first()["points"]
+
+    assert (total("a", 0, 5), total("b", 0, 7)) == (5, 12)
+    stream_points.compact_points(spark, root)
+    assert total("c", 0, 100) == 112
+    assert total("c", 0, 100) == 112
+    stream_points.compact_points(spark, root)
+    assert total("a", 1, 1) == 113
 
 
 def test_member_table_grows_from_its_base(spark, topic, root, checkpoint):
