@@ -485,3 +485,13 @@ ORACLE["sync_missing_month"] = _sql(
         WHERE "Id" NOT IN (SELECT "Id" FROM tx WHERE "Type" = 'F' AND "Year" = 1998 AND "Month" = 6)""",
     "tx",
 )
+# Batches, replays and new checkpoints change nothing.
+ORACLE["ingest_transactions_batches"] = ORACLE["ingest_transactions"]
+ORACLE["ingest_transactions_copy"] = (
+    'SELECT "Id" AS id, "Phone" AS phone, "Year" AS year, "Month" AS month, "Value" AS value, "ActivityId" AS activityid '
+    f'FROM ({ORACLE["ingest_transactions"]})'
+)
+ORACLE["ingest_transactions_documents"] = _sql(
+    """SELECT DISTINCT "Id", "Year", "Month", 'Other' AS "Type" FROM tx""", "tx"
+)
+ORACLE["stream_points_batches"] = _sql("SELECT phone, year, month, totalpoints FROM monthly", "monthly")

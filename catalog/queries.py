@@ -10,7 +10,9 @@ from milepost.functions.values import level_for, lower_names
 from milepost.operators.keyed import insert_absent, keep_latest, replace_rows
 from milepost.plans import levels, maintenance, membership, points, publish, ranking, reports
 from milepost.schemas import ACTIVITY_EVENT, ACTIVITY_TRANSACTION, MEMBERSHIP_MONTHLY, MEMBERSHIP_YEARLY
+from milepost.schemas import layout
 from milepost.session import new_folder
+from milepost.sources.streams import read_files
 from milepost.streaming import ingest, users
 from milepost.streaming import points as stream_points
 
@@ -361,6 +363,54 @@ def stream_points_all(spark, folder):
     return state.select("Id", "Phone", "TotalPoints")
 
 
+def _arriving(spark, folder, *parts):
+    """The transactions as message files, one per batch: thirds by Id, in the order given."""
+    path = new_folder(spark, "inbox")
+    rows = sample.transactions(spark, folder)
+    for part in parts:
+        third = rows.filter(F.pmod(F.xxhash64("Id"), F.lit(3)) == part)
+        sample.as_messages(third).coalesce(1).write.mode("append").parquet(path)
+    return read_files(spark, path, layout("value binary"), per_trigger=1)
+
+
+def ingest_transactions_batches(spark, folder):
+    """Four batches, of which one arrives again, and a restart with a new checkpoint that sends another again."""
+    root = new_folder(spark, "transactions")
+    for parts in ((0, 1, 0), (2, 1)):
+        messages = _arriving(spark, folder, *parts)
+        ingest.ingest_transactions(messages, root, new_folder(spark, "checkpoint"), by=BY_MONTH).awaitTermination()
+    return ingest.stored_rows(spark, root, ACTIVITY_TRANSACTION)
+
+
+def ingest_transactions_copy(spark, folder):
+    """The keyed copy after three batches, a compaction, and one of them again by another stream."""
+    root = new_folder(spark, "transactions")
+    for parts in ((0, 1, 2), (1,)):
+        messages = _arriving(spark, folder, *parts)
+        ingest.ingest_transactions(messages, root, new_folder(spark, "checkpoint"), by=BY_MONTH).awaitTermination()
+        ingest.compact_copy(spark, root, ACTIVITY_TRANSACTION)
+    return ingest.stored_copy(spark, root, ACTIVITY_TRANSACTION).select("id", "phone", "year", "month", "value", "activityid")
+
+
+def ingest_transactions_documents(spark, folder):
+    """The newest version of each Id and month after several batches of the fill policy."""
+    root = new_folder(spark, "transactions")
+    messages = _arriving(spark, folder, 0, 1, 2, 1)
+    ingest.ingest_transactions(messages, root, new_folder(spark, "checkpoint"), "fill", by=BY_MONTH).awaitTermination()
+    return ingest.stored_documents(spark, root, ACTIVITY_TRANSACTION).select("Id", "Year", "Month", "Type")
+
+
+def stream_points_batches(spark, folder):
+    """Points of two streams, one of two batches, with a compaction in between."""
+    root = new_folder(spark, "points")
+    for parts in ((0, 1), (2,)):
+        messages = _arriving(spark, folder, *parts)
+        stream_points.stream_points(messages, root, new_folder(spark, "checkpoint"), "month").awaitTermination()
+        stream_points.compact_points(spark, root, "month")
+    members = stream_points.current_members(spark, root, "month")
+    return members.select("phone", "year", "month", "totalpoints")
+
+
 def _register(spark, folder):
     monthly_path, yearly_path = new_folder(spark, "monthly"), new_folder(spark, "yearly")
     messages = sample.user_messages(spark, folder)
@@ -406,6 +456,7 @@ def stream_running_totals(spark, folder):
 REGISTERED = {
     query.__name__: query
     for query in (
+        ingest_transactions_batches, ingest_transactions_copy, ingest_transactions_documents, stream_points_batches,
         recalc_monthly_positive, recalc_one_month, recalc_monthly_upsert, increment_members, recalc_all_time,
         upsert_profiles, rank_monthly, rank_yearly, rank_all_time, ties_report, duplicate_ranks, points_summary,
         top_members, leaders, assign_membership, assign_membership_percentiles, membership_distribution,
