@@ -1,4 +1,4 @@
-"""The operators over the given tables, as registered queries, and their SQL."""
+"""The operators over the given tables, as registered queries."""
 
 from pyspark.sql import functions as F
 
@@ -78,8 +78,6 @@ REGISTERED = {
     f.__name__: f
     for f in (
         op1_harmonic_packing, op2_jaccard_join, op3_quality_rules, op4_pfor_files, op5_token_counts, op6_warc_index,
-            op7_decontamination, op8_deleted_interpolation, op9_best_fit_shards, op10_quality_classifier,
+        op7_decontamination, op8_deleted_interpolation, op9_best_fit_shards, op10_quality_classifier,
     )
 }
-
-ORACLE = {}

@@ -1,9 +1,13 @@
 """The stages against plain versions, and what is registered."""
 
+import pytest
+
 import __spark_entry__
 import corpus_pipeline
 from milepost.llm import gam
-from milepost.llm.queries import ORACLE, REGISTERED, table
+from milepost.llm.oracle import ORACLE
+from milepost.llm.queries import REGISTERED, table
+from tests.compare import connect, difference
 from tests.llm.test_corpus import brute_hits
 from tests.llm.test_jaccard import brute
 
@@ -53,3 +57,8 @@ def test_stages_on_an_empty_table(spark):
     docs = table(spark, FOLDER, "documents").limit(0)
     for _, step in corpus_pipeline.STAGES:
         assert step(spark, docs, FOLDER).collect() == []
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_matches_sql(spark, name):
+    assert difference(REGISTERED[name](spark, FOLDER), connect(FOLDER), ORACLE[name]) is None
