@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from milepost.functions import messages
 from milepost.functions.calendar import business_day, local_midnight_ms, rows_of_day
 from milepost.functions.values import device_id, hashed_uuid, whole_km
-from milepost.operators.joins import spread_join
 from milepost.operators.ordering import positions
 from milepost.operators.sinks import audited
 from milepost.schemas import (
@@ -159,14 +158,16 @@ def daily_driving_events(
 ) -> DataFrame:
     """One driving event per long enough daily report of a known device.
 
-    `date` of a report is the epoch second of its local midnight.
+    `date` of a report is the epoch second of its local midnight. A device listed for
+    several users counts for the first phone. The folded users are staged, so a device with
+    very many reports reaches a plain join that runtime planning splits.
     """
     if day is not None:
         reports = reports.filter(F.col("date") == local_midnight_ms(day, zone) // 1000)
     driven = reports.filter((F.col("distance") >= min_metres) & F.col("deviceimei").startswith(prefix))
     driven = driven.withColumn("device_id", device_id(F.col("deviceimei"), prefix))
-    users = device_users.filter(F.col("Phone").isNotNull()).select("device_id", F.col("Phone").alias("phone"))
-    known = spread_join(driven, users, ["device_id"], spread_by=["date", "distance", "drivingtime"])
+    users = device_users.filter(F.col("Phone").isNotNull()).groupBy("device_id").agg(F.min("Phone").alias("phone"))
+    known = driven.join(stage(users, "users"), "device_id")
     return known.select(
         hashed_uuid(*[F.col(c) for c in ("deviceimei", "date", "distance", "drivingtime")]).alias("Id"),
         F.col("phone").alias("Phone"),
