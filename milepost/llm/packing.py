@@ -7,7 +7,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from milepost.llm.arrow import slices, utf8
-from milepost.llm.tokens import encoder
+from milepost.llm.tokens import ROWS, encoder
 from milepost.session import stage
 
 FINEST = 16  # pieces above capacity / FINEST are cut to a reciprocal of the capacity
@@ -58,7 +58,7 @@ def _fill(batches, path, end_id, capacity, keep_ids):
         return pa.RecordBatch.from_arrays([pa.array(c, t or key_type) for c, t in zip(columns, types)], names=names)
 
     key_type = None
-    for batch in slices(batches):
+    for batch in slices(batches, ROWS):
         key_type, keys, out = batch.column(0).type, batch.column(0).to_pylist(), []
         for key, ids in zip(keys, encode(utf8(batch.column(1)))):
             ids += end

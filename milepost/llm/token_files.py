@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from milepost.llm.arrow import slices, utf8
 from milepost.llm.files import open_folder, write_whole
-from milepost.llm.tokens import encoder
+from milepost.llm.tokens import ROWS, encoder
 from milepost.session import new_folder, stage
 
 BLOCK, MAGIC = 256, b"PFORIDS1"
@@ -100,11 +100,14 @@ def decode_blocks(data: bytes, starts: np.ndarray) -> np.ndarray:
             span = starts[of][:, None] + size + np.arange(BLOCK // 8 * int(w))
             words = raw[span].view("<u8").reshape(-1, int(w))
             rows[of] = _unpack(words, int(w)).reshape(len(of), BLOCK)
-    for i in np.flatnonzero(heads["odd"]):
-        n, w = int(heads["odd"][i]), int(heads["width"][i])
-        at = int(starts[i]) + size + BLOCK // 8 * w
-        position = np.frombuffer(data, "<u2", n, at)
-        rows[i, position] |= np.frombuffer(data, "<u4", n, at + 2 * n) << np.uint32(w)
+    n = heads["odd"].astype(np.int64)
+    if n.any():
+        row = np.repeat(np.arange(len(starts)), n)
+        nth = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        at = (starts + size + BLOCK // 8 * heads["width"].astype(np.int64))[row]
+        position = raw[(at + 2 * nth)[:, None] + np.arange(2)].view("<u2")[:, 0]
+        high = raw[(at + 2 * n[row] + 4 * nth)[:, None] + np.arange(4)].view("<u4")[:, 0]
+        rows[row, position] |= high << heads["width"][row].astype(np.uint32)
     rows += heads["least"][:, None]
     return rows[np.arange(BLOCK) < heads["n"][:, None]]
 
@@ -204,7 +207,7 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, folder: str | None = N
 
     def write(batches):
         shard = TaskContext.get().partitionId()
-        batches = slices(batches)
+        batches = slices(batches, ROWS)
         first = next(batches, None)
         if first is None:
             return
@@ -248,7 +251,7 @@ def read_tokens(manifest: DataFrame, key_type: str, key: str = "doc_id", keep_id
     def documents(reader, start):
         rows, held = [], 0
         for _, name, ids in reader.documents():
-            rows.append((name, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), ids.astype(np.int32) if keep_ids else None))
+            rows.append((name, start, len(ids), zlib.crc32(np.ascontiguousarray(ids, "<u4")), ids.astype(np.int32) if keep_ids else None))
             start, held = start + len(ids), held + (len(ids) if keep_ids else 1)
             if held >= 1 << 20 or len(rows) >= 20_000:
                 yield table(rows, reader)

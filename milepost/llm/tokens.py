@@ -15,7 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BATCH_BYTES = 4 << 20  # text per batch; longer texts are cut, so no batch is much larger
+ROWS = 2500  # texts handed to an encoder at once
+BATCH_BYTES = 8 << 20  # text per batch; longer texts are cut, so no batch is much larger
 MEMO_PARTS = 450_000  # parts a worker remembers before it drops those not met since the last time
 JOINED = 4096  # new parts that are encoded as one text, where that is possible
 MEMO_BYTES = 48  # longer parts are encoded each time
@@ -65,6 +66,19 @@ def _bytes(words: pa.Array) -> tuple[list[bytes], np.ndarray]:
     return [data[a:b] for a, b in zip(bounds, bounds[1:])], uneven
 
 
+class _Tails(dict):
+    """Ids or count of the punctuation after a word."""
+
+    def __init__(self, encoder):
+        self.encoder = encoder
+
+    def __missing__(self, tail: bytes):
+        if len(self) > 10_000:
+            self.clear()
+        value = self[tail] = self.encoder._alone([_FIRST + tail])[0]
+        return value
+
+
 class Encoder:
     """Ids (or only their number) of UTF-8 texts, as the library gives them without
     added special tokens. Special strings inside a text are handled as its default."""
@@ -72,7 +86,7 @@ class Encoder:
     def __init__(self, path: str, lengths_only: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark already runs a task per core
         self.boundary, self.lengths_only = boundary_of(path), lengths_only
-        self.memo, self.older, self.tails = {}, {}, {}
+        self.memo, self.older, self.tails = {}, {}, _Tails(self)
         if path.endswith(".model"):
             import sentencepiece
 
@@ -129,14 +143,6 @@ class Encoder:
         ids = self._batch([self._text(p) for p in parts])
         return list(map(len, ids)) if self.lengths_only else [array("I", x).tobytes() for x in ids]
 
-    def _tail(self, tail: bytes):
-        """Ids or count of punctuation after a word."""
-        if tail not in self.tails:
-            if len(self.tails) > 10_000:
-                self.tails = {}
-            self.tails[tail] = self._alone([_FIRST + tail])[0]
-        return self.tails[tail]
-
     def _look_up(self, words: list[bytes]) -> list:
         """Ids or counts of words without white space at their ends."""
         if len(self.memo) > MEMO_PARTS:
@@ -152,15 +158,19 @@ class Encoder:
             parts = [words[i] for i in missing]
             # A letter or digit and the punctuation after it are never joined.
             stems = [s if (s := p.rstrip(_TAIL)) and s[-1:].isalnum() else p for p in parts]
-            fresh = [s for s in dict.fromkeys(stems) if s not in self.memo and s not in self.older]
-            new = dict(zip(fresh, self._together(fresh) if self.boundary == "space" else self._alone(fresh)))
-            find = lambda s: v if (v := new.get(s)) is not None else v if (v := self.memo.get(s)) is not None else self.older[s]
-            tails = {t: self._tail(t) for t in {p[len(s) :] for p, s in zip(parts, stems) if s is not p}}
+            memo, older, tails = self.memo, self.older, self.tails
+            fresh = [s for s in dict.fromkeys(stems) if s not in memo and s not in older]
+            memo.update(zip(fresh, self._together(fresh) if self.boundary == "space" else self._alone(fresh)))
             for i, p, s in zip(missing, parts, stems):
-                values[i] = v = find(s) if s is p else find(s) + tails[p[len(s) :]]
-                if len(p) <= MEMO_BYTES:
-                    self.memo[p] = v
-            self.memo.update((s, v) for s, v in new.items() if len(s) <= MEMO_BYTES)
+                v = memo.get(s)
+                if v is None:
+                    v = memo[s] = older[s]
+                if s is not p:
+                    v = memo[p] = v + tails[p[len(s) :]]
+                values[i] = v
+            for p in chain(parts, fresh) if max(map(len, parts)) > MEMO_BYTES else ():
+                if len(p) > MEMO_BYTES:
+                    memo.pop(p, None)
         return values
 
     def _of_batch(self, pieces: list[tuple[bytes, bool]]) -> list:
