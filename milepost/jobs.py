@@ -200,12 +200,16 @@ def _activity_table(args):
 
 
 def deduplicate(tables, args):
-    """A month is rewritten in place; the whole table goes to a new folder that --to names."""
+    """A month is rewritten in place. The whole table goes to a new folder that --to names, or,
+    with --in-place, only the directories that hold repeated Ids are rewritten."""
     name = _activity_table(args)
     rows, by = tables.read(name), list(ddl.TABLES[name][1])
     if args.year is None and args.month is None and args.phone is None:
+        if args.in_place:
+            touched = maintenance.repeated_in(rows, by)
+            return sinks.rewrite_directories(rows, tables.path(name), by, touched, maintenance.deduplicate, ["Phone"])
         if not args.to:
-            raise ValueError("a whole-table run needs --to, the folder of the new version")
+            raise ValueError("a whole-table run needs --in-place or --to, the folder of the new version")
         return sinks.write_version(maintenance.deduplicate(rows), args.to, by, ["Phone"])
     month = pick(rows, Year=args.year, Month=args.month)
     kept = maintenance.deduplicate(month, args.year, args.month, args.phone)
@@ -370,6 +374,7 @@ OPTIONS = {
     "day": {"type": date.fromisoformat},
     "phone": {},
     "to": {},
+    "in-place": {"action": "store_true"},
     "minutes": {"type": int, "default": 0},
     "positive-only": {"action": "store_true"},
     "percentiles": {"action": "store_true"},
@@ -415,7 +420,7 @@ JOBS = {
     "driving-events": (driving_events, ["day!", "send-to"]),
     "verify-reports": (verify_reports, []),
     "release-reports": (release_reports, ["send-to"]),
-    "deduplicate": (deduplicate, ["table", "year", "month", "phone", "to"]),
+    "deduplicate": (deduplicate, ["table", "year", "month", "phone", "to", "in-place"]),
     "analyze": (analyze, ["table", "year", "month"]),
     "sync-missing": (sync_missing, ["year", "month"]),
     "delete-period": (delete_period, [*_PERIOD, "dry-run"]),

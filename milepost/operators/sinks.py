@@ -112,6 +112,28 @@ def replace_slice(df: DataFrame, path: str, by: list[str], slice_filter: Column,
         remove_folder(spark, partition_folder(path, [(c, row[c]) for c in by]))
 
 
+def rewrite_directories(
+    table: DataFrame, path: str, by: list[str], directories: DataFrame, change: Callable[[DataFrame], DataFrame], sort: list[str] = ()
+) -> int:
+    """Put `change(rows)` in place of the rows in the given directories; the files of all others stay.
+
+    directories: rows of `by`, listed on the driver (one per directory). Returns their number.
+    """
+    spark = table.sparkSession
+    touched = [tuple(r) for r in directories.select(*by).collect()]
+    if not touched:
+        return 0
+    folders = [partition_folder(path, zip(by, values)) for values in touched]
+    rows = spark.read.schema(table.schema).option("basePath", path).parquet(*folders)
+    new = stage(change(rows).select(*table.columns), "directories")
+    left = {tuple(r) for r in new.select(*by).distinct().collect()}
+    laid_out(new, by, sort).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    for folder, values in zip(folders, touched):
+        if values not in left:
+            remove_folder(spark, folder)
+    return len(touched)
+
+
 def delete_slice(spark: SparkSession, path: str, schema: StructType, slice_values: dict[str, object], dry_run: bool = False) -> DataFrame:
     """Drop the directories of leading partition columns; one row (matched, deleted, remaining)."""
 

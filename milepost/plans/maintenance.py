@@ -13,15 +13,28 @@ def deduplicate(
 ) -> DataFrame:
     """The table with the newest row per Id, overall or within one month (and member).
 
-    Rows outside the given month or member are kept as they are.
+    Rows outside the given month or member are kept as they are, and so are rows without
+    an Id, which are copies of nothing.
     """
     if year is None and month is None and phone is None:
-        return keep_latest(table, [key], moment)
+        return _newest(table, key, moment)
     if year is None or month is None:
         raise ValueError("a restricted run needs both year and month")
     inside = slice_condition(year, month, phone)
     others = table.filter(~F.coalesce(inside, F.lit(False)))
-    return others.unionByName(keep_latest(table.filter(inside), [key], moment))
+    return others.unionByName(_newest(table.filter(inside), key, moment))
+
+
+def _newest(rows: DataFrame, key: str, moment: str) -> DataFrame:
+    without = rows.filter(F.col(key).isNull())
+    return keep_latest(rows.filter(F.col(key).isNotNull()), [key], moment).unionByName(without)
+
+
+def repeated_in(table: DataFrame, by: list[str], key: str = "Id") -> DataFrame:
+    """The directories (columns `by`) that hold a row of a repeated Id. Reads these columns only."""
+    narrow = table.select(key, *by)
+    repeated = copies_per_id(narrow.filter(F.col(key).isNotNull()), key).filter("copies > 1").select(key)
+    return narrow.join(repeated, key, "left_semi").select(*by).distinct()
 
 
 def slice_condition(year: int, month: int, phone: str | None = None) -> Column:

@@ -96,6 +96,23 @@ def test_maintenance_jobs(spark, root, tmp_path):
     assert tables.read("activity_transaction").filter("Month = 6").count() == 0
 
 
+def test_deduplicating_in_place_leaves_other_files(spark, tmp_path):
+    root = str(tmp_path)
+    given = [("a", "1", 5, 1), ("a", "1", 9, 2), ("b", "2", 5, 1), ("c", "3", 5, 3), (None, "4", 5, 4), (None, "4", 5, 4), ("d", "5", 1, 4)]
+    shape = [{**dict.fromkeys(ACTIVITY_TRANSACTION.names), "Id": i, "Phone": p, "TimeStamp": t, "Year": 2024, "Month": m, "Date": 1} for i, p, t, m in given]
+    table = spark.createDataFrame([[r[n] for n in ACTIVITY_TRANSACTION.names] for r in shape], ACTIVITY_TRANSACTION)
+    sinks.append(table, f"{root}/activity_transaction", ["Year", "Month", "Date"], ["Phone"])
+    files = lambda: {f: f.stat().st_mtime_ns for f in (tmp_path / "activity_transaction").rglob("*.parquet")}
+    before = files()
+    do(spark, root, "deduplicate", "--in-place")
+    kept = rows(jobs.Tables(spark, root).read("activity_transaction"), "Id", "TimeStamp")
+    assert kept == sorted([("a", 9), ("b", 5), ("c", 5), (None, 5), (None, 5), ("d", 1)], key=repr)
+    same = {f for f, t in files().items() if before.get(f) == t}
+    assert {f for f in before if "Month=3" in str(f) or "Month=4" in str(f)} == same
+    do(spark, root, "deduplicate", "--in-place")  # nothing left to do
+    assert rows(jobs.Tables(spark, root).read("activity_transaction"), "Id", "TimeStamp") == kept
+
+
 def test_report_jobs(spark, root):
     tables = jobs.Tables(spark, root)
     events = sample.activity_events(spark, FOLDER)
