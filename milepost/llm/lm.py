@@ -27,6 +27,16 @@ LEAST_UNSEEN = 1e-6  # weight that the uniform distribution always has
 _END = b"\xff"  # the token after the last word; never a word
 
 
+def squeeze(ids: np.ndarray) -> bytes:
+    """32-bit numbers byte plane by byte plane, compressed: the high bytes are mostly zero."""
+    return pa.compress(np.ascontiguousarray(ids.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def unsqueeze(data, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, decompressed_size=4 * n, codec="zstd"), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<i4").reshape(n)
+
+
 def _part(part: int, keys: pa.Array, folds: np.ndarray, texts: list) -> list[dict]:
     """One part's rows: tokens as numbers into its vocabulary, which is sorted by hash."""
     sizes, words = lower_words(texts)
@@ -49,7 +59,7 @@ def _part(part: int, keys: pa.Array, folds: np.ndarray, texts: list) -> list[dic
         end = max(begin + 1, int(np.searchsorted(stops, firsts[begin] + ROW_TOKENS, side="right")))
         rows.append({
             "part": part, "keys": keys[begin:end], "folds": folds[begin:end].astype(np.int32), "sizes": (sizes + 1)[begin:end].astype(np.int32),
-            "ids": ids[firsts[begin] : stops[end - 1]].tobytes(), "words": 0, "kept": 0, "train": 0, "hashes": None, "counts": None,
+            "ids": squeeze(ids[firsts[begin] : stops[end - 1]]), "words": 0, "kept": 0, "train": 0, "hashes": None, "counts": None,
         })
         begin = end
     rows[0] |= {
@@ -165,7 +175,7 @@ def _rows(tokens: pa.Table):
     for i in range(tokens.num_rows):
         yield (
             tokens["keys"][i].values, tokens["folds"][i].values.to_numpy(), tokens["sizes"][i].values.to_numpy(),
-            np.frombuffer(tokens["ids"][i].as_buffer(), np.int32),
+            unsqueeze(tokens["ids"][i].as_buffer(), int(tokens["sizes"][i].values.to_numpy().sum())),
         )
 
 
