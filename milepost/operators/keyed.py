@@ -95,8 +95,8 @@ def update_only(
         if name in update:
             return F.when(hit, F.col(f"_new_{name}")).otherwise(F.col(name)).cast(field.dataType)
         if name in add:
-            sum_ = F.coalesce(F.col(name), F.lit(0)) + F.coalesce(F.col(f"_new_{name}"), F.lit(0))
-            return F.when(hit, sum_).otherwise(F.col(name)).cast(field.dataType)
+            # A missing stored value stays missing, as in SQL.
+            return (F.col(name) + F.coalesce(F.col(f"_new_{name}"), F.lit(0))).cast(field.dataType)
         if name in touch:
             return F.when(hit, touch[name]).otherwise(F.col(name)).cast(field.dataType)
         return F.col(name)

