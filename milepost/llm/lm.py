@@ -1,8 +1,9 @@
 """Deleted interpolation: n-gram estimates mixed by the frequency of their context.
 
 The corpus is cut into parts of bounded size. A part keeps its own sorted vocabulary,
-and only vocabularies and counts travel: hashed words go out by bucket, are added up, and the
-sums come back to the part, so no task and no broadcast holds the vocabulary of the corpus.
+and only hashes and counts travel: distinct words, then distinct pairs of words, go out by
+bucket of their hash, are added up, and the sums come back to the part, so no task and no
+broadcast holds the vocabulary or the pairs of the corpus.
 """
 
 from dataclasses import dataclass
@@ -21,8 +22,9 @@ from milepost.session import stage
 PART_BYTES = 8 << 20  # text in a part
 ROW_TOKENS = 1 << 18  # tokens in a stored row
 BUCKET_WORDS = 2_000_000  # vocabulary entries that a bucket sums up, about
-FREQUENT = 2048  # a word with 1/FREQUENT of all tokens is a context of its own: at most so many
-OCTAVES = 41  # rarer words share a context by the power of two of their count; the last is 'unseen'
+BUCKET_PAIRS = 2_000_000  # distinct pairs of parts that a bucket sums up, at most on average
+OCTAVES = 41  # powers of two of a count
+FINE = 32  # held-out estimates are told apart by 1/FINE of an octave when weights are learned
 LEAST_UNSEEN = 1e-6  # weight that the uniform distribution always has
 _END = b"\xff"  # the token after the last word; never a word
 
@@ -37,6 +39,28 @@ def unsqueeze(data, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<i4").reshape(n)
 
 
+def pack(values: np.ndarray) -> bytes:
+    """64-bit numbers byte plane by byte plane, compressed, after their number."""
+    planes = np.ascontiguousarray(values.astype("<i8", copy=False).view(np.uint8).reshape(-1, 8).T).tobytes()
+    return len(values).to_bytes(8, "little") + (pa.compress(planes, codec="zstd", asbytes=True) if planes else b"")
+
+
+def unpack(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    if not n:
+        return np.zeros(0, np.int64)
+    planes = np.frombuffer(pa.decompress(data[8:], decompressed_size=8 * n, codec="zstd"), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).view("<i8").reshape(n)
+
+
+def pack_sorted(hashes: np.ndarray) -> bytes:
+    return pack(np.diff(hashes, prepend=np.uint64(0)).view(np.int64))
+
+
+def unpack_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data).view(np.uint64), dtype=np.uint64)
+
+
 def _part(part: int, keys: pa.Array, folds: np.ndarray, texts: list) -> list[dict]:
     """One part's rows: tokens as numbers into its vocabulary, which is sorted by hash."""
     sizes, words = lower_words(texts)
@@ -64,7 +88,7 @@ def _part(part: int, keys: pa.Array, folds: np.ndarray, texts: list) -> list[dic
         begin = end
     rows[0] |= {
         "words": len(order), "kept": int(counts[0].sum()), "train": int(counts[1].sum()),
-        "hashes": hashes[order].tobytes(), "counts": np.concatenate(counts).tobytes(),
+        "hashes": pack_sorted(hashes[order]), "counts": pack(np.concatenate(counts)),
     }
     return rows
 
@@ -112,83 +136,197 @@ def _tokenise(docs: DataFrame, key: str, text: str, folds: int, fold: int) -> Da
     return rows.mapInArrow(run, ddl)
 
 
-def _totals(parts: DataFrame, bits: int, least: float) -> DataFrame:
+def _spans(hashes: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
+    """(bucket, begin, end) of sorted hashes, by their first `bits` bits."""
+    if not len(hashes):
+        return []
+    bucket = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+    cuts = (np.flatnonzero(np.diff(bucket)) + 1).tolist()
+    return [(int(bucket[a]), a, b) for a, b in zip([0, *cuts], [*cuts, len(hashes)])]
+
+
+def _added(rows: list[dict]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """A bucket's rows added up: each row's own counts (kept and train), the place of every
+    row's hashes among the distinct ones, sums per distinct hash, rows that have it."""
+    own = [unpack(r["counts"]).reshape(2, -1) for r in rows]
+    distinct, place = np.unique(np.concatenate([unpack_sorted(r["hashes"]) for r in rows]), return_inverse=True)
+    sums = np.array([np.bincount(place, c, len(distinct)) for c in np.concatenate(own, axis=1)]).astype(np.int64)
+    return own, place, sums, np.bincount(place, minlength=len(distinct))
+
+
+def _binary_rows(rows: list[tuple]) -> pa.Table:
+    parts, buckets, counts = zip(*rows)
+    return pa.table({"part": pa.array(parts, pa.int64()), "bucket": pa.array(buckets, pa.int64()), "counts": pa.array(counts, pa.binary())})
+
+
+def _totals(parts: DataFrame, bits: int) -> DataFrame:
     """Counts of the whole corpus for every part's words, in the order of its vocabulary:
-    (part, bucket, counts: kept and train, frequent: place and hash). Rows with part -1
-    have a bucket's distinct words and its distinct kept words by octave."""
+    (part, bucket, counts: kept, train, and whether other parts have the word). Rows with
+    part -1 have a bucket's distinct train and kept words."""
 
     def spread(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                hashes = np.frombuffer(row["hashes"], np.uint64)
-                counts = np.frombuffer(row["counts"], np.uint32).reshape(2, -1)
-                bucket = (hashes >> np.uint64(64 - bits)).astype(np.int64)
-                cuts = np.flatnonzero(np.diff(bucket)) + 1
-                begins, ends = [0, *cuts.tolist()], [*cuts.tolist(), len(hashes)]
-                for at in range(0, len(begins), 256):
-                    spans = list(zip(begins, ends))[at : at + 256]
+                hashes, counts = unpack_sorted(row["hashes"]), unpack(row["counts"]).reshape(2, -1)
+                spans = _spans(hashes, bits)
+                for at in range(0, len(spans), 256):
+                    some = spans[at : at + 256]
                     yield pa.RecordBatch.from_pydict({
-                        "bucket": [int(bucket[a]) for a, _ in spans], "part": [row["part"]] * len(spans),
-                        "hashes": [hashes[a:b].tobytes() for a, b in spans], "counts": [counts[:, a:b].tobytes() for a, b in spans],
+                        "bucket": [k for k, _, _ in some], "part": [row["part"]] * len(some),
+                        "hashes": [pack_sorted(hashes[a:b]) for _, a, b in some], "counts": [pack(counts[:, a:b].ravel()) for _, a, b in some],
                     })
 
     def add(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        hashes = [np.frombuffer(r["hashes"], np.uint64) for r in rows]
-        counts = np.concatenate([np.frombuffer(r["counts"], np.uint32).reshape(2, -1) for r in rows], axis=1)
-        words, inverse = np.unique(np.concatenate(hashes), return_inverse=True)
-        total = np.array([np.bincount(inverse, c, len(words)) for c in counts]).astype(np.int64)
-        out, at = [], 0
-        for row, own in zip(rows, hashes):
-            of = inverse[at : at + len(own)]
-            at += len(own)
-            often = np.flatnonzero(total[0][of] >= least)
-            out.append((row["part"], row["bucket"], total[:, of].tobytes(), often.astype(np.int64).tobytes(), own[often].tobytes()))
-        kept = total[0][(total[0] > 0) & (total[0] < least)]
-        octaves = np.bincount(np.frexp(kept.astype(float))[1] - 1, minlength=OCTAVES)
-        stats = np.concatenate([[(total[1] > 0).sum(), (total[0] > 0).sum()], octaves]).astype(np.int64)
-        out.append((-1, rows[0]["bucket"], stats.tobytes(), b"", words[total[0] >= least].tobytes()))
-        kinds = [("part", pa.int64()), ("bucket", pa.int64()), ("counts", pa.binary()), ("at", pa.binary()), ("often", pa.binary())]
-        return pa.Table.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out), kinds)], names=[n for n, _ in kinds])
+        own, place, sums, holders = _added(rows)
+        out, at, bucket = [], 0, rows[0]["bucket"]
+        for row, counts in zip(rows, own):
+            of = place[at : at + counts.shape[1]]
+            at += len(of)
+            out.append((row["part"], bucket, pack(np.concatenate([*sums[:, of], holders[of] > 1]))))
+        out.append((-1, bucket, pack(np.array([(sums[1] > 0).sum(), (sums[0] > 0).sum()]))))
+        return _binary_rows(out)
 
     vocabularies = parts.where("hashes is not null").select("part", "hashes", "counts")
     sent = vocabularies.mapInArrow(spread, "bucket bigint, part bigint, hashes binary, counts binary")
-    return sent.groupBy("bucket").applyInArrow(add, "part bigint, bucket bigint, counts binary, at binary, often binary")
+    return sent.groupBy("bucket").applyInArrow(add, "part bigint, bucket bigint, counts binary")
 
 
-def _classes(totals: pa.Table, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per word of a part: kept count, train count, and context class."""
-    rows = sorted(zip(totals["bucket"].to_pylist(), totals["counts"].to_pylist(), totals["at"].to_pylist(), totals["often"].to_pylist()))
-    blocks = [np.frombuffer(r[1], np.int64).reshape(2, -1) for r in rows]
-    kept, train = np.concatenate(blocks, axis=1)
-    octave = np.where(kept > 0, np.frexp(kept.astype(float))[1] - 1, OCTAVES - 1)
-    kind = (len(often) + octave).astype(np.int64)
-    begin = 0
-    for (_, _, at, own), block in zip(rows, blocks):
-        kind[begin + np.frombuffer(at, np.int64)] = np.searchsorted(often, np.frombuffer(own, np.uint64))
-        begin += block.shape[1]
-    return kept, train, kind
+def _words(totals: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per word of a part: kept count, train count, whether other parts have it."""
+    kept, train, many = np.concatenate([unpack(r["counts"]).reshape(3, -1) for r in sorted(totals, key=lambda r: r["bucket"])], axis=1)
+    return kept, train, many > 0
 
 
 def _rows(tokens: pa.Table):
-    """(keys, folds, sizes, ids) of each stored row."""
+    """(keys, folds, sizes, ids) of each stored row; no keys if they were left out."""
     for i in range(tokens.num_rows):
         yield (
-            tokens["keys"][i].values, tokens["folds"][i].values.to_numpy(), tokens["sizes"][i].values.to_numpy(),
+            tokens["keys"][i].values if "keys" in tokens.column_names else None, tokens["folds"][i].values.to_numpy(), tokens["sizes"][i].values.to_numpy(),
             unsqueeze(tokens["ids"][i].as_buffer(), int(tokens["sizes"][i].values.to_numpy().sum())),
         )
 
 
 def _contexts(kind: np.ndarray, sizes: np.ndarray, end: int) -> np.ndarray:
-    """The class before each token; the end stands before a text's first word."""
+    """The token before each token; the end stands before a text's first word."""
     before = np.empty_like(kind)
     before[1:] = kind[:-1]
     before[np.concatenate([[0], np.cumsum(sizes)[:-1]])] = end
     return before
 
 
+@dataclass
+class Pairs:
+    """The distinct pairs of a part, in the order of their hash."""
+
+    context: np.ndarray  # place of the first word in the part's vocabulary
+    word: np.ndarray
+    hashes: np.ndarray
+    counts: np.ndarray  # the part's own: kept and train
+    of_token: np.ndarray  # the pair that each token ends, row after row
+    sent: np.ndarray  # other parts may have the pair, or it has a held-out count
+
+
+def _pairs(tokens: pa.Table, many: np.ndarray) -> Pairs:
+    size, codes, folds = len(many), [], []
+    for _, folds_, sizes, ids in _rows(tokens):
+        ids = ids.astype(np.int64)
+        codes.append(_contexts(ids, sizes, ids[-1]) * size + ids)  # a row's last token is an end
+        folds.append(np.repeat(folds_, sizes))
+    code, of_token = np.unique(np.concatenate(codes), return_inverse=True)
+    fold = np.concatenate(folds)
+    counts = np.array([np.bincount(of_token[fold <= f], minlength=len(code)) for f in (0, 1)])
+    context, word = code // size, code % size
+    known = next(unpack_sorted(x) for x in tokens["hashes"].to_pylist() if x is not None)
+    hashes = known[context] * np.uint64(0x9E3779B97F4A7C15) + known[word]
+    hashes = (hashes ^ (hashes >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    hashes ^= hashes >> np.uint64(32)
+    order = np.argsort(hashes, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    context, word, counts = context[order], word[order], counts[:, order]
+    return Pairs(context, word, hashes[order], counts, place[of_token], (many[context] & many[word]) | (counts[1] > counts[0]))
+
+
+def _octave(count: np.ndarray) -> np.ndarray:
+    return np.frexp(count.astype(float))[1].clip(0, OCTAVES + 1)
+
+
+def _cells(context: np.ndarray, word: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """Kept counts of held-out pairs on a grid: octave of the context's count, FINE steps per
+    octave of the word's count and of the pair's share of its context; step 0 is a count of 0."""
+    fine = lambda x, seen: np.where(seen, 1 + np.rint(FINE * np.log2(np.where(seen, x, 1))), 0).astype(np.int64)
+    return (_octave(context).astype(np.int64) << 24) | (fine(word, word > 0) << 12) | fine(context / np.maximum(pair, 1), pair > 0)
+
+
+def _from_cells(cells: np.ndarray, n: np.ndarray, tokens: int, types: int) -> np.ndarray:
+    word, pair = (cells >> 12) & 4095, cells & 4095
+    uniform = np.full(len(cells), 1 / (types + 1))
+    of_word = np.where(word > 0, 2.0 ** ((word - 1) / FINE) / max(tokens, 1), 0)
+    return _maximise(cells >> 24, n.astype(float), np.stack([uniform, of_word, np.where(pair > 0, 2.0 ** ((1 - pair) / FINE), 0)], axis=1))
+
+
+def _pair_sums(parts: DataFrame, per_part: DataFrame, bits: int, used: int) -> DataFrame:
+    """Counts of the whole corpus for the sent pairs of every part, in the order of their hash:
+    (part, bucket, counts: kept if `used` is 0, train if 1). Rows with part -1 have a bucket's
+    held-out pairs: cells and their counts."""
+
+    def ask(tokens: pa.Table, own: pa.Table) -> pa.Table:
+        kept, _, many = _words(own.to_pylist())
+        pairs = _pairs(tokens, many)
+        context, word, hashes, counts = pairs.context[pairs.sent], pairs.word[pairs.sent], pairs.hashes[pairs.sent], pairs.counts[:, pairs.sent]
+        held, spans = counts[1] > counts[0], _spans(hashes, bits)
+        return pa.table({
+            "bucket": pa.array([k for k, _, _ in spans], pa.int64()), "part": pa.array([tokens["part"][0].as_py()] * len(spans), pa.int64()),
+            "hashes": pa.array([pack_sorted(hashes[a:b]) for _, a, b in spans], pa.binary()),
+            "counts": pa.array([pack(counts[:, a:b].ravel()) for _, a, b in spans], pa.binary()),
+            "held": pa.array([pack(np.concatenate([kept[x[a:b][held[a:b]]] for x in (context, word)])) for _, a, b in spans], pa.binary()),
+        })
+
+    def add(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        own, place, sums, _ = _added(rows)
+        out, at, bucket = [], 0, rows[0]["bucket"]
+        words = np.zeros((2, sums.shape[1]), np.int64)  # kept counts of the context and the word, where held out
+        for row, counts in zip(rows, own):
+            of = place[at : at + counts.shape[1]]
+            at += len(of)
+            words[:, of[counts[1] > counts[0]]] = unpack(row["held"]).reshape(2, -1)
+            out.append((row["part"], bucket, pack(sums[used][of])))
+        held = np.flatnonzero(sums[1] > sums[0])
+        cells, which = np.unique(_cells(words[0][held], words[1][held], sums[0][held]), return_inverse=True)
+        out.append((-1, bucket, pack(np.concatenate([cells, np.bincount(which, (sums[1] - sums[0])[held], len(cells)).astype(np.int64)]))))
+        return _binary_rows(out)
+
+    slim = parts.select("part", "folds", "sizes", "ids", "hashes")
+    asked = slim.groupBy("part").cogroup(per_part).applyInArrow(ask, "bucket bigint, part bigint, hashes binary, counts binary, held binary")
+    return asked.groupBy("bucket").applyInArrow(add, "part bigint, bucket bigint, counts binary")
+
+
+def _held_cells(sums: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Cells and held-out counts of the corpus; at most the grid, whatever the input."""
+
+    def flat(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                cells, n = unpack(row["counts"]).reshape(2, -1)
+                yield pa.RecordBatch.from_pydict({"cell": cells, "n": n})
+
+    cells = sums.where("part = -1").select("counts").mapInArrow(flat, "cell bigint, n bigint")
+    found = cells.groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").toArrow()
+    return found["cell"].to_numpy(), found["n"].to_numpy()
+
+
+def mix(weights: np.ndarray, tokens: int, types: int, context: np.ndarray, word: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """Probability of words from the counts of their context, of themselves, and of both."""
+    w = weights[_octave(context)]
+    return w[:, 0] / (types + 1) + w[:, 1] * word / max(tokens, 1) + w[:, 2] * pair / np.maximum(context, 1)
+
+
 @dataclass
 class Mixture:
+    """The model over a table of pairs in memory."""
+
     often: np.ndarray  # hashes of the words that are contexts of their own, sorted
     pairs: np.ndarray  # kept counts of (class before, class)
     weights: np.ndarray  # per octave of the context's count: uniform, word, pair
@@ -199,27 +337,26 @@ class Mixture:
         self.context = self.pairs.sum(1)
         self.of_class = self.pairs.sum(0)
 
-    def bucket(self, count: np.ndarray) -> np.ndarray:
-        return np.frexp(count.astype(float))[1].clip(0, len(self.weights) - 1)
-
     def probability(self, before: np.ndarray, kind: np.ndarray, kept: np.ndarray) -> np.ndarray:
-        w = self.weights[self.bucket(self.context[before])]
-        within = kept / np.maximum(self.of_class[kind], 1)
-        pair = self.pairs[before, kind] / np.maximum(self.context[before], 1) * within
-        return w[:, 0] / (self.types + 1) + w[:, 1] * kept / max(self.tokens, 1) + w[:, 2] * pair
+        pair = self.pairs[before, kind] * (kept / np.maximum(self.of_class[kind], 1))
+        return mix(self.weights, self.tokens, self.types, self.context[before], kept, pair)
 
 
 def learn_weights(kept: np.ndarray, held: np.ndarray, class_types: np.ndarray, rounds: int = 40) -> np.ndarray:
-    """Mixture weights per octave of the context's kept count, by expectation-maximisation
-    on the held-out pair counts. A bucket without held-out pairs has default weights."""
+    """Mixture weights per octave of the context's count, from tables of kept and held-out pairs."""
     context, of_class = kept.sum(1), kept.sum(0)
-    buckets = OCTAVES + 2
-    weights = np.tile([0.1, 0.4, 0.5], (buckets, 1))
     a, b = np.nonzero(held)
-    n, at = held[a, b].astype(float), np.frexp(context[a].astype(float))[1].clip(0, buckets - 1)
     p = np.stack([
         class_types[b] / (class_types.sum() + 1), of_class[b] / max(of_class.sum(), 1), kept[a, b] / np.maximum(context[a], 1),
     ], axis=1)
+    return _maximise(_octave(context[a]), held[a, b].astype(float), p, rounds)
+
+
+def _maximise(at: np.ndarray, n: np.ndarray, p: np.ndarray, rounds: int = 40) -> np.ndarray:
+    """Weights per bucket `at` by expectation-maximisation, where `n` held-out tokens have the
+    estimates `p`. A bucket without held-out tokens has default weights."""
+    buckets = OCTAVES + 2
+    weights = np.tile([0.1, 0.4, 0.5], (buckets, 1))
     seen = np.bincount(at, n, buckets)
     for _ in range(rounds):
         share = weights[at] * p
@@ -234,68 +371,49 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     """Score whole texts with a model of those whose crc32(key as text) mod `folds` is not `fold`.
 
     Tokens are runs of anything but ASCII white space, A-Z lower-cased, and one end. The
-    model mixes uniform, word and word-pair estimates. In pairs, a word with at least
-    1/FREQUENT of the tokens is itself, and rarer ones stand for all words of the same octave
-    of counts, so pair tables are bounded while every word keeps its own count. Nine tenths of the
-    training texts are counted; the weights, one set per octave of the context's count,
-    come from the pairs of the last tenth (deleted from the counts) by expectation-maximisation.
+    model mixes uniform, word and word-pair estimates; every pair of words keeps its own count.
+    Nine tenths of the training texts are counted; the weights, one set per octave of the
+    context's count, come from the words of the last tenth (deleted from the counts) by
+    expectation-maximisation over their estimates, rounded to 1/FINE of an octave.
 
-    Vocabularies go to buckets of their hash, sums come back per part; the driver gets the pair
-    table and one row per bucket. Returns key, held_out, n_tokens, n_known (tokens seen in
-    training), train_tokens, base_score (add-half word model), score (log10 probability).
+    Words and pairs go to buckets of their hash and sums come back per part; the driver gets one
+    row per bucket and the held-out cells, at most a fixed grid. Returns key, held_out, n_tokens,
+    n_known (tokens seen in training), train_tokens, base_score (add-half word model), score
+    (log10 probability).
 
     A null text is empty: one token, the end. A null key counts as '' for the fold; repeated
     keys are documents of their own. An empty table gives no rows. Other columns are not used.
     """
     spark, kind = docs.sparkSession, docs.schema[key].dataType.simpleString()
     parts = stage(_tokenise(docs, key, text, folds, fold), "tokens")
-    words, n_kept, n_train = (x or 0 for x in parts.agg(F.sum("words"), F.sum("kept"), F.sum("train")).first())
-    bits = max(6, int(words // BUCKET_WORDS).bit_length())
-    least = max(n_kept / FREQUENT, 1)
-    totals = stage(_totals(parts, bits, least), "totals")
-    often, types, class_types = [], 0, np.zeros(OCTAVES + 2, np.int64)
+    length = F.expr("aggregate(sizes, 0L, (a, x) -> a + x)")
+    sums = parts.agg(F.sum("words"), F.sum("kept"), F.sum("train"), F.sum(length)).first()
+    words, n_kept, n_train, n_tokens = (x or 0 for x in sums)
+    bits = lambda n, most: max(6, int(n // most).bit_length())
+    totals = stage(_totals(parts, bits(words, BUCKET_WORDS)), "totals")
+    n_types = kept_types = 0
     for row in totals.where("part = -1").toLocalIterator():  # one per bucket
-        often.append(np.frombuffer(row["often"], np.uint64))
-        class_types += np.frombuffer(row["counts"], np.int64)
-    often = np.sort(np.concatenate(often)) if often else np.zeros(0, np.uint64)
-    n_types, kept_types = int(class_types[0]), int(class_types[1])
-    class_types = np.concatenate([np.ones(len(often), np.int64), class_types[2:]])
-    class_types[-1] = 1  # unseen words
-    size = len(often) + OCTAVES
-    shared = spark.sparkContext.broadcast(often)
-    per_part = totals.where("part >= 0").groupBy("part")
-
-    def count(tokens: pa.Table, own: pa.Table) -> pa.Table:
-        _, _, kind_of = _classes(own, shared.value)
-        pairs = np.zeros((2, size * size), np.int64)
-        for _, folds_, sizes, ids in _rows(tokens):
-            of_token = kind_of[ids]
-            before = _contexts(of_token, sizes, of_token[-1])  # a row's last token is an end
-            fold_of = np.repeat(folds_, sizes)
-            for f in (0, 1):
-                pairs[f] += np.bincount((before * size + of_token)[fold_of == f], minlength=size * size)
-        code = np.flatnonzero(pairs.any(0))
-        return pa.table({"code": pa.array(code, pa.int32()), "kept": pairs[0][code], "held": pairs[1][code]})
-
-    slim = parts.select("part", "keys", "folds", "sizes", "ids")
-    pairs = slim.groupBy("part").cogroup(per_part).applyInArrow(count, "code int, kept bigint, held bigint")
-    pairs = pairs.groupBy("code").agg(F.sum("kept").alias("kept"), F.sum("held").alias("held")).toArrow()
-    table = np.zeros((2, size * size), np.int64)
-    for f, name in enumerate(("kept", "held")):
-        table[f][pairs["code"].to_numpy()] = pairs[name].to_numpy()
-    table = table.reshape(2, size, size)
-    mixture = Mixture(often, table[0], learn_weights(table[0], table[1], class_types), n_kept, kept_types)
-    model = spark.sparkContext.broadcast(mixture)
+        train_here, kept_here = unpack(row["counts"]).tolist()
+        n_types, kept_types = n_types + train_here, kept_types + kept_here
+    per_part = totals.where("part >= 0")
+    pairs = stage(_pair_sums(parts, per_part.groupBy("part"), bits(n_tokens, BUCKET_PAIRS), used=0), "pairs")
+    weights = _from_cells(*_held_cells(pairs), n_kept, kept_types)
+    model = spark.sparkContext.broadcast(weights)
     base_total = n_train + 0.5 * (n_types + 1)
 
     def rate(tokens: pa.Table, own: pa.Table) -> pa.Table:
-        kept, train, kind_of = _classes(own, model.value.often)
+        rows = own.to_pylist()
+        kept, train, many = _words([r for r in rows if not r["of_pairs"]])
         base = np.log10((train + 0.5) / base_total)
-        out = []
+        pairs = _pairs(tokens, many)
+        count = pairs.counts[0].copy()
+        received = sorted((r for r in rows if r["of_pairs"]), key=lambda r: r["bucket"])
+        count[pairs.sent] = np.concatenate([np.zeros(0, np.int64), *(unpack(r["counts"]) for r in received)])
+        of_pair = np.log10(mix(model.value, n_kept, kept_types, kept[pairs.context], kept[pairs.word], count))
+        out, at = [], 0
         for keys, folds_, sizes, ids in _rows(tokens):
-            of_token = kind_of[ids]
-            before = _contexts(of_token, sizes, of_token[-1])
-            p = np.log10(model.value.probability(before, of_token, kept[ids]))
+            p = of_pair[pairs.of_token[at : at + len(ids)]]
+            at += len(ids)
             begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
             add = lambda values: np.add.reduceat(values, begins)  # noqa: E731  every text has a token
             out.append(pa.table({
@@ -305,5 +423,7 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
             }))
         return pa.concat_tables(out)
 
+    slim = parts.select("part", "keys", "folds", "sizes", "ids", "hashes")
+    per_part = per_part.withColumn("of_pairs", F.lit(False)).unionByName(pairs.where("part >= 0").withColumn("of_pairs", F.lit(True))).groupBy("part")
     ddl = f"key {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     return slim.groupBy("part").cogroup(per_part).applyInArrow(rate, ddl).withColumnRenamed("key", key)

@@ -111,6 +111,41 @@ def test_mixture_is_a_distribution():
         assert 0.99 < p.sum() <= 1 + 1e-9 if kept[before].any() else p.sum() <= 1 + 1e-9
 
 
+def brute_scores(docs, folds=5, fold=1):
+    """Word-pair model of (key, text) by dictionaries; the weights are learned from exact estimates."""
+    import numpy as np
+
+    crc = lambda k: zlib.crc32(str(k).encode())
+    part = {k: 2 if crc(k) % folds == fold else int(crc(k) // folds % 10 == 0) for k, _ in docs}
+    tokens = {k: t.lower().split() + [None] for k, t in docs}
+    steps = lambda f: [(a, b) for k, ws in tokens.items() if part[k] == f for a, b in zip([None, *ws], ws)]
+
+    def counted(pairs):
+        return collections.Counter(pairs), collections.Counter(b for _, b in pairs)
+
+    both, one = counted(steps(0))
+    n, types = sum(one.values()), len(one)
+    estimates = lambda a, b: (1 / (types + 1), one[b] / n, both[a, b] / max(one[a], 1))
+    held = steps(1)
+    weights = lm._maximise(lm._octave(np.array([one[a] for a, _ in held])), np.ones(len(held)), np.array([estimates(a, b) for a, b in held]))
+    of = lambda a, b: math.log10(sum(w * p for w, p in zip(weights[one[a].bit_length()], estimates(a, b))))
+    return {k: sum(of(a, b) for a, b in zip([None, *ws], ws)) for k, ws in tokens.items()}
+
+
+@pytest.mark.parametrize("limits", [{}, {"PART_BYTES": 3000, "ROW_TOKENS": 50, "BUCKET_PAIRS": 500}])
+def test_every_pair_of_words_has_its_count(spark, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(lm, name, value)
+    rng = random.Random(5)
+    pairs = [f"left{i} right{i} " for i in range(60)]  # rarer than 1/2048 of the tokens
+    docs = [(i, "the " * 400 + "".join(rng.choices(pairs, k=6))) for i in range(300)] + [(1000 + i, f"left{i} right{i}") for i in range(9)]
+    docs += [(2000 + i, f"left{i} right{i + 1}") for i in range(9)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    got, want = {r.doc_id: r.score for r in lm.score(df).collect()}, brute_scores(docs)
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 0.03 * abs(want[k]) for k in want)
+    assert all(got[1000 + i] > got[2000 + i] + 0.5 for i in range(9))
+
+
 # --- shards -----------------------------------------------------------------------
 
 
