@@ -266,10 +266,10 @@ def _from_cells(cells: np.ndarray, n: np.ndarray, tokens: int, types: int) -> np
     return _maximise(cells >> 24, n.astype(float), np.stack([uniform, of_word, np.where(pair > 0, 2.0 ** ((1 - pair) / FINE), 0)], axis=1))
 
 
-def _pair_sums(parts: DataFrame, per_part: DataFrame, bits: int, used: int) -> DataFrame:
-    """Counts of the whole corpus for the sent pairs of every part, in the order of their hash:
-    (part, bucket, counts: kept if `used` is 0, train if 1). Rows with part -1 have a bucket's
-    held-out pairs: cells and their counts."""
+def _pair_sums(parts: DataFrame, per_part: DataFrame, bits: int) -> DataFrame:
+    """Train counts of the whole corpus for the sent pairs of every part, in the order of their
+    hash: (part, bucket, counts). Rows with part -1 have a bucket's held-out pairs: cells and
+    their counts."""
 
     def ask(tokens: pa.Table, own: pa.Table) -> pa.Table:
         kept, _, many = _words(own.to_pylist())
@@ -292,7 +292,7 @@ def _pair_sums(parts: DataFrame, per_part: DataFrame, bits: int, used: int) -> D
             of = place[at : at + counts.shape[1]]
             at += len(of)
             words[:, of[counts[1] > counts[0]]] = unpack(row["held"]).reshape(2, -1)
-            out.append((row["part"], bucket, pack(sums[used][of])))
+            out.append((row["part"], bucket, pack(sums[1][of])))
         held = np.flatnonzero(sums[1] > sums[0])
         cells, which = np.unique(_cells(words[0][held], words[1][held], sums[0][held]), return_inverse=True)
         out.append((-1, bucket, pack(np.concatenate([cells, np.bincount(which, (sums[1] - sums[0])[held], len(cells)).astype(np.int64)]))))
@@ -374,7 +374,8 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     model mixes uniform, word and word-pair estimates; every pair of words keeps its own count.
     Nine tenths of the training texts are counted; the weights, one set per octave of the
     context's count, come from the words of the last tenth (deleted from the counts) by
-    expectation-maximisation over their estimates, rounded to 1/FINE of an octave.
+    expectation-maximisation over their estimates, rounded to 1/FINE of an octave. Texts are
+    then scored with the counts of all training texts.
 
     Words and pairs go to buckets of their hash and sums come back per part; the driver gets one
     row per bucket and the held-out cells, at most a fixed grid. Returns key, held_out, n_tokens,
@@ -396,20 +397,20 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
         train_here, kept_here = unpack(row["counts"]).tolist()
         n_types, kept_types = n_types + train_here, kept_types + kept_here
     per_part = totals.where("part >= 0")
-    pairs = stage(_pair_sums(parts, per_part.groupBy("part"), bits(n_tokens, BUCKET_PAIRS), used=0), "pairs")
+    pairs = stage(_pair_sums(parts, per_part.groupBy("part"), bits(n_tokens, BUCKET_PAIRS)), "pairs")
     weights = _from_cells(*_held_cells(pairs), n_kept, kept_types)
     model = spark.sparkContext.broadcast(weights)
     base_total = n_train + 0.5 * (n_types + 1)
 
     def rate(tokens: pa.Table, own: pa.Table) -> pa.Table:
         rows = own.to_pylist()
-        kept, train, many = _words([r for r in rows if not r["of_pairs"]])
+        _, train, many = _words([r for r in rows if not r["of_pairs"]])
         base = np.log10((train + 0.5) / base_total)
         pairs = _pairs(tokens, many)
-        count = pairs.counts[0].copy()
+        count = pairs.counts[1].copy()
         received = sorted((r for r in rows if r["of_pairs"]), key=lambda r: r["bucket"])
         count[pairs.sent] = np.concatenate([np.zeros(0, np.int64), *(unpack(r["counts"]) for r in received)])
-        of_pair = np.log10(mix(model.value, n_kept, kept_types, kept[pairs.context], kept[pairs.word], count))
+        of_pair = np.log10(mix(model.value, n_train, n_types, train[pairs.context], train[pairs.word], count))
         out, at = [], 0
         for keys, folds_, sizes, ids in _rows(tokens):
             p = of_pair[pairs.of_token[at : at + len(ids)]]

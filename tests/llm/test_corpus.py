@@ -128,6 +128,8 @@ def brute_scores(docs, folds=5, fold=1):
     estimates = lambda a, b: (1 / (types + 1), one[b] / n, both[a, b] / max(one[a], 1))
     held = steps(1)
     weights = lm._maximise(lm._octave(np.array([one[a] for a, _ in held])), np.ones(len(held)), np.array([estimates(a, b) for a, b in held]))
+    both, one = counted(steps(0) + held)  # scored with all training texts
+    n, types = sum(one.values()), len(one)
     of = lambda a, b: math.log10(sum(w * p for w, p in zip(weights[one[a].bit_length()], estimates(a, b))))
     return {k: sum(of(a, b) for a, b in zip([None, *ws], ws)) for k, ws in tokens.items()}
 
@@ -146,6 +148,15 @@ def test_every_pair_of_words_has_its_count(spark, monkeypatch, limits):
     assert all(got[1000 + i] > got[2000 + i] + 0.5 for i in range(9))
 
 
+def test_texts_that_teach_weights_are_counted_too(spark):
+    docs = [(i, f"some plain words{i % 7} here") for i in range(200)]
+    teach = [k for k in range(1000, 1300) if zlib.crc32(str(k).encode()) % 5 != 1 and zlib.crc32(str(k).encode()) // 5 % 10 == 0][:8]
+    docs += [(k, "fresh start again") for k in teach]  # words that no other text has
+    got = {r.doc_id: r.score for r in lm.score(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    want = brute_scores(docs)
+    assert all(abs(got[k] - want[k]) < 0.03 * abs(want[k]) for k in want)
+
+
 # --- shards -----------------------------------------------------------------------
 
 
