@@ -9,16 +9,21 @@ from milepost.session import stage
 def keep_least(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each component: the one with the smallest key.
 
-    The dropped keys are joined away (broadcast up to a counted size), so kept texts are not
-    shuffled for few drops. Documents without key are kept; rows that repeat a key and its text stay once.
+    A document is its key and its text's hash, so a repeated key drops only the texts that are
+    copies, and of copies without key one stays, if no copy has a key. The dropped ones are joined
+    away (broadcast up to a counted size), so kept texts are not shuffled for few drops. Rows that
+    repeat a key and its text stay once; null or blank texts without key are copies of nothing.
     """
-    found = stage(jaccard_components(docs, key, text).select(F.col(key).alias("_k"), "component_id"), "components")
-    dropped = stage(found.where("component_id <> _k").select("_k").distinct(), "dropped")
+    own = F.struct(F.col(f"`{key}`").isNull().alias("unkeyed"), F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("hash"))
+    found = jaccard_components(docs.select(own.alias("_k"), F.col(f"`{text}`").alias("_t")), "_k", "_t")
+    found = stage(found.select("_k", "component_id", (F.col("n_shingles") > 0).alias("full")), "components")
+    same = own.eqNullSafe(F.col("_k"))
+    dropped = stage(found.where(~F.col("component_id").eqNullSafe(F.col("_k"))).select("_k").distinct(), "dropped")
     if dropped.count() <= BROADCAST_ROWS:
         dropped = F.broadcast(dropped)
-    kept = docs.join(dropped, F.col(f"`{key}`") == F.col("_k"), "left_anti")
-    again = stage(found.where("_k is not null").groupBy("_k").count().where("count > 1").select("_k"), "again")
+    kept = docs.join(dropped, same, "left_anti")
+    again = found.where("full or not _k.unkeyed").groupBy("_k").count().where("count > 1").select("_k")
+    again = stage(again, "again")
     if again.isEmpty():
         return kept
-    same = F.col(f"`{key}`") == F.col("_k")
     return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates([key, text]))

@@ -6,6 +6,7 @@ import pytest
 
 from milepost.llm import jaccard
 from milepost.llm.components import components
+from milepost.llm.keep import keep_least
 
 
 def words_of(text):
@@ -127,3 +128,17 @@ def test_components(spark):
             parent[high] = low
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {n: find(n) for n in parent if any(n in e and e[0] != e[1] for e in edges)}
+
+
+def test_repeated_and_null_keys_lose_only_copies(spark):
+    near, other = "a b c d e f g h i j k l m n o p", "entirely different words that no other text of this table has"
+    rows = [(1, near), (5, near + " q"), (5, other), (5, other), (None, near), (None, "alone " + other[::-1])]
+    rows += [(None, "u v w x y z one two three"), (None, "U v w x y z one two three"), (None, "u v w x y z one two three")]
+    rows += [(None, None), (None, None), (None, " "), (8, None), (8, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = [tuple(r) for r in keep_least(df).collect()]
+    group = [r for r in got if r[1] and r[1].lower().startswith("u v")]
+    assert len(group) == 1 and group[0][0] is None
+    want = [(1, near), (5, other), (None, "alone " + other[::-1]), (None, None), (None, None), (None, " "), (8, None)]
+    assert sorted(map(str, got)) == sorted(map(str, [*want, *group]))
+    assert keep_least(df.limit(0)).collect() == []
