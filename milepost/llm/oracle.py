@@ -97,4 +97,68 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
-ORACLE = {"op2_jaccard_join": OP2, "op3_quality_rules": OP3, "op6_warc_index": OP6, "op7_decontamination": OP7}
+def _op12(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Rounds are fixed, so each is a step of its own: assign, then move the entries."""
+    floor_mean = "CAST((s - ((s % n) + n) % n) // n AS BIGINT)"
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""
+far{k} AS (SELECT vec_id, part, entry, CAST(sum((c.x - e.x) * (c.x - e.x)) AS BIGINT) AS far
+    FROM cells c JOIN book{k} e USING (part, pos) GROUP BY ALL),
+near{k} AS (SELECT vec_id, part, arg_min(entry, (far, entry)) AS entry, min(far) AS far FROM far{k} GROUP BY ALL)""")
+        if k < rounds:
+            steps.append(f"""
+moved{k} AS (SELECT part, entry, pos, sum(x) AS s, count(*) AS n FROM near{k} JOIN cells USING (vec_id, part) GROUP BY ALL),
+book{k + 1} AS (SELECT part, entry, pos, coalesce({floor_mean}, x) AS x FROM book{k} LEFT JOIN moved{k} USING (part, entry, pos))""")
+    return f"""
+WITH kept AS (
+    SELECT vec_id, label, embedding AS v, len(embedding) // {parts} AS width FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+flat AS (SELECT vec_id, width, unnest(v) AS x, unnest(range(0, len(v))) AS i FROM kept),
+cells AS MATERIALIZED (
+    SELECT vec_id, i // width AS part, i % width AS pos, CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM flat),
+opening AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept QUALIFY entry < {entries}),
+book0 AS (SELECT part, entry, pos, x FROM cells JOIN opening USING (vec_id)),{",".join(steps)},
+digest AS (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, pos)) AS codebooks_sha256 FROM book{rounds}),
+coded AS (
+    SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(far) AS BIGINT) AS error
+    FROM near{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), digest
+"""
+
+
+OP12 = _op12()
+
+OP13 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+words AS (
+    SELECT r, lang, source, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+    FROM (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM d)),
+kept AS MATERIALIZED (SELECT lang, term, count(*) AS n FROM words GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+found AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+kinds AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY ALL),
+grouped AS (
+    SELECT lang, source, coalesce(n, 0) AS total, coalesce(v, 0) AS v FROM (SELECT DISTINCT lang, source FROM d)
+    LEFT JOIN (SELECT lang, source, sum(n) AS n FROM found GROUP BY ALL) USING (lang, source) LEFT JOIN (SELECT lang, v FROM kinds) USING (lang)),
+prob AS MATERIALIZED (
+    SELECT g.lang, g.source, k.term, coalesce(f.n, 0) AS n, CAST(1 + 1000000000 * (coalesce(f.n, 0) + 1) // (g.total + g.v) AS BIGINT) AS p
+    FROM grouped g JOIN kept k USING (lang) LEFT JOIN found f ON f.lang = g.lang AND f.source = g.source AND f.term = k.term),
+pair AS (
+    SELECT a.lang, a.source, b.source AS item, CAST(sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS BIGINT) AS value
+    FROM prob a JOIN prob b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+    FROM grouped a JOIN grouped b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pair p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source),
+of_lang AS (SELECT lang, term, CAST(1 + 1000000000 * (k.n + 1) // (i.n + i.v) AS BIGINT) AS q FROM kept k JOIN kinds i USING (lang)),
+terms AS (
+    SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // q AS value
+    FROM prob JOIN of_lang USING (lang, term) WHERE prob.n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+QUALIFY part = 'pair' OR rank <= 200
+"""
+
+
+ORACLE = {"op2_jaccard_join": OP2, "op3_quality_rules": OP3, "op6_warc_index": OP6, "op7_decontamination": OP7, "op12_cover_tree_codes": OP12, "op13_source_audit": OP13}
