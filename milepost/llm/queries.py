@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from milepost.llm import decontaminate, divergence, gam, jaccard, lm, packing, quality_rules, shards, token_counts, token_files, vector_codes, warc
+from milepost.llm import decontaminate, divergence, gam, jaccard, lm, packing, passages, quality_rules, shards, token_counts, token_files, vector_codes, warc
 
 
 def tokenizer(name):
@@ -74,6 +74,10 @@ def op10_quality_classifier(spark, folder):
     return scored.select("doc_id", gam.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_prefix_doubling(spark, folder):
+    return passages.remove_repeats(table(spark, folder, "documents")).drop("spans")
+
+
 def op12_cover_tree_codes(spark, folder):
     return vector_codes.compress(table(spark, folder, "embeddings"))
 
@@ -86,6 +90,6 @@ REGISTERED = {
     f.__name__: f
     for f in (
         op1_harmonic_packing, op2_jaccard_join, op3_quality_rules, op4_pfor_files, op5_token_counts, op6_warc_index,
-        op7_decontamination, op8_deleted_interpolation, op9_best_fit_shards, op10_quality_classifier, op12_cover_tree_codes, op13_source_audit,
+        op7_decontamination, op8_deleted_interpolation, op9_best_fit_shards, op10_quality_classifier, op11_prefix_doubling, op12_cover_tree_codes, op13_source_audit,
     )
 }
