@@ -22,7 +22,7 @@ def terms(data: bytes | None) -> list[bytes]:
     return data.translate(_LETTERS).split(b" ") if data else []
 
 
-def _count(batches):
+def _count(batches, most: int):
     """(lang, source, term, n, docs) folded in the task: occurrences and documents. Every
     group also gives a row with the empty term, which no text has."""
     counts, docs, held = {}, {}, 0
@@ -47,16 +47,16 @@ def _count(batches):
             counts[group].update(found)
             docs[group].update(found.keys())
             held += len(counts[group])
-        if held > FLUSH:
+        if held > most:
             yield flush()
             counts, docs, held = {}, {}, 0
     yield flush()
 
 
-def count_terms(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+def count_terms(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", held: int = FLUSH) -> DataFrame:
     """(lang, source, term, n, docs) of all documents; nulls read as ''."""
     columns = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(n) for c, n in ((text, "text"), (lang, "lang"), (source, "source"))]
-    flat = docs.select(columns).mapInArrow(_count, "lang string, source string, term string, n bigint, docs bigint")
+    flat = docs.select(columns).mapInArrow(lambda batches: _count(batches, held), "lang string, source string, term string, n bigint, docs bigint")
     return flat.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
@@ -137,8 +137,9 @@ def _pairs(profiles: DataFrame, entries: DataFrame, sizes: DataFrame) -> DataFra
 
 
 def audit_sources(
-    docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", least_docs: int = LEAST_DOCS, ranks: int = RANKS
-) -> DataFrame:
+    docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
+    least_docs: int = LEAST_DOCS, ranks: int = RANKS, held: int = FLUSH,
+) -> DataFrame:
     """(lang, source, part, item, value, rank): the divergence of each source from every other source
     of its language (part `pair`, all of them), and the terms that a source uses more
     than its language does (part `term`, ranks up to `ranks`).
@@ -151,7 +152,7 @@ def audit_sources(
     term of a language is kept, its values are 0. Repeated rows count as documents of their own.
     Other columns are not read. No documents, no rows; a source alone in its language has no pairs.
     """
-    counts = stage(count_terms(docs, text, lang, source), "terms")
+    counts = stage(count_terms(docs, text, lang, source, held), "terms")
     entry = F.struct(F.col("source"), F.col("n"))
     profiles = counts.where("term <> ''").groupBy("lang", "term").agg(
         F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"), F.sort_array(F.collect_list(entry)).alias("counts")

@@ -141,8 +141,9 @@ def integers(vectors: np.ndarray) -> np.ndarray:
     return np.floor(SCALE * vectors.astype(np.float64)).astype(np.int64)
 
 
-def _plant(batches, parts: int, width: int, out):
+def _plant(batches, parts: int, width: int, size: int, out):
     """One row per chunk of vectors: their ids and labels, and the chunk's trees."""
+
     def chunk(table):
         vectors = table["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, parts, width)
         points = np.ascontiguousarray(integers(vectors).transpose(1, 0, 2))
@@ -155,10 +156,10 @@ def _plant(batches, parts: int, width: int, out):
     for batch in batches:
         held.append(batch)
         rows += batch.num_rows
-        while rows >= CHUNK:
+        while rows >= size:
             table = pa.Table.from_batches(held)
-            yield chunk(table.slice(0, CHUNK))
-            held, rows = table.slice(CHUNK).to_batches(), rows - CHUNK
+            yield chunk(table.slice(0, size))
+            held, rows = table.slice(size).to_batches(), rows - size
     if rows:
         yield chunk(pa.Table.from_batches(held))
 
@@ -215,8 +216,9 @@ def _whole(vector: Column) -> Column:
 
 
 def compress(
-    vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", parts: int = 8, entries: int = 16, rounds: int = 6
-) -> DataFrame:
+    vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label",
+    parts: int = 8, entries: int = 16, rounds: int = 6, chunk: int = CHUNK,
+) -> DataFrame:
     """(key, code, error, label_error, codebooks_sha256) of every kept vector.
 
     Components become integers, vectors are cut into `parts` equal parts, and each part is
@@ -249,7 +251,7 @@ def compress(
 
     planted = StructType([StructField("ids", ArrayType(id_type)), StructField("labels", ArrayType(label_type))] + schema_of("points binary, order binary, nodes binary").fields)
     arrow = to_arrow_schema(planted)
-    trees = stage(rows.mapInArrow(lambda batches: _plant(batches, parts, width, arrow), planted), "trees")
+    trees = stage(rows.mapInArrow(lambda batches: _plant(batches, parts, width, chunk, arrow), planted), "trees")
     book = integers(np.array([r[0] for r in start]).reshape(-1, parts, width)).transpose(1, 0, 2)
     for _ in range(rounds if start else 0):
         book = _round(trees, book)
