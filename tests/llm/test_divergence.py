@@ -4,6 +4,7 @@ import collections
 import random
 import re
 
+import numpy as np
 import pytest
 
 from milepost.llm import divergence
@@ -60,10 +61,11 @@ def test_equals_plain_sums(spark, seed, n, ranks, least):
     assert sorted(map(tuple, got.collect())) == brute(docs, least, ranks)
 
 
-def test_counts_are_folded_over_flushes(spark):
+@pytest.mark.parametrize("held, bucket", [(10, 50), (1 << 20, 100), (500, 1 << 20)])
+def test_counts_are_added_up_over_blocks(spark, held, bucket):
     docs = corpus(5, 80)
     df = spark.createDataFrame(docs, "text string, lang string, source string").coalesce(1)
-    assert sorted(map(tuple, divergence.audit_sources(df, held=10).collect())) == brute(docs)
+    assert sorted(map(tuple, divergence.audit_sources(df, held=held, bucket=bucket).collect())) == brute(docs)
 
 
 def test_very_long_text(spark):
@@ -77,10 +79,26 @@ def test_empty_table(spark):
     assert divergence.audit_sources(df).collect() == []
 
 
-def test_probability_is_exact_beyond_64_bits(spark):
-    row = spark.sql("select 9000000000000000000L as n, 9100000000000000000L as total, 1000000000000L as kinds")
-    value = row.select(divergence.probability("n", "total", "kinds")).first()[0]
-    assert value == 1 + 10**9 * (9 * 10**18 + 1) // (91 * 10**17 + 10**12)
+def test_probability_is_exact_at_large_counts():
+    rng = random.Random(6)
+    pairs = [(rng.randrange(s), s) for s in (1, 7, 10**9, 10**12 + 7, 2**53 - 1) for _ in range(20)]
+    got = divergence.probability(np.array([c for c, _ in pairs]), np.array([s for _, s in pairs]))
+    assert got.tolist() == [1 + 10**9 * (c + 1) // s for c, s in pairs]
+
+
+@pytest.mark.parametrize("ranks", [1, 3, 10, 1000])
+def test_cells_list_what_a_full_sort_lists(ranks):
+    rng = np.random.default_rng(ranks)
+    source, n = rng.integers(0, 4, 500), rng.integers(1, 5, 500)
+    lang_n = n + rng.integers(0, 6, 500)
+    size = np.array([300, 400, 500, 900])
+    entry, value = divergence.top_cells(source, n, lang_n, size, 2500, ranks)
+    p, q = divergence.probability(n, size[source]), divergence.probability(lang_n, np.int64(2500))
+    want = []
+    for s in range(4):
+        listed = sorted((-int((p[i] - q[i]) ** 2 // q[i]), i) for i in range(500) if source[i] == s and p[i] > q[i])
+        want += [(i, -v) for v, i in listed[:ranks]]
+    assert list(zip(entry.tolist(), value.tolist())) == want
 
 
 def test_query_matches_sql(spark):
