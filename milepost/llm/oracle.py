@@ -34,14 +34,15 @@ base AS (
            length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines,
            coalesce(n, 0) AS n_repeat_words, len(l) AS n_lines,
            len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_adjacent,
-           length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper
+           len(list_distinct(w)) AS n_distinct
     FROM d LEFT JOIN repeated USING (doc_id)),
 shares AS (
-    SELECT doc_id, g0, g1, m.measure, m.share, m.least FROM base, unnest([
-        {{'measure': 'symbols', 'share': 1000 * n_symbols // greatest(word_chars, 1), 'least': 30}},
-        {{'measure': 'dup_lines', 'share': 1000 * n_dup_lines // greatest(n_lines, 1), 'least': 400}},
-        {{'measure': 'adjacent', 'share': 1000 * n_adjacent // greatest(n_words, 1), 'least': 150}},
-        {{'measure': 'upper', 'share': 1000 * n_upper // greatest(word_chars, 1), 'least': 400}}]) AS u(m)),
+    SELECT doc_id, g0, g1, n_words, m.measure, m.both, least(m.share, 1000) AS share FROM base, unnest([
+        {{'measure': 'symbols', 'share': 1000 * n_symbols // greatest(word_chars, 1), 'both': false}},
+        {{'measure': 'dup_lines', 'share': 1000 * n_dup_lines // greatest(n_lines, 1), 'both': false}},
+        {{'measure': 'adjacent', 'share': 1000 * n_adjacent // greatest(n_words, 1), 'both': false}},
+        {{'measure': 'word_length', 'share': 100 * word_chars // greatest(n_words, 1), 'both': true}},
+        {{'measure': 'distinct', 'share': 1000 * n_distinct // greatest(n_words, 1), 'both': true}}]) AS u(m)),
 placed AS (
     SELECT *, row_number() OVER o AS at_own, count(*) OVER g AS n_own, row_number() OVER ol AS at_lang, count(*) OVER gl AS n_lang,
            row_number() OVER oa AS at_any, count(*) OVER ga AS n_any
@@ -49,20 +50,29 @@ placed AS (
         gl AS (PARTITION BY measure, g0), ol AS (PARTITION BY measure, g0 ORDER BY share),
         ga AS (PARTITION BY measure), oa AS (PARTITION BY measure ORDER BY share)),
 own AS (
-    SELECT measure, g0, g1, any_value(n_own) AS n, min(share) FILTER (4 * at_own >= n_own) AS q1, min(share) FILTER (4 * at_own >= 3 * n_own) AS q3
+    SELECT measure, g0, g1, any_value(n_own) AS n, min(share) FILTER (4 * at_own >= n_own) AS q1, min(share) FILTER (4 * at_own >= 3 * n_own) AS q3,
+           min(share) FILTER (100 * at_own >= 99 * n_own) AS tail
     FROM placed GROUP BY ALL),
 by_lang AS (
-    SELECT measure, g0, any_value(n_lang) AS n, min(share) FILTER (4 * at_lang >= n_lang) AS q1, min(share) FILTER (4 * at_lang >= 3 * n_lang) AS q3
+    SELECT measure, g0, any_value(n_lang) AS n, min(share) FILTER (4 * at_lang >= n_lang) AS q1, min(share) FILTER (4 * at_lang >= 3 * n_lang) AS q3,
+           min(share) FILTER (100 * at_lang >= 99 * n_lang) AS tail
     FROM placed GROUP BY ALL),
 of_any AS (
-    SELECT measure, min(share) FILTER (4 * at_any >= n_any) AS q1, min(share) FILTER (4 * at_any >= 3 * n_any) AS q3
+    SELECT measure, min(share) FILTER (4 * at_any >= n_any) AS q1, min(share) FILTER (4 * at_any >= 3 * n_any) AS q3,
+           min(share) FILTER (100 * at_any >= 99 * n_any) AS tail
     FROM placed GROUP BY ALL),
+limits AS (
+    SELECT measure, o.g0, o.g1, CASE WHEN o.n >= 50 THEN o.q1 WHEN b.n >= 50 THEN b.q1 ELSE a.q1 END AS q1,
+           CASE WHEN o.n >= 50 THEN o.q3 WHEN b.n >= 50 THEN b.q3 ELSE a.q3 END AS q3,
+           CASE WHEN o.n >= 50 THEN o.tail WHEN b.n >= 50 THEN b.tail ELSE a.tail END AS tail
+    FROM own o JOIN by_lang b USING (measure, g0) JOIN of_any a USING (measure)),
+away AS (
+    SELECT doc_id, share, q3 - q1 AS spread, tail, n_words, greatest(share - q3, CASE WHEN both THEN q1 - share ELSE 0 END, 0) AS off
+    FROM shares JOIN limits USING (measure, g0, g1)),
 verdict AS (
-    SELECT doc_id, bool_and(share <= greatest(s.least,
-               CASE WHEN o.n >= 50 THEN o.q3 + 3 * (o.q3 - o.q1) WHEN b.n >= 50 THEN b.q3 + 3 * (b.q3 - b.q1)
-                    ELSE a.q3 + 3 * (a.q3 - a.q1) END)) AS fine
-    FROM shares s JOIN own o USING (measure, g0, g1) JOIN by_lang b USING (measure, g0) JOIN of_any a USING (measure)
-    GROUP BY doc_id)
+    SELECT doc_id, bool_and(CASE WHEN spread > 0 THEN 4 * off * off * n_words <= 25 * spread * spread * greatest(n_words, 400)
+                                 ELSE share <= tail END) AS fine
+    FROM away GROUP BY doc_id)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,

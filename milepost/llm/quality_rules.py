@@ -6,18 +6,19 @@ from milepost.llm.arrow import add_columns
 from milepost.llm.measures import NAMES, measure
 from milepost.session import stage
 
-GRID = 1000  # a share is kept as a whole number of thousandths: the sketch's buckets
+GRID = 1000  # a measure is kept as a whole number up to here: the sketch's buckets
 
-# Measure -> (its thousandths as SQL over the counts, threshold never below this).
-# The floors are far outside what prose shows; they only keep a source of very even
-# texts (all shares 0) from rejecting the first text that differs.
+# Measure -> (its bucket as SQL over the counts, whether low values are outliers too).
 SHARES = {
-    "symbols": ("1000 * n_symbols div greatest(word_chars, 1)", 30),
-    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", 400),
-    "adjacent": ("1000 * n_adjacent div greatest(n_words, 1)", 150),
-    "upper": ("1000 * n_upper div greatest(word_chars, 1)", 400),
+    "symbols": ("1000 * n_symbols div greatest(word_chars, 1)", False),
+    "dup_lines": ("1000 * n_dup_lines div greatest(n_lines, 1)", False),
+    "adjacent": ("1000 * n_adjacent div greatest(n_words, 1)", False),
+    "word_length": ("100 * word_chars div greatest(n_words, 1)", True),
+    "distinct": ("1000 * n_distinct div greatest(n_words, 1)", True),
 }
-REACH = 3  # interquartile ranges above the third quartile
+REACH = 5  # half interquartile ranges beyond the quartiles that a measure may lie
+STEADY = 400  # words from which a text's measures count as steady; shorter ones may scatter more
+TAIL = 99  # percentile that stands in where a group's quartiles are equal
 LEAST_ROWS = 50  # smaller groups take the sketch of their language, or of everything
 
 BASE_FAILED = "n_words < 10 or 100 * n_repeat_words > 20 * n_words"
@@ -58,39 +59,50 @@ def merge(sketches: DataFrame, by: list[str]) -> DataFrame:
 
 
 def fences(sketches: DataFrame, by: list[str]) -> DataFrame:
-    """Per group and measure: its rows, and third quartile + REACH interquartile ranges."""
+    """Per group and measure: its rows, and cut = (first quartile, third quartile, TAIL percentile)."""
     whole = Window.partitionBy(*by, "measure")
     upto = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     run = sketches.withColumns({"upto": F.sum("n").over(upto), "rows": F.sum("n").over(whole)})
-    quartile = {q: F.min(F.when(F.col("upto") * 4 >= F.col("rows") * q, F.col("bucket"))) for q in (1, 3)}
-    return run.groupBy(*by, "measure").agg(
-        F.max("rows").alias("rows"), (quartile[3] + REACH * (quartile[3] - quartile[1])).alias("fence")
-    )
+    quantile = lambda percent: F.min(F.when(F.col("upto") * 100 >= F.col("rows") * percent, F.col("bucket"))).cast("bigint")
+    cut = F.struct(quantile(25).alias("q1"), quantile(75).alias("q3"), quantile(TAIL).alias("tail"))
+    return run.groupBy(*by, "measure").agg(F.max("rows").alias("rows"), cut.alias("cut"))
 
 
 def thresholds(sketches: DataFrame, shares=SHARES) -> DataFrame:
-    """One row per group of `sketches` (g0 language, g1 source): a threshold per measure.
+    """One row per group of `sketches` (g0 language, g1 source): the quantiles of every measure.
 
     A group of under LEAST_ROWS rows takes the merged sketch of its language, and a
     language of so few the sketch of all rows.
     """
     own, lang, every = fences(sketches, ["g0", "g1"]), fences(merge(sketches, ["g0"]), ["g0"]), fences(merge(sketches, []), [])
-    lang = lang.select("g0", "measure", F.col("rows").alias("lang_rows"), F.col("fence").alias("lang_fence"))
-    every = every.select("measure", F.col("fence").alias("any_fence"))  # one row per measure
-    fence = F.when(F.col("rows") >= LEAST_ROWS, F.col("fence")).when(F.col("lang_rows") >= LEAST_ROWS, F.col("lang_fence")).otherwise(F.col("any_fence"))
-    floors = F.create_map(*[F.lit(x) for name, (_, floor) in shares.items() for x in (name, floor)])
+    lang = lang.select("g0", "measure", F.col("rows").alias("lang_rows"), F.col("cut").alias("lang_cut"))
+    every = every.select("measure", F.col("cut").alias("any_cut"))  # one row per measure
+    cut = F.when(F.col("rows") >= LEAST_ROWS, F.col("cut")).when(F.col("lang_rows") >= LEAST_ROWS, F.col("lang_cut")).otherwise(F.col("any_cut"))
     chosen = own.join(lang, ["g0", "measure"]).join(F.broadcast(every), "measure")
-    chosen = chosen.select("g0", "g1", "measure", F.greatest(fence, floors[F.col("measure")]).alias("cut"))
+    chosen = chosen.select("g0", "g1", "measure", cut.alias("cut"))
     return chosen.groupBy("g0", "g1").agg(*[F.max(F.when(F.col("measure") == m, F.col("cut"))).alias(f"_cut_{m}") for m in shares])
 
 
+def within(bucket: Column, cut: Column, words: Column, both: bool) -> Column:
+    """Whether a measure is no outlier of its group.
+
+    It may lie REACH / 2 interquartile ranges beyond the quartiles. A text of fewer than STEADY words
+    may lie further off, as the square root of its words asks for. Where both
+    quartiles are equal, the TAIL percentile is the limit.
+    """
+    spread = cut["q3"] - cut["q1"]
+    off = F.greatest(bucket - cut["q3"], cut["q1"] - bucket if both else F.lit(0), F.lit(0))
+    scattered = 4 * off * off * words <= REACH * REACH * spread * spread * F.greatest(words, F.lit(STEADY))
+    return F.when(spread > 0, scattered).otherwise(bucket <= cut["tail"])
+
+
 def judge(rows: DataFrame, cuts: DataFrame, lang: str = "lang", source: str = "source", shares=SHARES) -> DataFrame:
-    """Rows with counts, joined to the thresholds of their group: adds base_failed and kept."""
+    """Rows with counts, joined to the quantiles of their group: adds base_failed and kept."""
     spare = cuts.withColumnsRenamed({"g0": "_g0", "g1": "_g1"})
     joined = rows.join(spare, (_group(lang) == F.col("_g0")) & (_group(source) == F.col("_g1")), "left")
     verdict = F.lit(True)
-    for name, (sql, floor) in shares.items():
-        verdict = verdict & (F.expr(sql) <= F.coalesce(F.col(f"_cut_{name}"), F.lit(floor)))
+    for name, (sql, both) in shares.items():
+        verdict = verdict & within(F.least(F.expr(sql), F.lit(GRID)), F.col(f"_cut_{name}"), F.col("n_words"), both)
     kept = [c for c in rows.columns if c not in ("base_failed", "kept")]
     return joined.select(*kept, F.expr(BASE_FAILED).alias("base_failed"), (~F.expr(BASE_FAILED) & verdict).alias("kept"))
 
@@ -99,9 +111,9 @@ def quality_rules(docs: DataFrame, text: str = "text", lang: str = "lang", sourc
     """`docs` without its text, with the counts, base_failed and kept.
 
     base_failed is fixed: fewer than 10 words, or over 20 % of the words in repeated
-    windows. The method's verdict compares four shares (symbols, repeated lines, words
-    equal to the word before, capitals) with thresholds taken from mergeable quantile sketches
-    of the document's language and source. The texts are read once; the counts are staged
+    windows. The method's verdict compares five measures (shares of symbols, repeated lines, words
+    equal to the word before and distinct words, and the mean length of words) with limits taken
+    from mergeable quantile sketches of the document's language and source; no limit is fixed. The texts are read once; the counts are staged
     without them, and the thresholds, one row per group, are joined back.
 
     A null or blank text has no words and fails the base rule. A null language or

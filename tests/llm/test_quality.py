@@ -53,15 +53,17 @@ def test_rules_against_brute_force(spark):
     docs += [(None, t, None, None) for t in TEXTS] + docs[:3]
     df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string").withColumn("kept", F.lit("clash"))
     counts = [dict(zip(NAMES, brute(t))) for _, t, _, _ in docs]
+    per = lambda a, b, scale=1000: lambda c: min(scale * c[a] // max(c[b], 1), 1000)
     shares = {
-        "symbols": lambda c: 1000 * c["n_symbols"] // max(c["word_chars"], 1), "dup_lines": lambda c: 1000 * c["n_dup_lines"] // max(c["n_lines"], 1),
-        "adjacent": lambda c: 1000 * c["n_adjacent"] // max(c["n_words"], 1), "upper": lambda c: 1000 * c["n_upper"] // max(c["word_chars"], 1),
+        "symbols": per("n_symbols", "word_chars"), "dup_lines": per("n_dup_lines", "n_lines"), "adjacent": per("n_adjacent", "n_words"),
+        "word_length": per("word_chars", "n_words", 100), "distinct": per("n_distinct", "n_words"),
     }
 
-    def fence(values):
+    def fine(values, name, x, words):
         values = sorted(values)
-        q1, q3 = (values[-(-len(values) * k // 4) - 1] for k in (1, 3))
-        return q3 + 3 * (q3 - q1)
+        q1, q3, tail = (values[-(-len(values) * percent // 100) - 1] for percent in (25, 75, 99))
+        off = max(x - q3, q1 - x if name in ("word_length", "distinct") else 0, 0)
+        return 4 * off**2 * words <= 25 * (q3 - q1) ** 2 * max(words, 400) if q3 > q1 else x <= tail
 
     groups, langs = collections.defaultdict(list), collections.defaultdict(list)
     for (_, _, lang, source), c in zip(docs, counts):
@@ -72,7 +74,7 @@ def test_rules_against_brute_force(spark):
         if c["n_words"] < 10 or 100 * c["n_repeat_words"] > 20 * c["n_words"]:
             return False
         own = next(g for g in (groups[lang or "", source or ""], langs[lang or ""], counts) if len(g) >= quality_rules.LEAST_ROWS or g is counts)
-        return all(f(c) <= max(fence(list(map(f, own))), quality_rules.SHARES[n][1]) for n, f in shares.items())
+        return all(fine(list(map(f, own)), n, f(c), c["n_words"]) for n, f in shares.items())
 
     want = sorted((str(k), *(c[n] for n in NAMES[:5]), kept(lang, source, c)) for (k, _, lang, source), c in zip(docs, counts))
     got = quality_rules.quality_rules(df).select(F.coalesce(F.col("doc_id").cast("string"), F.lit("None")), *NAMES[:5], "kept").collect()
@@ -82,6 +84,23 @@ def test_rules_against_brute_force(spark):
     assert quality_rules.quality_rules(df.limit(0)).collect() == []
 
 
+def test_limits_follow_the_group(spark):
+    """The same text is prose in one source and an outlier in another, and no fixed rule is asked."""
+    rng = np.random.default_rng(4)
+    text = lambda size: " ".join("".join(rng.choice(list("abcdefghij"), max(int(rng.normal(size, 1)), 1))) for _ in range(400))
+    probe = text(9)
+    rows = [(f"{s}{i}", text(size), "en", s) for s, size in (("long", 9), ("short", 4)) for i in range(60)]
+    rows += [("probe long", probe, "en", "long"), ("probe short", probe, "en", "short")]
+    df = spark.createDataFrame(rows, "doc_id string, text string, lang string, source string")
+    judged = {r.doc_id: (r.base_failed, r.kept) for r in quality_rules.quality_rules(df).collect()}
+    assert judged["probe long"] == (False, True) and judged["probe short"] == (False, False)
+
+
+def test_sketches_decide_on_the_given_table(spark):
+    judged = quality_rules.quality_rules(table(spark, FOLDER, "documents"))
+    assert judged.where("not base_failed and not kept").count() > 0
+
+
 def test_sketches_merge_exactly(spark):
     rows = quality_rules.measured(table(spark, FOLDER, "documents"))
     whole = quality_rules.sketch(rows, ["lang", "source"])
