@@ -1,5 +1,9 @@
 """Arrow batches in, Arrow batches out: the frame that the text operators share."""
 
+import ctypes
+import functools
+import inspect
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -35,6 +39,38 @@ def slices(batches, rows: int = 1000):
             yield batch.slice(at, rows)
 
 
+def _give_back() -> None:
+    """Memory that the allocators hold but do not use goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def frugal(work):
+    """`work`, a function for mapInArrow or applyInArrow, such that the worker process, which later
+    stages use again, does not keep the memory of its largest task or group."""
+    if inspect.isgeneratorfunction(work):
+
+        @functools.wraps(work)
+        def run(*args):
+            try:
+                yield from work(*args)
+            finally:
+                _give_back()
+
+    else:
+
+        @functools.wraps(work)
+        def run(*args):
+            try:
+                return work(*args)
+            finally:
+                _give_back()
+
+    return run
+
+
 def add_columns(df: DataFrame, text: str, ddl: str, make, keep_text: bool = False) -> DataFrame:
     """`df` with the columns of `ddl`, made from the text column batch by batch.
 
@@ -60,4 +96,4 @@ def add_columns(df: DataFrame, text: str, ddl: str, make, keep_text: bool = Fals
             arrays = batch.columns[: len(kept)] + [pa.array(v, t) for v, t in zip(values, types)]
             yield pa.RecordBatch.from_arrays(arrays, names=out.names)
 
-    return df.select(columns).mapInArrow(run, out)
+    return df.select(columns).mapInArrow(frugal(run), out)

@@ -13,7 +13,7 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from milepost.llm.arrow import lower_words, slices, utf8
+from milepost.llm.arrow import frugal, lower_words, slices, utf8
 from milepost.llm.components import components
 from milepost.session import stage
 
@@ -178,8 +178,8 @@ def _common(docs: DataFrame) -> Order:
         # One row for all occurrences, under no shingle.
         return pa.table({"front": pa.array([*front.tolist(), None], pa.int64()), "n": pa.array([*n[often].tolist(), len(flat)], pa.int64())})
 
-    sent = docs.select("text").mapInArrow(send, "bucket int, counts binary, low binary")
-    counts = stage(sent.groupBy("bucket").applyInArrow(count, "front bigint, n bigint"), "common")
+    sent = docs.select("text").mapInArrow(frugal(send), "bucket int, counts binary, low binary")
+    counts = stage(sent.groupBy("bucket").applyInArrow(frugal(count), "front bigint, n bigint"), "common")
     total = counts.where("front is null").agg(F.sum("n")).first()[0] or 0
     top = counts.where("front is not null").orderBy(F.desc("n"), "front").limit(COMMON).toArrow()
     return Order(top["front"].to_numpy().astype(np.uint32), top["n"].to_numpy(), total)
@@ -202,7 +202,7 @@ def _sets(docs: DataFrame, order) -> DataFrame:
             types = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(out, types)]], ["id", "rid", "n", "print", "rare", "keys"])
 
-    return docs.select("id", "text").mapInArrow(run, f"id {id_type}, rid bigint, n bigint, print binary, rare int, keys binary")
+    return docs.select("id", "text").mapInArrow(frugal(run), f"id {id_type}, rid bigint, n bigint, print binary, rare int, keys binary")
 
 
 def _post(sets: DataFrame, order, bits: int) -> DataFrame:
@@ -241,7 +241,7 @@ def _post(sets: DataFrame, order, bits: int) -> DataFrame:
         if held:
             yield close()
 
-    return sets.select("rid", "n", "rare", "keys").mapInArrow(run, "bucket bigint, key binary, rid binary, n binary, rare binary")
+    return sets.select("rid", "n", "rare", "keys").mapInArrow(frugal(run), "bucket bigint, key binary, rid binary, n binary, rare binary")
 
 
 def _close_sizes(a, b):
@@ -342,7 +342,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, names: DataFrame) -> DataFrame:
                         out.append((pivot[i], rid[i]))
             yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], pa.int64()) for j in (0, 1)], ["a", "b"])
 
-    return rows.mapInArrow(compare, "a bigint, b bigint")
+    return rows.mapInArrow(frugal(compare), "a bigint, b bigint")
 
 
 def _settle(groups: DataFrame, roots: DataFrame, docs: DataFrame, names: DataFrame) -> DataFrame:
@@ -386,7 +386,7 @@ def _settle(groups: DataFrame, roots: DataFrame, docs: DataFrame, names: DataFra
             out += [(min(rids[at], rids[k]), max(rids[at], rids[k])) for k in hit[once].tolist()]
         return pa.table({"a": pa.array([x[0] for x in out], pa.int64()), "b": pa.array([x[1] for x in out], pa.int64())})
 
-    return rows.groupBy("group", "i", "j").applyInArrow(scan, "a bigint, b bigint")
+    return rows.groupBy("group", "i", "j").applyInArrow(frugal(scan), "a bigint, b bigint")
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,12 +1,14 @@
 """Harmonic packing of documents into sequences of a fixed number of tokens."""
 
 import zlib
+from array import array
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from milepost.llm.arrow import slices, utf8
+from milepost.llm.arrow import frugal, slices, utf8
 from milepost.llm.tokens import ROWS, encoder
 from milepost.session import stage
 
@@ -47,42 +49,61 @@ def _fill(batches, path, end_id, capacity, keep_ids):
     Bins still open at the end are given out as rows without a sequence."""
     encode, ladder = encoder(path).encode, classes(capacity)
     sizes, task = sorted(ladder, reverse=True), TaskContext.get().partitionId()
-    end = end_id.to_bytes(4, "little")
-    bins: dict[int, list] = {s: [] for s in sizes}
-    made = 0
-    names = ["key", "start", "length", "ids_crc32", "doc_tokens", "size", "task", "at", "sequence_id", "offset", "ids"]
-    types = [None, *[pa.int64()] * 4, pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-
-    def table(rows, key_type):
-        columns = list(zip(*rows)) if rows else [[]] * len(names)
-        return pa.RecordBatch.from_arrays([pa.array(c, t or key_type) for c, t in zip(columns, types)], names=names)
-
-    key_type = None
+    fills = np.zeros(capacity + 1, np.int64)
+    fills[sizes] = [ladder[s] for s in sizes]
+    end, made, waiting = end_id.to_bytes(4, "little"), 0, None
     for batch in slices(batches, ROWS):
-        key_type, keys, out = batch.column(0).type, batch.column(0).to_pylist(), []
-        for key, ids in zip(keys, encode(utf8(batch.column(1)))):
+        columns = {n: array("q") for n in ("owner", "start", "length", "ids_crc32", "doc_tokens", "size")}
+        add = [c.append for c in columns.values()]
+        kept = []
+        for k, ids in enumerate(encode(utf8(batch.column(1)))):
             ids += end
             total, start = len(ids) // 4, 0
             for length, size in cut(total, capacity, sizes):
                 part = ids[4 * start : 4 * (start + length)]
-                bin_ = bins[size]
-                bin_.append([key, start, length, zlib.crc32(part), total, size, task, None, None, None, part if keep_ids else None])
+                for put, value in zip(add, (k, start, length, zlib.crc32(part), total, size)):
+                    put(value)
+                if keep_ids:
+                    kept.append(part)
                 start += length
-                if len(bin_) == ladder[size]:
-                    at = 0
-                    for row in bin_:
-                        row[8], row[9] = task << _TASK_BITS | made, at
-                        at += row[2]
-                    made += 1
-                    out += bin_
-                    bins[size] = []
-        yield table(out, key_type)
-    if key_type is not None:
-        left = [row for bin_ in bins.values() for row in bin_]
-        for bin_ in bins.values():
-            for at, row in enumerate(bin_):
-                row[7] = at
-        yield table(left, key_type)
+        arrays = {n: pa.array(np.frombuffer(c, np.int64)) for n, c in columns.items()}
+        arrays = {"key": batch.column(0).take(arrays.pop("owner")), **arrays}
+        arrays["ids"] = pa.array(kept, pa.binary()) if keep_ids else pa.nulls(len(arrays["start"]), pa.binary())
+        rows = pa.table(arrays)
+        if waiting is not None:
+            rows = pa.concat_tables([waiting, rows])
+        # The pieces of a class, first come first served, in bins of its fixed number.
+        size, length = rows["size"].to_numpy(), rows["length"].to_numpy()
+        order = np.argsort(size, kind="stable")
+        size, length = size[order], length[order]
+        begin = np.searchsorted(size, size)
+        at, fill = np.arange(len(size)) - begin, fills[size]
+        full = at < (np.searchsorted(size, size, side="right") - begin) // fill * fill
+        first = full & (at % fill == 0)
+        number = made + np.cumsum(first)[full] - 1
+        upto = np.cumsum(length[full]) - length[full]
+        offset = upto - upto[first[full]][np.cumsum(first[full]) - 1] if full.any() else upto
+        made += int(first.sum())
+        yield _out(rows.take(pa.array(order[full])), task, None, task << _TASK_BITS | number, offset)
+        waiting = rows.take(pa.array(np.sort(order[~full])))
+    if waiting is not None:
+        size = waiting["size"].to_numpy()
+        order = np.argsort(size, kind="stable")
+        at = np.arange(len(size)) - np.searchsorted(size[order], size[order])
+        yield _out(waiting.take(pa.array(order)), task, at, None, None)
+
+
+def _out(rows: pa.Table, task: int, at, sequence, offset) -> pa.RecordBatch:
+    rows = rows.combine_chunks()
+    n = rows.num_rows
+    column = lambda values, kind: pa.nulls(n, kind) if values is None else pa.array(values, kind)
+    columns = {
+        **{c: rows[c].combine_chunks() for c in ("key", "start", "length", "ids_crc32", "doc_tokens")},
+        "size": rows["size"].combine_chunks().cast(pa.int32()), "task": pa.array(np.full(n, task), pa.int32()),
+        "at": column(at, pa.int32()), "sequence_id": column(sequence, pa.int64()), "offset": column(offset, pa.int64()),
+        "ids": rows["ids"].combine_chunks(),
+    }
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
 def _best_fit(rows: pa.Table, capacity: int) -> pa.Table:
@@ -133,7 +154,7 @@ def pack(
         "sequence_id bigint, offset bigint, ids binary"
     )
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).mapInArrow(
-        lambda batches: _fill(batches, path, end_id, capacity, keep_ids), ddl
+        frugal(lambda batches: (yield from _fill(batches, path, end_id, capacity, keep_ids))), ddl
     )
     rows = stage(rows if keep_ids else rows.drop("ids"), "packed")
     full, left = rows.where("sequence_id is not null"), rows.where("sequence_id is null")

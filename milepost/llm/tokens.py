@@ -17,7 +17,9 @@ import pyarrow.compute as pc
 
 ROWS = 2500  # texts handed to an encoder at once
 BATCH_BYTES = 8 << 20  # text per batch; longer texts are cut, so no batch is much larger
-MEMO_PARTS = 450_000  # parts a worker remembers before it drops those not met since the last time
+MEMO_HELD = 96 << 20  # bytes of parts and ids that a worker remembers
+MEMO_ENTRY = 256  # bytes of one of them, about: a part of MEMO_BYTES at most, its ids, and its place
+MEMO_PARTS = MEMO_HELD // MEMO_ENTRY // 2  # remembered before those not met since the last time are dropped
 JOINED = 4096  # new parts that are encoded as one text, where that is possible
 MEMO_BYTES = 48  # longer parts are encoded each time
 
@@ -103,6 +105,10 @@ class Encoder:
                 size = max(model.get_vocab().values()) + 1
                 self.begins = np.array([(model.id_to_token(i) or "").startswith("\u0120") for i in range(size)])
 
+    def forget(self) -> None:
+        self.memo, self.older = {}, {}
+        self.tails.clear()
+
     def _cuts(self, data: bytes) -> list[tuple[bytes, bool]]:
         """A text in pieces of about BATCH_BYTES at most, cut at safe boundaries; and
         whether a piece follows a space that belongs to it."""
@@ -256,8 +262,12 @@ _encoders: dict[tuple, Encoder] = {}
 
 
 def encoder(path: str, lengths_only: bool = False) -> Encoder:
-    """One per worker process, so that its memo serves all tasks there."""
+    """One per worker process, so that its memo serves all tasks there. Only the encoder in use
+    keeps a memo, so several of them hold no more than one."""
     key = (path, lengths_only)
+    for other, known in _encoders.items():
+        if other != key:
+            known.forget()
     if key not in _encoders:
         _encoders[key] = Encoder(path, lengths_only)
     return _encoders[key]
