@@ -1,7 +1,6 @@
 """Arrow batches in, Arrow batches out: the frame that the text operators share."""
 
 import ctypes
-import functools
 import inspect
 
 import numpy as np
@@ -39,6 +38,21 @@ def slices(batches, rows: int = 1000):
             yield batch.slice(at, rows)
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """`name`, or a longer one that no column has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def set_aside(df: DataFrame, names) -> tuple[DataFrame, dict[str, str]]:
+    """`df` with those columns renamed that are called like one of `names`, and what to rename back."""
+    taken = {n.lower() for n in names}
+    clash = {c: fresh(f"_own_{c}", [*df.columns, *names]) for c in df.columns if c.lower() in taken}
+    return df.withColumnsRenamed(clash), {v: k for k, v in clash.items()}
+
+
 def _give_back() -> None:
     """Memory that the allocators hold but do not use goes back to the system."""
     pa.default_memory_pool().release_unused()
@@ -48,27 +62,22 @@ def _give_back() -> None:
 
 
 def frugal(work):
-    """`work`, a function for mapInArrow or applyInArrow, such that the worker process, which later
-    stages use again, does not keep the memory of its largest task or group."""
-    if inspect.isgeneratorfunction(work):
-
-        @functools.wraps(work)
-        def run(*args):
-            try:
-                yield from work(*args)
-            finally:
-                _give_back()
-
-    else:
-
-        @functools.wraps(work)
-        def run(*args):
-            try:
-                return work(*args)
-            finally:
-                _give_back()
-
-    return run
+    """`work`, a function of batches (mapInArrow) or of one group's table (applyInArrow), such that the
+    worker process, which later stages use again, does not keep the memory of its largest task."""
+
+    def each(batches):
+        try:
+            yield from work(batches)
+        finally:
+            _give_back()
+
+    def once(table):
+        try:
+            return work(table)
+        finally:
+            _give_back()
+
+    return each if inspect.isgeneratorfunction(work) else once
 
 
 def add_columns(df: DataFrame, text: str, ddl: str, make, keep_text: bool = False) -> DataFrame:

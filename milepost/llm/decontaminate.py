@@ -5,9 +5,10 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from milepost.llm.arrow import add_columns
+from milepost.llm.arrow import add_columns, fresh
 
 WINDOW = 13
+RESULTS = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 MAX_ITEM_BYTES = 64 << 20  # item text per automaton; more items make more automata
 
 # Lower case for A-Z; everything in ASCII but digits and letters separates words.
@@ -189,9 +190,10 @@ def contamination(
 
         return work
 
-    ddl = "n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, _rest string"
+    rest = fresh("_rest", docs.columns)
+    ddl = f"n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, {rest} string"
     out = add_columns(docs, text, ddl, make)
-    return out.withColumnRenamed("_rest", text) if cut_spans else out.drop("_rest")
+    return out.withColumnRenamed(rest, text) if cut_spans else out.drop(rest)
 
 
 def _without(data: bytes, hit: np.ndarray) -> bytes:

@@ -7,13 +7,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from milepost.llm.arrow import schema_of, slices, utf8
+from milepost.llm.arrow import frugal, schema_of, slices, utf8
 from milepost.session import stage
 
 ONE = 1_000_000_000  # a probability of 1 in the fixed-point scale
 LEAST_DOCS = 3  # documents of the language that a kept term occurs in
 RANKS = 200  # ranks listed per group in part `term`
-HELD = 16 << 20  # bytes of text that a task counts at once
+HELD = 8 << 20  # bytes of text that a task counts at once
 BUCKET = 32 << 20  # bytes of text whose terms one task adds up
 DENSE = 1 << 19  # counts of a dense table of terms by sources
 
@@ -234,8 +234,8 @@ def audit_sources(
     buckets = -(-(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // bucket) or 1
     sent, kept = (schema_of(ddl) for ddl in (f"bucket int, {_BLOCK}", _BLOCK))
     shapes = to_arrow_schema(sent), to_arrow_schema(kept)
-    blocks = docs.mapInArrow(lambda batches: _send(batches, buckets, held, shapes[0]), sent)
-    blocks = blocks.groupBy("bucket", "lang").applyInArrow(lambda t: _merge(t, least_docs, shapes[1]), kept)
+    blocks = docs.mapInArrow(frugal(lambda batches: (yield from _send(batches, buckets, held, shapes[0]))), sent)
+    blocks = blocks.groupBy("bucket", "lang").applyInArrow(frugal(lambda t: _merge(t, least_docs, shapes[1])), kept)
     blocks = stage(blocks.drop("docs"), "blocks")
 
     found = blocks.select("lang", "sources", "spread", "source", "n").mapInArrow(_block_totals, "lang string, source string, total bigint, kinds bigint")

@@ -27,7 +27,8 @@ LONG = 8  # inverted lists up to here are compared pair by pair; longer ones aro
 BLOCK = 1024  # members of an unsettled group that are compared at once
 HOT_POSTINGS = 200_000  # a list expected to be longer is scanned in several parts
 SEND = 4  # cost of sending a posting, against one comparison
-BROADCAST_ROWS = 1_000_000  # ids that are broadcast at most, checked by counting
+BROADCAST_BYTES = 64 << 20  # rows of ids that are broadcast at most, measured before
+ROW_BYTES = 150  # of such a row besides its id
 MEMBERS = 500  # sets compared with a pivot in one task, about
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -135,21 +136,21 @@ def _common(docs: DataFrame) -> Order:
     and give on what occurs LEAST_COMMON times, of which the COMMON most frequent are collected.
     They only order the prefixes, so two shingles that share 32 bits cost time, not a link.
     """
-    bits = min(16, max(6, (docs.count() // BUCKET_DOCS).bit_length()))
-    groups = 1 << (16 - bits)
+    bits = min(30, max(6, int(docs.count() // BUCKET_DOCS).bit_length()))
+    shift, groups = 32 - bits, 1 << max(16 - bits, 0)
 
     def send(batches):
         held, seen, size = [], set(), 0
 
         def close():
-            flat = np.sort(np.concatenate(held) >> np.uint64(32)) if held else np.zeros(0, np.uint64)
-            middle, low = (flat >> np.uint64(16)).astype(np.int64), flat.astype(np.uint16)
-            counts = np.bincount(middle, minlength=1 << 16).reshape(-1, groups)
-            ends = np.cumsum(counts.sum(1))
-            used = np.flatnonzero(counts.any(1)).tolist()
+            flat = np.sort(np.concatenate(held) >> np.uint64(32)).astype(np.uint32) if held else np.zeros(0, np.uint32)
+            bucket, middle, low = flat >> np.uint32(shift), (flat >> np.uint32(16)).astype(np.int64) & (groups - 1), flat.astype(np.uint16)
+            at = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])).tolist() if len(flat) else []
+            spans = list(zip(at, [*at[1:], len(flat)]))
             return pa.RecordBatch.from_arrays([
-                pa.array(used, pa.int32()), pa.array([counts[i].astype(np.uint32).tobytes() for i in used], pa.binary()),
-                pa.array([low[ends[i] - counts[i].sum() : ends[i]].tobytes() for i in used], pa.binary()),
+                pa.array(bucket[at].astype(np.int32), pa.int32()),
+                pa.array([np.bincount(middle[i:j], minlength=groups).astype(np.uint32).tobytes() for i, j in spans], pa.binary()),
+                pa.array([low[i:j].tobytes() for i, j in spans], pa.binary()),
             ], ["bucket", "counts", "low"])
 
         for batch in slices(batches):
@@ -174,7 +175,9 @@ def _common(docs: DataFrame) -> Order:
         begins = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
         n = np.diff(np.append(begins, len(flat)))
         often = n >= LEAST_COMMON
-        front = (flat[begins[often]].astype(np.int64)) + (table["bucket"][0].as_py() << (32 - bits))
+        # The bits above these: all of the bucket's, without those that the low 16 have as well.
+        above = (table["bucket"][0].as_py() << shift) & ~0xFFFF
+        front = flat[begins[often]].astype(np.int64) | above
         # One row for all occurrences, under no shingle.
         return pa.table({"front": pa.array([*front.tolist(), None], pa.int64()), "n": pa.array([*n[often].tolist(), len(flat)], pa.int64())})
 
@@ -193,16 +196,17 @@ def _sets(docs: DataFrame, order) -> DataFrame:
         task, row = TaskContext.get().partitionId(), 0
         for batch in slices(batches):
             out = [[], [], [], [], []]
-            for elements in shingle_sets(utf8(batch.column(1))):
+            for elements in shingle_sets(utf8(batch.column(2))):
                 keys, rare = order.value.keys(elements)
                 made = (task << 27 | row, len(elements), xxhash.xxh3_128_digest(elements.tobytes()), rare, keys.tobytes())
                 row += 1
                 for column, value in zip(out, made):
                     column.append(value)
             types = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, t) for c, t in zip(out, types)]], ["id", "rid", "n", "print", "rare", "keys"])
+            arrays = [batch.column(0), batch.column(1), *[pa.array(c, t) for c, t in zip(out, types)]]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "hash", "rid", "n", "print", "rare", "keys"])
 
-    return docs.select("id", "text").mapInArrow(frugal(run), f"id {id_type}, rid bigint, n bigint, print binary, rare int, keys binary")
+    return docs.select("id", "hash", "text").mapInArrow(frugal(run), f"id {id_type}, hash bigint, rid bigint, n bigint, print binary, rare int, keys binary")
 
 
 def _post(sets: DataFrame, order, bits: int) -> DataFrame:
@@ -300,12 +304,18 @@ def _scan(table: pa.Table, bits: int) -> pa.Table:
 PAIR, MEMBER, LINK = 0, 1, 2
 
 
+def broadcast_if_small(rows: DataFrame, key: str) -> DataFrame:
+    """`rows`, to be broadcast if they are measured to take BROADCAST_BYTES at most."""
+    n, keys = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.col(key).cast("string")))).first()
+    return F.broadcast(rows) if n * ROW_BYTES + (keys or 0) <= BROADCAST_BYTES else rows
+
+
 def _with_texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
-    """`wanted` (with id and print) and the texts of these documents."""
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    own = docs.select(F.col("id").alias("id_"), "text")
-    return own.join(wanted, F.col("id_").eqNullSafe(F.col("id"))).drop("id_")
+    """`wanted` (with id, hash and print) and the texts of these documents. The text's hash belongs to the
+    condition, so documents without id, or under one id, do not meet each other's texts."""
+    own = docs.select(F.col("id").alias("id_"), F.col("hash").alias("hash_"), "text")
+    same = (F.col("hash_") == F.col("hash")) & F.col("id_").eqNullSafe(F.col("id"))
+    return own.join(broadcast_if_small(wanted, "id"), same).drop("id_", "hash_")
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, names: DataFrame) -> DataFrame:
@@ -332,7 +342,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, names: DataFrame) -> DataFrame:
             pivot, way, member, rid, prints = (batch.column(i).to_pylist() for i in range(5))
             for i, elements in enumerate(shingle_sets(utf8(batch.column(5)))):
                 if xxhash.xxh3_128_digest(elements.tobytes()) != prints[i]:
-                    continue  # another document with the same id
+                    continue  # another text with the same id and hash
                 if not member[i]:
                     at, base = (pivot[i], way[i]), elements
                 elif at == (pivot[i], way[i]) and last != (at, rid[i]):
@@ -406,21 +416,20 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     are copies. Other columns are not used, so names cannot clash. Empty in, empty out.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    docs = docs.select(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("hash"), F.col(f"`{text}`").alias("text"))
     order = spark.sparkContext.broadcast(_common(docs))  # COMMON hashes and counts
     sets = stage(_sets(docs, order), "sets")
 
     copies = sets.where("n > 0").groupBy(F.col("print").alias("same")).agg(F.min("rid").alias("first"), F.count(F.lit(1)).alias("n_same")).where("n_same > 1")
     copies = stage(copies.select("same", "first"), "copies")
-    few = copies.count() <= BROADCAST_ROWS
     node = F.coalesce("first", "rid")
-    joined = sets.join(F.broadcast(copies) if few else copies, F.col("print") == F.col("same"), "left")
+    joined = sets.join(broadcast_if_small(copies, "same"), F.col("print") == F.col("same"), "left")
     nodes = joined.where(node == F.col("rid"))
 
     postings = sets.agg(F.sum(F.octet_length("keys") / 8)).first()[0] or 0
     bits = max(5, int(postings // BUCKET_POSTINGS).bit_length())
     met = stage(_post(nodes, order, bits).groupBy("bucket").applyInArrow(lambda t: _scan(t, bits), "kind int, x bigint, y bigint"), "met")
-    names = stage(nodes.where("n > 1").select("rid", "id", "print"), "names")
+    names = stage(nodes.where("n > 1").select("rid", "id", "hash", "print"), "names")
     parts = met.where(F.col("kind") == LINK).select("x", "y").distinct()  # pivots of the parts of split lists
     hubs = stage(parts.groupBy(F.col("x").alias("list")).agg(F.min("y").alias("a")), "hubs")
     apart = parts.join(hubs, F.col("x") == F.col("list")).where("a < y").select("a", F.col("y").alias("b"))

@@ -2,7 +2,8 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from milepost.llm.jaccard import BROADCAST_ROWS, jaccard_components
+from milepost.llm.arrow import fresh
+from milepost.llm.jaccard import broadcast_if_small, jaccard_components
 from milepost.session import stage
 
 
@@ -15,14 +16,14 @@ def keep_least(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     repeat a key and its text stay once; null or blank texts without key are copies of nothing.
     """
     own = F.struct(F.col(f"`{key}`").isNull().alias("unkeyed"), F.col(f"`{key}`").alias("key"), F.xxhash64(F.col(f"`{text}`")).alias("hash"))
-    found = jaccard_components(docs.select(own.alias("_k"), F.col(f"`{text}`").alias("_t")), "_k", "_t")
-    found = stage(found.select("_k", "component_id", (F.col("n_shingles") > 0).alias("full")), "components")
-    same = own.eqNullSafe(F.col("_k"))
-    dropped = stage(found.where(~F.col("component_id").eqNullSafe(F.col("_k"))).select("_k").distinct(), "dropped")
-    if dropped.count() <= BROADCAST_ROWS:
-        dropped = F.broadcast(dropped)
+    k = fresh("_k", docs.columns)
+    found = jaccard_components(docs.select(own.alias(k), F.col(f"`{text}`").alias("_t")), k, "_t")
+    found = stage(found.select(k, "component_id", (F.col("n_shingles") > 0).alias("full")), "components")
+    same = own.eqNullSafe(F.col(k))
+    dropped = stage(found.where(~F.col("component_id").eqNullSafe(F.col(k))).select(k).distinct(), "dropped")
+    dropped = broadcast_if_small(dropped, k)
     kept = docs.join(dropped, same, "left_anti")
-    again = found.where("full or not _k.unkeyed").groupBy("_k").count().where("count > 1").select("_k")
+    again = found.where(F.col("full") | ~F.col(f"{k}.unkeyed")).groupBy(k).count().where("count > 1").select(k)
     again = stage(again, "again")
     if again.isEmpty():
         return kept

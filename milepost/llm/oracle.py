@@ -37,12 +37,12 @@ base AS (
            len(list_distinct(w)) AS n_distinct
     FROM d LEFT JOIN repeated USING (doc_id)),
 shares AS (
-    SELECT doc_id, g0, g1, n_words, m.measure, m.both, least(m.share, 1000) AS share FROM base, unnest([
-        {{'measure': 'symbols', 'share': 1000 * n_symbols // greatest(word_chars, 1), 'both': false}},
-        {{'measure': 'dup_lines', 'share': 1000 * n_dup_lines // greatest(n_lines, 1), 'both': false}},
-        {{'measure': 'adjacent', 'share': 1000 * n_adjacent // greatest(n_words, 1), 'both': false}},
-        {{'measure': 'word_length', 'share': 100 * word_chars // greatest(n_words, 1), 'both': true}},
-        {{'measure': 'distinct', 'share': 1000 * n_distinct // greatest(n_words, 1), 'both': true}}]) AS u(m)),
+    SELECT doc_id, g0, g1, n_words, m.measure, m.low_too, least(m.share, 1000) AS share FROM base, unnest([
+        {{'measure': 'symbols', 'share': 1000 * n_symbols // greatest(word_chars, 1), 'low_too': false}},
+        {{'measure': 'dup_lines', 'share': 1000 * n_dup_lines // greatest(n_lines, 1), 'low_too': false}},
+        {{'measure': 'adjacent', 'share': 1000 * n_adjacent // greatest(n_words, 1), 'low_too': false}},
+        {{'measure': 'word_length', 'share': 100 * word_chars // greatest(n_words, 1), 'low_too': true}},
+        {{'measure': 'distinct', 'share': 1000 * n_distinct // greatest(n_words, 1), 'low_too': true}}]) AS u(m)),
 placed AS (
     SELECT *, row_number() OVER o AS at_own, count(*) OVER g AS n_own, row_number() OVER ol AS at_lang, count(*) OVER gl AS n_lang,
            row_number() OVER oa AS at_any, count(*) OVER ga AS n_any
@@ -67,7 +67,7 @@ limits AS (
            CASE WHEN o.n >= 50 THEN o.tail WHEN b.n >= 50 THEN b.tail ELSE a.tail END AS tail
     FROM own o JOIN by_lang b USING (measure, g0) JOIN of_any a USING (measure)),
 away AS (
-    SELECT doc_id, share, q3 - q1 AS spread, tail, n_words, greatest(share - q3, CASE WHEN both THEN q1 - share ELSE 0 END, 0) AS off
+    SELECT doc_id, share, q3 - q1 AS spread, tail, n_words, greatest(share - q3, CASE WHEN low_too THEN q1 - share ELSE 0 END, 0) AS off
     FROM shares JOIN limits USING (measure, g0, g1)),
 verdict AS (
     SELECT doc_id, bool_and(CASE WHEN spread > 0 THEN 4 * off * off * n_words <= 25 * spread * spread * greatest(n_words, 400)

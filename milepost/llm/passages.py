@@ -11,6 +11,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from milepost.llm.arrow import schema_of, slices, utf8
+from milepost.llm.jaccard import broadcast_if_small
 from milepost.session import stage
 
 SEGMENT = 1 << 21  # positions looked at together; longer texts go through in segments
@@ -422,6 +423,7 @@ def remove_repeats(
     again = again.unionByName(rows.where("again").select("chunk", "doc")).distinct()
     marked = rows.select("key", "hash", "chunk", "doc").join(again, ["chunk", "doc"], "left_semi").select("key", "hash").distinct()
     marked = stage(marked.withColumnsRenamed({"key": "_key", "hash": "_hash"}), "marked")
+    marked = broadcast_if_small(marked, "_key")  # else all texts are shuffled to find theirs
     same = (F.col("hash") == F.col("_hash")) & F.col("key").eqNullSafe(F.col("_key"))
 
     chunked = StructType(schema_of("chunk bigint, bytes bigint").fields + [StructField("keys", ArrayType(key_type)), StructField("texts", ArrayType(BinaryType()))])

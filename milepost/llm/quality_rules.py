@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from milepost.llm.arrow import add_columns
+from milepost.llm.arrow import add_columns, set_aside
 from milepost.llm.measures import NAMES, measure
 from milepost.session import stage
 
@@ -131,7 +131,7 @@ def apply_rules(docs: DataFrame, text: str = "text", lang: str = "lang", source:
     The texts are measured twice instead of being shuffled.
     """
     cuts = stage(thresholds(sketch(measured(docs, text), [lang, source])), "cuts")
-    clash = {c: f"_own_{c}" for c in docs.columns if c.lower() in {*NAMES, "base_failed", "kept"}}
-    safe = docs.withColumnsRenamed(clash)
-    judged = judge(measured(safe, text, keep_text=True), cuts, lang, source).where("kept")
-    return judged.select(safe.columns).withColumnsRenamed({v: k for k, v in clash.items()})
+    safe, back = set_aside(docs, [*NAMES, "base_failed", "kept", "_g0", "_g1", *(f"_cut_{m}" for m in SHARES)])
+    names = {v: k for k, v in back.items()}
+    judged = judge(measured(safe, text, keep_text=True), cuts, names.get(lang, lang), names.get(source, source)).where("kept")
+    return judged.select(safe.columns).withColumnsRenamed(back)

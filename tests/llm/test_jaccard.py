@@ -74,7 +74,7 @@ def run(spark, rows):
 
 @pytest.mark.parametrize("seed, limits", [
     (1, {}),
-    (2, {"LONG": 2, "BLOCK": 6, "LEAST_COMMON": 2, "BUCKET_DOCS": 1, "HOT_POSTINGS": 5, "MEMBERS": 3, "BROADCAST_ROWS": 0, "BATCH_SHINGLES": 700}),
+    (2, {"LONG": 2, "BLOCK": 6, "LEAST_COMMON": 2, "BUCKET_DOCS": 1, "HOT_POSTINGS": 5, "MEMBERS": 3, "BROADCAST_BYTES": 0, "BATCH_SHINGLES": 700}),
     (3, {"LONG": 3, "BLOCK": 9, "COMMON": 10, "SEND": 1}),
 ])
 def test_links_and_components(spark, monkeypatch, seed, limits):
@@ -90,6 +90,40 @@ def test_null_and_repeated_keys(spark):
     assert run(spark, rows) == brute(rows)
 
 
+@pytest.mark.parametrize("key", [None, 7])
+def test_documents_without_keys_of_their_own_fetch_one_text_each(spark, monkeypatch, key):
+    rng, fetched = random.Random(6), []
+    base = [" ".join(rng.choice("abcdefghij") + str(rng.randrange(50)) for _ in range(30)) for _ in range(10)]
+    rows = [(key, f"{rng.choice(base)} {i}") for i in range(300)]
+    plain = jaccard._with_texts
+
+    def counted(wanted, docs):
+        out = plain(wanted, docs)
+        fetched.append((wanted.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "_with_texts", counted)
+    assert run(spark, rows) == brute(rows)
+    assert fetched[0][0] >= 300 and all(texts == rows for rows, texts in fetched)
+
+
+def test_very_long_text(spark):
+    rng = random.Random(7)
+    words = [rng.choice("abcdefgh") + str(rng.randrange(10_000)) for _ in range(60_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:50_000])), (3, " ".join(words[:30_000])), (4, None)]
+    got = run(spark, rows)
+    assert [(k, c) for k, _, c in got] == [(1, 1), (2, 1), (3, 3), (4, 4)]
+
+
+@pytest.mark.parametrize("docs", [1, 200_000_000, 1 << 34])
+def test_common_shingles_in_any_number_of_buckets(spark, monkeypatch, docs):
+    """Counting buckets grow with the documents, beyond 65,536 as well."""
+    rows = corpus(8)
+    monkeypatch.setattr(jaccard, "BUCKET_DOCS", len(rows) / docs)
+    monkeypatch.setattr(jaccard, "LEAST_COMMON", 2)
+    assert run(spark, rows) == brute(rows)
+
+
 def test_empty_table_and_clashing_columns(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert jaccard.jaccard_components(df).collect() == []

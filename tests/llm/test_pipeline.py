@@ -1,6 +1,7 @@
 """The stages against plain versions, and what is registered."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -17,7 +18,7 @@ FOLDER = "/root/testdata/sf0.01"
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert {f"op{n}_" for n in range(1, 11)} == {name.split("_")[0] + "_" for name in REGISTERED} and REGISTERED.keys() <= names.keys()
+    assert {f"op{n}_" for n in range(1, 14)} == {name.split("_")[0] + "_" for name in REGISTERED} and REGISTERED.keys() <= names.keys()
     assert "pipeline" in names and ORACLE.keys() <= REGISTERED.keys()
 
 
@@ -61,6 +62,28 @@ def test_stages_on_an_empty_table(spark):
         assert step(spark, docs, FOLDER).collect() == []
 
 
+def test_stages_keep_clashing_columns(spark):
+    given = table(spark, FOLDER, "documents").limit(150)
+    names = ["_score", "score", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "_rest", "_k", "kept", "base_failed", "_g0", "hash"]
+    docs = given.select("*", *[F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")).alias(n) for n in names]).cache()
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        out = step(spark, docs, FOLDER)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n} {r.doc_id}" for r in rows for n in names)
+        assert {r.doc_id for r in rows} == {r.doc_id for r in step(spark, docs.select(given.columns), FOLDER).collect()}
+
+
+def test_stages_on_nulls_and_repeats(spark):
+    long = " ".join(f"word{i % 977}x{i}" for i in range(30_000))
+    rows = [(None, None, None, None), (1, "", "en", None), (1, long, None, "s"), (1, long, None, "s"), (None, long, "en", "s"), (2, "x", "", "")]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    counts = [step(spark, docs, FOLDER).count() for _, step in corpus_pipeline.STAGES[:-1]]
+    assert counts[0] <= 3 and counts[2] == 4 and counts[3] == 6
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
+    assert pieces.groupBy("doc_id").sum("length").count() == 3
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_sql(spark, name):
     assert difference(REGISTERED[name](spark, FOLDER), connect(FOLDER), ORACLE[name]) is None
