@@ -1,12 +1,16 @@
 """The corpus pipeline: from raw documents to packed token sequences.
 
 Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept, which was
-written as Parquet and read again. All but the last return the columns of `documents`.
+written as Parquet and read again. All but the last return the columns of `documents`, and
+further columns of the input unchanged, whatever they are called. An empty table stays empty.
+A null text fails the rules; handed to a later stage it counts as empty and is kept as it is,
+unless its score is too low. Ties and repeated rows are judged alike, but of near copies one stays.
 """
 
 from pyspark.sql import functions as F
 
 from milepost.llm import decontaminate, gam, keep, packing, quality_rules
+from milepost.llm.arrow import fresh, set_aside
 from milepost.llm.queries import table, tokenizer
 from milepost.session import stage
 
@@ -22,8 +26,9 @@ def keep_by_rules(spark, docs, sf_dir):
 def keep_by_classifier(spark, docs, sf_dir):
     """Operator 10, fitted on the labelled documents: documents scored under LEAST_SCORE go."""
     model = gam.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    scored = gam.score(docs, model, keep_text=True, name="_score")
-    return scored.where(F.col("_score") >= LEAST_SCORE).select(docs.columns)
+    score = fresh("_score", docs.columns)
+    scored = gam.score(docs, model, keep_text=True, name=score)
+    return scored.where(F.col(score) >= LEAST_SCORE).select(docs.columns)
 
 
 def keep_one_of_each_group(spark, docs, sf_dir):
@@ -33,11 +38,12 @@ def keep_one_of_each_group(spark, docs, sf_dir):
 
 def without_benchmark(spark, docs, sf_dir):
     """Operator 7: contaminated documents go; hit spans below that limit are cut out."""
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), cut_spans=True)
+    safe, back = set_aside(docs, decontaminate.RESULTS)
+    found = decontaminate.contamination(safe, table(spark, sf_dir, "benchmark"), cut_spans=True)
     kept = found.where(~F.col("contaminated"))
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.when(F.col("n_hit") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars")))
-    return kept.select(docs.columns)
+    return kept.select(safe.columns).withColumnsRenamed(back)
 
 
 def packed(spark, docs, sf_dir):
