@@ -495,3 +495,31 @@ ORACLE["ingest_transactions_documents"] = _sql(
     """SELECT DISTINCT "Id", "Year", "Month", 'Other' AS "Type" FROM tx""", "tx"
 )
 ORACLE["stream_points_batches"] = _sql("SELECT phone, year, month, totalpoints FROM monthly", "monthly")
+
+# Stored tables that were changed in place hold what the plain queries give.
+ORACLE["ingest_transactions_anywhere"] = ORACLE["ingest_transactions"]
+ORACLE["verify_live_reports_stored"] = ORACLE["verify_live_reports"]
+ORACLE["delete_period_stored"] = ORACLE["delete_period"]
+ORACLE["deduplicate_month_stored"] = ORACLE["deduplicate_month"]
+ORACLE["sync_missing_by_digest"] = _sql(
+    f"""SELECT {_LOWER} FROM tx WHERE ("Id", "Year", "Month") NOT IN (SELECT "Id", "Year", "Month" FROM tx WHERE "Type" = 'F')""", "tx"
+)
+ORACLE["documents_replaced"] = _sql(
+    """SELECT "Id", "Year", "Month", "Phone", "Value", "EventName", "TimeStamp" FROM (
+           SELECT *, row_number() OVER (PARTITION BY "Id", "Year", "Month" ORDER BY batch DESC, "TimeStamp" DESC,
+               "Phone" DESC, "Date" DESC, "EventCode" DESC, "ReportCode" DESC, "CampaignId" DESC, "RuleId" DESC,
+               "CampaignName" DESC, "RuleName" DESC, "EventName" DESC, "ReportName" DESC, "MembershipCode" DESC,
+               "Name" DESC, "Value" DESC NULLS LAST, "Type" DESC) AS rn
+           FROM (SELECT *, CASE "Type" WHEN 'F' THEN 3 ELSE 1 END AS batch FROM tx UNION ALL
+                 SELECT * REPLACE (NULL AS "Value", 'Corrected' AS "EventName", "TimeStamp" + 1 AS "TimeStamp"), 2 AS batch
+                 FROM tx WHERE "Name" = 'AddPoint'))
+       WHERE rn = 1""",
+    "tx",
+)
+ORACLE["rank_after_changes"] = _sql(
+    """SELECT id, phone, totalpoints, CAST(row_number() OVER (ORDER BY totalpoints DESC, phone) AS INTEGER) AS rank
+       FROM (SELECT CAST(c_custkey AS VARCHAR) AS id, CAST(c_custkey AS VARCHAR) AS phone, coalesce(points, 0) AS totalpoints
+             FROM customer LEFT JOIN (SELECT "Phone", CAST(sum("Value") AS BIGINT) AS points FROM scored GROUP BY "Phone")
+               ON CAST(c_custkey AS VARCHAR) = "Phone")""",
+    "scored",
+)

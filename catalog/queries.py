@@ -7,12 +7,17 @@ from pyspark.sql import functions as F
 from catalog import sample
 from milepost.functions.messages import decode_rows
 from milepost.functions.values import level_for, lower_names
+from milepost.operators import sinks
+from milepost.operators.documents import DocumentStore
 from milepost.operators.keyed import insert_absent, keep_latest, replace_rows
-from milepost.plans import levels, maintenance, membership, points, publish, ranking, reports
-from milepost.schemas import ACTIVITY_EVENT, ACTIVITY_TRANSACTION, MEMBERSHIP_MONTHLY, MEMBERSHIP_YEARLY
+from milepost.operators.versions import VersionedTable
+from milepost.plans import levels, maintenance, membership, points, publish, ranking, reconcile, reports
+from milepost.plans.standing import Standing
+from milepost.schemas import ACTIVITY_EVENT, ACTIVITY_TRANSACTION, LIVE_REPORT, MEMBERSHIP_MONTHLY, MEMBERSHIP_YEARLY
 from milepost.schemas import layout
 from milepost.session import new_folder
 from milepost.sources.streams import read_files
+from milepost.sources.tables import read_or_empty
 from milepost.streaming import ingest, users
 from milepost.streaming import points as stream_points
 
@@ -24,6 +29,7 @@ AS_OF = datetime(2024, 1, 15, 12, tzinfo=timezone.utc)
 MODIFIED_SINCE = datetime(2001, 1, 1, tzinfo=timezone.utc)
 EVENT_KINDS = ("click", "purchase", "view")
 PERCENTILE_MIN_POINTS = 30
+BY_MONTH = ["Year", "Month"]
 
 
 def monthly(spark, folder):
@@ -309,6 +315,60 @@ def replace_rows_by_id(spark, folder):
     return replace_rows(stored, keep_latest(of_type(spark, folder, "O")), ["Id"])
 
 
+# --- stored tables: written, changed in place, read back ---------------------------------
+
+
+def _stored_transactions(spark, folder):
+    path = new_folder(spark, "stored")
+    sinks.append(sample.transactions(spark, folder), path, BY_MONTH, ["Phone"])
+    return path
+
+
+def verify_live_reports_stored(spark, folder):
+    """Reports that are due are verified in a stored table; buckets without one keep their files."""
+    given, as_of = sample.live_reports(spark, folder), int(AS_OF.timestamp())
+    table = VersionedTable(spark, new_folder(spark, "reports"), LIVE_REPORT, key="id")
+    table.replace_all(given)
+    due = table.read().filter(reports.due_for_verification(as_of)).select("id")
+    table.change(due, lambda rows: reports.verify_live_reports(rows, as_of))
+    return table.read().select("id", "status", "submit_time", "last_modified", "last_modified_by")
+
+
+def delete_period_stored(spark, folder):
+    path = _stored_transactions(spark, folder)
+    sinks.delete_slice(spark, path, ACTIVITY_TRANSACTION, dict(zip(BY_MONTH, MONTH)))
+    return read_or_empty(spark, path, ACTIVITY_TRANSACTION)
+
+
+def deduplicate_month_stored(spark, folder):
+    """The month's directory is replaced by its de-duplicated rows."""
+    path = _stored_transactions(spark, folder)
+    rows = read_or_empty(spark, path, ACTIVITY_TRANSACTION)
+    inside = maintenance.slice_condition(*MONTH)
+    sinks.replace_slice(maintenance.deduplicate(rows.filter(inside)), path, BY_MONTH, inside, ["Phone"])
+    return read_or_empty(spark, path, ACTIVITY_TRANSACTION)
+
+
+def sync_missing_by_digest(spark, folder):
+    """Finished lines have been copied; only directories whose digests differ are compared."""
+    source, target = _stored_transactions(spark, folder), new_folder(spark, "copy")
+    copied = lower_names(of_type(spark, folder, "F"))
+    sinks.append(copied, target, ["year", "month"], ["phone"])
+    memory = new_folder(spark, "digests")
+    return reconcile.missing_rows(spark, source, ACTIVITY_TRANSACTION, target, copied.schema, BY_MONTH, memory)[0]
+
+
+def rank_after_changes(spark, folder):
+    """Ranks kept up to date: points of overdrawn customers, unknown at first, become known."""
+    profiles = sample.profiles(spark, folder).select(F.col("Id").alias("id"), F.col("Phone").alias("phone"), F.col("TotalPoints").alias("totalpoints"))
+    standing = Standing(spark, new_folder(spark, "standing"))
+    standing.build(profiles, band_members=200)
+    totals = recalc_all_time(spark, folder).select(F.col("Phone").alias("phone"), F.col("TotalPoints").alias("new_points"))
+    unknown = profiles.filter(F.col("totalpoints").isNull()).join(totals, "phone")
+    standing.change(unknown.select("id", "phone", F.lit(0).cast("bigint").alias("old_points"), "new_points"))
+    return standing.ranks()
+
+
 # --- streams: run on what is there, then show the table they leave -------------------
 
 
@@ -324,9 +384,6 @@ def ingest_events_fill(spark, folder):
     return ingest.stored_documents(spark, root, ACTIVITY_EVENT)
 
 
-BY_MONTH = ["Year", "Month"]
-
-
 def ingest_transactions(spark, folder):
     root, checkpoint = new_folder(spark, "transactions"), new_folder(spark, "checkpoint")
     messages = sample.transaction_messages(spark, folder)
@@ -363,22 +420,36 @@ def stream_points_all(spark, folder):
     return state.select("Id", "Phone", "TotalPoints")
 
 
-def _arriving(spark, folder, *parts):
-    """The transactions as message files, one per batch: thirds by Id, in the order given."""
-    path = new_folder(spark, "inbox")
-    rows = sample.transactions(spark, folder)
+def _third(spark, folder, part):
+    return sample.transactions(spark, folder).filter(F.pmod(F.xxhash64("Id"), F.lit(3)) == part)
+
+
+def _in_batches(spark, folder, parts, run):
+    """Run a stream over an inbox that grows: thirds of the transactions by Id, in the order given.
+
+    A third is written in parallel and makes one batch. run: (messages, checkpoint) -> query
+    """
+    inbox, checkpoint = new_folder(spark, "inbox"), new_folder(spark, "checkpoint")
     for part in parts:
-        third = rows.filter(F.pmod(F.xxhash64("Id"), F.lit(3)) == part)
-        sample.as_messages(third).coalesce(1).write.mode("append").parquet(path)
-    return read_files(spark, path, layout("value binary"), per_trigger=1)
+        sample.as_messages(_third(spark, folder, part)).write.mode("append").parquet(inbox)
+        run(read_files(spark, inbox, layout("value binary")), checkpoint).awaitTermination()
 
 
 def ingest_transactions_batches(spark, folder):
-    """Four batches, of which one arrives again, and a restart with a new checkpoint that sends another again."""
+    """Batches of which one arrives again, and a restart with a new checkpoint that sends another again."""
     root = new_folder(spark, "transactions")
     for parts in ((0, 1, 0), (2, 1)):
-        messages = _arriving(spark, folder, *parts)
-        ingest.ingest_transactions(messages, root, new_folder(spark, "checkpoint"), by=BY_MONTH).awaitTermination()
+        _in_batches(spark, folder, parts, lambda messages, checkpoint: ingest.ingest_transactions(messages, root, checkpoint, by=BY_MONTH))
+    return ingest.stored_rows(spark, root, ACTIVITY_TRANSACTION)
+
+
+def ingest_transactions_anywhere(spark, folder):
+    """Ids are searched in the whole table, through its Bloom filters, when thirds arrive again."""
+    root = new_folder(spark, "transactions")
+    for parts in ((0, 1), (1, 2)):
+        _in_batches(
+            spark, folder, parts, lambda messages, checkpoint: ingest.ingest_transactions(messages, root, checkpoint, by=BY_MONTH, id_scope=[])
+        )
     return ingest.stored_rows(spark, root, ACTIVITY_TRANSACTION)
 
 
@@ -386,8 +457,7 @@ def ingest_transactions_copy(spark, folder):
     """The keyed copy after three batches, a compaction, and one of them again by another stream."""
     root = new_folder(spark, "transactions")
     for parts in ((0, 1, 2), (1,)):
-        messages = _arriving(spark, folder, *parts)
-        ingest.ingest_transactions(messages, root, new_folder(spark, "checkpoint"), by=BY_MONTH).awaitTermination()
+        _in_batches(spark, folder, parts, lambda messages, checkpoint: ingest.ingest_transactions(messages, root, checkpoint, by=BY_MONTH))
         ingest.compact_copy(spark, root, ACTIVITY_TRANSACTION)
     return ingest.stored_copy(spark, root, ACTIVITY_TRANSACTION).select("id", "phone", "year", "month", "value", "activityid")
 
@@ -395,17 +465,32 @@ def ingest_transactions_copy(spark, folder):
 def ingest_transactions_documents(spark, folder):
     """The newest version of each Id and month after several batches of the fill policy."""
     root = new_folder(spark, "transactions")
-    messages = _arriving(spark, folder, 0, 1, 2, 1)
-    ingest.ingest_transactions(messages, root, new_folder(spark, "checkpoint"), "fill", by=BY_MONTH).awaitTermination()
+    _in_batches(
+        spark, folder, (0, 1, 2, 1), lambda messages, checkpoint: ingest.ingest_transactions(messages, root, checkpoint, "fill", by=BY_MONTH)
+    )
     return ingest.stored_documents(spark, root, ACTIVITY_TRANSACTION).select("Id", "Year", "Month", "Type")
 
 
+def documents_replaced(spark, folder):
+    """Merged runs of five batches: finished lines, open ones, corrections of all scored lines without
+    a value, finished lines once more (they arrive last, so they count), and a repeated batch."""
+    rows = sample.transactions(spark, folder)
+    corrected = rows.filter(F.col("Name") == "AddPoint").withColumns(
+        {"Value": F.lit(None).cast("int"), "EventName": F.lit("Corrected"), "TimeStamp": F.col("TimeStamp") + 1}
+    )
+    store = DocumentStore(spark, new_folder(spark, "documents"), ACTIVITY_TRANSACTION, ["Id"], BY_MONTH, fan=2, levels=2)
+    finished, opened = (rows.filter(F.col("Type") == kind) for kind in ("F", "O"))
+    for number, batch in enumerate((finished, opened, corrected, finished)):
+        store.put(batch, number)
+    store.put(corrected, 2)
+    return store.read().select("Id", "Year", "Month", "Phone", "Value", "EventName", "TimeStamp")
+
+
 def stream_points_batches(spark, folder):
     """Points of two streams, one of two batches, with a compaction in between."""
     root = new_folder(spark, "points")
     for parts in ((0, 1), (2,)):
-        messages = _arriving(spark, folder, *parts)
-        stream_points.stream_points(messages, root, new_folder(spark, "checkpoint"), "month").awaitTermination()
+        _in_batches(spark, folder, parts, lambda messages, checkpoint: stream_points.stream_points(messages, root, checkpoint, "month"))
         stream_points.compact_points(spark, root, "month")
     members = stream_points.current_members(spark, root, "month")
     return members.select("phone", "year", "month", "totalpoints")
@@ -427,12 +512,14 @@ def register_users_yearly(spark, folder):
 
 
 def stream_drop_repeats(spark, folder):
-    """Ids that pass the stateful filter when the same month arrives again and again."""
-    root, checkpoint = new_folder(spark, "once"), new_folder(spark, "checkpoint")
-    rows = ingest.clean_transactions(sample.transaction_messages(spark, folder))
-    once = ingest.drop_repeats(rows, "4000 days").select("Id")
-    query = once.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(root, "parquet")
-    query.awaitTermination()
+    """Ids that pass the stateful filter when thirds arrive again and again, in five batches."""
+    root = new_folder(spark, "once")
+
+    def run(messages, checkpoint):
+        once = ingest.drop_repeats(ingest.clean_transactions(messages), "4000 days").select("Id")
+        return once.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(root, "parquet")
+
+    _in_batches(spark, folder, (0, 1, 0, 2, 1), run)
     return spark.read.schema("Id string").parquet(root)
 
 
@@ -469,6 +556,8 @@ REGISTERED = {
         delete_period, deletion_report, query_transactions, matching_transactions, insert_absent_by_id,
         replace_rows_by_id, ingest_events, ingest_events_fill, ingest_transactions, ingest_transactions_fill,
         stream_points_month, stream_points_year, stream_points_all, register_users_monthly,
-        register_users_yearly, stream_drop_repeats, stream_running_totals,
+        register_users_yearly, stream_drop_repeats, stream_running_totals, ingest_transactions_anywhere,
+        documents_replaced, verify_live_reports_stored, delete_period_stored, deduplicate_month_stored,
+        sync_missing_by_digest, rank_after_changes,
     )
 } | {"recalc_monthly": monthly, "recalc_yearly": yearly}

@@ -13,10 +13,11 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from milepost.functions import messages
-from milepost.operators import sinks
+from milepost.operators import ledger, sinks
 from milepost.operators.keyed import update_only
+from milepost.operators.versions import VersionedTable
 from milepost.plans import ddl, levels, maintenance, membership, points, publish, ranking, reports
-from milepost.session import build_session, clear_staged, folder_exists, stage
+from milepost.session import build_session, clear_staged, folder_exists, list_folder, remove_folder, stage
 from milepost.sources.streams import MESSAGE, read_files, read_topic
 from milepost.sources.tables import pick, read_or_empty
 from milepost.schemas import DAILY_SUMMARY_REPORT, DEVICE_USER, LIVE_REPORT, layout
@@ -30,10 +31,14 @@ EXTRA_TABLES = {
     "device_user": DEVICE_USER,
     "live_report": LIVE_REPORT,
 }
+# Tables that jobs change in part, in hash buckets of a key.
+KEYED = {"profile": "Phone", "live_report": "id"}
+KEPT_VERSIONS = 3  # for readers that began before the last changes
 
 
 class Tables:
-    """Tables below one folder."""
+    """Tables below one folder. Those of KEYED are kept in numbered versions; one that was
+    written as plain files is taken over by the first job that changes it."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -45,13 +50,65 @@ class Tables:
         """A table; one that a job only reads must exist (may_be_new=False)."""
         if not may_be_new and not folder_exists(self.spark, self.path(name)):
             raise FileNotFoundError(f"no table at {self.path(name)}")
-        schema = EXTRA_TABLES[name] if name in EXTRA_TABLES else ddl.TABLES[name][0]
-        return read_or_empty(self.spark, self.path(name), schema)
+        if name in KEYED and (table := self.versioned(name)).exists():
+            return table.read()
+        return read_or_empty(self.spark, self.path(name), self.schema(name))
+
+    def schema(self, name: str):
+        return EXTRA_TABLES[name] if name in EXTRA_TABLES else ddl.TABLES[name][0]
+
+    def versioned(self, name: str) -> VersionedTable:
+        return VersionedTable(self.spark, self.path(name), self.schema(name), key=KEYED[name], sort=[KEYED[name]])
+
+    def take_over(self, name: str) -> VersionedTable:
+        """The versioned table; the rows of plain files become its first version."""
+        table = self.versioned(name)
+        if not table.exists():
+            table.replace_all(self.read(name))
+        return table
+
+    def tidy(self, table: VersionedTable) -> None:
+        """Old versions go, and the plain files that a first version was made of."""
+        for file in list_folder(self.spark, table.path):
+            if not file.startswith(("_write=", "_commits")):
+                remove_folder(self.spark, f"{table.path}/{file}")
+        table.clean(KEPT_VERSIONS)
+
+    def change(self, name: str, keys: DataFrame, make, notes: dict | None = None) -> None:
+        """Put make(rows) in place of the rows in the buckets of `keys`; all other files stay."""
+        table = self.take_over(name)
+        table.change(keys, make, notes)
+        self.tidy(table)
+
+    def change_and_tell(self, name: str, keys: DataFrame, make, outgoing: DataFrame, topic: str, job: str, args) -> None:
+        """`change`, and messages about it, such that both happen or none.
+
+        The messages are written to the outbox first, in the folder of a run named after the version to be
+        made, so a repeated run takes its place. The commit notes the run, and runs that it notes are
+        handed to the topic, if --send-to names its servers, now or by the next such job.
+        """
+        table = self.take_over(name)
+        base, pending = table.last(), f"outbox/{topic}"
+        run = f"{job}-{base.version + 1}"
+        outgoing.select("value").write.mode("overwrite").text(self.path(f"{pending}/run={run}"))
+        waiting = base.notes.get(pending, [])
+        if args.send_to:
+            waiting = [*waiting, run]
+        table.change(keys, make, {pending: waiting})
+        for number, run in enumerate(waiting, 1):
+            rows = self.spark.read.text(self.path(f"{pending}/run={run}"))
+            sinks.send(rows, args.send_format, **{"kafka.bootstrap.servers": args.send_to, "topic": topic, "path": self.path(f"sent/{topic}/run={run}")})
+            table.note({pending: waiting[number:]})
+        self.tidy(table)
 
     def replace(self, name: str, rows: DataFrame, **period) -> None:
         """Put rows in place of a period's directories, or of an unpartitioned table."""
         schema, by, _ = ddl.TABLES[name]
         rows = rows.select(*schema.names)
+        if name in KEYED:
+            table = self.take_over(name)
+            table.replace_all(rows)
+            return self.tidy(table)
         if not by:
             return sinks.overwrite(rows, self.path(name))
         inside = F.lit(True)
@@ -93,8 +150,8 @@ def recalc_yearly(tables, args):
 
 
 def recalc_all_time(tables, args):
-    totals = points.recalc_all_time(tables.read(YEARLY, may_be_new=False))
-    tables.replace("profile", points.upsert_profiles(tables.read("profile"), totals, F.lit(args.as_of)))
+    totals = stage(points.recalc_all_time(tables.read(YEARLY, may_be_new=False)), "totals")
+    tables.change("profile", totals.select("Phone"), lambda rows: points.upsert_profiles(rows, totals, F.lit(args.as_of)))
 
 
 def rank_monthly(tables, args):
@@ -107,10 +164,11 @@ def rank_yearly(tables, args):
 
 
 def rank_all_time(tables, args):
-    profiles = tables.read("profile")
-    changes = ranking.rank_all_time(profiles).select(F.col("id").alias("Id"), F.col("new_rank").alias("Rank"))
+    changes = ranking.rank_all_time(tables.read("profile"))
+    changes = stage(changes.select(F.col("id").alias("Id"), F.col("phone").alias("Phone"), F.col("new_rank").alias("Rank")), "ranks")
     touch = {"LastModified": F.lit(args.as_of), "LastModifiedBy": F.lit("ProfileRankUpdater")}
-    tables.replace("profile", update_only(profiles, changes, ["Id"], update=["Rank"], touch=touch))
+    ranks = changes.drop("Phone")
+    tables.change("profile", changes, lambda rows: update_only(rows, ranks, ["Id"], update=["Rank"], touch=touch))
 
 
 def assign_membership(tables, args):
@@ -119,10 +177,10 @@ def assign_membership(tables, args):
 
 
 def sync_profiles(tables, args):
-    state = membership.sync_membership_to_profiles(
-        tables.read("profile"), tables.read(MONTHLY), args.year, args.month, F.lit(args.as_of)
-    )
-    tables.replace("profile", state)
+    monthly = tables.read(MONTHLY)
+    members = pick(monthly, year=args.year, month=args.month).select(F.col("phone").alias("Phone"))
+    sync = membership.sync_membership_to_profiles
+    tables.change("profile", members, lambda rows: sync(rows, monthly, args.year, args.month, F.lit(args.as_of)))
 
 
 def sync_yearly(tables, args):
@@ -132,12 +190,12 @@ def sync_yearly(tables, args):
 
 
 def update_levels(tables, args):
-    profiles = tables.read("profile")
     since = levels.recent_window(args.as_of, args.minutes) if args.minutes else None
-    changes = levels.update_levels(profiles, since).persist()
-    tables.send(messages.row_message(levels.level_transactions(changes, args.as_of)), "activity_transaction", _run("levels", args), args)
-    tables.replace("profile", levels.apply_levels(profiles, changes, F.lit(args.as_of)))
-    changes.unpersist()
+    changes = stage(levels.update_levels(tables.read("profile"), since), "levels")
+    outgoing = messages.row_message(levels.level_transactions(changes, args.as_of))
+    tables.change_and_tell(
+        "profile", changes, lambda rows: levels.apply_levels(rows, changes, F.lit(args.as_of)), outgoing, "activity_transaction", "levels", args
+    )
 
 
 def roll_forward(tables, args):
@@ -183,8 +241,9 @@ def driving_events(tables, args):
 
 
 def verify_reports(tables, args):
-    state = reports.verify_live_reports(tables.read("live_report", may_be_new=False), int(args.as_of.timestamp()))
-    sinks.overwrite(state, tables.path("live_report"))
+    as_of = int(args.as_of.timestamp())
+    due = tables.read("live_report", may_be_new=False).filter(reports.due_for_verification(as_of)).select("id")
+    tables.change("live_report", due, lambda rows: reports.verify_live_reports(rows, as_of))
 
 
 def release_reports(tables, args):
@@ -298,32 +357,37 @@ APPLIED = layout("version bigint, state string, done bigint")
 def _applied(tables, period):
     """The last ledger version that fold-points began to apply, and whether that is done."""
     found = read_or_empty(tables.spark, tables.path(f"points_{period}/applied"), APPLIED)
-    return found.groupBy("version", "state").agg(F.max("done").alias("done")).orderBy(F.desc("version")).first()
+    last = found.groupBy("version", "state").agg(F.max("done").alias("done")).orderBy(F.desc("version")).first()
+    table = tables.versioned("profile")
+    noted = table.last().notes.get(f"points_{period}", -1) if period == "all" and table.exists() else -1
+    return {"version": noted, "state": None, "done": 1} if noted > (last["version"] if last else -1) else last
 
 
 def fold_points(tables, args):
     """Add to the member tables what stream-points recorded since the last time.
 
     The ledger is compacted to a new version; what it holds more than the version applied
-    last goes to the tables. The new state is written beside them together with a note of the
-    version first, so a run that broke off is finished by the next one, and nothing is added twice.
+    last goes to the tables. Profiles are changed in one commit, which notes the version, and only
+    in the buckets of members with new points. For the tables by period the new state is written beside
+    them together with a note of the version first, so a run that broke off is finished by the
+    next one. Nothing is added twice.
     """
     if args.period == "every":
         raise ValueError("fold-points takes one period")
     spark, root = tables.spark, tables.path(f"points_{args.period}")
     name = {"month": MONTHLY, "year": YEARLY, "all": "profile"}[args.period]
+    schema, by, _ = ddl.TABLES[name]
 
     def put(version, state, done):
         spark.createDataFrame([(version, state, done)], APPLIED).coalesce(1).write.mode("append").parquet(f"{root}/applied")
 
     def swap(version, state):
-        schema, by, _ = ddl.TABLES[name]
-        rows = spark.read.schema(schema).parquet(state)
-        if by:
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(tables.path(name))
-        else:
-            rows.write.mode("overwrite").parquet(tables.path(name))
+        if not by:
+            return tables.take_over(name).replace_all(spark.read.schema(schema).parquet(state), {"points_all": version})
+        rows = sinks.laid_out(spark.read.schema(schema).parquet(state), list(by), ["phone"])
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(tables.path(name))
         put(version, state, 1)
+        ledger.drop_numbered(spark, f"{root}/states", version)
 
     last = _applied(tables, args.period)
     if last and not last["done"]:
@@ -333,14 +397,14 @@ def fold_points(tables, args):
     if version <= before:
         return
     added = stream_points.points_between(spark, root, args.period, before, version)
-    schema, by, _ = ddl.TABLES[name]
-    table = tables.read(name)
     if args.period == "all":
-        state = points.increment_profiles(table, added, F.lit(args.as_of))
-    else:
-        periods = stream_points.PERIODS[args.period]
-        touched = stage(added.select(*periods).distinct(), "touched")
-        state = points.increment_members(table.join(touched, periods, "left_semi"), added, ["phone", *periods])
+        added = stage(added, "added")
+        phones = added.select(F.col("phone").alias("Phone"))
+        note = {"points_all": version}
+        return tables.change(name, phones, lambda rows: points.increment_profiles(rows, added, F.lit(args.as_of)), note)
+    periods = stream_points.PERIODS[args.period]
+    touched = stage(added.select(*periods).distinct(), "touched")
+    state = points.increment_members(tables.read(name).join(touched, periods, "left_semi"), added, ["phone", *periods])
     path = f"{root}/states/version={version}"
     state.select(*schema.names).write.mode("overwrite").parquet(path)
     put(version, path, 0)
@@ -396,6 +460,7 @@ OPTIONS = {
     "per-trigger": {"type": int, "default": 1_000_000, "help": "messages in a batch at most"},
     "may-lose": {"action": "store_true", "help": "go on when the topic has dropped unread messages"},
     "send-to": {"default": "", "help": "servers of the topics that messages go to"},
+    "send-format": {"default": "kafka", "help": "data source that messages are written with"},
 }
 _PERIOD = ["year!", "month!"]
 _SOURCE = ["servers", "topic", "start", "files", "format", "checkpoint!", "every", "per-trigger", "may-lose"]
@@ -412,7 +477,7 @@ JOBS = {
     "assign-membership": (assign_membership, [*_PERIOD, "percentiles"]),
     "sync-profiles": (sync_profiles, _PERIOD),
     "sync-yearly": (sync_yearly, _PERIOD),
-    "update-levels": (update_levels, ["minutes", "send-to"]),
+    "update-levels": (update_levels, ["minutes", "send-to", "send-format"]),
     "roll-forward": (roll_forward, _PERIOD),
     "publish": (publish_documents, ["kind!", "year", "month"]),
     "event-summary": (event_summary, ["day!"]),

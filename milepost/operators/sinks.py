@@ -6,7 +6,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from milepost.session import folder_exists, remove_folder, stage
+from milepost.operators.id_filters import add_filters, directories_with, has_filters
+from milepost.session import folder_exists, list_folder, remove_folder, stage
 from milepost.sources.tables import read_or_empty
 
 # Keys of one batch that may be broadcast.
@@ -38,12 +39,18 @@ def append_absent(
 
     scope: leading partition columns that are a function of the key, such as the
     period of an activity. Then only the directories that occur in `df` are listed
-    and read. With an empty scope the whole table is.
+    and read. With an empty scope the whole table is searched: Bloom filters of the keys
+    (see id_filters), kept from the first write on or made by `id_filters.add_filters`, name the
+    directories that may hold one; a table without filters is read whole.
     """
+    spark = df.sparkSession
+    filtered = len(keys) == 1 and (has_filters(spark, path) or not scope and not folder_exists(spark, path))
     if scope:
         table = _directories_of(df, path, schema, scope, by)
+    elif filtered:
+        table = _read_directories(spark, path, schema, by, directories_with(df, path, schema, keys[0], by))
     else:
-        table = read_or_empty(df.sparkSession, path, schema)
+        table = read_or_empty(spark, path, schema)
     columns = [*keys, *[c for c in scope if c not in keys]]
 
     def same(side):
@@ -58,7 +65,13 @@ def append_absent(
         wanted = F.broadcast(wanted)
     stored = table.select(*columns).join(wanted, same(wanted), "left_semi").distinct()
     stored = stored.toDF(*[f"_{c}" for c in columns])
-    append(df.select(*schema.names).join(stored, same(stored), "left_anti"), path, by, sort)
+    new = df.select(*schema.names).join(stored, same(stored), "left_anti")
+    if filtered:
+        new = stage(new, "absent")
+        if new.isEmpty():
+            return
+        add_filters(new, path, keys[0], by)  # before the rows themselves
+    append(new, path, by, sort)
 
 
 def _directories_of(df: DataFrame, path: str, schema: StructType, scope: list[str], by: list[str]) -> DataFrame:
@@ -67,8 +80,14 @@ def _directories_of(df: DataFrame, path: str, schema: StructType, scope: list[st
         raise ValueError(f"{scope} are not the leading partition columns of {by}")
     spark = df.sparkSession
     touched = df.select(*scope).distinct().collect()  # one row per directory
-    folders = [partition_folder(path, [(c, row[c]) for c in scope]) for row in touched]
-    present = [folder for folder in folders if folder_exists(spark, folder)]
+    return _read_directories(spark, path, schema, scope, [tuple(row) for row in touched])
+
+
+def _read_directories(spark: SparkSession, path: str, schema: StructType, by: list[str], values: list[tuple]) -> DataFrame:
+    """The rows in some directories; parents are listed once, not one by one."""
+    folders = [partition_folder(path, zip(by, v)) for v in values]
+    there = {parent: set(list_folder(spark, parent)) for parent in {f.rsplit("/", 1)[0] for f in folders}}
+    present = [f for f in folders if f.rsplit("/", 1)[1] in there[f.rsplit("/", 1)[0]]]
     if not present:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("basePath", path).parquet(*present)

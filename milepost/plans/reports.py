@@ -188,11 +188,15 @@ def driving_messages(events: DataFrame) -> DataFrame:
     return messages.event_message(events)
 
 
+def due_for_verification(as_of: int, after: int = VERIFY_AFTER_SECONDS) -> Column:
+    return (F.col("status") == WAITING) & (F.col("submit_time") <= as_of - after)
+
+
 def verify_live_reports(
     reports: DataFrame, as_of: int, after: int = VERIFY_AFTER_SECONDS, by: str = "LiveReportVerificationJob"
 ) -> DataFrame:
     """The report table with reports that waited long enough marked as verified."""
-    due = (F.col("status") == WAITING) & (F.col("submit_time") <= as_of - after)
+    due = due_for_verification(as_of, after)
     new = {"status": F.lit(VERIFIED), "last_modified": F.lit(as_of).cast("bigint"), "last_modified_by": F.lit(by)}
     return reports.select(
         *[F.when(due, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in reports.columns]

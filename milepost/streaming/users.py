@@ -20,7 +20,7 @@ from milepost.schemas import (
     USER_EVENT,
     YEAR_PARTITIONS,
 )
-from milepost.streaming.runner import kept, start
+from milepost.streaming.runner import decided, kept, start
 
 
 def new_phones(messages: DataFrame) -> DataFrame:
@@ -44,6 +44,10 @@ def first_rows(phones: DataFrame, as_of: datetime, zone: str = BUSINESS_ZONE) ->
     )
 
 
+def now(zone: str) -> datetime:
+    return datetime.now(ZoneInfo(zone))
+
+
 def register_users(
     messages: DataFrame,
     monthly: str,
@@ -55,11 +59,14 @@ def register_users(
 ) -> StreamingQuery:
     """Give every new user a monthly and a yearly row of the current period, if they have none.
 
-    monthly, yearly: table folders. as_of: fixed point in time, else each batch's own.
+    monthly, yearly: table folders. as_of: fixed point in time, else the moment at which each batch
+    first ran, which is kept with the checkpoint: a batch replayed later, even in another
+    month, asks for the same rows again.
     """
 
     def handle(batch: DataFrame, batch_id: int, stream: str) -> None:
-        with kept(first_rows(batch, as_of or datetime.now(ZoneInfo(zone)), zone)) as rows:
+        moment = as_of or datetime.fromisoformat(decided(batch.sparkSession, checkpoint, batch_id, now(zone).isoformat()))
+        with kept(first_rows(batch, moment, zone)) as rows:
             if rows.isEmpty():
                 return
             # The period is part of the key, so only its directory is searched.
