@@ -195,6 +195,7 @@ def _sql(query: str, *views: str, **given: str) -> str:
 
 
 _ALL_DAYS = 'SELECT *, CAST(make_timestamp("TimeStamp" * 1000) AS DATE) AS day FROM tx'
+_ALL_MONTHS = """SELECT *, CAST(date_trunc('month', make_timestamp("TimeStamp" * 1000)) AS DATE) AS day FROM tx"""
 _ONE_DAY = f"""SELECT *, DATE '1995-08-09' AS day FROM tx
                WHERE "TimeStamp" >= {SHIP_DAY} AND "TimeStamp" < {SHIP_DAY + DAY_MS}"""
 
@@ -523,3 +524,22 @@ ORACLE["rank_after_changes"] = _sql(
                ON CAST(c_custkey AS VARCHAR) = "Phone")""",
     "scored",
 )
+
+# Documents and messages, every field read back from their text.
+ORACLE["publish_monthly_documents"] = f'SELECT "Id" AS doc_id, * FROM ({ORACLE["publish_monthly"]})'
+ORACLE["publish_yearly_documents"] = f'SELECT "Id" AS doc_id, * FROM ({ORACLE["publish_yearly"]})'
+ORACLE["publish_profiles_documents"] = f"""SELECT 'profile:' || "Phone" AS doc_id, * FROM ({ORACLE["publish_profiles"]})"""
+ORACLE["release_live_reports_messages"] = _sql(
+    """SELECT batch_no, 'LiveReportV2' AS message_type, total_records, 'FeatureCollection' AS collection,
+              CAST(row_number() OVER (PARTITION BY batch_no ORDER BY id) - 1 AS INTEGER) AS place, 'Feature' AS kind, 'Point' AS shape,
+              lng, lat, id, value AS heading, expired_display_time AS "expiredDisplayTimeUnix", 'cell ' || user_id AS "cellId",
+              CAST(hour(ts) AS INTEGER) AS "numberOfView", CAST(minute(ts) AS INTEGER) AS "numberOfConfirm",
+              CAST(month(ts) AS INTEGER) AS "numberOfRejection", '#FF0000' AS "minimizationHexColor"
+       FROM released JOIN events ON id = CAST(event_id AS VARCHAR)""",
+    "released",
+)
+ORACLE["rule_flow_month"] = _sql(
+    """SELECT * REPLACE (CAST(date AS VARCHAR) AS date), CAST(NULL AS BIGINT) AS timestamp FROM flow""",
+    "flow", dated=_ALL_MONTHS,
+)
+ORACLE["rule_flow_month_bitmaps"] = ORACLE["rule_flow_month"]

@@ -12,6 +12,7 @@ from milepost.operators.documents import DocumentStore
 from milepost.operators.keyed import insert_absent, keep_latest, replace_rows
 from milepost.operators.versions import VersionedTable
 from milepost.plans import levels, maintenance, membership, points, publish, ranking, reconcile, reports
+from milepost.plans.flow_bitmaps import FlowBitmaps
 from milepost.plans.standing import Standing
 from milepost.schemas import ACTIVITY_EVENT, ACTIVITY_TRANSACTION, LIVE_REPORT, MEMBERSHIP_MONTHLY, MEMBERSHIP_YEARLY
 from milepost.schemas import layout
@@ -178,6 +179,27 @@ def publish_profiles(spark, folder):
     return publish.profile_fields(sample.profiles(spark, folder), F.lit(AS_OF))
 
 
+def _read_back(documents, fields):
+    """Documents taken apart again: their key, and every field by its name."""
+    parsed = F.from_json("doc", fields.schema, {"mode": "FAILFAST"}).alias("d")
+    return documents.select("doc_id", parsed).select("doc_id", "d.*")
+
+
+def publish_monthly_documents(spark, folder):
+    ranked = rank_monthly(spark, folder)
+    return _read_back(publish.publish_monthly(ranked), publish.monthly_fields(ranked))
+
+
+def publish_yearly_documents(spark, folder):
+    ranked = rank_yearly(spark, folder)
+    return _read_back(publish.publish_yearly(ranked), publish.yearly_fields(ranked))
+
+
+def publish_profiles_documents(spark, folder):
+    profiles = sample.profiles(spark, folder)
+    return _read_back(publish.publish_profiles(profiles, F.lit(AS_OF)), publish.profile_fields(profiles, F.lit(AS_OF)))
+
+
 def roll_forward(spark, folder):
     return publish.roll_forward(monthly(spark, folder), ROLLED)
 
@@ -257,6 +279,37 @@ def release_live_reports(spark, folder):
     )
 
 
+RELEASED = (
+    "struct<trans_id: string, message_type: string, total_records: bigint, data: struct<type: string, features: array<struct<type: string, "
+    "geometry: struct<coordinates: array<double>, type: string>, properties: struct<id: string, heading: double, "
+    "expiredDisplayTimeUnix: bigint, cellId: string, numberOfView: int, numberOfConfirm: int, numberOfRejection: int, "
+    "minimizationHexColor: string>>>>>"
+)
+
+
+def release_live_reports_messages(spark, folder):
+    """Every field of every feature of the released messages, read back from their text."""
+    released = reports.release_live_reports(sample.live_reports(spark, folder), int(AS_OF.timestamp()))
+    message = released.select("batch_no", F.from_json("value", RELEASED, {"mode": "FAILFAST"}).alias("m"))
+    feature = message.select("batch_no", "m.message_type", "m.total_records", F.col("m.data.type").alias("collection"), F.posexplode("m.data.features").alias("place", "f"))
+    return feature.select(
+        "batch_no", "message_type", "total_records", "collection", "place", F.col("f.type").alias("kind"), F.col("f.geometry.type").alias("shape"),
+        F.col("f.geometry.coordinates")[0].alias("lng"), F.col("f.geometry.coordinates")[1].alias("lat"), "f.properties.*",
+    )
+
+
+def rule_flow_month(spark, folder):
+    """The funnel per month, with members distinct over the month."""
+    return date_as_text(reports.rule_flow_metrics(sample.transactions(spark, folder), zone="UTC", per="month"))
+
+
+def rule_flow_month_bitmaps(spark, folder):
+    """The same from daily bitmaps that were stored before."""
+    store = FlowBitmaps(spark, new_folder(spark, "flow"))
+    store.store(sample.transactions(spark, folder), zone="UTC")
+    return date_as_text(store.metrics())
+
+
 # --- maintenance ------------------------------------------------------------------
 
 
@@ -558,6 +611,7 @@ REGISTERED = {
         stream_points_month, stream_points_year, stream_points_all, register_users_monthly,
         register_users_yearly, stream_drop_repeats, stream_running_totals, ingest_transactions_anywhere,
         documents_replaced, verify_live_reports_stored, delete_period_stored, deduplicate_month_stored,
-        sync_missing_by_digest, rank_after_changes,
+        sync_missing_by_digest, rank_after_changes, publish_monthly_documents, publish_yearly_documents,
+        publish_profiles_documents, release_live_reports_messages, rule_flow_month, rule_flow_month_bitmaps,
     )
 } | {"recalc_monthly": monthly, "recalc_yearly": yearly}

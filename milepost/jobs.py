@@ -9,6 +9,7 @@ always given; nothing is taken from the clock but the default of --as-of.
 
 import argparse
 from datetime import date, datetime, timezone
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -219,6 +220,9 @@ def publish_documents(tables, args):
         raise ValueError(f"{args.kind} documents need " + " and ".join(f"--{p}" for p in period))
     folder = sinks.partition_folder(tables.path(f"documents/{args.kind}"), [(p, getattr(args, p)) for p in period])
     documents.write.mode("overwrite").parquet(folder)
+    if args.put:
+        module, _, function = args.put.partition(":")
+        sinks.publish(tables.spark.read.schema(documents.schema).parquet(folder), getattr(import_module(module), function))
 
 
 # --- reports --------------------------------------------------------------------
@@ -446,6 +450,7 @@ OPTIONS = {
     "drop": {"action": "store_true"},
     "database": {"default": "activity"},
     "table": {"choices": ["transaction", "event"], "default": "transaction"},
+    "put": {"default": "", "help": "module:function that writes (doc_id, doc) rows to the serving store, a list at a time"},
     "kind": {"choices": ["monthly", "yearly", "profiles"]},
     "servers": {"default": ""},
     "topic": {"default": ""},
@@ -479,7 +484,7 @@ JOBS = {
     "sync-yearly": (sync_yearly, _PERIOD),
     "update-levels": (update_levels, ["minutes", "send-to", "send-format"]),
     "roll-forward": (roll_forward, _PERIOD),
-    "publish": (publish_documents, ["kind!", "year", "month"]),
+    "publish": (publish_documents, ["kind!", "year", "month", "put"]),
     "event-summary": (event_summary, ["day!"]),
     "rule-flow": (rule_flow, ["day!"]),
     "driving-events": (driving_events, ["day!", "send-to"]),

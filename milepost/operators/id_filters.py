@@ -34,11 +34,11 @@ def _hash(key: str, kind: int) -> Column:
     return F.xxhash64(F.col(key), F.lit(kind))
 
 
-def _block(key: str, blocks: Column) -> Column:
+def block_of(key: str, blocks: Column) -> Column:
     return F.pmod(_hash(key, 0), blocks).cast("int")
 
 
-def _probes(key: str) -> list[Column]:
+def probes(key: str) -> list[Column]:
     """Bit positions of an Id within its block: 15 bits each, four from a hash."""
     return [F.shiftrightunsigned(_hash(key, 1 + i // 4), 15 * (i % 4)).bitwiseAND(F.lit(BITS - 1)).cast("int") for i in range(PROBES)]
 
@@ -52,7 +52,7 @@ def filter_rows(rows: DataFrame, key: str, by: list[str]) -> DataFrame:
     blocks = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.ceil(F.col("_n") / IDS_PER_BLOCK), F.lit(1))))).cast("int")
     same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by])
     placed = known.join(sizes.withColumn("_blocks", blocks), same).select(key, *by, "_blocks")
-    bits = placed.select(*by, "_blocks", _block(key, F.col("_blocks")).alias("_block"), F.explode(F.array(*_probes(key))).alias("_bit"))
+    bits = placed.select(*by, "_blocks", block_of(key, F.col("_blocks")).alias("_block"), F.explode(F.array(*probes(key))).alias("_bit"))
     return bits.groupBy(*by, "_blocks", "_block").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
 
 
@@ -60,7 +60,7 @@ def add_filters(rows: DataFrame, path: str, key: str, by: list[str]) -> None:
     filter_rows(rows, key, by).write.mode("append").parquet(filters_of(path))
 
 
-def _has_bit(bits: str, at: Column) -> Column:
+def has_bit(bits: str, at: Column) -> Column:
     byte = F.conv(F.hex(F.substring(F.col(bits), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     return F.getbit(byte, F.pmod(at, F.lit(8))) == 1
 
@@ -78,8 +78,8 @@ def directories_with(keys: DataFrame, path: str, schema: StructType, key: str, b
     if not sizes:
         return []
     wanted = keys.select(F.col(key).alias("_key")).filter(F.col(key).isNotNull()).distinct()
-    wanted = wanted.select(F.explode(F.array(*map(F.lit, sizes))).alias("_of"), "_key", *[p.alias(f"_p{i}") for i, p in enumerate(_probes("_key"))])
-    wanted = wanted.withColumn("_in", _block("_key", F.col("_of")))
+    wanted = wanted.select(F.explode(F.array(*map(F.lit, sizes))).alias("_of"), "_key", *[p.alias(f"_p{i}") for i, p in enumerate(probes("_key"))])
+    wanted = wanted.withColumn("_in", block_of("_key", F.col("_of")))
     met = filters.join(wanted, (F.col("_blocks") == F.col("_of")) & (F.col("_block") == F.col("_in")))
-    hit = reduce(Column.__and__, [_has_bit("_bits", F.col(f"_p{i}")) for i in range(PROBES)])
+    hit = reduce(Column.__and__, [has_bit("_bits", F.col(f"_p{i}")) for i in range(PROBES)])
     return [tuple(r) for r in met.filter(hit).select(*by).distinct().collect()]

@@ -1,11 +1,12 @@
 """Daily reports on events, campaign rules, driving and live traffic."""
 
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from milepost.functions import messages
-from milepost.functions.calendar import business_day, local_midnight_ms, rows_of_day
+from milepost.functions.calendar import business_day, day_bounds_ms, local_midnight_ms, rows_of_day, touching_periods
 from milepost.functions.values import device_id, hashed_uuid, whole_km
 from milepost.operators.ordering import positions
 from milepost.operators.sinks import audited
@@ -56,28 +57,18 @@ def rule_flow_metrics(
     as_of: datetime | None = None,
     zone: str = BUSINESS_ZONE,
     prune: bool = True,
+    per: str = "day",
 ) -> DataFrame:
-    """How members pass through the rules of each campaign, per day (of one day, or of all).
+    """How members pass through the rules of each campaign, per day (of one day, or of all) or per month.
 
     Distinct members are counted from rows folded to one per member first, so no
     task holds the member set of a large rule or campaign.
     """
     if day is not None:
         transactions = rows_of_day(transactions, day, zone, prune)
-    local_day = business_day(F.col("TimeStamp"), zone) if day is None else F.lit(day)
-    # Rows without a campaign belong to no funnel.
-    rows = transactions.filter(F.col("CampaignId").isNotNull()).withColumn("date", local_day)
-    scored = F.col("Name") == SCORING_NAME
-    rule = ["date", "CampaignId", "RuleId", "RuleName"]
     # Staged: the rules and the campaigns' members both come from it, so the transactions are read once.
-    per_member = rows.groupBy(*rule, "Phone").agg(
-        F.min("CampaignName").alias("campaignname"),
-        F.count("Name").alias("actions"),
-        F.count_if(scored).alias("scored"),
-        F.sum(F.when(scored, F.col("Value"))).alias("points"),
-    )
-    per_member = stage(per_member, "per-member")
-    rules = per_member.groupBy(*rule).agg(
+    per_member = stage(actions_per_member(transactions, day, zone, per), "per-member")
+    rules = per_member.groupBy(*FLOW_RULE).agg(
         F.min("campaignname").alias("campaignname"),
         F.count("Phone").alias("profiles_evaluated"),
         F.sum("actions").alias("total_actions"),
@@ -86,6 +77,29 @@ def rule_flow_metrics(
     )
     members = per_member.select("date", "CampaignId", "Phone").distinct()
     evaluated = members.groupBy("date", "CampaignId").agg(F.count("Phone").alias("total_profiles_evaluated"))
+    return flow_rows(rules, evaluated, as_of)
+
+
+FLOW_RULE = ["date", "CampaignId", "RuleId", "RuleName"]
+
+
+def actions_per_member(transactions: DataFrame, day: date | None = None, zone: str = BUSINESS_ZONE, per: str = "day") -> DataFrame:
+    """One row per rule, member and day (or month, by its first day): actions, scored ones and their points."""
+    local_day = business_day(F.col("TimeStamp"), zone) if day is None else F.lit(day)
+    period = F.trunc(local_day, "month") if per == "month" else local_day
+    # Rows without a campaign belong to no funnel.
+    rows = transactions.filter(F.col("CampaignId").isNotNull()).withColumn("date", period)
+    scored = F.col("Name") == SCORING_NAME
+    return rows.groupBy(*FLOW_RULE, "Phone").agg(
+        F.min("CampaignName").alias("campaignname"),
+        F.count("Name").alias("actions"),
+        F.count_if(scored).alias("scored"),
+        F.sum(F.when(scored, F.col("Value"))).alias("points"),
+    )
+
+
+def flow_rows(rules: DataFrame, evaluated: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """The stored funnel rows from sums per rule and distinct members per campaign."""
     sequenced = positions(
         rules,
         [F.asc_nulls_first("RuleId"), F.asc_nulls_first("RuleName")],
@@ -155,14 +169,21 @@ def daily_driving_events(
     zone: str = BUSINESS_ZONE,
     min_metres: int = MIN_DRIVING_METRES,
     prefix: str = DEVICE_PREFIX,
+    prune: bool = True,
 ) -> DataFrame:
     """One driving event per long enough daily report of a known device.
 
     `date` of a report is the epoch second of its local midnight. A device listed for
-    several users counts for the first phone. The folded users are staged, so a device with
+    several users counts for the first phone. prune: of one day, read only the directories of its
+    month. The folded users are staged, so a device with
     very many reports reaches a plain join that runtime planning splits.
     """
     if day is not None:
+        # Reports are filed under the month of their local day; that of UTC is read as well.
+        start, end = day_bounds_ms(day, zone)
+        periods = sorted({(day.year, day.month), *touching_periods(start, end)})
+        if prune:
+            reports = reports.filter(reduce(Column.__or__, [(F.col("year") == y) & (F.col("month") == m) for y, m in periods]))
         reports = reports.filter(F.col("date") == local_midnight_ms(day, zone) // 1000)
     driven = reports.filter((F.col("distance") >= min_metres) & F.col("deviceimei").startswith(prefix))
     driven = driven.withColumn("device_id", device_id(F.col("deviceimei"), prefix))

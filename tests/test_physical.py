@@ -1,6 +1,7 @@
 """What the plans must look like to hold up on large tables."""
 
 import re
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -83,3 +84,16 @@ def test_tied_members_spread_over_tasks(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert len(sizes) == 8 and max(sizes) < 50_000
+
+
+def test_driving_reports_of_a_day_read_their_month_only(spark, tmp_path):
+    path = str(tmp_path / "reports")
+    sample.driving_reports(spark, FOLDER).withColumn("month", F.lit(1)).unionByName(
+        sample.driving_reports(spark, FOLDER).withColumn("month", F.lit(3))
+    ).write.partitionBy("year", "month").parquet(path)
+    stored = spark.read.parquet(path)
+    events = reports.daily_driving_events(stored, sample.device_users(spark, FOLDER), date(2024, 1, 15))
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan(events)).group(1)
+    assert "month" in filters and "year" in filters
+    whole = reports.daily_driving_events(stored, sample.device_users(spark, FOLDER), date(2024, 1, 15), prune=False).filter("Month = 1")
+    assert sorted(map(tuple, events.collect())) == sorted(map(tuple, whole.collect())) != []

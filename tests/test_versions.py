@@ -159,6 +159,17 @@ def test_messages_go_out_once_with_their_change(spark, tmp_path, monkeypatch):
     assert [len(s) for s in sent] == [20, 20, 0] and table.last().notes["outbox/activity_transaction"] == []
 
 
+def test_published_documents_reach_the_serving_store(spark, tmp_path, monkeypatch):
+    root, given = str(tmp_path), []
+    profiles = [(str(i), f"p{i}", 1, 7, 1, None, "Level1") for i in range(5)]
+    frame(spark, [p + (None,) * (len(PROFILE_TABLE) - len(p)) for p in profiles], PROFILE_TABLE).write.parquet(f"{root}/profile")
+    monkeypatch.setattr(sinks, "publish", lambda documents, put: given.append((documents.collect(), put)))
+    jobs.run(spark, ["--root", root, "publish", "--kind", "profiles", "--put", "json:dumps"])
+    (documents, put), = given
+    assert put is json.dumps and {d.doc_id for d in documents} == {f"profile:p{i}" for i in range(5)}
+    assert {json.loads(d.doc)["TotalPoints"] for d in documents} == {7}
+
+
 def test_standing_follows_changes_and_reads_their_bands_only(spark, tmp_path):
     members = [(str(i), f"p{i:03}", (i * 37) % 50 if i % 3 else 0) for i in range(300)] + [("x", None, None), (None, "q", 5)]
     schema = layout("id string, phone string, totalpoints bigint")
