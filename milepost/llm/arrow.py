@@ -38,6 +38,29 @@ def slices(batches, rows: int = 1000):
             yield batch.slice(at, rows)
 
 
+def by_bytes(batches, column: int, target: int):
+    """The rows of the batches in tables whose texts take up to `target` bytes together, and nearly that
+    much but for the last; a longer text is alone."""
+    held, size = [], 0
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        upto, begin = np.cumsum(lengths), 0
+        while begin < len(lengths):
+            room = target - size + (int(upto[begin - 1]) if begin else 0)
+            end = int(np.searchsorted(upto, room, side="right"))
+            if end == begin and not held:
+                end = begin + 1
+            if end > begin:
+                held.append(batch.slice(begin, end - begin))
+                size += int(lengths[begin:end].sum())
+            if end < len(lengths):
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+            begin = end
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def fresh(name: str, columns: list[str]) -> str:
     """`name`, or a longer one that no column has."""
     taken = {c.lower() for c in columns}

@@ -25,6 +25,8 @@ BUCKET_WORDS = 2_000_000  # vocabulary entries that a bucket sums up, about
 BUCKET_PAIRS = 2_000_000  # distinct pairs of parts that a bucket sums up, at most on average
 OCTAVES = 41  # powers of two of a count
 FINE = 32  # held-out estimates are told apart by 1/FINE of an octave when weights are learned
+DEFAULT_WEIGHTS = (0.1, 0.4, 0.5)  # uniform, word, pair: of an octave without held-out tokens
+SHARE = 1 << 20  # shares are added up in whole numbers of 1/SHARE
 LEAST_UNSEEN = 1e-6  # weight that the uniform distribution always has
 _END = b"\xff"  # the token after the last word; never a word
 
@@ -259,11 +261,14 @@ def _cells(context: np.ndarray, word: np.ndarray, pair: np.ndarray) -> np.ndarra
     return (_octave(context).astype(np.int64) << 24) | (fine(word, word > 0) << 12) | fine(context / np.maximum(pair, 1), pair > 0)
 
 
-def _from_cells(cells: np.ndarray, n: np.ndarray, tokens: int, types: int) -> np.ndarray:
-    word, pair = (cells >> 12) & 4095, cells & 4095
-    uniform = np.full(len(cells), 1 / (types + 1))
-    of_word = np.where(word > 0, 2.0 ** ((word - 1) / FINE) / max(tokens, 1), 0)
-    return _maximise(cells >> 24, n.astype(float), np.stack([uniform, of_word, np.where(pair > 0, 2.0 ** ((1 - pair) / FINE), 0)], axis=1))
+def _of_octave(table: pa.Table, tokens: int, types: int) -> pa.Table:
+    """The weights of one octave of the context's count, learned from its cells: their held-out
+    counts n, and the words' counts and the pairs' shares, summed up over these."""
+    octave, n = int(table["cell"][0].as_py() >> 24), table["n"].to_numpy().astype(float)
+    of_word, of_pair = (table[c].to_numpy() / n for c in ("word", "share"))
+    p = np.stack([np.full(len(n), 1 / (types + 1)), of_word / max(tokens, 1), of_pair / SHARE], axis=1)
+    found = _maximise(np.full(len(n), octave), n, p)[octave]
+    return pa.table({"octave": pa.array([octave], pa.int32()), **{f"w{j}": pa.array([found[j]]) for j in range(3)}})
 
 
 def _pair_sums(parts: DataFrame, per_part: DataFrame, bits: int) -> DataFrame:
@@ -294,8 +299,12 @@ def _pair_sums(parts: DataFrame, per_part: DataFrame, bits: int) -> DataFrame:
             words[:, of[counts[1] > counts[0]]] = unpack(row["held"]).reshape(2, -1)
             out.append((row["part"], bucket, pack(sums[1][of])))
         held = np.flatnonzero(sums[1] > sums[0])
-        cells, which = np.unique(_cells(words[0][held], words[1][held], sums[0][held]), return_inverse=True)
-        out.append((-1, bucket, pack(np.concatenate([cells, np.bincount(which, (sums[1] - sums[0])[held], len(cells)).astype(np.int64)]))))
+        words, pair, n = words[:, held], sums[0][held], (sums[1] - sums[0])[held]
+        cells, which = np.unique(_cells(words[0], words[1], pair), return_inverse=True)
+        # What the members of a cell come to on average, so that the grid costs next to nothing.
+        share = np.rint(SHARE * pair / np.maximum(words[0], 1))
+        added = [np.bincount(which, n * x, len(cells)).astype(np.int64) for x in (1, words[1], share)]
+        out.append((-1, bucket, pack(np.concatenate([cells, *added]))))
         return _binary_rows(out)
 
     slim = parts.select("part", "folds", "sizes", "ids", "hashes")
@@ -303,18 +312,24 @@ def _pair_sums(parts: DataFrame, per_part: DataFrame, bits: int) -> DataFrame:
     return asked.groupBy("bucket").applyInArrow(add, "part bigint, bucket bigint, counts binary")
 
 
-def _held_cells(sums: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Cells and held-out counts of the corpus; at most the grid, whatever the input."""
+def _weights(sums: DataFrame, tokens: int, types: int) -> np.ndarray:
+    """Mixture weights per octave of the context's count. Each octave is learned in a task of its own,
+    from at most a fixed grid of cells; one row per octave reaches the driver."""
 
     def flat(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                cells, n = unpack(row["counts"]).reshape(2, -1)
-                yield pa.RecordBatch.from_pydict({"cell": cells, "n": n})
+                cells, *added = unpack(row["counts"]).reshape(4, -1)
+                columns = {c: x.astype(float) for c, x in zip(("n", "word", "share"), added)}
+                yield pa.RecordBatch.from_pydict({"octave": pa.array(cells >> 24, pa.int32()), "cell": cells, **columns})
 
-    cells = sums.where("part = -1").select("counts").mapInArrow(flat, "cell bigint, n bigint")
-    found = cells.groupBy("cell").agg(F.sum("n").alias("n")).orderBy("cell").toArrow()
-    return found["cell"].to_numpy(), found["n"].to_numpy()
+    cells = sums.where("part = -1").select("counts").mapInArrow(flat, "octave int, cell bigint, n double, word double, share double")
+    cells = cells.groupBy("octave", "cell").agg(*[F.sum(c).alias(c) for c in ("n", "word", "share")])
+    learned = cells.groupBy("octave").applyInArrow(lambda t: _of_octave(t.sort_by("cell"), tokens, types), "octave int, w0 double, w1 double, w2 double")
+    weights = np.tile(DEFAULT_WEIGHTS, (OCTAVES + 2, 1))
+    for row in learned.collect():
+        weights[row["octave"]] = row[1:]
+    return weights
 
 
 def mix(weights: np.ndarray, tokens: int, types: int, context: np.ndarray, word: np.ndarray, pair: np.ndarray) -> np.ndarray:
@@ -323,40 +338,11 @@ def mix(weights: np.ndarray, tokens: int, types: int, context: np.ndarray, word:
     return w[:, 0] / (types + 1) + w[:, 1] * word / max(tokens, 1) + w[:, 2] * pair / np.maximum(context, 1)
 
 
-@dataclass
-class Mixture:
-    """The model over a table of pairs in memory."""
-
-    often: np.ndarray  # hashes of the words that are contexts of their own, sorted
-    pairs: np.ndarray  # kept counts of (class before, class)
-    weights: np.ndarray  # per octave of the context's count: uniform, word, pair
-    tokens: int  # kept
-    types: int  # kept
-
-    def __post_init__(self):
-        self.context = self.pairs.sum(1)
-        self.of_class = self.pairs.sum(0)
-
-    def probability(self, before: np.ndarray, kind: np.ndarray, kept: np.ndarray) -> np.ndarray:
-        pair = self.pairs[before, kind] * (kept / np.maximum(self.of_class[kind], 1))
-        return mix(self.weights, self.tokens, self.types, self.context[before], kept, pair)
-
-
-def learn_weights(kept: np.ndarray, held: np.ndarray, class_types: np.ndarray, rounds: int = 40) -> np.ndarray:
-    """Mixture weights per octave of the context's count, from tables of kept and held-out pairs."""
-    context, of_class = kept.sum(1), kept.sum(0)
-    a, b = np.nonzero(held)
-    p = np.stack([
-        class_types[b] / (class_types.sum() + 1), of_class[b] / max(of_class.sum(), 1), kept[a, b] / np.maximum(context[a], 1),
-    ], axis=1)
-    return _maximise(_octave(context[a]), held[a, b].astype(float), p, rounds)
-
-
 def _maximise(at: np.ndarray, n: np.ndarray, p: np.ndarray, rounds: int = 40) -> np.ndarray:
     """Weights per bucket `at` by expectation-maximisation, where `n` held-out tokens have the
     estimates `p`. A bucket without held-out tokens has default weights."""
     buckets = OCTAVES + 2
-    weights = np.tile([0.1, 0.4, 0.5], (buckets, 1))
+    weights = np.tile(DEFAULT_WEIGHTS, (buckets, 1))
     seen = np.bincount(at, n, buckets)
     for _ in range(rounds):
         share = weights[at] * p
@@ -367,6 +353,12 @@ def _maximise(at: np.ndarray, n: np.ndarray, p: np.ndarray, rounds: int = 40) ->
     return weights / weights.sum(1, keepdims=True)
 
 
+def _kinds(batches):
+    for batch in batches:
+        found = np.array([unpack(c) for c in batch.column(0).to_pylist()], np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_pydict({"train": found[:, 0], "kept": found[:, 1]})
+
+
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 5, fold: int = 1) -> DataFrame:
     """Score whole texts with a model of those whose crc32(key as text) mod `folds` is not `fold`.
 
@@ -374,11 +366,11 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     model mixes uniform, word and word-pair estimates; every pair of words keeps its own count.
     Nine tenths of the training texts are counted; the weights, one set per octave of the
     context's count, come from the words of the last tenth (deleted from the counts) by
-    expectation-maximisation over their estimates, rounded to 1/FINE of an octave. Texts are
+    expectation-maximisation over their estimates, which are averaged within 1/FINE of an octave. Texts are
     then scored with the counts of all training texts.
 
-    Words and pairs go to buckets of their hash and sums come back per part; the driver gets one
-    row per bucket and the held-out cells, at most a fixed grid. Returns key, held_out, n_tokens,
+    Words and pairs go to buckets of their hash and sums come back per part; the driver gets a few
+    totals and the weights, one row per octave. Returns key, held_out, n_tokens,
     n_known (tokens seen in training), train_tokens, base_score (add-half word model), score
     (log10 probability).
 
@@ -392,13 +384,11 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int =
     words, n_kept, n_train, n_tokens = (x or 0 for x in sums)
     bits = lambda n, most: max(6, int(n // most).bit_length())
     totals = stage(_totals(parts, bits(words, BUCKET_WORDS)), "totals")
-    n_types = kept_types = 0
-    for row in totals.where("part = -1").toLocalIterator():  # one per bucket
-        train_here, kept_here = unpack(row["counts"]).tolist()
-        n_types, kept_types = n_types + train_here, kept_types + kept_here
+    types = totals.where("part = -1").select("counts").mapInArrow(_kinds, "train bigint, kept bigint")  # one row per bucket
+    n_types, kept_types = (x or 0 for x in types.agg(F.sum("train"), F.sum("kept")).first())
     per_part = totals.where("part >= 0")
     pairs = stage(_pair_sums(parts, per_part.groupBy("part"), bits(n_tokens, BUCKET_PAIRS)), "pairs")
-    weights = _from_cells(*_held_cells(pairs), n_kept, kept_types)
+    weights = _weights(pairs, n_kept, kept_types)
     model = spark.sparkContext.broadcast(weights)
     base_total = n_train + 0.5 * (n_types + 1)
 

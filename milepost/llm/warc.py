@@ -11,15 +11,18 @@ import uuid
 import zlib
 from bisect import bisect_left, bisect_right
 from collections import OrderedDict
+from functools import reduce
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from milepost.llm.files import open_folder, write_whole
+from milepost.operators.id_filters import block_of, has_bit, probes
 from milepost.session import new_folder, stage
 
 LEAST_PAYLOAD = 100  # bytes; smaller payloads are always stored whole
+FILTER_BLOCKS = 2048  # bitmaps of 4 KB each that know the repeated digests
 BLOCK_LINES = 1000  # entries in a block of the index
 OPEN_FILES = 64  # archives a reading task keeps open
 MAGIC = b"CAPIDX01"
@@ -209,8 +212,10 @@ def write_archive(
     files (file, first, last: keys), one row per file.
 
     Of equal payloads of LEAST_PAYLOAD bytes or more, the rows with the smallest id are stored and the
-    others written as revisits of it. Only digests and ids are shuffled to find these; a digest that occurs
-    once is not looked up, and the join by digest is split at run time where a payload is very frequent.
+    others written as revisits of it. Only digests and ids are shuffled to find these. A Bloom filter of
+    the repeated digests, of a fixed size, tells which rows to look up: all others are written where they
+    are read, and payloads travel for repeated ones (and a few taken for them) at most. That
+    join by digest is split at run time where a payload is very frequent.
     Archives are written as rows come; index entries alone are sorted, range-partitioned by
     key and id, so one URL with very many captures spreads over several files.
 
@@ -228,10 +233,16 @@ def write_archive(
     large = rows.where(F.octet_length("html") >= LEAST_PAYLOAD)
     repeated = large.groupBy(F.col("digest").alias("same")).agg(F.min("page").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     repeated = stage(repeated.select("same", "first"), "repeated")
-    marked = rows.join(repeated, F.col("digest") == F.col("same"), "left")
-    entries = marked.select("sort_key", "page", "url", "html", "digest", "first").mapInArrow(
-        _write_records(folder, date), "sort_key string, file string, offset bigint, length bigint"
-    )
+    blocks = F.lit(FILTER_BLOCKS)
+    bits = repeated.select(block_of("same", blocks).alias("_block"), F.explode(F.array(*probes("same"))).alias("_bit"))
+    bits = bits.groupBy("_block").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    asked = rows.withColumns({"_in": block_of("digest", blocks)} | {f"_p{i}": p for i, p in enumerate(probes("digest"))})
+    asked = asked.join(F.broadcast(bits), F.col("_in") == F.col("_block"), "left")  # FILTER_BLOCKS bitmaps of 4 KB
+    maybe = F.coalesce(reduce(Column.__and__, [has_bit("_bits", F.col(f"_p{i}")) for i in range(len(probes("digest")))]), F.lit(False))
+    names = ["sort_key", "page", "url", "html", "digest", "first"]
+    once = asked.where(~maybe).withColumn("first", F.lit(None).cast(pages.schema[key].dataType)).select(names)
+    again = asked.where(maybe).join(repeated, F.col("digest") == F.col("same"), "left").select(names)
+    entries = once.unionByName(again).mapInArrow(_write_records(folder, date), "sort_key string, file string, offset bigint, length bigint")
     entries = stage(entries, "entries").repartitionByRange("sort_key").sortWithinPartitions("sort_key", "file", "offset")
     return folder, stage(entries.mapInArrow(_write_index(folder), "file string, first string, last string"), "index")
 

@@ -100,15 +100,29 @@ def test_counts_and_base_score(spark, monkeypatch, limits):
 def test_mixture_is_a_distribution():
     import numpy as np
 
-    kept = np.array([[4, 2, 0, 0], [1, 3, 1, 0], [2, 0, 0, 0], [0, 0, 0, 0]])
-    held = np.array([[2, 1, 0, 1], [1, 1, 0, 0], [1, 0, 0, 0], [0, 1, 0, 0]])
-    types = np.array([1, 1, 1, 1])  # classes of one word each; the last is unseen
-    weights = lm.learn_weights(kept, held, types)
+    weights = lm._maximise(np.array([2, 2, 3]), np.array([5.0, 1, 2]), np.array([[0.2, 0.1, 0.6], [0.2, 0.3, 0.0], [0.2, 0.6, 0.1]]))
     assert np.allclose(weights.sum(1), 1) and (weights > 0).all()
-    model = lm.Mixture(np.zeros(0, np.uint64), kept, weights, int(kept.sum()), 3)
-    for before in range(4):
-        p = model.probability(np.full(4, before), np.arange(4), np.array([*kept.sum(0)[:3], 0]))
-        assert 0.99 < p.sum() <= 1 + 1e-9 if kept[before].any() else p.sum() <= 1 + 1e-9
+    # Three known words and an unknown one, after contexts of 0, 2 and 5 tokens.
+    for pairs in ([0, 0, 0, 0], [1, 1, 0, 0], [3, 1, 1, 0]):
+        p = lm.mix(weights, 10, 3, np.full(4, sum(pairs)), np.array([5, 3, 2, 0]), np.array(pairs))
+        lost = weights[lm._octave(np.array([sum(pairs)]))[0], 2] if not sum(pairs) else 0  # no pair after an unseen context
+        assert abs(p.sum() - (1 - lost)) < 1e-9
+
+
+def test_weights_of_octaves_are_learned_apart():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    context, word = rng.integers(1, 40, 400), rng.integers(0, 9, 400)
+    pair = rng.integers(0, context + 1)
+    cells, n = lm._cells(context, word, pair), rng.integers(1, 5, 400)
+    for octave in set((cells >> 24).tolist()):
+        mine = cells >> 24 == octave
+        got = lm._of_octave(pa.table({"cell": cells[mine], "n": n[mine], "word": (n * word)[mine], "share": (n * pair / context * lm.SHARE)[mine]}), 900, 40).to_pylist()[0]
+        p = np.stack([np.full(mine.sum(), 1 / 41), word[mine] / 900, pair[mine] / context[mine]], axis=1)
+        want = lm._maximise(np.full(mine.sum(), octave), n[mine].astype(float), p)[octave]
+        assert got["octave"] == octave and np.allclose([got[f"w{j}"] for j in range(3)], want, atol=1e-9)
 
 
 def brute_scores(docs, folds=5, fold=1):
@@ -144,7 +158,8 @@ def test_every_pair_of_words_has_its_count(spark, monkeypatch, limits):
     docs += [(2000 + i, f"left{i} right{i + 1}") for i in range(9)]
     df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
     got, want = {r.doc_id: r.score for r in lm.score(df).collect()}, brute_scores(docs)
-    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 0.03 * abs(want[k]) for k in want)
+    off = max(abs(got[k] - want[k]) / abs(want[k]) for k in want)
+    assert got.keys() == want.keys() and off < 0.001, off
     assert all(got[1000 + i] > got[2000 + i] + 0.5 for i in range(9))
 
 
@@ -154,7 +169,7 @@ def test_texts_that_teach_weights_are_counted_too(spark):
     docs += [(k, "fresh start again") for k in teach]  # words that no other text has
     got = {r.doc_id: r.score for r in lm.score(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
     want = brute_scores(docs)
-    assert all(abs(got[k] - want[k]) < 0.03 * abs(want[k]) for k in want)
+    assert all(abs(got[k] - want[k]) < 0.001 * abs(want[k]) for k in want)
 
 
 # --- shards -----------------------------------------------------------------------

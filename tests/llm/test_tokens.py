@@ -4,10 +4,12 @@ import collections
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from milepost.llm import packing, token_counts, token_files, tokens
+from milepost.llm.arrow import by_bytes
 from milepost.llm.queries import tokenizer
 
 HARD = [
@@ -54,9 +56,24 @@ def test_counts(spark):
     want = [(k, "y", len((t or "").encode()), n, n > 49) for k, t, *_ in rows(MIXED) for n in [len(ids_of("word_bpe_49k.json", t))]]
     assert got.columns == ["doc_id", "key", "n_bytes", "n_tokens", "over_limit"]
     assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    small = token_counts.count_tokens(df, tokenizer("word_bpe_49k.json"), limit=49, batch=50)
+    assert sorted(map(tuple, small.collect()), key=str) == sorted(want, key=str)
     assert token_counts.count_tokens(df.limit(0), tokenizer("word_bpe_49k.json")).collect() == []
 
 
+def test_batches_are_cut_by_bytes():
+    rng = np.random.default_rng(2)
+    sizes = [int(x) for x in rng.integers(0, 200, 3000)] + [25_000, 0, 9_999, 10_000, 10_001]
+    texts = [None if n == 7 else "x" * n for n in sizes]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(i, min(i + 400, len(texts)))), pa.array(texts[i : i + 400])], names=["k", "t"]) for i in range(0, len(texts), 400)]
+    cut = list(by_bytes(iter(batches), 1, 10_000))
+    assert [k for t in cut for k in t["k"].to_pylist()] == list(range(len(texts)))
+    held = [sum(len(x or "") for x in t["t"].to_pylist()) for t in cut]
+    assert all(8_000 <= n <= 10_000 for n in held[: 3000 * 100 // 10_000 - 3])  # texts of 100 bytes, within 20 % of the target
+    assert [n for n in held if n > 10_000] == [25_000, 10_001]
+    assert list(by_bytes(iter([]), 1, 10)) == []
+
+
 def test_cut_is_complete_and_classes_fit():
     for capacity in (2048, 100, 7):
         ladder = packing.classes(capacity)
