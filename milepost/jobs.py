@@ -14,7 +14,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from milepost.functions import messages
-from milepost.operators import ledger, sinks
+from milepost.operators import id_filters, ledger, sinks
 from milepost.operators.keyed import update_only
 from milepost.operators.versions import VersionedTable
 from milepost.plans import ddl, levels, maintenance, membership, points, publish, ranking, reports
@@ -311,8 +311,22 @@ def delete_period(tables, args):
 
 
 def query(tables, args):
-    found = maintenance.query_transactions(tables.read(TRANSACTIONS, may_be_new=False), args.phone, args.year, args.month)
-    found.show(truncate=False)
+    """The newest transactions of a member or period. A phone alone is looked up through the filters that
+    the job `index` has made, if there are any."""
+    if args.phone and args.year is None and args.month is None:
+        schema, by, _ = ddl.TABLES[TRANSACTIONS]
+        rows = sinks.rows_with(tables.spark, tables.path(TRANSACTIONS), schema, list(by), "Phone", args.phone)
+    else:
+        rows = tables.read(TRANSACTIONS, may_be_new=False)
+    maintenance.query_transactions(rows, args.phone, args.year, args.month).show(truncate=False)
+
+
+def index(tables, args):
+    """Make Bloom filters of a column for a stored table; every later append keeps them."""
+    name = _activity_table(args)
+    if args.column in id_filters.filtered_columns(tables.spark, tables.path(name)):
+        raise ValueError(f"{name} has filters of {args.column}")
+    id_filters.add_filters(tables.read(name, may_be_new=False), tables.path(name), args.column, list(ddl.TABLES[name][1]))
 
 
 def create_tables(tables, args):
@@ -451,6 +465,7 @@ OPTIONS = {
     "database": {"default": "activity"},
     "table": {"choices": ["transaction", "event"], "default": "transaction"},
     "put": {"default": "", "help": "module:function that writes (doc_id, doc) rows to the serving store, a list at a time"},
+    "column": {"choices": ["Id", "Phone"], "default": "Phone"},
     "kind": {"choices": ["monthly", "yearly", "profiles"]},
     "servers": {"default": ""},
     "topic": {"default": ""},
@@ -495,6 +510,7 @@ JOBS = {
     "sync-missing": (sync_missing, ["year", "month"]),
     "delete-period": (delete_period, [*_PERIOD, "dry-run"]),
     "query": (query, ["phone", "year", "month"]),
+    "index": (index, ["table", "column"]),
     "store-events": (_stream(_events), [*_SOURCE, "policy", "id-scope"]),
     "store-transactions": (_stream(_transactions), [*_SOURCE, "policy", "id-scope"]),
     "stream-points": (_stream(_points), [*_SOURCE, "period"]),

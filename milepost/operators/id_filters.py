@@ -1,5 +1,8 @@
 """Bloom filters of the Ids in each directory, so that a search of a whole table opens few files.
 
+Any column can have filters, such as the phone for look-ups by member. They are written below
+`<table>/_filters/<column>`, and from then on kept by every append.
+
 The filters are rows beside the table: bitmaps of BITS bits per (directory, block). A block is
 chosen by one hash of the Id, and PROBES of its bits by others, so looking up an Id
 takes one bitmap per directory. They are made of Spark's bitmap aggregates: folded in each task, and no
@@ -13,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from milepost.schemas import layout
-from milepost.session import folder_exists
+from milepost.session import list_folder
 from milepost.sources.tables import read_or_empty
 
 BITS = 4096 * 8  # of one bitmap, as Spark's bitmap functions make them
@@ -22,12 +25,13 @@ IDS_PER_BLOCK = BITS // 16  # 16 bits per Id: about one Id in a thousand is take
 _FIELDS = "_blocks int, _block int, _bits binary"
 
 
-def filters_of(path: str) -> str:
-    return f"{path}/_ids"
+def filters_of(path: str, key: str) -> str:
+    return f"{path}/_filters/{key}"
 
 
-def has_filters(spark: SparkSession, path: str) -> bool:
-    return folder_exists(spark, filters_of(path))
+def filtered_columns(spark: SparkSession, path: str) -> list[str]:
+    """The columns of a table that have filters."""
+    return [c for c in list_folder(spark, f"{path}/_filters") if not c.startswith((".", "_"))]
 
 
 def _hash(key: str, kind: int) -> Column:
@@ -57,7 +61,7 @@ def filter_rows(rows: DataFrame, key: str, by: list[str]) -> DataFrame:
 
 
 def add_filters(rows: DataFrame, path: str, key: str, by: list[str]) -> None:
-    filter_rows(rows, key, by).write.mode("append").parquet(filters_of(path))
+    filter_rows(rows, key, by).write.mode("append").parquet(filters_of(path, key))
 
 
 def has_bit(bits: str, at: Column) -> Column:
@@ -73,7 +77,7 @@ def directories_with(keys: DataFrame, path: str, schema: StructType, key: str, b
     """
     spark = keys.sparkSession
     kinds = ", ".join(f"{c} {schema[c].dataType.simpleString()}" for c in by)
-    filters = read_or_empty(spark, filters_of(path), layout(f"{kinds}, {_FIELDS}"))
+    filters = read_or_empty(spark, filters_of(path, key), layout(f"{kinds}, {_FIELDS}"))
     sizes = [r[0] for r in filters.select("_blocks").distinct().collect()]  # powers of two
     if not sizes:
         return []

@@ -6,7 +6,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from milepost.operators.id_filters import add_filters, directories_with, has_filters
+from milepost.operators.id_filters import add_filters, directories_with, filtered_columns
 from milepost.session import folder_exists, list_folder, remove_folder, stage
 from milepost.sources.tables import read_or_empty
 
@@ -44,10 +44,12 @@ def append_absent(
     directories that may hold one; a table without filters is read whole.
     """
     spark = df.sparkSession
-    filtered = len(keys) == 1 and (has_filters(spark, path) or not scope and not folder_exists(spark, path))
+    filtered = filtered_columns(spark, path)
+    if len(keys) == 1 and not scope and not folder_exists(spark, path):
+        filtered = [keys[0]]
     if scope:
         table = _directories_of(df, path, schema, scope, by)
-    elif filtered:
+    elif keys[0] in filtered:
         table = _read_directories(spark, path, schema, by, directories_with(df, path, schema, keys[0], by))
     else:
         table = read_or_empty(spark, path, schema)
@@ -70,7 +72,8 @@ def append_absent(
         new = stage(new, "absent")
         if new.isEmpty():
             return
-        add_filters(new, path, keys[0], by)  # before the rows themselves
+        for column in filtered:
+            add_filters(new, path, column, by)  # before the rows themselves
     append(new, path, by, sort)
 
 
@@ -83,6 +86,15 @@ def _directories_of(df: DataFrame, path: str, schema: StructType, scope: list[st
     return _read_directories(spark, path, schema, scope, [tuple(row) for row in touched])
 
 
+def rows_with(spark: SparkSession, path: str, schema: StructType, by: list[str], key: str, value) -> DataFrame:
+    """The rows of a stored table with one value of a column. If the column has filters, only the directories
+    are listed and read whose filters know the value."""
+    if key not in filtered_columns(spark, path):
+        return read_or_empty(spark, path, schema).filter(F.col(key) == value)
+    wanted = spark.createDataFrame([(value,)], StructType([schema[key]]))
+    return _read_directories(spark, path, schema, by, directories_with(wanted, path, schema, key, by)).filter(F.col(key) == value)
+
+
 def _read_directories(spark: SparkSession, path: str, schema: StructType, by: list[str], values: list[tuple]) -> DataFrame:
     """The rows in some directories; parents are listed once, not one by one."""
     folders = [partition_folder(path, zip(by, v)) for v in values]

@@ -2,8 +2,10 @@
 
 from datetime import datetime, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
+from milepost import jobs
 from milepost.functions.values import lower_names
 from milepost.operators import id_filters, sinks
 from milepost.plans import maintenance, reconcile
@@ -48,8 +50,7 @@ def test_filters_know_every_id_and_few_others(spark):
     df = transactions(spark, range(6000)).withColumn("Month", F.lit(3)).unionByName(transactions(spark, range(6000, 6010)))
     made = id_filters.filter_rows(df, "Id", BY).collect()
     assert {r["_blocks"] for r in made if r["Month"] == 3} == {4}  # grows with the directory
-    folder = "/".join(["", "nowhere"])
-    assert id_filters.directories_with(df, folder, ACTIVITY_TRANSACTION, "Id", BY) == []
+    assert id_filters.directories_with(df, "/nowhere", ACTIVITY_TRANSACTION, "Id", BY) == []
 
 
 def test_filters_without_losses(spark, tmp_path):
@@ -70,6 +71,24 @@ def test_batches_in_scope_keep_filters_complete(spark, tmp_path):
     assert rows(read_or_empty(spark, path, ACTIVITY_TRANSACTION).filter("Year = 1999"), "Id") == [("id999",)]
 
 
+def test_a_member_is_found_without_listing_other_directories(spark, tmp_path, capsys):
+    root, path = str(tmp_path), str(tmp_path / "activity_transaction")
+    days = ["Year", "Month", "Date"]
+    given = transactions(spark, range(4000)).withColumn("Phone", F.concat(F.lit("p"), F.expr("cast(substring(Id, 3) as int) div 7").cast("string"))).withColumn("Date", F.lit(1).cast("bigint"))
+    sinks.append(given, path, days)
+    jobs.run(spark, ["--root", root, "index"])
+    found = lambda phone: sinks.rows_with(spark, path, ACTIVITY_TRANSACTION, days, "Phone", phone)
+    assert rows(found("p100"), "Id") == [(f"id{i}",) for i in range(700, 707)]
+    assert {f.split("Month=")[1].split("/")[0] for f in found("p100").inputFiles()} <= {"8", *map(str, range(1, 41))}
+    assert len({f.rsplit("/", 1)[0] for f in found("p100").inputFiles()}) <= 2  # of 40
+    sinks.append_absent(given.limit(1).withColumns({"Id": F.lit("later"), "Month": F.lit(12), "Phone": F.lit("p100")}), path, ACTIVITY_TRANSACTION, ["Id"], days, days)
+    assert ("later",) in rows(found("p100"), "Id") and found("nobody").count() == 0
+    jobs.run(spark, ["--root", root, "query", "--phone", "p100"])
+    assert "later" in capsys.readouterr().out
+    with pytest.raises(ValueError):
+        jobs.run(spark, ["--root", root, "index"])
+
+
 def test_one_changed_directory_is_found_and_read_alone(spark, tmp_path):
     source, target, memory = (str(tmp_path / n) for n in ("s", "t", "m"))
     given = transactions(spark, range(10_000))  # 100 directories
