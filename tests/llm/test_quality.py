@@ -1,6 +1,7 @@
 """Counts, thresholds and verdicts by brute force; the classifier by held-out accuracy."""
 
 import collections
+import math
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -124,6 +125,28 @@ def test_classifier_never_learns_from_held_out_labels(spark):
     assert a.base == b.base and all(np.array_equal(x, y) for x, y in zip(a.tables, b.tables))
 
 
+def test_scores_equal_plain_sums_of_table_entries(spark):
+    docs, labels = table(spark, FOLDER, "documents").select("doc_id", "text"), table(spark, FOLDER, "labels")
+    model = gam.train(docs, labels)
+    place = lambda edges, v: sum(v > e for e in edges)  # noqa: E731  bins end with their edge
+
+    def plain(text):
+        c = dict(zip(NAMES, brute(text)))
+        words, chars, lines = (max(c[n], 1) for n in ("n_words", "word_chars", "n_lines"))
+        x = [
+            math.log1p(c["n_words"]), chars / words, c["n_symbols"] / chars, c["n_dup_lines"] / lines, c["n_repeat_words"] / words, c["n_adjacent"] / words,
+            c["n_upper"] / chars, c["n_digits"] / chars, c["n_marks"] / words, c["n_distinct"] / words, math.log1p(c["longest"]), words / lines,
+        ]
+        bins = [place(e, v) for e, v in zip(model.edges, x)]
+        total = model.base + sum(t[b] for t, b in zip(model.tables, bins)) + sum(t[bins[i], bins[j]] for i, j, t in model.pairs)
+        return 1 / (1 + math.exp(-total))
+
+    assert model.pairs and any(t.any() for t in model.tables)
+    got = {r.doc_id: r.score for r in op10_quality_classifier(spark, FOLDER).collect()}
+    for r in docs.limit(200).collect():
+        assert abs(got[r.doc_id] - plain(r.text)) < 1e-9
+
+
 def test_classifier_on_odd_input(spark):
     docs = spark.createDataFrame([(None, None, "a"), (1, "", "b"), (1, "x " * 30_000, "c")], "doc_id bigint, text string, score string")
     empty = spark.createDataFrame([], "doc_id bigint, quality int")
