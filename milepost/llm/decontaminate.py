@@ -3,13 +3,18 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructField, StructType
 
-from milepost.llm.arrow import add_columns, fresh
+from milepost.llm.arrow import fresh, frugal, schema_of, slices, utf8
+from milepost.session import stage
 
 WINDOW = 13
 RESULTS = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
-MAX_ITEM_BYTES = 64 << 20  # item text per automaton; more items make more automata
+MAX_ITEM_BYTES = 1 << 20  # item text in one automaton: some 170,000 words and 150 MB in a worker
+PIECE_WORDS = 20_000  # longer items are indexed in overlapping pieces
 
 # Lower case for A-Z; everything in ASCII but digits and letters separates words.
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -128,21 +133,43 @@ class Automaton:
         return np.cumsum(hit[:-1]) > 0, items
 
 
-def _automata(spark, items: DataFrame, key: str, text: str, window: int) -> list:
-    """One broadcast automaton per MAX_ITEM_BYTES of item text, usually a single one.
+def _pieces(batches, window: int):
+    """Items as texts of at most PIECE_WORDS words; each run of `window` words is whole in one of them."""
+    for batch in batches:
+        keys, texts = [], []
+        for key, data in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+            words = words_of(data)
+            for at in range(0, max(len(words) - window + 1, 1), PIECE_WORDS):
+                keys.append("" if key is None else key)
+                texts.append(b" ".join(words[at : at + PIECE_WORDS + window - 1]))
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(texts, pa.binary())], names=["k", "t"])
 
-    Test items are a fixed set next to the corpus; their size is summed up first, and
-    the driver holds one part at a time.
-    """
+
+def _automata(spark, items: DataFrame, key: str, text: str, window: int):
+    """Yields broadcast automata of MAX_ITEM_BYTES of item text each, usually a single one. The driver
+    holds the items of one part at a time, and a part's broadcast is gone before the next is made."""
     cleaned = items.select(F.col(f"`{key}`").cast("string").alias("k"), F.col(f"`{text}`").alias("t")).where("t is not null")
-    total = cleaned.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    parts = 1 + total // MAX_ITEM_BYTES
-    out = []
+    pieces = stage(cleaned.mapInArrow(lambda batches: _pieces(batches, window), "k string, t binary"), "items")
+    parts = 1 + (pieces.agg(F.sum(F.octet_length("t"))).first()[0] or 0) // MAX_ITEM_BYTES
     for part in range(parts):
-        rows = cleaned.where(F.pmod(F.xxhash64("t"), F.lit(parts)) == part).toLocalIterator()
-        pairs = sorted(("" if k is None else k, t) for k, t in rows)
-        out.append(spark.sparkContext.broadcast(Automaton([(k, words_of(t.encode())) for k, t in pairs], window)))
-    return out
+        rows = sorted((r["k"], bytes(r["t"])) for r in pieces.where(F.pmod(F.xxhash64("t"), F.lit(parts)) == part).collect())
+        shared = spark.sparkContext.broadcast(Automaton([(k, t.split()) for k, t in rows], window))
+        yield shared, part == parts - 1
+        if part < parts - 1:
+            shared.unpersist()
+
+
+def _scan_batch(batch, automaton: Automaton, at: int, carried: bool) -> list[tuple]:
+    """(words, hit, items) of each text; with what former parts of the items have found."""
+    found = []
+    before = zip(batch.column(at + 1).to_pylist(), batch.column(at + 2).to_pylist()) if carried else iter(lambda: (None, None), 0)
+    for data, (old_hit, old_items) in zip(utf8(batch.column(at)), before):
+        words = words_of(data) if data else []
+        hit, items = automaton.scan(words)
+        if carried:
+            hit, items = hit | np.unpackbits(np.frombuffer(old_hit, np.uint8), count=len(words)).astype(bool), items | set(old_items)
+        found.append((data, hit, items))
+    return found
 
 
 def contamination(
@@ -159,41 +186,56 @@ def contamination(
     items_sha256: of the ids of occurring items, sorted as strings, comma-joined.
 
     cut_spans: the text stays, without the hit spans (from the first byte of a span's
-    first word to the last of its last word); else it is left out. Broadcasts
-    the automaton of the test items, whose size is checked; no shuffle.
+    first word to the last of its last word); else it is left out. Broadcasts the automaton
+    of at most MAX_ITEM_BYTES of item text; of more items, the documents pass one part after the
+    other, staged in between with the words that were hit so far. No shuffle.
 
     A null text has no words and stays null. Items without words match nothing; a
     null item id counts as the empty string. Without items nothing is contaminated. Rows
     keep other columns, nulls and repeats included; columns named like a result are replaced.
     """
-    automata = _automata(docs.sparkSession, items, item_key, item_text, window)
     per_mille = round(coverage * 1000)
-
-    def make():
-        def work(texts):
-            out = [[], [], [], [], [], []]
-            for data in texts:
-                words = words_of(data) if data else []
-                hit, found = automata[0].value.scan(words)
-                for more in automata[1:]:
-                    hit_too, found_too = more.value.scan(words)
-                    hit, found = hit | hit_too, found | found_too
-                n_hit = int(hit.sum())
-                row = [
-                    len(words), n_hit, len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(),
-                    n_hit > 0 and 1000 * n_hit >= per_mille * len(words),
-                    None if data is None or not cut_spans else (_without(data, hit) if n_hit else data).decode(),
-                ]
-                for column, value in zip(out, row):
+    hits, items_of = fresh("_hit", docs.columns), fresh("_found", docs.columns)
+    carried, given = False, docs.columns
+    for automaton, last in _automata(docs.sparkSession, items, item_key, item_text, window):
+        results = [*RESULTS, *([text] if cut_spans else [])] if last else [hits, items_of]
+        types = schema_of("a bigint, b bigint, c bigint, d string, e boolean, f string" if last else "a binary, b array<string>").fields
+        gone = {n.lower() for n in [*results, text]} if last else set()
+        kept = [c for c in given if c.lower() not in gone]
+        out = StructType([docs.schema[c] for c in kept] + [StructField(n, t.dataType) for n, t in zip(results, types)])
+        run = _pass(automaton, len(kept), None if last else given.index(text), carried, per_mille, to_arrow_schema(out))
+        wanted = [*kept, *([text] if last else []), *([hits, items_of] if carried else [])]
+        docs = docs.select([F.col(f"`{c}`") for c in wanted]).mapInArrow(frugal(run), out)
+        if not last:
+            docs, carried = stage(docs, "scanned"), True
+    return docs
+
+
+def _pass(automaton, kept: int, text: int | None, carried: bool, per_mille: int, out: pa.Schema):
+    """One pass over the documents. text: its place among the kept columns; None in the last pass, which
+    gives the results and finds the text behind the kept columns."""
+
+    def run(batches):
+        n = len(out) - kept
+        for batch in slices(batches):
+            at = kept if text is None else text
+            if carried and text is not None:  # the text is not beside what is carried
+                names = [*range(kept), text, kept, kept + 1]
+                batch, at = pa.RecordBatch.from_arrays([batch.column(i) for i in names], names=[str(i) for i in range(len(names))]), kept
+            values = [[] for _ in range(n)]
+            for data, hit, items in _scan_batch(batch, automaton.value, at, carried):
+                if text is not None:
+                    row = (np.packbits(hit).tobytes(), sorted(items))
+                else:
+                    n_hit, digest = int(hit.sum()), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+                    contaminated = n_hit > 0 and 1000 * n_hit >= per_mille * len(hit)
+                    row = (len(hit), n_hit, len(items), digest, contaminated, None if data is None or n < 6 else (_without(data, hit) if n_hit else data).decode())
+                for column, value in zip(values, row):
                     column.append(value)
-            return out
-
-        return work
+            arrays = batch.columns[:kept] + [pa.array(v, f.type) for v, f in zip(values, list(out)[kept:])]
+            yield pa.RecordBatch.from_arrays(arrays, schema=out)
 
-    rest = fresh("_rest", docs.columns)
-    ddl = f"n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, {rest} string"
-    out = add_columns(docs, text, ddl, make)
-    return out.withColumnRenamed(rest, text) if cut_spans else out.drop(rest)
+    return run
 
 
 def _without(data: bytes, hit: np.ndarray) -> bytes:

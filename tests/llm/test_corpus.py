@@ -71,6 +71,19 @@ def test_several_automata_and_cut_spans(spark, monkeypatch):
         assert r.text == text if not r.n_hit else len(words7(r.text)) == r.n_words - r.n_hit
 
 
+def test_long_items_are_indexed_in_pieces(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", 10)
+    rng = random.Random(9)
+    items = [("a", " ".join(f"w{rng.randrange(50)}" for _ in range(100))), ("b", "x y"), ("c", " ".join(f"v{i}" for i in range(13)))]
+    batch = pa.RecordBatch.from_arrays([pa.array([k for k, _ in items]), pa.array([t for _, t in items])], names=["k", "t"])
+    made = [(r["k"], r["t"]) for out in decontaminate._pieces(iter([batch]), 4) for r in out.to_pylist()]
+    windows = lambda rows: {(k, tuple(t.split()[i : i + 4])) for k, t in rows for i in range(len(t.split()) - 3)}
+    assert windows((k, t.decode()) for k, t in made) == windows(items) and ("b", b"x y") in made
+    assert max(len(t.split()) for _, t in made) <= 13
+
+
 # --- language model -------------------------------------------------------------
 
 
