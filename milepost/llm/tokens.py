@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 
 ROWS = 1250  # texts handed to an encoder at once
 BATCH_BYTES = 4 << 20  # text per batch; longer texts are cut, so no batch is much larger
-MEMO_HELD = 80 << 20  # bytes of parts and ids that a worker remembers
+MEMO_HELD = 144 << 20  # bytes of parts and ids that a worker remembers
 MEMO_ENTRY = 256  # bytes of one of them, about: a part of MEMO_BYTES at most, its ids, and its place
 MEMO_PARTS = MEMO_HELD // MEMO_ENTRY // 2  # remembered before those not met since the last time are dropped
 JOINED = 4096  # new parts that are encoded as one text, where that is possible
