@@ -27,8 +27,9 @@ def keep_latest(df: DataFrame, keys: list[str] = ("Id",), *moments: str) -> Data
 
 
 def absent_rows(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Source rows whose key the target lacks. Copies in the target are folded before the join."""
-    return source.join(target.select(*keys).distinct(), keys, "left_anti")
+    """Source rows whose key the target lacks. Copies in the target do no harm to an anti join, and
+    without a fold under it runtime planning can split a key with very many source rows."""
+    return source.join(target.select(*keys), keys, "left_anti")
 
 
 def insert_absent(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

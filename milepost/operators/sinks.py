@@ -10,8 +10,9 @@ from milepost.operators.id_filters import add_filters, directories_with, filtere
 from milepost.session import folder_exists, list_folder, remove_folder, stage
 from milepost.sources.tables import read_or_empty
 
-# Keys of one batch that may be broadcast.
-BROADCAST_KEYS = 1_000_000
+# Bytes of the keys of one batch that may be broadcast, measured before; rows count with ROW_BYTES besides.
+BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 48
 
 
 def laid_out(df: DataFrame, by: list[str], sort: list[str] = ()) -> DataFrame:
@@ -34,7 +35,7 @@ def append_absent(
     """Insert the rows whose key the table lacks. `df` must be unique by key.
 
     Doing it again adds nothing, which makes it safe under batch replay. The keys
-    of `df` go to the table's files (broadcast up to BROADCAST_KEYS, which is
+    of `df` go to the table's files (broadcast up to BROADCAST_BYTES, which is
     checked), so the table is not shuffled, and only its key columns are read.
 
     scope: leading partition columns that are a function of the key, such as the
@@ -63,7 +64,8 @@ def append_absent(
         )
 
     wanted = df.select(*[F.col(c).alias(f"_{c}") for c in columns])
-    if df.count() <= BROADCAST_KEYS:
+    rows, size = wanted.agg(F.count(F.lit(1)), sum(F.sum(F.coalesce(F.octet_length(c.cast("string")), F.lit(0))) for c in map(F.col, wanted.columns))).first()
+    if rows * ROW_BYTES + (size or 0) <= BROADCAST_BYTES:
         wanted = F.broadcast(wanted)
     stored = table.select(*columns).join(wanted, same(wanted), "left_semi").distinct()
     stored = stored.toDF(*[f"_{c}" for c in columns])

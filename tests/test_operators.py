@@ -252,7 +252,7 @@ def test_append_absent_with_missing_dates(spark, folder, stored):
 
 
 def test_append_absent_beyond_the_broadcast_limit(spark, folder, stored, monkeypatch):
-    monkeypatch.setattr(sinks, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(sinks, "BROADCAST_BYTES", -1)
     batch = df(spark, PERIODIC, ("a", "1", 9, 2024, 1, 100), ("e", "1", 9, 2024, 1, 100))
     sinks.append_absent(batch, folder, layout(PERIODIC), ["Id"], BY, scope=[])
     assert len(read(spark, folder)) == 6
