@@ -5,9 +5,11 @@ import random
 from datetime import datetime, timezone
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
-from milepost.operators import ledger
+from catalog import sample
+from milepost.operators import documents, id_filters, ledger, sinks
+from milepost.operators.keyed import keep_latest
 from milepost.plans import points
 from milepost.schemas import ACTIVITY_EVENT, ACTIVITY_TRANSACTION, MEMBERSHIP_MONTHLY, MEMBERSHIP_YEARLY, PROFILE, layout
 from milepost.session import list_folder
@@ -239,3 +241,61 @@ def test_continuous_trigger_and_stop(spark, topic, root, checkpoint):
     finally:
         query.stop()
     assert rows(ingest.stored_rows(spark, root, ACTIVITY_EVENT), "Id") == [("a",)]
+
+
+def _plans_of(spark, run):
+    """Text of the plans that run while `run` does."""
+    seen, plain = [], DataFrameWriter.parquet
+
+    def noted(writer, path, *args, **kwargs):
+        seen.append(writer._df._jdf.queryExecution().optimizedPlan().toString())
+        return plain(writer, path, *args, **kwargs)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(DataFrameWriter, "parquet", noted)
+        run()
+    return seen
+
+
+def test_messages_are_made_without_a_shuffle(spark):
+    given = spark.createDataFrame([[transaction("a").get(n) for n in ACTIVITY_TRANSACTION.names]], ACTIVITY_TRANSACTION)
+    assert "Repartition" not in sample.as_messages(given)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_batch_of_documents_is_dealt_once(spark, tmp_path):
+    given = [transaction("a", TimeStamp=1), transaction("a", TimeStamp=2), transaction("b", Month=2)]
+    batch = spark.createDataFrame([[g.get(n) for n in ACTIVITY_TRANSACTION.names] for g in given], ACTIVITY_TRANSACTION)
+    store = ingest.documents(spark, str(tmp_path), ACTIVITY_TRANSACTION)
+    texts = _plans_of(spark, lambda: store.put(batch, 0))
+    assert [t.count("RepartitionByExpression") for t in texts] == [1] and "RebalancePartitions" not in texts[0]
+    assert rows(store.read(), "Id", "TimeStamp") == [("a", 2), ("b", 1)]
+    assert "Window" not in store.read()._jdf.queryExecution().optimizedPlan().toString()  # one run a month
+
+
+def test_large_periods_are_dealt_in_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "PART_ROWS", 10)
+    monkeypatch.setattr(documents, "HOT_ROWS", 5)
+    given = [transaction(f"i{i % 40}", TimeStamp=i, Month=None if i % 7 == 0 else 1) for i in range(100)] + [transaction("hot", TimeStamp=i) for i in range(50)]
+    batch = spark.createDataFrame([[g.get(n) for n in ACTIVITY_TRANSACTION.names] for g in given], ACTIVITY_TRANSACTION)
+    store = documents.DocumentStore(spark, str(tmp_path / "d"), ACTIVITY_TRANSACTION, ["Id"], ["Year", "Month"], fan=2, levels=2)
+    for number in range(5):
+        store.put(batch.filter(F.col("TimeStamp") % 5 <= number), number)
+    expected = keep_latest(batch, ["Id", "Year", "Month"])
+    assert rows(store.read(), "Id", "Month", "TimeStamp") == rows(expected, "Id", "Month", "TimeStamp")
+
+
+def test_directories_of_a_large_batch(spark, tmp_path, monkeypatch):
+    ids = lambda names, month: spark.createDataFrame([(n, month) for n in names], "Id string, Month int")
+    for month in range(1, 6):
+        id_filters.add_filters(ids([f"m{month}-{i}" for i in range(30)], month), str(tmp_path), "Id", ["Month"])
+    wanted = ids([f"m{m}-{i}" for m in (1, 2, 4) for i in range(30)], 1)
+    asked, plain = [], id_filters._meeting
+
+    def noted(filters, keys, sizes, by):
+        asked.append((filters.count(), keys.count()))
+        return plain(filters, keys, sizes, by)
+
+    monkeypatch.setattr(id_filters, "FIRST_KEYS", 20)
+    monkeypatch.setattr(id_filters, "_meeting", noted)
+    found = id_filters.directories_with(wanted, str(tmp_path), layout("Id string, Month int"), "Id", ["Month"])
+    assert sorted(found) == [(1,), (2,), (4,)] and asked[0][1] < 90 and asked[1][0] < 5
