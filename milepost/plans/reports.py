@@ -66,14 +66,9 @@ def rule_flow_metrics(
     """
     if day is not None:
         transactions = rows_of_day(transactions, day, zone, prune)
-    # Staged: the rules and the campaigns' members both come from it, so the transactions are read once.
-    per_member = stage(actions_per_member(transactions, day, zone, per), "per-member")
-    rules = per_member.groupBy(*FLOW_RULE).agg(
-        F.min("campaignname").alias("campaignname"),
-        F.count("Phone").alias("profiles_evaluated"),
-        F.sum("actions").alias("total_actions"),
-        F.sum("scored").alias("addpoint_actions"),
-        F.sum("points").alias("points_awarded"),
+    per_member = actions_per_member(transactions, day, zone, per)
+    rules = rule_sums(per_member).select(
+        *FLOW_RULE, "campaignname", "profiles_evaluated", "total_actions", "addpoint_actions", "points_awarded"
     )
     members = per_member.select("date", "CampaignId", "Phone").distinct()
     evaluated = members.groupBy("date", "CampaignId").agg(F.count("Phone").alias("total_profiles_evaluated"))
@@ -84,18 +79,46 @@ FLOW_RULE = ["date", "CampaignId", "RuleId", "RuleName"]
 
 
 def actions_per_member(transactions: DataFrame, day: date | None = None, zone: str = BUSINESS_ZONE, per: str = "day") -> DataFrame:
-    """One row per rule, member and day (or month, by its first day): actions, scored ones and their points."""
+    """One row per rule, member and day (or month, by its first day): actions, scored ones and their points.
+
+    Staged, as the rules and the campaigns' members both come from it. The least name of text cannot be kept in a hash
+    aggregate, so rows are folded by name as well; only if some campaign has several names in a period,
+    rows are folded once more.
+    """
     local_day = business_day(F.col("TimeStamp"), zone) if day is None else F.lit(day)
     period = F.trunc(local_day, "month") if per == "month" else local_day
     # Rows without a campaign belong to no funnel.
     rows = transactions.filter(F.col("CampaignId").isNotNull()).withColumn("date", period)
     scored = F.col("Name") == SCORING_NAME
-    return rows.groupBy(*FLOW_RULE, "Phone").agg(
-        F.min("CampaignName").alias("campaignname"),
+    named = rows.groupBy(*FLOW_RULE, "Phone", F.col("CampaignName").alias("campaignname")).agg(
         F.count("Name").alias("actions"),
         F.count_if(scored).alias("scored"),
         F.sum(F.when(scored, F.col("Value"))).alias("points"),
     )
+    named = stage(named, "per-member")
+    if _one_name(named):
+        return named
+    sums = [F.sum(c).alias(c) for c in ("actions", "scored", "points")]
+    return stage(named.groupBy(*FLOW_RULE, "Phone").agg(F.min("campaignname").alias("campaignname"), *sums), "per-member")
+
+
+def _one_name(rows: DataFrame) -> bool:
+    """Whether each campaign has one name in each period, a missing one included."""
+    names = rows.select("date", "CampaignId", "campaignname").distinct()
+    return names.groupBy("date", "CampaignId").count().filter("count > 1").isEmpty()
+
+
+def rule_sums(per_member: DataFrame) -> DataFrame:
+    """Members, actions, scored ones and points per rule, and the least name of its campaign."""
+    sums = [
+        F.count("Phone").alias("profiles_evaluated"),
+        F.sum("actions").alias("total_actions"),
+        F.sum("scored").alias("addpoint_actions"),
+        F.sum("points").alias("points_awarded"),
+    ]
+    if _one_name(per_member):
+        return per_member.groupBy(*FLOW_RULE, "campaignname").agg(*sums)
+    return per_member.groupBy(*FLOW_RULE).agg(F.min("campaignname").alias("campaignname"), *sums)
 
 
 def flow_rows(rules: DataFrame, evaluated: DataFrame, as_of: datetime | None = None) -> DataFrame:

@@ -31,3 +31,17 @@ def test_days_add_up_to_months_without_transactions(spark, tmp_path):
     store.store(given.limit(0), date(1998, 6, 9), zone="UTC", prune=False)
     assert rows(store.metrics(per="day")) == [r for r in first if "1998, 6, 9" not in repr(r)]
     assert len(first) > len(rows(store.metrics(per="day")))
+
+
+def test_campaigns_with_one_name_are_not_sorted(spark):
+    given = sample.transactions(spark, FOLDER).filter("Year = 1998 and Month = 5")
+    plan = lambda frame: frame._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan(reports.rule_sums(reports.actions_per_member(given, zone="UTC")))
+    # A campaign with several names, one missing, counts a member once and takes the least name.
+    named = given.withColumn("CampaignName", F.when(F.col("Value") % 3 == 0, "Z").when(F.col("Value") % 3 == 1, F.col("CampaignName")))
+    got = reports.rule_sums(reports.actions_per_member(given.unionByName(named), zone="UTC"))
+    expected = given.unionByName(named).filter("CampaignId is not null").groupBy("CampaignId", "RuleId", "RuleName", F.to_date(F.timestamp_millis("TimeStamp")).alias("date")).agg(
+        F.min("CampaignName").alias("campaignname"), F.countDistinct("Phone").alias("profiles_evaluated"), F.count("Name").alias("total_actions")
+    )
+    columns = ["date", "CampaignId", "RuleId", "RuleName", "campaignname", "profiles_evaluated", "total_actions"]
+    assert rows(got.select(*columns)) == rows(expected.select(*columns))
