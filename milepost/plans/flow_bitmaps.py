@@ -1,8 +1,9 @@
 """The rule funnel over any stretch of days, from stored daily bitmaps of members.
 
 Distinct members cannot be added up over days, but sets can be joined. Members are numbered once; a
-day keeps, per rule, the sums of its actions and the set of its members as bitmaps of their
-numbers. A longer period is then the union of its days' bitmaps, without reading transactions.
+day keeps, per rule, the sums of its actions and the set of its members as a bitmap of their
+numbers, in words of 64 that have members: most rules have few members a day, and a word takes a few bytes where a whole
+bitmap would take thousands. A longer period is then the union of its days' bitmaps, without reading transactions.
 """
 
 from datetime import date, datetime
@@ -11,21 +12,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from milepost.functions.calendar import rows_of_day
 from milepost.operators.ordering import positions
+from milepost.operators.sinks import deal
 from milepost.operators.versions import VersionedTable
-from milepost.plans.reports import FLOW_RULE, actions_per_member, flow_rows
+from milepost.plans.reports import FLOW_RULE, actions_per_member, flow_rows, one_name
 from milepost.schemas import BUSINESS_ZONE, layout
 from milepost.session import stage
 
 MEMBERS = layout("phone string, number bigint")
 DAYS = layout(
     "date date, CampaignId string, RuleId string, RuleName string, campaignname string, actions bigint, scored bigint, "
-    "points bigint, bucket bigint, bits binary"
+    "points bigint, word bigint, bits bigint"
 )
+SUMS = ["actions", "scored", "points"]
 
 
 class FlowBitmaps:
-    """Daily bitmaps below `path`. A row holds either the sums of a rule or, with a bucket, the
-    members of the rule whose numbers lie in that bucket."""
+    """Daily bitmaps below `path`. A row holds a word of a rule's bitmap, the members whose numbers lie in it, and the
+    sums of their actions; what has no member has no word."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.members = VersionedTable(spark, f"{path}/members", MEMBERS, key="phone")
@@ -49,17 +52,16 @@ class FlowBitmaps:
         if day is not None:
             transactions = rows_of_day(transactions, day, zone, prune)
         rows = actions_per_member(transactions, day, zone).withColumnRenamed("Phone", "phone")  # staged
-        sums = rows.groupBy(*FLOW_RULE).agg(
-            F.min("campaignname").alias("campaignname"), F.sum("actions").alias("actions"), F.sum("scored").alias("scored"),
-            F.sum("points").alias("points"),
-        )
-        placed = rows.select(*FLOW_RULE, "phone").join(self.number(rows), "phone")
-        bucket, bit = F.bitmap_bucket_number("number").alias("bucket"), F.bitmap_bit_position("number").alias("bit")
-        bits = placed.select(*FLOW_RULE, bucket, bit).groupBy(*FLOW_RULE, "bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
-        new = stage(sums.unionByName(bits, allowMissingColumns=True).select(*DAYS.names), "days")
+        sizes = {tuple(r[:-1]): r[-1] for r in rows.groupBy(F.col("date").cast("string")).count().collect()}  # one row per day
+        word, bit = F.shiftright("number", 6).alias("word"), F.expr("shiftleft(1L, cast(number & 63 as int))").alias("bit")
+        # Staged, so that this shuffle and the next are not on disk together.
+        placed = stage(rows.join(self.number(rows), "phone", "left").select(*FLOW_RULE, "campaignname", *SUMS, word, bit), "placed")
+        dealt, part = deal(placed, ["date"], ["CampaignId", "RuleId", "RuleName", "word"], sizes)
+        words = _united(dealt, [*FLOW_RULE, "campaignname", "word", *part], "bit")
         base = self.days.last()
-        slots = set(self.days.slots_of(new, base)) | ({f"date={day}"} if day is not None else set())
-        self.days.replace(new, slots, base)
+        new = self.days.write(words.sortWithinPartitions("date", "CampaignId", "RuleId"), laid=True)
+        emptied = {f"date={day}": ()} if day is not None else {}
+        self.days.publish(base, emptied | {slot: (run,) for slot, run in new.items()})
         self.days.clean()
 
     def metrics(self, first: date | None = None, last: date | None = None, per: str = "month", as_of: datetime | None = None) -> DataFrame:
@@ -69,18 +71,22 @@ class FlowBitmaps:
         rows = self.days.read(inside, commit)
         if per == "month":
             rows = rows.withColumn("date", F.trunc("date", "month"))
-        sums = rows.filter("bucket is null").groupBy(*FLOW_RULE).agg(
-            F.min("campaignname").alias("campaignname"), F.sum("actions").alias("total_actions"), F.sum("scored").alias("addpoint_actions"),
-            F.sum("points").alias("points_awarded"), F.lit(0).cast("bigint").alias("profiles_evaluated"),
+        # One word of one rule per row; least names of text would be sorted for, so only if there are several.
+        words = stage(_united(rows, [*FLOW_RULE, "campaignname", "word"]), "words")
+        named = one_name(words)
+        if not named:
+            words = stage(_united(words, [*FLOW_RULE, "word"], least=["campaignname"]), "words")
+        members = F.coalesce(F.sum(F.bit_count("bits")), F.lit(0)).cast("bigint")
+        whole = words.groupBy(*FLOW_RULE, *(["campaignname"] if named else [])).agg(
+            *([] if named else [F.min("campaignname").alias("campaignname")]), members.alias("profiles_evaluated"),
+            F.sum("actions").alias("total_actions"), F.sum("scored").alias("addpoint_actions"), F.sum("points").alias("points_awarded"),
         )
-        sets = stage(rows.filter("bucket is not null").groupBy(*FLOW_RULE, "bucket").agg(F.bitmap_or_agg("bits").alias("bits")), "sets")
-        counted = sets.select(*FLOW_RULE, F.bitmap_count("bits").alias("profiles_evaluated"))
-        # Rules with and without members side by side, missing rule names included.
-        whole = sums.unionByName(counted, allowMissingColumns=True).groupBy(*FLOW_RULE).agg(
-            F.max("campaignname").alias("campaignname"),
-            *[F.sum(c).alias(c) for c in ("profiles_evaluated", "total_actions", "addpoint_actions", "points_awarded")],
-        )
         campaign = ["date", "CampaignId"]
-        unions = sets.groupBy(*campaign, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
-        evaluated = whole.select(*campaign, F.lit(0).cast("bigint").alias("n")).unionByName(unions.select(*campaign, F.bitmap_count("bits").alias("n")))
-        return flow_rows(whole, evaluated.groupBy(*campaign).agg(F.sum("n").alias("total_profiles_evaluated")), as_of)
+        unions = words.groupBy(*campaign, "word").agg(F.bit_or("bits").alias("bits"))
+        evaluated = unions.groupBy(*campaign).agg(members.alias("total_profiles_evaluated"))
+        return flow_rows(stage(whole, "rules"), evaluated, as_of)
+
+
+def _united(words: DataFrame, keys: list[str], bits: str = "bits", least: list[str] = ()) -> DataFrame:
+    """Union of the members and sums of their actions, per key."""
+    return words.groupBy(*keys).agg(*[F.min(c).alias(c) for c in least], *[F.sum(c).alias(c) for c in SUMS], F.bit_or(bits).alias("bits"))

@@ -96,13 +96,13 @@ def actions_per_member(transactions: DataFrame, day: date | None = None, zone: s
         F.sum(F.when(scored, F.col("Value"))).alias("points"),
     )
     named = stage(named, "per-member")
-    if _one_name(named):
+    if one_name(named):
         return named
     sums = [F.sum(c).alias(c) for c in ("actions", "scored", "points")]
     return stage(named.groupBy(*FLOW_RULE, "Phone").agg(F.min("campaignname").alias("campaignname"), *sums), "per-member")
 
 
-def _one_name(rows: DataFrame) -> bool:
+def one_name(rows: DataFrame) -> bool:
     """Whether each campaign has one name in each period, a missing one included."""
     names = rows.select("date", "CampaignId", "campaignname").distinct()
     return names.groupBy("date", "CampaignId").count().filter("count > 1").isEmpty()
@@ -116,7 +116,7 @@ def rule_sums(per_member: DataFrame) -> DataFrame:
         F.sum("scored").alias("addpoint_actions"),
         F.sum("points").alias("points_awarded"),
     ]
-    if _one_name(per_member):
+    if one_name(per_member):
         return per_member.groupBy(*FLOW_RULE, "campaignname").agg(*sums)
     return per_member.groupBy(*FLOW_RULE).agg(F.min("campaignname").alias("campaignname"), *sums)
 

@@ -3,6 +3,7 @@
 from datetime import date
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from catalog import sample
 from milepost.plans import reports
@@ -45,3 +46,18 @@ def test_campaigns_with_one_name_are_not_sorted(spark):
     )
     columns = ["date", "CampaignId", "RuleId", "RuleName", "campaignname", "profiles_evaluated", "total_actions"]
     assert rows(got.select(*columns)) == rows(expected.select(*columns))
+
+
+def test_a_member_takes_a_word_not_a_bitmap(spark, tmp_path):
+    given = sample.transactions(spark, FOLDER).filter("Year = 1998 and Month = 5")
+    given = given.withColumn("Phone", F.when(F.col("RuleId") != "3", F.col("Phone")))
+    # Several names of a campaign, in one word of one rule.
+    given = given.unionByName(given.withColumn("CampaignName", F.lit("A first name")))
+    store = FlowBitmaps(spark, str(tmp_path / "flow"))
+    store.store(given, zone="UTC")
+    stored = store.days.read()
+    assert stored.schema["bits"].dataType == LongType()  # 64 members
+    members = given.select(F.col("RuleId"), "CampaignId", "RuleName", F.to_date(F.timestamp_millis("TimeStamp")), "Phone").filter("Phone is not null").distinct()
+    assert stored.agg(F.sum(F.bit_count("bits"))).first()[0] == members.count()
+    assert rows(store.metrics()) == rows(reports.rule_flow_metrics(given, zone="UTC", per="month"))
+    assert rows(store.metrics(per="day")) == rows(reports.rule_flow_metrics(given, zone="UTC"))
