@@ -6,8 +6,9 @@ from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import DataFrameWriter, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from catalog import sample
+from catalog import queries, sample
 from milepost.operators import documents, id_filters, ledger, sinks
 from milepost.operators.keyed import keep_latest
 from milepost.plans import points
@@ -299,3 +300,60 @@ def test_directories_of_a_large_batch(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(id_filters, "_meeting", noted)
     found = id_filters.directories_with(wanted, str(tmp_path), layout("Id string, Month int"), "Id", ["Month"])
     assert sorted(found) == [(1,), (2,), (4,)] and asked[0][1] < 90 and asked[1][0] < 5
+
+
+@pytest.fixture
+def writes(monkeypatch):
+    """Path and plan of everything that is written."""
+    found, plain = [], DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **options):
+        found.append((path, self._df._jdf.queryExecution().executedPlan().toString()))
+        return plain(self, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    return found
+
+
+BY_MONTH = ["Year", "Month"]
+
+
+def test_new_rows_of_the_table_come_from_the_copy_without_a_shuffle(spark, topic, root, checkpoint, writes):
+    topic.send([transaction(None), transaction("a"), transaction("a", TimeStamp=5, Month=2), transaction("b")])
+    topic.send([transaction(None, Value=7), transaction("a", TimeStamp=6), transaction("c", Month=3)])
+    ingest.ingest_transactions(topic.stream(), root, checkpoint, by=BY_MONTH).awaitTermination()
+    plans = [plan for path, plan in writes if path == f"{root}/table"]
+    assert len(plans) == 2 and not [p for p in plans if "Exchange hash" in p or "InMemoryTableScan" in p or "REBALANCE" in p]
+    assert sum(f"{root}/copy" in path and "REBALANCE" in plan for path, plan in writes) == 2
+    stored = ingest.stored_rows(spark, root, ACTIVITY_TRANSACTION)
+    # A missing Id is always new. "a" comes again under another month, where it is not looked for.
+    assert rows(stored, "Id", "Month", "Value") == rows(spark.createDataFrame([("a", 1, 1), ("a", 2, 1), ("b", 1, 1), ("c", 3, 1), (None, 1, 1), (None, 1, 7)], "Id string, Month int, Value int"))
+    assert not [name for path, _ in writes if "/newest-" in path for name in list_folder(spark, path)]
+
+
+@pytest.mark.parametrize("most", [0, 1, 1 << 20])
+def test_rows_absent_finds_the_same_however_many_are_stored(spark, monkeypatch, most):
+    monkeypatch.setattr(sinks, "BROADCAST_BYTES", most)
+    given = spark.createDataFrame([("a", 1), ("b", 1), (None, 2)], "Id string, Month int")
+    absent = lambda *ids: rows(sinks.rows_absent(given, spark.createDataFrame([(i,) for i in ids], "_Id string"), "Id", ["Month"]))
+    assert absent("a", "x") == [("b", 1), (None, 2)]
+    assert absent("a", "b") == [(None, 2)]
+    assert rows(sinks.rows_absent(given, None, "Id", ["Month"])) == rows(given)
+
+
+def test_a_copy_is_compacted_some_months_at_a_time(spark, topic, root, checkpoint, monkeypatch, writes):
+    months = (1, 2, 3, None)
+    topic.send([transaction(f"{m}-{i}", Month=m) for m in months for i in range(4)])
+    topic.send([transaction(f"{m}-{i}", Month=m, Value=9, TimeStamp=2) for m in months for i in range(2)])
+    ingest.ingest_transactions(topic.stream(), root, checkpoint, by=BY_MONTH).awaitTermination()
+    before = rows(ingest.stored_copy(spark, root, ACTIVITY_TRANSACTION))
+    assert len(before) == 16 and sum(r[16] == 9 for r in before) == 8
+    monkeypatch.setattr(sinks, "PORTION_ROWS", 12)
+    assert ingest.compact_copy(spark, root, ACTIVITY_TRANSACTION) == 0
+    assert sum("/snapshots/version=0" in path for path, _ in writes) == 2
+    copy = ingest.stored_copy(spark, root, ACTIVITY_TRANSACTION)
+    assert rows(copy) == before
+    assert "Window" not in copy._jdf.queryExecution().executedPlan().toString()  # a snapshot holds each key once
+    topic.send([transaction("1-0", Value=11, TimeStamp=3)])
+    ingest.ingest_transactions(topic.stream(), root, checkpoint, by=BY_MONTH).awaitTermination()
+    assert len(changed := rows(ingest.stored_copy(spark, root, ACTIVITY_TRANSACTION))) == 16 and changed != before
