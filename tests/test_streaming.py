@@ -357,3 +357,24 @@ def test_a_copy_is_compacted_some_months_at_a_time(spark, topic, root, checkpoin
     topic.send([transaction("1-0", Value=11, TimeStamp=3)])
     ingest.ingest_transactions(topic.stream(), root, checkpoint, by=BY_MONTH).awaitTermination()
     assert len(changed := rows(ingest.stored_copy(spark, root, ACTIVITY_TRANSACTION))) == 16 and changed != before
+
+
+def test_documents_are_merged_some_periods_at_a_time(spark, root, monkeypatch, writes):
+    store = documents.DocumentStore(spark, root, layout("Id string, Year int, Month int, TimeStamp bigint"), ["Id"], BY_MONTH, fan=2)
+    batch = lambda n: spark.createDataFrame([(str(i), 2024, m, n) for i in range(3) for m in (1, 2, None)], store.schema)
+    store.put(batch(1), 0)
+    monkeypatch.setattr(sinks, "PORTION_ROWS", 6)
+    del writes[:]
+    store.put(batch(2), 1)
+    assert len(writes) == 4 and max(store.runs().values()) == 1  # the batch, and three periods merged by themselves
+    assert rows(store.read()) == rows(batch(2))
+
+
+def test_the_log_is_read_back_for_the_documents(spark, topic, root, checkpoint, writes):
+    topic.send([transaction("a"), transaction("a", TimeStamp=3, Month=2), transaction("b", Month=None)])
+    topic.send("junk")
+    ingest.ingest_transactions(topic.stream(), root, checkpoint, "fill", by=BY_MONTH).awaitTermination()
+    assert writes and not [p for _, p in writes if "InMemoryTableScan" in p]
+    assert rows(ingest.logged_rows(spark, root, ACTIVITY_TRANSACTION), "Id", "Month") == [("a", 1), ("a", 2), ("b", None)]
+    [stream] = [n for n in list_folder(spark, f"{root}/log/batches") if n.startswith("stream=")]
+    assert list_folder(spark, f"{root}/log/batches/{stream}") == ["batch=0"]
