@@ -378,3 +378,9 @@ def test_the_log_is_read_back_for_the_documents(spark, topic, root, checkpoint,
     assert rows(ingest.logged_rows(spark, root, ACTIVITY_TRANSACTION), "Id", "Month") == [("a", 1), ("a", 2), ("b", None)]
     [stream] = [n for n in list_folder(spark, f"{root}/log/batches") if n.startswith("stream=")]
     assert list_folder(spark, f"{root}/log/batches/{stream}") == ["batch=0"]
+
+
+def test_ids_stay_where_they_are_while_filters_are_made(spark):
+    given = spark.createDataFrame([("a", 1), ("b", 1), ("c", None), (None, 2)], "Id string, Month int")
+    plan = id_filters.filter_rows(given, "Id", ["Month"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
