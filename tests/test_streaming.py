@@ -384,3 +384,20 @@ def test_ids_stay_where_they_are_while_filters_are_made(spark):
     given = spark.createDataFrame([("a", 1), ("b", 1), ("c", None), (None, 2)], "Id string, Month int")
     plan = id_filters.filter_rows(given, "Id", ["Month"])._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_messages_that_are_stored_leave_the_inbox(spark, monkeypatch):
+    inboxes, make = [], queries.new_folder
+    monkeypatch.setattr(queries, "new_folder", lambda spark, label: (inboxes.append(make(spark, label)), inboxes[-1])[1])
+    thirds = spark.createDataFrame([(transaction("a"), 0), (transaction("b"), 1)], StructType([StructField("row", ACTIVITY_TRANSACTION), StructField("_third", IntegerType())])).select("row.*", "_third")
+    seen = []
+
+    def run(messages, checkpoint):
+        def handle(batch, batch_id):
+            seen.append(batch.count())
+
+        return messages.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(handle).start()
+
+    queries._in_batches(spark, thirds, (0, 1, 0), run)
+    assert seen == [1, 1, 1]
+    assert list_folder(spark, next(f for f in inboxes if "/inbox-" in f)) == []
